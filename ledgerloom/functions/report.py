@@ -53,7 +53,7 @@ def extract_host(resource_arn: Column | str) -> Column:
 
 def parse_period_date(text: Column | str) -> Column:
     """Date from the first ten characters (``yyyy-MM-dd``); NULL when not a date."""
-    return F.try_to_date(F.substring(_c(text), 1, 10), F.lit("yyyy-MM-dd"))
+    return F.try_to_date(F.substring(_c(text), 1, 10), "yyyy-MM-dd")
 
 
 def size_bytes(text: Column | str) -> Column:

@@ -140,3 +140,156 @@ SQL: dict[str, str] = {
     "page_visit_stats_multi_org": _with(pageview=PAGEVIEW, consent=CONSENT_MULTI_ORG) + _Q4,
     "join_pageview_consent": _with(pageview=PAGEVIEW, consent=CONSENT) + _J1,
 }
+
+
+# ------------------------------------------------------- report normalisation
+
+_FACT_REPORT = """
+SELECT CAST(try_strptime(substring("Report Time Period Start", 1, 10), '%Y-%m-%d') AS DATE) AS report_period_start,
+  CAST(try_strptime(substring("Report Time Period End", 1, 10), '%Y-%m-%d') AS DATE) AS report_period_end,
+  "Resource Type" AS resource_type,
+  CASE WHEN contains("Recovery Point ARN", 'image/ami-')
+       THEN upper(regexp_extract("Recovery Point ARN", 'image/(ami)-[^/]+', 1)) ELSE 'RDS' END AS component_type,
+  {host} AS backup_name, {host} AS hostname, 'COMPLETE' AS backup_type,
+  CASE WHEN "Job Status" = 'COMPLETED' THEN 'SUCCESSFUL' ELSE "Job Status" END AS status,
+  try_cast("Backup Size in Bytes" AS DOUBLE) AS backup_size_bytes,
+  current_date AS load_date
+FROM report"""
+
+_HOST = """(CASE WHEN contains("Resource ARN", 'instance/') THEN regexp_extract("Resource ARN", 'instance/(i-[a-f0-9]+)', 1)
+  WHEN contains("Resource ARN", 'db:') THEN regexp_extract("Resource ARN", 'db:([^/]+)', 1)
+  ELSE "Resource ARN" END)"""
+
+FACT_REPORT = _FACT_REPORT.format(host=_HOST)
+
+DETAIL = f"""
+SELECT CASE WHEN "Job Status" = 'COMPLETED' THEN 'SUCCESSFUL' ELSE "Job Status" END AS job_status,
+  "Resource Type" AS resource_type,
+  CAST(try_strptime(substring("Report Time Period Start", 1, 10), '%Y-%m-%d') AS DATE) AS report_period_start,
+  CAST(try_strptime(substring("Report Time Period End", 1, 10), '%Y-%m-%d') AS DATE) AS report_period_end,
+  {_HOST} AS resource_id,
+  round(try_cast("Backup Size in Bytes" AS DOUBLE) / 1073741824, 2) AS size_gb,
+  'full' AS backup_type, CAST(current_date AS TIMESTAMP) AS file_last_modified, current_date AS load_date
+FROM report"""
+
+# ----------------------------------------------------------- backup log sessions
+# Plain per-file windows: segments between finish lines, closes, sessions.
+
+LOG_EVENTS = r"""
+ev AS (
+  SELECT file_path, line_no, value,
+    nullif(regexp_extract(value, '^(\d{4}-\d{2}-\d{2})', 1), '') AS line_date,
+    nullif(regexp_extract(value, '/usr/sap/HDB/SYS/global/hdb/backint/DB_HDB/([\w\d_-]+)', 1), '') AS backup_file
+  FROM log WHERE NOT contains(value, 'LOGBCKUP')),
+ev2 AS (SELECT *, coalesce(ends_with(backup_file, '_0_1'), false) AS ignored FROM ev),
+lines AS (
+  SELECT file_path, line_no, value, line_date, backup_file, ignored,
+    CASE WHEN NOT ignored AND backup_file IS NOT NULL
+         THEN contains(backup_file, 'databackup_differential')
+              OR contains(value, 'command: BACKUP DATA FOR HDB USING DIFFERENTIAL') END AS differential,
+    CASE WHEN NOT ignored THEN nullif(regexp_extract(value, 'state of service: .*?, (\S+):', 1), '') END AS hostname,
+    CASE WHEN ignored THEN NULL
+         WHEN contains(value, 'SAVE DATA finished successfully') THEN 'successful'
+         WHEN contains(value, 'SAVE DATA finished with error: [447] backup could not be completed') THEN 'failed'
+    END AS status,
+    CASE WHEN NOT ignored THEN try_cast(nullif(regexp_extract(value,
+         'progress of service: .*?, volume: (\d+), 100% (\d+)/\d+', 2), '') AS DOUBLE) END AS size_bytes,
+    NOT ignored AND contains(value, 'SAVE DATA finished') AS finished
+  FROM ev2)"""
+
+LINE_EVENTS_SELECT = """
+SELECT file_path, line_no, value, line_date, backup_file, ignored, differential, hostname, status,
+  CASE WHEN status IS NOT NULL THEN line_date END AS end_date, size_bytes, finished
+FROM lines"""
+
+SESSIONS_TAIL = """,
+s1 AS (SELECT *, CASE WHEN status IS NOT NULL THEN line_date END AS end_date,
+  coalesce(sum(CASE WHEN finished THEN 1 ELSE 0 END) OVER (PARTITION BY file_path ORDER BY line_no
+    ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS seg FROM lines),
+s2 AS (SELECT *, finished AND bool_or(line_date IS NOT NULL) OVER (PARTITION BY file_path, seg) AS closes FROM s1),
+s3 AS (SELECT *, coalesce(sum(CASE WHEN closes THEN 1 ELSE 0 END) OVER (PARTITION BY file_path ORDER BY line_no
+    ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS sid FROM s2),
+s4 AS (SELECT *, last_value(line_date IGNORE NULLS) OVER (PARTITION BY file_path, sid ORDER BY line_no
+    ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS in_force FROM s3),
+g AS (
+  SELECT file_path, sid,
+    max(CASE WHEN closes THEN line_no END) AS close_line,
+    bool_or(coalesce(differential AND in_force IS NULL, false)) AS bad,
+    arg_max(line_date, line_no) FILTER (WHERE line_date IS NOT NULL) AS start_s,
+    arg_max(end_date, line_no) FILTER (WHERE end_date IS NOT NULL) AS end_s,
+    arg_max(hostname, line_no) FILTER (WHERE hostname IS NOT NULL) AS hostname,
+    arg_max(CASE WHEN differential THEN 'differential' ELSE 'full' END, line_no)
+      FILTER (WHERE differential IS NOT NULL) AS backup_type,
+    arg_max(CASE WHEN differential THEN replace(in_force, '-', '_') || '_07-30' ELSE 'COMPLETE_DATA_BACKUP' END, line_no)
+      FILTER (WHERE differential IS NOT NULL) AS backup_name,
+    arg_max(status, line_no) FILTER (WHERE status IS NOT NULL) AS status,
+    arg_max(size_bytes, line_no) FILTER (WHERE size_bytes IS NOT NULL) AS size_bytes
+  FROM s4 GROUP BY 1, 2),
+sessions AS (
+  SELECT file_path, close_line,
+    CAST(try_strptime(start_s, '%Y-%m-%d') AS DATE) AS report_period_start,
+    CAST(try_strptime(end_s, '%Y-%m-%d') AS DATE) AS report_period_end,
+    hostname, coalesce(backup_type, 'full') AS backup_type, backup_name,
+    coalesce(status, 'failed') AS status, coalesce(size_bytes, 0.0) AS backup_size_bytes
+  FROM g WHERE close_line IS NOT NULL AND file_path NOT IN (SELECT file_path FROM g WHERE bad))
+"""
+
+FACT_LOG_SELECT = """
+SELECT report_period_start, report_period_end, 'HANA' AS resource_type, 'HANA' AS component_type,
+  backup_name, hostname, backup_type, status, backup_size_bytes, current_date AS load_date
+FROM sessions"""
+
+
+def _log_with(extra: str = "") -> str:
+    return f"WITH log AS ({LOG}),{LOG_EVENTS}{extra}"
+
+
+_SESSIONS_WITH = _log_with(SESSIONS_TAIL)
+_UNION_WITH = (f"WITH log AS ({LOG}), report AS ({REPORT}),{LOG_EVENTS}{SESSIONS_TAIL}, "
+               f"fact AS ({FACT_REPORT} UNION ALL {FACT_LOG_SELECT})\n")
+
+SQL.update({
+    "map_status": _with(report=REPORT) + """
+SELECT "Job Status" AS job_status,
+  CASE WHEN "Job Status" = 'COMPLETED' THEN 'SUCCESSFUL' ELSE "Job Status" END AS status FROM report""",
+    "map_component": _with(report=REPORT) + """
+SELECT "Recovery Point ARN" AS recovery_point_arn,
+  CASE WHEN contains("Recovery Point ARN", 'image/ami-')
+       THEN upper(regexp_extract("Recovery Point ARN", 'image/(ami)-[^/]+', 1)) ELSE 'RDS' END AS component_type
+FROM report""",
+    "extract_host": _with(report=REPORT) + f"""
+SELECT "Resource ARN" AS resource_arn, {_HOST} AS hostname FROM report""",
+    "parse_period": _with(report=REPORT) + """
+SELECT "Report Time Period Start" AS period_start, "Report Time Period End" AS period_end,
+  CAST(try_strptime(substring("Report Time Period Start", 1, 10), '%Y-%m-%d') AS DATE) AS report_period_start,
+  CAST(try_strptime(substring("Report Time Period End", 1, 10), '%Y-%m-%d') AS DATE) AS report_period_end
+FROM report""",
+    "size_gib": _with(report=REPORT) + """
+SELECT "Backup Size in Bytes" AS size_text, try_cast("Backup Size in Bytes" AS DOUBLE) AS backup_size_bytes,
+  round(try_cast("Backup Size in Bytes" AS DOUBLE) / 1073741824, 2) AS size_gb FROM report""",
+    "hour_parts": _with(consent=CONSENT) + """
+SELECT created_at, cast(hour(created_at) AS INTEGER) AS hour, date_trunc('hour', created_at) AS hour_start,
+  strftime(created_at, '%Y-%m-%d %H:00:00') AS hour_string, strftime(created_at, '%Y-%m-%d') AS day_string,
+  CAST(created_at AS DATE) AS date_day FROM consent""",
+    "backup_fact_report": _with(report=REPORT) + FACT_REPORT,
+    "report_detail": _with(report=REPORT) + DETAIL,
+    "project_available": _with(report=REPORT) + """
+SELECT "Report Time Period Start", "Report Time Period End", "Job Status", "Resource Type", "Resource ARN",
+  "Backup Size in Bytes" FROM report""",
+    "verify_by_load_day": _with(report=REPORT, detail=DETAIL) + """
+SELECT CAST(file_last_modified AS DATE) AS load_date, count(*) AS records FROM detail GROUP BY 1""",
+    "backup_log_events": _log_with() + LINE_EVENTS_SELECT,
+    "backup_sessions": _SESSIONS_WITH + "SELECT * FROM sessions",
+    "backup_fact_log": _SESSIONS_WITH + FACT_LOG_SELECT,
+    "backup_sessions_by_status": _SESSIONS_WITH
+        + "SELECT backup_type, status, count(*) AS sessions FROM sessions GROUP BY 1, 2",
+    "backup_fact_union": _UNION_WITH + "SELECT * FROM fact",
+    "verify_total": _UNION_WITH + "SELECT count(*) AS records FROM fact",
+    "verify_by_component": _UNION_WITH
+        + "SELECT component_type, count(*) AS records FROM fact GROUP BY 1",
+    "verify_sample": _UNION_WITH + """
+SELECT hostname, backup_name, component_type FROM fact
+ORDER BY hostname NULLS FIRST, backup_name NULLS FIRST, component_type NULLS FIRST LIMIT 10""",
+    "distinct_component": _UNION_WITH + "SELECT DISTINCT component_type FROM fact",
+    "distinct_host_pair": _UNION_WITH + "SELECT DISTINCT hostname, backup_name FROM fact",
+})

@@ -11,7 +11,12 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from .. import fixtures as fx
-from ..operators import views
+from .. import schemas as S
+from ..functions import (extract_host, hour_of, hour_start, hour_string, day_string,
+                         map_component, map_status, parse_period_date, size_bytes, size_gib,
+                         to_day)
+from ..operators import logs, report, verify, views
+from pyspark.sql import functions as F
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -51,6 +56,123 @@ def q_join_pageview_consent(spark, sf_dir):
     return views.join_pageview_consent(fx.pageview(ev), fx.consent(ev))
 
 
+def _report(spark, sf_dir):
+    return fx.report(_orders(spark, sf_dir))
+
+
+def _q(name):
+    return F.col(f"`{name}`")
+
+
+def q_map_status(spark, sf_dir):
+    return _report(spark, sf_dir).select(_q(S.COL_JOB_STATUS).alias("job_status"),
+                                         map_status(_q(S.COL_JOB_STATUS)).alias("status"))
+
+
+def q_map_component(spark, sf_dir):
+    return _report(spark, sf_dir).select(
+        _q(S.COL_RECOVERY_POINT_ARN).alias("recovery_point_arn"),
+        map_component(_q(S.COL_RECOVERY_POINT_ARN)).alias("component_type"))
+
+
+def q_extract_host(spark, sf_dir):
+    return _report(spark, sf_dir).select(_q(S.COL_RESOURCE_ARN).alias("resource_arn"),
+                                         extract_host(_q(S.COL_RESOURCE_ARN)).alias("hostname"))
+
+
+def q_parse_period(spark, sf_dir):
+    return _report(spark, sf_dir).select(
+        _q(S.COL_PERIOD_START).alias("period_start"), _q(S.COL_PERIOD_END).alias("period_end"),
+        parse_period_date(_q(S.COL_PERIOD_START)).alias("report_period_start"),
+        parse_period_date(_q(S.COL_PERIOD_END)).alias("report_period_end"))
+
+
+def q_size_gib(spark, sf_dir):
+    return _report(spark, sf_dir).select(
+        _q(S.COL_SIZE_BYTES).alias("size_text"),
+        size_bytes(_q(S.COL_SIZE_BYTES)).alias("backup_size_bytes"),
+        size_gib(_q(S.COL_SIZE_BYTES)).alias("size_gb"))
+
+
+def q_hour_parts(spark, sf_dir):
+    ts = F.col("created_at")
+    return fx.consent(_events(spark, sf_dir)).select(
+        ts, hour_of(ts).alias("hour"), hour_start(ts).alias("hour_start"),
+        hour_string(ts).alias("hour_string"), day_string(ts).alias("day_string"),
+        to_day(ts).alias("date_day"))
+
+
+def q_backup_fact_report(spark, sf_dir):
+    return report.backup_fact_report(_report(spark, sf_dir))
+
+
+def _detail(spark, sf_dir):
+    # Load time pinned to the start of the processing day, so reruns agree.
+    return report.report_detail(_report(spark, sf_dir),
+                                as_of_ts=F.current_date().cast("timestamp_ntz"))
+
+
+def q_report_detail(spark, sf_dir):
+    return _detail(spark, sf_dir)
+
+
+def q_project_available(spark, sf_dir):
+    return report.project_available(_report(spark, sf_dir))
+
+
+def q_verify_by_load_day(spark, sf_dir):
+    return verify.rows_by_load_day(_detail(spark, sf_dir))
+
+
+def _log_lines(spark, sf_dir):
+    return fx.log_lines(_events(spark, sf_dir))
+
+
+def q_backup_log_events(spark, sf_dir):
+    return logs.line_events(_log_lines(spark, sf_dir)).drop("chunk")
+
+
+def _sessions(spark, sf_dir):
+    return logs.sessions(_log_lines(spark, sf_dir))
+
+
+def q_backup_sessions(spark, sf_dir):
+    return _sessions(spark, sf_dir)
+
+
+def q_backup_fact_log(spark, sf_dir):
+    return logs.backup_fact_log(_sessions(spark, sf_dir))
+
+
+def q_backup_sessions_by_status(spark, sf_dir):
+    return logs.sessions_by_status(_sessions(spark, sf_dir))
+
+
+def _fact_union(spark, sf_dir):
+    return (report.backup_fact_report(_report(spark, sf_dir))
+            .unionByName(logs.backup_fact_log(_sessions(spark, sf_dir))))
+
+
+def q_verify_total(spark, sf_dir):
+    return verify.total_rows(_fact_union(spark, sf_dir))
+
+
+def q_verify_by_component(spark, sf_dir):
+    return verify.rows_by_component(_fact_union(spark, sf_dir))
+
+
+def q_verify_sample(spark, sf_dir):
+    return verify.sample_hosts(_fact_union(spark, sf_dir))
+
+
+def q_distinct_component(spark, sf_dir):
+    return verify.distinct_components(_fact_union(spark, sf_dir))
+
+
+def q_distinct_host_pair(spark, sf_dir):
+    return verify.distinct_host_pairs(_fact_union(spark, sf_dir))
+
+
 QUERIES: dict[str, Query] = {
     "consent_device_stats": q_consent_device_stats,
     "consent_hourly_stats": q_consent_hourly_stats,
@@ -58,4 +180,23 @@ QUERIES: dict[str, Query] = {
     "page_visit_stats": q_page_visit_stats,
     "page_visit_stats_multi_org": q_page_visit_stats_multi_org,
     "join_pageview_consent": q_join_pageview_consent,
+    "map_status": q_map_status,
+    "map_component": q_map_component,
+    "extract_host": q_extract_host,
+    "parse_period": q_parse_period,
+    "size_gib": q_size_gib,
+    "hour_parts": q_hour_parts,
+    "backup_fact_report": q_backup_fact_report,
+    "report_detail": q_report_detail,
+    "project_available": q_project_available,
+    "verify_by_load_day": q_verify_by_load_day,
+    "backup_log_events": q_backup_log_events,
+    "backup_sessions": q_backup_sessions,
+    "backup_fact_log": q_backup_fact_log,
+    "backup_sessions_by_status": q_backup_sessions_by_status,
+    "verify_total": q_verify_total,
+    "verify_by_component": q_verify_by_component,
+    "verify_sample": q_verify_sample,
+    "distinct_component": q_distinct_component,
+    "distinct_host_pair": q_distinct_host_pair,
 }
