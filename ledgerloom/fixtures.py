@@ -105,7 +105,7 @@ def pageview_nested(events: DataFrame) -> DataFrame:
          .otherwise(_hashid("c", eid % 997)).alias("consent_hashid"),
         F.when(eid % 13 == 0, F.lit(None).cast("string"))
          .otherwise(_hashid("/p/", eid % 50)).alias("page_url"),
-        F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss'Z'").alias("timestamp"),
+        F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'").alias("timestamp"),
         F.when(eid % 10 == 0, F.lit(None).cast(S.VISITOR_DETAILS))
          .otherwise(details).alias("visitor_details"),
     )

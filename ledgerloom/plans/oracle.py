@@ -37,7 +37,7 @@ SELECT 'a' || cast(user_id AS VARCHAR) AS account_hashid,
   's' || cast(user_id AS VARCHAR) || '-' || strftime(ts, '%d') AS session_hashid,
   CASE WHEN event_id % 3 = 0 THEN NULL ELSE 'c' || cast(event_id % 997 AS VARCHAR) END AS consent_hashid,
   CASE WHEN event_id % 13 = 0 THEN NULL ELSE '/p/' || cast(event_id % 50 AS VARCHAR) END AS page_url,
-  strftime(ts, '%Y-%m-%dT%H:%M:%SZ') AS "timestamp",
+  strftime(ts, '%Y-%m-%dT%H:%M:%S.%fZ') AS "timestamp",
   CASE WHEN event_id % 10 = 0 THEN NULL ELSE
     '10.' || cast(user_id % 256 AS VARCHAR) || '.' || cast(event_id % 256 AS VARCHAR) || '.1' END AS ip_address,
   CASE WHEN event_id % 10 = 0 THEN NULL ELSE
@@ -293,3 +293,51 @@ ORDER BY hostname NULLS FIRST, backup_name NULLS FIRST, component_type NULLS FIR
     "distinct_component": _UNION_WITH + "SELECT DISTINCT component_type FROM fact",
     "distinct_host_pair": _UNION_WITH + "SELECT DISTINCT hostname, backup_name FROM fact",
 })
+
+# ------------------------------------------------- files, loads, sinks, stream
+# File fixtures hold the derived rows above; the processing day is fixed.
+
+FILE_DAY = "2025-05-13"
+_ON_DAY = f"DATE '{FILE_DAY}' AS load_date"
+_REPORT_CSV = 'SELECT * EXCLUDE (delivery_day, o_orderkey) FROM report'
+_REPORT_K = REPORT.replace("FROM orders", ", o_orderkey FROM orders")
+_FACT_ON_DAY = FACT_REPORT.replace("current_date AS load_date", _ON_DAY)
+
+_CONSENT_TABLE = """
+SELECT consent_id, organization_id, website_id, consent_hashid, CAST(NULL AS VARCHAR) AS ip_address,
+  ip_country, CAST(NULL AS VARCHAR) AS ip_region, CAST(NULL AS VARCHAR) AS gcp_preference, device_name,
+  CAST(NULL AS VARCHAR) AS storage_item, CAST(NULL AS VARCHAR) AS user_preferences,
+  CAST(NULL AS TIMESTAMP) AS accepted_at, session_hashid, created_at, account_hashid, year, month, day
+FROM consent"""
+
+_PAGEVIEW_JSON_TOP = """
+SELECT 'a' || cast(user_id AS VARCHAR) AS account_hashid,
+  's' || cast(user_id AS VARCHAR) || '-' || strftime(ts, '%d') AS session_hashid,
+  CASE WHEN event_id % 3 = 0 THEN NULL ELSE 'c' || cast(event_id % 997 AS VARCHAR) END AS consent_hashid,
+  CASE WHEN event_id % 13 = 0 THEN NULL ELSE '/p/' || cast(event_id % 50 AS VARCHAR) END AS page_url,
+  strftime(ts, '%Y-%m-%dT%H:%M:%S.%fZ') AS "timestamp", event_id % 10 = 0 AS visitor_details_missing
+FROM events WHERE event_type = 'view'"""
+
+SQL.update({
+    "backup_fact_union": _UNION_WITH + "SELECT * FROM fact",
+    "scan_report_csv": _with(report=_REPORT_K) + _REPORT_CSV,
+    "select_day_folder": _with(report=_REPORT_K + " WHERE o_orderkey % 2 = 0") + _FACT_ON_DAY,
+    "select_report_files": _with(report=_REPORT_K + " WHERE o_orderkey % 4 <> 0") + DETAIL.replace(
+        "CAST(current_date AS TIMESTAMP) AS file_last_modified, current_date AS load_date",
+        f"TIMESTAMP '{FILE_DAY} 00:00:00' AS file_last_modified, {_ON_DAY}"),
+    "scan_pageview_json": _PAGEVIEW_JSON_TOP,
+    "flatten_pageview": PAGEVIEW_FLAT,
+    "write_flat_parquet": PAGEVIEW_FLAT,
+    "pageview_typed": _with(pageview=PAGEVIEW) + "SELECT * FROM pageview",
+    "scan_backup_log": f"""WITH log AS ({LOG})
+SELECT file_path AS log_name, row_number() OVER (PARTITION BY file_path ORDER BY line_no) AS line_number,
+  value FROM log""",
+    "backup_fact_from_files": _SESSIONS_WITH + FACT_LOG_SELECT.replace("current_date AS load_date", _ON_DAY),
+    "write_consent_partitioned": _with(consent=CONSENT) + _CONSENT_TABLE,
+    "scan_consent_partition": _with(consent=CONSENT + " AND strftime(ts, '%Y-%m-%d') = '2024-01-15'")
+        + _Q1.format(src="consent"),
+    "append_by_name": _with(report=REPORT) + FACT_REPORT,
+    "insert_by_position": _SESSIONS_WITH + FACT_LOG_SELECT,
+    "overwrite_table": _with(report=REPORT) + DETAIL,
+    "stream_report_fact": _with(report=REPORT) + _FACT_ON_DAY,
+})

@@ -16,7 +16,14 @@ from ..functions import (extract_host, hour_of, hour_start, hour_string, day_str
                          map_component, map_status, parse_period_date, size_bytes, size_gib,
                          to_day)
 from ..operators import logs, report, verify, views
+from ..session import scratch_path
+from ..sinks import tables
+from ..sources import files, readers
+from ..streaming import incremental
+from . import fixture_files as ff
+from . import jobs
 from pyspark.sql import functions as F
+import uuid
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -173,6 +180,137 @@ def q_distinct_host_pair(spark, sf_dir):
     return verify.distinct_host_pairs(_fact_union(spark, sf_dir))
 
 
+def q_backup_fact_union(spark, sf_dir):
+    """Both pipelines appended by name into one table created empty first; read back."""
+    name = _table_name("fact")
+    tables.create_table_if_absent(spark, name, S.BACKUP_FACT, scratch_path(spark, "fact-table"))
+    tables.append_by_name(report.backup_fact_report(_report(spark, sf_dir)), name)
+    tables.append_by_name(logs.backup_fact_log(_sessions(spark, sf_dir)), name)
+    return spark.table(name)
+
+
+# ---------------------------------------------------------- files, loads, sinks
+
+def _table_name(kind: str) -> str:
+    return f"ledgerloom_{kind}_{uuid.uuid4().hex[:10]}"
+
+
+def q_scan_report_csv(spark, sf_dir):
+    root = ff.write_report_days(spark, sf_dir)
+    return readers.read_report_csv(spark, f"{root}/*/*/*/")
+
+
+def q_select_day_folder(spark, sf_dir):
+    root = ff.write_report_days(spark, sf_dir)
+    return jobs.report_fact_frame(spark, root, as_of=ff.FILE_DAY)
+
+
+def q_select_report_files(spark, sf_dir):
+    root = ff.write_report_folders(spark, sf_dir)
+    return jobs.report_detail_frame(spark, root, as_of=ff.FILE_DAY, as_of_ts=ff.file_day_ts())
+
+
+def q_file_metadata(spark, sf_dir):
+    root = ff.write_report_days(spark, sf_dir)
+    return files.list_files(spark, root, glob=files.CSV_FILE_GLOB)
+
+
+def q_files_newest_first(spark, sf_dir):
+    root = ff.write_report_days(spark, sf_dir)
+    return files.files_newest_first(files.list_files(spark, root, glob=files.CSV_FILE_GLOB))
+
+
+def _pageview_json(spark, sf_dir):
+    ok, _ = readers.split_corrupt(readers.read_pageview_json(spark, ff.write_pageview_json(spark, sf_dir)))
+    return ok
+
+
+def q_scan_pageview_json(spark, sf_dir):
+    return _pageview_json(spark, sf_dir).select(
+        "account_hashid", "session_hashid", "consent_hashid", "page_url", "timestamp",
+        F.col("visitor_details").isNull().alias("visitor_details_missing"))
+
+
+def q_flatten_pageview(spark, sf_dir):
+    return readers.flatten_pageview(_pageview_json(spark, sf_dir))
+
+
+def q_write_flat_parquet(spark, sf_dir):
+    src = ff.write_pageview_json(spark, sf_dir)
+    out = scratch_path(spark, "pageview-flat")
+    jobs.flatten_pageviews(spark, src, out)
+    return spark.read.parquet(out)
+
+
+def q_pageview_typed(spark, sf_dir):
+    return readers.typed_pageview(readers.flatten_pageview(_pageview_json(spark, sf_dir)))
+
+
+def q_scan_backup_log(spark, sf_dir):
+    lines = readers.read_backup_log(spark, ff.write_log_files(spark, sf_dir), glob=None)
+    return readers.number_lines(lines).select(
+        ff.log_name().alias("log_name"), "line_number", "value")
+
+
+def q_backup_fact_from_files(spark, sf_dir):
+    root = ff.write_log_files(spark, sf_dir)
+    lines = readers.drop_undecodable_files(readers.read_backup_log(spark, root, glob=None))
+    return logs.backup_fact_log(logs.sessions(lines), as_of=ff.FILE_DAY)
+
+
+_CONSENT_ROOTS: dict[tuple[str, str], str] = {}
+
+
+def _consent_root(spark, sf_dir):
+    """The consent table in its partitioned layout, written once per session and input."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _CONSENT_ROOTS:
+        root = scratch_path(spark, "consent-table")
+        tables.write_consent(fx.consent(_events(spark, sf_dir)), root)
+        _CONSENT_ROOTS[key] = root
+    return _CONSENT_ROOTS[key]
+
+
+def q_write_consent_partitioned(spark, sf_dir):
+    return readers.read_consent(spark, _consent_root(spark, sf_dir))
+
+
+def q_scan_consent_partition(spark, sf_dir):
+    consent = readers.read_consent(spark, _consent_root(spark, sf_dir))
+    return views.consent_device_stats(
+        consent.where((F.col("year") == "2024") & (F.col("month") == "01") & (F.col("day") == "15")))
+
+
+def q_append_by_name(spark, sf_dir):
+    name = _table_name("append")
+    tables.create_table_if_absent(spark, name, S.BACKUP_FACT, scratch_path(spark, "append-table"))
+    fact = report.backup_fact_report(_report(spark, sf_dir))
+    tables.append_by_name(fact.select(*reversed(fact.columns)), name)
+    return spark.table(name)
+
+
+def q_insert_by_position(spark, sf_dir):
+    name = _table_name("insert")
+    tables.create_table_if_absent(spark, name, S.BACKUP_FACT, scratch_path(spark, "insert-table"))
+    tables.insert_by_position(logs.backup_fact_log(_sessions(spark, sf_dir)), name)
+    return spark.table(name)
+
+
+def q_overwrite_table(spark, sf_dir):
+    name = _table_name("overwrite")
+    location = scratch_path(spark, "overwrite-table")
+    tables.append_by_name(report.backup_fact_report(_report(spark, sf_dir)), name, location)
+    tables.overwrite_table(_detail(spark, sf_dir), name, location)
+    return spark.table(name)
+
+
+def q_stream_report_fact(spark, sf_dir):
+    root = ff.write_report_days(spark, sf_dir)
+    out = scratch_path(spark, "stream-fact")
+    return incremental.load_report_fact_incremental(
+        spark, root, out, scratch_path(spark, "stream-ckpt"), as_of=ff.FILE_DAY)
+
+
 QUERIES: dict[str, Query] = {
     "consent_device_stats": q_consent_device_stats,
     "consent_hourly_stats": q_consent_hourly_stats,
@@ -199,4 +337,22 @@ QUERIES: dict[str, Query] = {
     "verify_sample": q_verify_sample,
     "distinct_component": q_distinct_component,
     "distinct_host_pair": q_distinct_host_pair,
+    "backup_fact_union": q_backup_fact_union,
+    "scan_report_csv": q_scan_report_csv,
+    "select_day_folder": q_select_day_folder,
+    "select_report_files": q_select_report_files,
+    "file_metadata": q_file_metadata,
+    "files_newest_first": q_files_newest_first,
+    "scan_pageview_json": q_scan_pageview_json,
+    "flatten_pageview": q_flatten_pageview,
+    "write_flat_parquet": q_write_flat_parquet,
+    "pageview_typed": q_pageview_typed,
+    "scan_backup_log": q_scan_backup_log,
+    "backup_fact_from_files": q_backup_fact_from_files,
+    "write_consent_partitioned": q_write_consent_partitioned,
+    "scan_consent_partition": q_scan_consent_partition,
+    "append_by_name": q_append_by_name,
+    "insert_by_position": q_insert_by_position,
+    "overwrite_table": q_overwrite_table,
+    "stream_report_fact": q_stream_report_fact,
 }
