@@ -20,14 +20,17 @@ Session rules (the parser's carried state, restated over sets):
 
 A finish line closes iff some dated line lies between the previous finish line
 (closing or not) and itself: a finish that closed nothing had no date behind it.
-So every carried quantity is a running maximum over line positions —
-the last dated line, the previous finish, the previous close — and a running
-maximum splits into a maximum inside the chunk plus a carry from earlier chunks.
-Each round is one window over ``(file, chunk)``, a per-chunk summary (one row
-per chunk) with a window over the file, and a join back on ``(file, chunk)``;
-both rounds and the summaries share one exchange of the lines. Sessions are then
-a hash aggregate with map-side partial aggregation, so a hot session or file is
-combined before it is shuffled.
+Inside one chunk this decides every finish but the chunk's first, which may
+also close on a date handed over from earlier chunks. So the plan is:
+
+1. one exchange of the lines on ``(file, chunk)``; running windows and an
+   aggregate in the same tasks fold the lines into *pieces* — one row per
+   session run inside a chunk (a whole session, or a chunk's head or tail);
+2. the pieces (about one row per session) are checkpointed to the shared
+   checkpoint folder, so nothing below reads the logs again;
+3. one summary row per chunk, a window over a file's chunk summaries, and the
+   boundary pieces (at most three per chunk) assemble the sessions that cross
+   chunk borders. No window or group ever holds a file's lines.
 """
 
 from __future__ import annotations
@@ -97,83 +100,171 @@ def line_events(lines: DataFrame) -> DataFrame:
             ))
 
 
-def running_max(df: DataFrame, specs: list[tuple[str, Column, bool]]) -> DataFrame:
-    """Per-file running maxima ordered by ``line_no``, computed chunk by chunk.
+def _last(value: Column, order: str = "line_no", when: Column | None = None) -> Column:
+    """Last non-NULL ``value`` by ``order`` (or the value at the last row where ``when``)."""
+    cond = value.isNotNull() if when is None else when
+    return F.max_by(value, F.when(cond, F.col(order)))
 
-    ``specs`` holds ``(name, value, inclusive)``: the maximum of ``value`` over
-    the file's earlier lines (and the line itself when ``inclusive``). Inside a
-    chunk it is a bounded-memory running window; across chunks it is carried by
-    a one-row-per-chunk summary.
-    """
-    in_chunk = Window.partitionBy(*KEY).orderBy("line_no")
-    local = df.select("*", *[
-        F.max(value).over(in_chunk.rowsBetween(Window.unboundedPreceding,
-                                               Window.currentRow if inclusive else -1))
-        .alias(f"_loc_{name}") for name, value, inclusive in specs])
-    # Chunk totals from the windowed rows: same partitioning, no new exchange.
-    totals = local.groupBy(*KEY).agg(*[
-        F.max(value).alias(f"_tot_{name}") for name, value, _ in specs])
-    earlier_chunks = Window.partitionBy("file_path").orderBy("chunk").rowsBetween(
-        Window.unboundedPreceding, -1)
-    carry = totals.select(*KEY, *[
-        F.max(f"_tot_{name}").over(earlier_chunks).alias(f"_car_{name}")
-        for name, _, _ in specs])
-    joined = local.join(carry, KEY, "inner")
-    return joined.select(*df.columns, *[
-        F.greatest(F.col(f"_car_{name}"), F.col(f"_loc_{name}")).alias(name)
-        for name, _, _ in specs])
 
+def _diff_name(in_force: Column) -> Column:
+    return F.concat(F.translate(in_force, "-", "_"), F.lit(DIFFERENTIAL_NAME_SUFFIX))
 
-def _last_by_line(value: Column, when: Column | None = None) -> Column:
-    cond = value.isNotNull() if when is None else when
-    return F.max_by(value, F.when(cond, F.col("line_no")))
 
+def session_pieces(lines: DataFrame) -> DataFrame:
+    """Lines folded into pieces: one row per session run inside one chunk.
 
-def sessions(lines: DataFrame) -> DataFrame:
-    """One row per closed backup session.
+    One exchange on ``(file_path, chunk)``; the windows and the aggregate that
+    follow run in the tasks that received the lines. Per line, within its chunk:
 
-    Columns: ``file_path, close_line, report_period_start, report_period_end,
-    hostname, backup_type, backup_name, status, backup_size_bytes``.
+    * ``ld``  last dated line so far (inclusive), ``pf`` previous finish line;
+    * ``ca``  the finish closes judging by the chunk alone: a dated line lies
+      after the previous finish. Exact for every finish but the chunk's first
+      (``f1``), which may also close on a date carried from earlier chunks;
+    * ``pc``  previous such close; ``piece`` = ``pc``, or ``-1`` up to ``f1``
+      and ``-2`` after it while no local close has happened;
+    * ``lif`` date in force from this chunk alone (exact once ``pc`` is set).
+
+    A piece ``>= 0`` with a close is a whole session; the other pieces (at
+    most three per chunk) continue or are continued by other chunks.
     """
     ev = line_events(lines)
+    run = Window.partitionBy(*KEY).orderBy("line_no")
+    incl = run.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    excl = run.rowsBetween(Window.unboundedPreceding, -1)
     dated = F.col("line_date").isNotNull()
-    r1 = running_max(ev, [
-        ("last_dated", F.when(dated, F.struct(F.col("line_no").alias("at"),
-                                               F.col("line_date").alias("d"))), True),
-        ("prev_finish", F.when(F.col("finished"), F.col("line_no")), False),
-    ])
-    closes = (F.col("finished") & F.col("last_dated.at").isNotNull()
-              & (F.col("prev_finish").isNull() | (F.col("last_dated.at") > F.col("prev_finish"))))
-    r1 = r1.withColumn("closes", F.coalesce(closes, F.lit(False)))
-    r2 = running_max(r1, [("prev_close", F.when(F.col("closes"), F.col("line_no")), False)])
-
-    in_force = F.when(F.col("prev_close").isNull()
-                      | (F.col("last_dated.at") > F.col("prev_close")), F.col("last_dated.d"))
+    w1 = ev.select(
+        *KEY, "line_no", "line_date", "end_date", "hostname", "status", "size_bytes",
+        "finished", "differential",
+        F.max(F.when(dated, F.struct(F.col("line_no").alias("at"), F.col("line_date").alias("d"))))
+         .over(incl).alias("ld"),
+        F.max(F.when(F.col("finished"), F.col("line_no"))).over(excl).alias("pf"))
+    ca = (F.col("finished") & F.col("ld").isNotNull()
+          & (F.col("pf").isNull() | (F.col("ld.at") > F.col("pf"))))
+    w2 = w1.withColumn("ca", F.coalesce(ca, F.lit(False)))
+    w2 = w2.withColumn("pc", F.max(F.when(F.col("ca"), F.col("line_no"))).over(excl))
+    lif = F.when(F.col("ld").isNotNull() & (F.col("pc").isNull() | (F.col("ld.at") > F.col("pc"))),
+                 F.col("ld.d"))
     is_file = F.col("differential").isNotNull()
-    diff = F.col("differential")
-    per_line = r2.select(
-        "file_path", "line_no", "line_date", "end_date", "hostname", "status", "size_bytes",
-        "closes", is_file.alias("is_file"),
-        F.coalesce(F.col("prev_close"), F.lit(-1)).alias("session"),
-        F.coalesce(diff & in_force.isNull(), F.lit(False)).alias("bad"),
-        F.when(diff, F.lit(TYPE_DIFFERENTIAL)).otherwise(F.lit(TYPE_FULL)).alias("type_at"),
-        F.when(diff, F.concat(F.translate(in_force, "-", "_"), F.lit(DIFFERENTIAL_NAME_SUFFIX)))
-         .otherwise(F.lit(FULL_BACKUP_NAME)).alias("name_at"),
+    diff = F.coalesce(F.col("differential"), F.lit(False))
+    per_line = w2.select(
+        *KEY, "line_no", "line_date", "end_date", "hostname", "status", "size_bytes",
+        "finished", "ca", "ld",
+        F.coalesce(F.col("pc"), F.when(F.col("pf").isNull(), F.lit(-1)).otherwise(F.lit(-2)))
+         .alias("piece"),
+        is_file.alias("is_file"),
+        F.when(is_file, F.when(diff, F.lit(TYPE_DIFFERENTIAL)).otherwise(F.lit(TYPE_FULL)))
+         .alias("type_at"),
+        F.when(is_file, F.when(diff, _diff_name(lif)).otherwise(F.lit(FULL_BACKUP_NAME)))
+         .alias("name_at"),
+        (diff & lif.isNull()).alias("undated_diff"),
+    )
+    return per_line.groupBy(*KEY, "piece").agg(
+        F.min("line_no").alias("first_line"),
+        F.max(F.when(F.col("ca"), F.col("line_no"))).alias("close_at"),
+        F.max(F.when(F.col("finished"), F.col("line_no"))).alias("fin_at"),
+        F.max("ld").alias("ld"),
+        _last(F.col("line_date")).alias("start_s"),
+        _last(F.col("end_date")).alias("end_s"),
+        _last(F.col("hostname")).alias("hostname"),
+        _last(F.col("status")).alias("status"),
+        _last(F.col("size_bytes")).alias("size"),
+        _last(F.col("type_at"), when=F.col("is_file")).alias("backup_type"),
+        _last(F.col("name_at"), when=F.col("is_file")).alias("name_local"),
+        _last(F.col("undated_diff"), when=F.col("is_file")).alias("name_needs_carry"),
+        F.bool_or("undated_diff").alias("undated_diff"),
+    )
+
+
+def _chunk_carries(pieces: DataFrame) -> DataFrame:
+    """One row per chunk with what earlier chunks of the file hand over to it.
+
+    ``cif`` date in force at the chunk's start (a dated line after the last
+    finish), ``f1_closes`` whether its first finish closes, ``c_pc`` the last
+    close before it. Windows run over chunk summaries only, one row per chunk.
+    """
+    summary = pieces.groupBy(*KEY).agg(
+        F.max("ld").alias("ld_tot"),
+        F.max("fin_at").alias("lf_tot"),
+        F.max(F.when(F.col("piece") == -1, F.col("fin_at"))).alias("f1"),
+        F.bool_or((F.col("piece") == -1) & F.col("close_at").isNotNull()).alias("f1_local"),
+        F.max("close_at").alias("last_local_close"),
+        F.bool_or((F.col("piece") >= 0) & F.col("undated_diff")).alias("local_bad"),
     )
-    grouped = per_line.groupBy("file_path", "session").agg(
-        F.max(F.when(F.col("closes"), F.col("line_no"))).alias("close_line"),
+    earlier = Window.partitionBy("file_path").orderBy("chunk").rowsBetween(
+        Window.unboundedPreceding, -1)
+    c = summary.select("*", F.max("ld_tot").over(earlier).alias("c_ld"),
+                       F.max("lf_tot").over(earlier).alias("c_lf"))
+    carried_date = F.col("c_ld").isNotNull() & (F.col("c_lf").isNull()
+                                                | (F.col("c_ld.at") > F.col("c_lf")))
+    c = c.select("*", F.when(carried_date, F.col("c_ld.d")).alias("cif"))
+    c = c.withColumn("f1_closes", F.col("f1").isNotNull()
+                     & (F.col("f1_local") | F.col("cif").isNotNull()))
+    last_close = F.greatest(F.col("last_local_close"), F.when(F.col("f1_closes"), F.col("f1")))
+    return c.select(*KEY, "cif", "f1", "f1_closes", "local_bad",
+                    F.max(last_close).over(earlier).alias("c_pc"))
+
+
+def _spanning_sessions(pieces: DataFrame, carries: DataFrame) -> DataFrame:
+    """Sessions that cross chunk borders, assembled from the boundary pieces.
+
+    A boundary piece is a chunk's head (``-1``, ``-2``) or its unfinished tail.
+    Each is keyed by the close that precedes its session; the session's close is
+    the one piece that ends it.
+    """
+    b = pieces.where((F.col("piece") < 0) | F.col("close_at").isNull()).join(carries, KEY, "inner")
+    head_a, head_b = F.col("piece") == -1, F.col("piece") == -2
+    # Date in force for lines that saw no date of their own chunk.
+    carried = (F.when(head_a, F.col("cif"))
+               .when(head_b & ~F.col("f1_closes"), F.col("cif")))
+    key = (F.when(F.col("piece") >= 0, F.col("piece"))
+           .when(head_b & F.col("f1_closes"), F.col("f1"))
+           .otherwise(F.coalesce(F.col("c_pc"), F.lit(-1))))
+    ends = (F.when(head_a & F.col("f1_closes"), F.col("f1"))
+            .when(head_b, F.col("close_at")))
+    name = F.when(F.col("name_needs_carry") & (F.col("backup_type") == TYPE_DIFFERENTIAL),
+                  _diff_name(carried)).otherwise(F.col("name_local"))
+    bad = F.col("undated_diff") & carried.isNull()
+    parts = b.select("file_path", "first_line", "start_s", "end_s", "hostname", "status", "size",
+                     "backup_type", key.alias("skey"), ends.alias("ends"),
+                     name.alias("backup_name"), F.coalesce(bad, F.lit(False)).alias("bad"))
+    return parts.groupBy("file_path", "skey").agg(
+        F.max("ends").alias("close_line"),
         F.bool_or("bad").alias("bad"),
-        _last_by_line(F.col("line_date")).alias("start_s"),
-        _last_by_line(F.col("end_date")).alias("end_s"),
-        _last_by_line(F.col("hostname")).alias("hostname"),
-        _last_by_line(F.col("type_at"), F.col("is_file")).alias("backup_type"),
-        _last_by_line(F.col("name_at"), F.col("is_file")).alias("backup_name"),
-        _last_by_line(F.col("status")).alias("status"),
-        _last_by_line(F.col("size_bytes")).alias("size"),
+        *[_last(F.col(c), "first_line").alias(c)
+          for c in ("start_s", "end_s", "hostname", "status", "size")],
+        _last(F.col("backup_type"), "first_line").alias("backup_type"),
+        _last(F.col("backup_name"), "first_line",
+              when=F.col("backup_type").isNotNull()).alias("backup_name"),
     )
-    bad_files = grouped.where("bad").select("file_path").distinct()
-    return (grouped.where(F.col("close_line").isNotNull())
-            .join(bad_files, "file_path", "left_anti")
+
+
+def sessions(lines: DataFrame, checkpoint: bool = True) -> DataFrame:
+    """One row per closed backup session.
+
+    Columns: ``file_path, close_line, report_period_start, report_period_end,
+    hostname, backup_type, backup_name, status, backup_size_bytes``.
+
+    The lines are read and shuffled once, into :func:`session_pieces`. With
+    ``checkpoint`` (default) the pieces — about one row per session — are
+    written to the session's checkpoint folder, so the several small steps that
+    read them do not re-read the logs; without it, Spark may recompute them.
+    """
+    pieces = session_pieces(lines)
+    if checkpoint:
+        from ..session import checkpoint_root
+        checkpoint_root(pieces.sparkSession)
+        pieces = pieces.checkpoint(eager=True)
+    carries = _chunk_carries(pieces)
+    local = (pieces.where((F.col("piece") >= 0) & F.col("close_at").isNotNull())
+             .select("file_path", F.col("close_at").alias("close_line"), "start_s", "end_s",
+                     "hostname", "status", "size", "backup_type",
+                     F.col("name_local").alias("backup_name")))
+    spanning = _spanning_sessions(pieces, carries)
+    bad_files = (carries.where("local_bad").select("file_path")
+                 .unionByName(spanning.where("bad").select("file_path")).distinct())
+    closed = local.unionByName(spanning.where(F.col("close_line").isNotNull())
+                               .drop("skey", "bad"))
+    return (closed.join(bad_files, "file_path", "left_anti")
             .select(
                 "file_path", "close_line",
                 parse_period_date("start_s").alias("report_period_start"),

@@ -61,15 +61,14 @@ def checkpoint_root(spark: SparkSession) -> str:
     the session has none (local runs and tests) do we create a folder of our own
     and register it as the checkpoint directory.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None)
+    sc = spark.sparkContext
+    root = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
     if not root:
-        root = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
-    if not root:
-        root = spark.sparkContext.getCheckpointDir()
+        root = sc.getCheckpointDir()
     if not root:
         root = tempfile.mkdtemp(prefix="ledgerloom-ckpt-")
-        spark.sparkContext.setCheckpointDir(root)
-        root = spark.sparkContext.getCheckpointDir() or root
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(root)
     return root.rstrip("/")
 
 
