@@ -50,29 +50,33 @@ def read_pageview_json(spark: SparkSession, paths: str | list[str], recursive: b
                        glob: str | None = None) -> DataFrame:
     """Page-view JSON lines under the declared nested schema.
 
-    Missing fields are NULL. A malformed line keeps its text in
+    Missing fields are NULL; of several objects on one line only the first is
+    kept; blank lines are skipped. A malformed line keeps its text in
     ``_corrupt_record`` (all other fields NULL); split it off with
     :func:`split_corrupt`. ``recursive`` must be asked for explicitly: without it
     only the folder itself and ``key=value`` subfolders are read.
+
+    Lines are parsed with ``from_json`` over a text scan — the same parser and
+    results as the JSON source, but any query may then use the corrupt-record
+    column, including a plain ``count()`` of the valid rows.
     """
     schema = T.StructType(S.PAGEVIEW_JSON.fields + [T.StructField(CORRUPT_COLUMN, T.StringType())])
-    reader = (spark.read.schema(schema).option("mode", "PERMISSIVE")
-              .option("columnNameOfCorruptRecord", CORRUPT_COLUMN)
-              .option("recursiveFileLookup", recursive))
+    reader = spark.read.option("recursiveFileLookup", recursive)
     if glob:
         reader = reader.option("pathGlobFilter", glob)
-    return reader.json(paths)
+    text = reader.text(paths)
+    parsed = F.from_json("value", schema, {"mode": "PERMISSIVE",
+                                           "columnNameOfCorruptRecord": CORRUPT_COLUMN})
+    return (text.where(F.trim("value") != "")
+            .select(parsed.alias("_j"), F.col("_metadata.file_path").alias("_source_file"))
+            .select("_j.*", "_source_file"))
 
 
 def split_corrupt(raw: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(valid rows without the corrupt column, corrupt rows with their text and file).
-
-    The corrupt side keeps the parsed columns too: Spark refuses a query on raw
-    JSON that reads nothing but the corrupt-record column.
-    """
-    ok = raw.where(F.col(CORRUPT_COLUMN).isNull()).drop(CORRUPT_COLUMN)
+    """(valid rows, corrupt rows as ``record, source_file``)."""
+    ok = raw.where(F.col(CORRUPT_COLUMN).isNull()).drop(CORRUPT_COLUMN, "_source_file")
     bad = raw.where(F.col(CORRUPT_COLUMN).isNotNull()).select(
-        "*", F.col("_metadata.file_path").alias("source_file"))
+        F.col(CORRUPT_COLUMN).alias("record"), F.col("_source_file").alias("source_file"))
     return ok, bad
 
 
@@ -153,10 +157,10 @@ def number_lines(lines: DataFrame) -> DataFrame:
 def drop_undecodable_files(lines: DataFrame) -> DataFrame:
     """Drop every line of a file that holds bytes that are not UTF-8.
 
-    The text source decodes invalid bytes to U+FFFD; a file with any such line
-    is skipped whole, as a file that fails to decode is.
+    The text source keeps a line's bytes as they are; a file with any line that
+    is not valid UTF-8 is skipped whole, as a file that fails to decode is.
     """
-    bad = lines.where(F.col("value").contains("\ufffd")).select("file_path").distinct()
+    bad = lines.where(~F.is_valid_utf8("value")).select("file_path").distinct()
     return lines.join(bad, "file_path", "left_anti")
 
 

@@ -1,0 +1,56 @@
+"""Reporting views: semantics the SQL oracle cannot see, and plan shape."""
+
+from pyspark.sql import functions as F
+
+from ledgerloom import fixtures as fx
+from ledgerloom.operators import views
+
+SF = "/root/testdata/sf0.01"
+
+
+def _rows(df):
+    return sorted(tuple(r) for r in df.select(sorted(df.columns)).collect())
+
+
+def test_page_visits_rewrite_equals_plain_join(spark):
+    ev = fx.read_table(spark, SF, "events")
+    pv = fx.pageview(ev)
+    for consent in (fx.consent(ev), fx.consent(ev, orgs_per_account=True)):
+        fast = views.page_visit_stats(pv, consent)
+        keys = pv.select("account_hashid", "session_hashid", "page_url", "year", "month", "day",
+                         F.hour("timestamp").cast("int").alias("hour"),
+                         F.to_date("timestamp").alias("date_day"),
+                         F.date_format("timestamp", "yyyy-MM-dd HH:00:00").alias("timestamp_hour"))
+        plain = (keys.join(consent.select("account_hashid", "organization_id", "website_id"),
+                           "account_hashid")
+                 .groupBy("organization_id", "website_id", "account_hashid", "year", "month", "day",
+                          "hour", "date_day", "timestamp_hour")
+                 .agg(F.count("page_url").alias("pageviews"),
+                      F.count_distinct("session_hashid").alias("unique_visitors")))
+        assert _rows(fast) == _rows(plain)
+        assert _rows(views.page_visit_stats_from_join(pv, consent)) == _rows(plain)
+
+
+def test_page_visits_fan_out_is_kept(spark):
+    ev = fx.read_table(spark, SF, "events")
+    total = views.page_visit_stats(fx.pageview(ev), fx.consent(ev)).agg(F.sum("pageviews")).collect()[0][0]
+    assert total > fx.pageview(ev).where("page_url IS NOT NULL").count()
+
+
+def test_unique_consents_is_not_distinct(spark):
+    c = spark.createDataFrame(
+        [(1, 1, "h", "Desktop", "2024", "01", "02"), (1, 1, "h", "Desktop", "2024", "01", "02"),
+         (1, 1, None, "Phone", "2024", "01", "02"), (1, 1, "k", None, "2024", "01", "02")],
+        "organization_id int, website_id int, consent_hashid string, device_name string, "
+        "year string, month string, day string").withColumn(
+        "created_at", F.lit("2024-01-02 10:30:00").cast("timestamp_ntz"))
+    got = {r.device_name: r.unique_consents for r in views.consent_device_stats(c).collect()}
+    assert got == {"Desktop": 2, "Unknown": 1}
+
+
+def test_one_scan_per_table_and_no_fan_out_join(spark):
+    ev = fx.read_table(spark, SF, "events")
+    plan = views.page_visit_stats(fx.pageview(ev), fx.consent(ev))._jdf.queryExecution() \
+        .executedPlan().toString()
+    assert plan.count("FileScan parquet") == 2
+    assert "ReadSchema: struct<event_id:bigint,ts:timestamp_ntz,user_id:bigint,event_type:string>" in plan
