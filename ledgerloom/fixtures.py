@@ -64,7 +64,7 @@ def consent(events: DataFrame, orgs_per_account: bool = False) -> DataFrame:
 
 
 def pageview(events: DataFrame) -> DataFrame:
-    """Typed page-view rows (the ``dpc_pageview_log`` shape): ``view`` events."""
+    """Typed page-view rows (the page-view table shape): ``view`` events."""
     eid = F.col("event_id")
     return events.where(F.col("event_type") == "view").select(
         _hashid("a", F.col("user_id")).alias("account_hashid"),
