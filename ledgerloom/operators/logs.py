@@ -83,7 +83,8 @@ def line_events(lines: DataFrame) -> DataFrame:
     is_file = acts & F.col("backup_file").isNotNull()
     status = (F.when(acts & v.contains(SUCCESS_TEXT), F.lit(STATUS_SUCCESSFUL))
               .when(acts & v.contains(ERROR_TEXT), F.lit(STATUS_FAILED)))
-    return (lines.where(~v.contains(DROP_MARKER))
+    # A line that is not UTF-8 stays even with the marker: it drops its whole file later.
+    return (lines.where(~v.contains(DROP_MARKER) | ~F.is_valid_utf8(v))
             .withColumn("line_date", _nullif_empty(F.regexp_extract(v, DATE_PATTERN, 1)))
             .withColumn("backup_file", fname)
             .withColumn("ignored", ignored)
@@ -125,7 +126,8 @@ def session_pieces(lines: DataFrame) -> DataFrame:
     * ``lif`` date in force from this chunk alone (exact once ``pc`` is set).
 
     A piece ``>= 0`` with a close is a whole session; the other pieces (at
-    most three per chunk) continue or are continued by other chunks.
+    most three per chunk) continue or are continued by other chunks. A line
+    that is not valid UTF-8 marks its piece, and with it the whole file, bad.
     """
     ev = line_events(lines)
     run = Window.partitionBy(*KEY).orderBy("line_no")
@@ -134,7 +136,7 @@ def session_pieces(lines: DataFrame) -> DataFrame:
     dated = F.col("line_date").isNotNull()
     w1 = ev.select(
         *KEY, "line_no", "line_date", "end_date", "hostname", "status", "size_bytes",
-        "finished", "differential",
+        "finished", "differential", (~F.is_valid_utf8("value")).alias("undecodable"),
         F.max(F.when(dated, F.struct(F.col("line_no").alias("at"), F.col("line_date").alias("d"))))
          .over(incl).alias("ld"),
         F.max(F.when(F.col("finished"), F.col("line_no"))).over(excl).alias("pf"))
@@ -148,7 +150,7 @@ def session_pieces(lines: DataFrame) -> DataFrame:
     diff = F.coalesce(F.col("differential"), F.lit(False))
     per_line = w2.select(
         *KEY, "line_no", "line_date", "end_date", "hostname", "status", "size_bytes",
-        "finished", "ca", "ld",
+        "finished", "ca", "ld", "undecodable",
         F.coalesce(F.col("pc"), F.when(F.col("pf").isNull(), F.lit(-1)).otherwise(F.lit(-2)))
          .alias("piece"),
         is_file.alias("is_file"),
@@ -157,6 +159,7 @@ def session_pieces(lines: DataFrame) -> DataFrame:
         F.when(is_file, F.when(diff, _diff_name(lif)).otherwise(F.lit(FULL_BACKUP_NAME)))
          .alias("name_at"),
         (diff & lif.isNull()).alias("undated_diff"),
+        "undecodable",
     )
     return per_line.groupBy(*KEY, "piece").agg(
         F.min("line_no").alias("first_line"),
@@ -172,6 +175,7 @@ def session_pieces(lines: DataFrame) -> DataFrame:
         _last(F.col("name_at"), when=F.col("is_file")).alias("name_local"),
         _last(F.col("undated_diff"), when=F.col("is_file")).alias("name_needs_carry"),
         F.bool_or("undated_diff").alias("undated_diff"),
+        F.bool_or("undecodable").alias("undecodable"),
     )
 
 
@@ -188,7 +192,8 @@ def _chunk_carries(pieces: DataFrame) -> DataFrame:
         F.max(F.when(F.col("piece") == -1, F.col("fin_at"))).alias("f1"),
         F.bool_or((F.col("piece") == -1) & F.col("close_at").isNotNull()).alias("f1_local"),
         F.max("close_at").alias("last_local_close"),
-        F.bool_or((F.col("piece") >= 0) & F.col("undated_diff")).alias("local_bad"),
+        F.bool_or(((F.col("piece") >= 0) & F.col("undated_diff")) | F.col("undecodable"))
+         .alias("local_bad"),
     )
     earlier = Window.partitionBy("file_path").orderBy("chunk").rowsBetween(
         Window.unboundedPreceding, -1)

@@ -75,7 +75,7 @@ def log_fact_frame(spark: SparkSession, log_root: str, as_of=None) -> DataFrame:
     """Every ``.log`` file below ``log_root`` as backup-session fact rows."""
     if not files.path_exists(spark, log_root):
         raise NoInputError(f"no log folder {log_root}")
-    lines = readers.drop_undecodable_files(readers.read_backup_log(spark, log_root))
+    lines = readers.read_backup_log(spark, log_root)
     return logs.backup_fact_log(logs.sessions(lines), as_of=str(files.processing_date(as_of)))
 
 

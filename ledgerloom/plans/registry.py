@@ -254,7 +254,7 @@ def q_scan_backup_log(spark, sf_dir):
 
 def q_backup_fact_from_files(spark, sf_dir):
     root = ff.write_log_files(spark, sf_dir)
-    lines = readers.drop_undecodable_files(readers.read_backup_log(spark, root, glob=None))
+    lines = readers.read_backup_log(spark, root, glob=None)
     return logs.backup_fact_log(logs.sessions(lines), as_of=ff.FILE_DAY)
 
 

@@ -154,16 +154,6 @@ def number_lines(lines: DataFrame) -> DataFrame:
             .drop("_k", "_carry"))
 
 
-def drop_undecodable_files(lines: DataFrame) -> DataFrame:
-    """Drop every line of a file that holds bytes that are not UTF-8.
-
-    The text source keeps a line's bytes as they are; a file with any line that
-    is not valid UTF-8 is skipped whole, as a file that fails to decode is.
-    """
-    bad = lines.where(~F.is_valid_utf8("value")).select("file_path").distinct()
-    return lines.join(bad, "file_path", "left_anti")
-
-
 # ------------------------------------------------------------- consent table
 
 def read_consent(spark: SparkSession, root: str) -> DataFrame:

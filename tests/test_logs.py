@@ -120,3 +120,15 @@ def test_fixture_session_mix(spark):
     assert s.select("file_path").distinct().count() == 463
     assert s.where("report_period_start = report_period_end").count() == 1137
     assert s.where("report_period_end IS NULL").count() == 285
+
+
+def test_pieces_read_and_shuffle_lines_once(spark, tmp_dir):
+    from ledgerloom.sources import readers
+    for f in range(3):
+        with open(f"{tmp_dir}/h{f}.log", "w") as out:
+            out.write("2024-05-01T00:00:00+00:00 SAVE DATA finished successfully\n" * 5)
+    pieces = logs.session_pieces(readers.read_backup_log(spark, tmp_dir))
+    plan = pieces._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan text") == 1
+    assert plan.count("Exchange hashpartitioning") == 1
+    assert len(logs.sessions(readers.read_backup_log(spark, tmp_dir)).collect()) == 15
