@@ -34,33 +34,34 @@ def _csv(df: DataFrame, path: str, partition_by: str | None = None) -> None:
 
 
 def write_report_days(spark: SparkSession, sf_dir: str) -> str:
-    """Report CSVs of two processing days: even order keys on FILE_DAY, odd the next day."""
+    """All report rows as CSVs in FILE_DAY's folder, and a full copy in the next day's.
+
+    Reading one day must return every row exactly once: a row read from the
+    other day's copy would show up as a duplicate.
+    """
     root = scratch_path(spark, "report-csv")
-    rows = _report_rows(spark, sf_dir)
-    cols = S.REQUIRED_REPORT_COLUMNS
-    _csv(rows.where(F.col("o_orderkey") % 2 == 0).select(*[F.col(f"`{c}`") for c in cols]),
-         files.day_folder(root, FILE_DAY))
-    _csv(rows.where(F.col("o_orderkey") % 2 == 1).select(*[F.col(f"`{c}`") for c in cols]),
-         files.day_folder(root, NEXT_DAY))
+    rows = _report_rows(spark, sf_dir).select(
+        *[F.col(f"`{c}`") for c in S.REQUIRED_REPORT_COLUMNS])
+    _csv(rows, files.day_folder(root, FILE_DAY))
+    _csv(rows, files.day_folder(root, NEXT_DAY))
     return root
 
 
 def write_report_folders(spark: SparkSession, sf_dir: str) -> str:
-    """The older delivery layout for FILE_DAY.
+    """The older delivery layout for FILE_DAY, with full copies where none may be read.
 
-    ``backup_jobs_report_a/batch=backup_job_report_<n>/`` holds the rows whose
-    order key is not a multiple of 4; ``batch=extra_<n>`` (no file marker) and a
-    folder without the folder marker hold the others, which must not be read.
+    ``backup_jobs_report_a/batch=backup_job_report_<n>/`` holds every row once;
+    ``backup_jobs_report_a/extra/`` (no file marker in the path) and
+    ``misc_reports/`` (no folder marker) each hold a full copy that must be skipped.
     """
     root = scratch_path(spark, "report-folders")
     day = files.day_folder(root, FILE_DAY)
     rows = _report_rows(spark, sf_dir)
     cols = [F.col(f"`{c}`") for c in S.DETAIL_REPORT_COLUMNS]
-    keep = F.col("o_orderkey") % 4 != 0
-    batch = F.when(keep, F.concat(F.lit(files.REPORT_FILE_MARKER), (F.col("o_orderkey") % 3)
-                                  .cast("string"))).otherwise(F.lit("extra_0"))
+    batch = F.concat(F.lit(files.REPORT_FILE_MARKER), (F.col("o_orderkey") % 3).cast("string"))
     _csv(rows.select(*cols, batch.alias("batch")), f"{day}backup_jobs_report_a", "batch")
-    _csv(rows.where(~keep).select(*cols), f"{day}misc_reports")
+    _csv(rows.select(*cols), f"{day}backup_jobs_report_a/extra")
+    _csv(rows.select(*cols), f"{day}misc_reports")
     return root
 
 

@@ -321,10 +321,14 @@ FROM events WHERE event_type = 'view'"""
 SQL.update({
     "backup_fact_union": _UNION_WITH + "SELECT * FROM fact",
     "scan_report_csv": _with(report=_REPORT_K) + _REPORT_CSV,
-    "select_day_folder": _with(report=_REPORT_K + " WHERE o_orderkey % 2 = 0") + _FACT_ON_DAY,
-    "select_report_files": _with(report=_REPORT_K + " WHERE o_orderkey % 4 <> 0") + DETAIL.replace(
+    "select_day_folder": _with(report=REPORT) + _FACT_ON_DAY,
+    "select_report_files": _with(report=REPORT) + DETAIL.replace(
         "CAST(current_date AS TIMESTAMP) AS file_last_modified, current_date AS load_date",
         f"TIMESTAMP '{FILE_DAY} 00:00:00' AS file_last_modified, {_ON_DAY}"),
+    "file_metadata": """
+SELECT '2025/05/13' AS day_folder, count(*) AS records, true AS files_non_empty FROM orders
+UNION ALL
+SELECT '2025/05/14' AS day_folder, count(*) AS records, true AS files_non_empty FROM orders""",
     "scan_pageview_json": _PAGEVIEW_JSON_TOP,
     "flatten_pageview": PAGEVIEW_FLAT,
     "write_flat_parquet": PAGEVIEW_FLAT,

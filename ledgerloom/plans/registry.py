@@ -197,7 +197,7 @@ def _table_name(kind: str) -> str:
 
 def q_scan_report_csv(spark, sf_dir):
     root = ff.write_report_days(spark, sf_dir)
-    return readers.read_report_csv(spark, f"{root}/*/*/*/")
+    return readers.read_report_csv(spark, files.day_folder(root, ff.FILE_DAY))
 
 
 def q_select_day_folder(spark, sf_dir):
@@ -211,8 +211,13 @@ def q_select_report_files(spark, sf_dir):
 
 
 def q_file_metadata(spark, sf_dir):
+    """Rows per delivery day, taken from each row's source file path."""
     root = ff.write_report_days(spark, sf_dir)
-    return files.list_files(spark, root, glob=files.CSV_FILE_GLOB)
+    rows = readers.with_source_file(readers.read_report_csv(spark, f"{root}/*/*/*/"))
+    day = F.regexp_extract("source_file", r"/(\d{4}/\d{2}/\d{2})/[^/]+$", 1)
+    return rows.groupBy(day.alias("day_folder")).agg(
+        F.count(F.lit(1)).alias("records"),
+        (F.min("source_file_size") > 0).alias("files_non_empty"))
 
 
 def q_files_newest_first(spark, sf_dir):
@@ -308,7 +313,8 @@ def q_stream_report_fact(spark, sf_dir):
     root = ff.write_report_days(spark, sf_dir)
     out = scratch_path(spark, "stream-fact")
     return incremental.load_report_fact_incremental(
-        spark, root, out, scratch_path(spark, "stream-ckpt"), as_of=ff.FILE_DAY)
+        spark, files.day_folder(root, ff.FILE_DAY), out, scratch_path(spark, "stream-ckpt"),
+        as_of=ff.FILE_DAY)
 
 
 QUERIES: dict[str, Query] = {
