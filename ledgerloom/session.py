@@ -57,15 +57,17 @@ def pin_session(spark: SparkSession) -> None:
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
-    On a cluster this setting names storage every executor can reach. Only when
-    the session has none (local runs and tests) do we create a folder of our own
-    and register it as the checkpoint directory.
+    On a cluster this setting names storage every executor can reach, and a
+    session without it is an error. Only a local session (runs and tests) without
+    it gets a folder of our own, registered as the checkpoint directory.
     """
     sc = spark.sparkContext
     root = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
     if not root:
         root = sc.getCheckpointDir()
     if not root:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
         root = tempfile.mkdtemp(prefix="ledgerloom-ckpt-")
     if not sc.getCheckpointDir():
         sc.setCheckpointDir(root)
