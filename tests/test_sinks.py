@@ -102,3 +102,12 @@ def test_pageview_hourly_stream(spark, tmp_dir):
     # windows still open at the end of the input are not emitted in append mode
     total = out.agg(F.sum("pageviews")).collect()[0][0]
     assert 0 < total <= fx.pageview(ev).where("page_url IS NOT NULL").count()
+
+
+def test_refresh_sees_files_written_by_another_job(spark, tmp_dir):
+    name = _name("refresh")
+    spark.createDataFrame([(1,)], "a int").write.option("path", f"{tmp_dir}/r").saveAsTable(name)
+    assert spark.table(name).count() == 1
+    spark.createDataFrame([(2,)], "a int").write.mode("append").parquet(f"{tmp_dir}/r")
+    tables.refresh(spark, name)
+    assert spark.table(name).count() == 2

@@ -54,3 +54,13 @@ def test_one_scan_per_table_and_no_fan_out_join(spark):
         .executedPlan().toString()
     assert plan.count("FileScan parquet") == 2
     assert "ReadSchema: struct<event_id:bigint,ts:timestamp_ntz,user_id:bigint,event_type:string>" in plan
+
+
+def test_page_visits_exact_with_one_hot_account(spark):
+    """One account holds a third of page views and consents: still exact."""
+    ev = fx.read_table(spark, SF, "events")
+    hot = F.when(F.col("user_id") % 3 == 0, F.lit(0)).otherwise(F.col("user_id"))
+    skewed = ev.withColumn("user_id", hot)
+    pv, consent = fx.pageview(skewed), fx.consent(skewed, orgs_per_account=True)
+    assert _rows(views.page_visit_stats(pv, consent)) == \
+        _rows(views.page_visit_stats_from_join(pv, consent))
