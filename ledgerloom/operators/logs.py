@@ -184,7 +184,9 @@ def _chunk_carries(pieces: DataFrame) -> DataFrame:
 
     ``cif`` date in force at the chunk's start (a dated line after the last
     finish), ``f1_closes`` whether its first finish closes, ``c_pc`` the last
-    close before it. Windows run over chunk summaries only, one row per chunk.
+    close before it, ``chunk_bad`` whether the chunk drops its file (a line that
+    is not UTF-8, or a differential line with no date in force). Windows run
+    over chunk summaries only, one row per chunk.
     """
     summary = pieces.groupBy(*KEY).agg(
         F.max("ld").alias("ld_tot"),
@@ -194,6 +196,8 @@ def _chunk_carries(pieces: DataFrame) -> DataFrame:
         F.max("close_at").alias("last_local_close"),
         F.bool_or(((F.col("piece") >= 0) & F.col("undated_diff")) | F.col("undecodable"))
          .alias("local_bad"),
+        F.bool_or((F.col("piece") == -1) & F.col("undated_diff")).alias("head_a_undated"),
+        F.bool_or((F.col("piece") == -2) & F.col("undated_diff")).alias("head_b_undated"),
     )
     earlier = Window.partitionBy("file_path").orderBy("chunk").rowsBetween(
         Window.unboundedPreceding, -1)
@@ -205,7 +209,11 @@ def _chunk_carries(pieces: DataFrame) -> DataFrame:
     c = c.withColumn("f1_closes", F.col("f1").isNotNull()
                      & (F.col("f1_local") | F.col("cif").isNotNull()))
     last_close = F.greatest(F.col("last_local_close"), F.when(F.col("f1_closes"), F.col("f1")))
-    return c.select(*KEY, "cif", "f1", "f1_closes", "local_bad",
+    # A head line with no date of its own chunk is in force only with a carried date.
+    bad = (F.col("local_bad")
+           | (F.col("head_a_undated") & F.col("cif").isNull())
+           | (F.col("head_b_undated") & (F.col("f1_closes") | F.col("cif").isNull())))
+    return c.select(*KEY, "cif", "f1", "f1_closes", F.coalesce(bad, F.lit(False)).alias("chunk_bad"),
                     F.max(last_close).over(earlier).alias("c_pc"))
 
 
@@ -228,13 +236,11 @@ def _spanning_sessions(pieces: DataFrame, carries: DataFrame) -> DataFrame:
             .when(head_b, F.col("close_at")))
     name = F.when(F.col("name_needs_carry") & (F.col("backup_type") == TYPE_DIFFERENTIAL),
                   _diff_name(carried)).otherwise(F.col("name_local"))
-    bad = F.col("undated_diff") & carried.isNull()
     parts = b.select("file_path", "first_line", "start_s", "end_s", "hostname", "status", "size",
                      "backup_type", key.alias("skey"), ends.alias("ends"),
-                     name.alias("backup_name"), F.coalesce(bad, F.lit(False)).alias("bad"))
+                     name.alias("backup_name"))
     return parts.groupBy("file_path", "skey").agg(
         F.max("ends").alias("close_line"),
-        F.bool_or("bad").alias("bad"),
         *[_last(F.col(c), "first_line").alias(c)
           for c in ("start_s", "end_s", "hostname", "status", "size")],
         _last(F.col("backup_type"), "first_line").alias("backup_type"),
@@ -265,10 +271,8 @@ def sessions(lines: DataFrame, checkpoint: bool = True) -> DataFrame:
                      "hostname", "status", "size", "backup_type",
                      F.col("name_local").alias("backup_name")))
     spanning = _spanning_sessions(pieces, carries)
-    bad_files = (carries.where("local_bad").select("file_path")
-                 .unionByName(spanning.where("bad").select("file_path")).distinct())
-    closed = local.unionByName(spanning.where(F.col("close_line").isNotNull())
-                               .drop("skey", "bad"))
+    bad_files = carries.where("chunk_bad").select("file_path").distinct()
+    closed = local.unionByName(spanning.where(F.col("close_line").isNotNull()).drop("skey"))
     return (closed.join(bad_files, "file_path", "left_anti")
             .select(
                 "file_path", "close_line",
