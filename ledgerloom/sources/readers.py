@@ -19,16 +19,18 @@ CORRUPT_COLUMN = "_corrupt_record"
 # ------------------------------------------------------------------ report CSV
 
 def read_report_csv(spark: SparkSession, paths: str | list[str], glob: str | None = CSV_FILE_GLOB,
-                    recursive: bool = True) -> DataFrame:
+                    recursive: bool = True, multi_line: bool = True) -> DataFrame:
     """Backup-report CSVs: header row, every column a string, quoted multi-line fields.
 
     ``"`` inside a quoted field is escaped by doubling it. ``enforceSchema`` is off
     so a file whose header differs from the first file's fails the read instead of
     having its columns silently misassigned. A multi-line CSV file is read by one
-    task (it cannot be split), so parallelism comes from the number of files.
+    task (it cannot be split), so parallelism comes from the number of files;
+    ``multi_line=False`` lets Spark split large files when the producer never
+    puts a line break inside a field.
     """
     reader = (spark.read.option("header", True).option("inferSchema", False)
-              .option("multiLine", True).option("escape", '"').option("quote", '"')
+              .option("multiLine", multi_line).option("escape", '"').option("quote", '"')
               .option("enforceSchema", False).option("mode", "PERMISSIVE")
               .option("recursiveFileLookup", recursive))
     if glob:

@@ -156,3 +156,19 @@ def test_log_job_from_files_with_small_splits(spark, tmp_dir):
     assert [(r.hostname, r.status, r.backup_size_bytes) for r in rows] == \
         [("hostA", "successful", 10.0), ("hostB", "failed", 0.0)]
     assert str(rows[1].report_period_end) == "2024-05-01"
+
+
+def test_log_line_order_with_small_files_packed_together(spark, tmp_dir):
+    for f in range(40):
+        _write(f"{tmp_dir}/logs/d{f % 4}/f{f:02d}.log", "".join(f"{f} {i}\n" for i in range(7 + f)))
+    lines = readers.read_backup_log(spark, f"{tmp_dir}/logs")
+    assert lines.rdd.getNumPartitions() < 40            # several files share a partition
+    got = readers.number_lines(lines).collect()
+    by_file = {}
+    for r in got:
+        by_file.setdefault(r.file_path, []).append(r)
+    assert len(by_file) == 40
+    for rows in by_file.values():
+        rows.sort(key=lambda r: r.line_no)
+        assert [int(r.value.split()[1]) for r in rows] == list(range(len(rows)))
+        assert [r.line_number for r in rows] == list(range(1, len(rows) + 1))
