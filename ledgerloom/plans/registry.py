@@ -6,9 +6,11 @@ nothing is capped or sampled.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from .. import fixtures as fx
 from .. import schemas as S
@@ -22,8 +24,6 @@ from ..sources import files, readers
 from ..streaming import incremental
 from . import fixture_files as ff
 from . import jobs
-from pyspark.sql import functions as F
-import uuid
 
 Query = Callable[[SparkSession, str], DataFrame]
 

@@ -3,7 +3,6 @@
 import os
 import uuid
 
-import pytest
 from pyspark.sql import functions as F
 
 from ledgerloom import fixtures as fx
