@@ -40,16 +40,17 @@ from pyspark.sql import functions as F
 
 from ..functions.report import parse_period_date
 
-# Line shapes and defaults of the backup log.
+# Line shapes and defaults of the backup log. Patterns carry
+# (?U) so that \w, \d and \S are Unicode-aware, as in Python's re.
 DROP_MARKER = "LOGBCKUP"
-DATE_PATTERN = r"^(\d{4}-\d{2}-\d{2})"
-FILE_PATTERN = r"/usr/sap/HDB/SYS/global/hdb/backint/DB_HDB/([\w\d_-]+)"
-HOST_PATTERN = r"state of service: .*?, (\S+):"
+DATE_PATTERN = r"(?U)^(\d{4}-\d{2}-\d{2})"
+FILE_PATTERN = r"(?U)/usr/sap/HDB/SYS/global/hdb/backint/DB_HDB/([\w\d_-]+)"
+HOST_PATTERN = r"(?U)state of service: .*?, (\S+):"
 DIFFERENTIAL_COMMAND = "command: BACKUP DATA FOR HDB USING DIFFERENTIAL"
 DIFFERENTIAL_FILE_MARKER = "databackup_differential"
 SUCCESS_TEXT = "SAVE DATA finished successfully"
 ERROR_TEXT = "SAVE DATA finished with error: [447] backup could not be completed"
-SIZE_PATTERN = r"progress of service: .*?, volume: (\d+), 100% (\d+)/\d+"
+SIZE_PATTERN = r"(?U)progress of service: .*?, volume: (\d+), 100% (\d+)/\d+"
 FINISH_TEXT = "SAVE DATA finished"
 IGNORED_FILE_SUFFIX = "_0_1"
 DIFFERENTIAL_NAME_SUFFIX = "_07-30"

@@ -132,3 +132,13 @@ def test_pieces_read_and_shuffle_lines_once(spark, tmp_dir):
     assert plan.count("FileScan text") == 1
     assert plan.count("Exchange hashpartitioning") == 1
     assert len(logs.sessions(readers.read_backup_log(spark, tmp_dir)).collect()) == 15
+
+
+def test_unicode_word_characters_as_in_python(spark):
+    d = "2024-05-01T00:00:00+00:00 "
+    rows = [("u.log", 0, d + P + "databäckup_0_1"),              # ignored: name ends in _0_1
+            ("u.log", 1, " state of service: n, hôst-é:1, v"),
+            ("u.log", 2, " SAVE DATA finished successfully")]
+    got = _spark_sessions(spark, rows, 1 << 20)
+    assert got == _model(rows)
+    assert got[0][4] == "hôst-é" and got[0][6] is None
