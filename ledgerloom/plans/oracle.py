@@ -338,8 +338,7 @@ SELECT file_path AS log_name, row_number() OVER (PARTITION BY file_path ORDER BY
   value FROM log""",
     "backup_fact_from_files": _SESSIONS_WITH + FACT_LOG_SELECT.replace("current_date AS load_date", _ON_DAY),
     "write_consent_partitioned": _with(consent=CONSENT) + _CONSENT_TABLE,
-    "scan_consent_partition": _with(consent=CONSENT + " AND strftime(ts, '%Y-%m-%d') = '2024-01-15'")
-        + _Q1.format(src="consent"),
+    "scan_consent_partition": _with(consent=CONSENT) + _Q1.format(src="consent"),
     "append_by_name": _with(report=REPORT) + FACT_REPORT,
     "insert_by_position": _SESSIONS_WITH + FACT_LOG_SELECT,
     "overwrite_table": _with(report=REPORT) + DETAIL,
