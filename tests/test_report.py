@@ -80,3 +80,43 @@ def test_detail_row(spark):
                              as_of_ts="2025-05-14 06:00:00").collect()[0].asDict()
     assert r["size_gb"] == 2.0 and r["backup_type"] == "full" and r["resource_id"] == "i-0abc"
     assert str(r["file_last_modified"]) == "2025-05-14 06:00:00"
+
+
+# ---------------------------------------------------------------- property test
+import re  # noqa: E402
+
+from hypothesis import given, settings, strategies as st  # noqa: E402
+
+_FRAGMENTS = ["arn:aws:", "ec2:", "rds:", "instance/", "i-", "I-", "0a9f", "XYZ", "db:", "cluster-",
+              "image/", "ami-", "AMI-", "snapshot:", "/", ":", "x", "dynamodb:", "table/", ""]
+_texts = st.one_of(st.none(), st.lists(st.sampled_from(_FRAGMENTS), max_size=6).map("".join))
+
+
+def _host_model(s):
+    if s is None:
+        return None
+    if "instance/" in s:
+        m = re.search(r"instance/(i-[a-f0-9]+)", s)
+        return m.group(1) if m else ""
+    if "db:" in s:
+        m = re.search(r"db:([^/]+)", s)
+        return m.group(1) if m else ""
+    return s
+
+
+def _component_model(s):
+    if s is not None and "image/ami-" in s:
+        m = re.search(r"image/(ami)-[^/]+", s)
+        return m.group(1).upper() if m else ""
+    return "RDS"
+
+
+@settings(max_examples=25, deadline=None)
+@given(st.lists(st.tuples(_texts, _texts, st.sampled_from(["COMPLETED", "FAILED", "completed", None])),
+                min_size=1, max_size=40))
+def test_rules_match_python_statement(spark, rows):
+    df = spark.createDataFrame(rows, "arn string, rp string, status string")
+    got = df.select(extract_host("arn"), map_component("rp"), map_status("status")).collect()
+    want = [(_host_model(a), _component_model(r), "SUCCESSFUL" if s == "COMPLETED" else s)
+            for a, r, s in rows]
+    assert [tuple(g) for g in got] == want
