@@ -43,3 +43,13 @@ def test_flatten_json(spark, tmp_dir):
     out = cli.main(["flatten-json", "--input", f"{tmp_dir}/in", "--output", f"{tmp_dir}/out"])
     assert (out["rows_written"], out["corrupt_rows"]) == (1, 1)
     assert spark.read.parquet(f"{tmp_dir}/out").collect()[0].city == "c"
+
+
+def test_log_load_without_sessions_is_an_error(spark, tmp_dir):
+    _write(f"{tmp_dir}/logs/h.log", " state of service: n, hostA:1, v\n SAVE DATA finished successfully\n")
+    with pytest.raises(jobs.NoInputError):          # undated finish closes nothing
+        cli.main(["load-logs", "--logs", f"{tmp_dir}/logs", "--table", "cli_empty",
+                  "--location", f"{tmp_dir}/t"])
+    with pytest.raises(jobs.NoInputError):
+        cli.main(["load-logs", "--logs", f"{tmp_dir}/missing", "--table", "cli_empty",
+                  "--location", f"{tmp_dir}/t"])
