@@ -320,6 +320,13 @@ def q_stream_report_fact(spark, sf_dir):
         as_of=ff.FILE_DAY)
 
 
+def q_stream_log_fact(spark, sf_dir):
+    root = ff.write_log_files(spark, sf_dir)
+    return incremental.load_log_fact_incremental(
+        spark, root, scratch_path(spark, "stream-log-fact"), scratch_path(spark, "stream-log-ckpt"),
+        as_of=ff.FILE_DAY, glob=None)
+
+
 QUERIES: dict[str, Query] = {
     "consent_device_stats": q_consent_device_stats,
     "consent_hourly_stats": q_consent_hourly_stats,
@@ -364,4 +371,5 @@ QUERIES: dict[str, Query] = {
     "insert_by_position": q_insert_by_position,
     "overwrite_table": q_overwrite_table,
     "stream_report_fact": q_stream_report_fact,
+    "stream_log_fact": q_stream_log_fact,
 }

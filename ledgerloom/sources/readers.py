@@ -125,12 +125,23 @@ def read_backup_log(spark: SparkSession, paths: str | list[str], glob: str | Non
     reader = spark.read.option("recursiveFileLookup", recursive)
     if glob:
         reader = reader.option("pathGlobFilter", glob)
-    raw = reader.text(paths).select(
-        F.col("_metadata.file_path").alias("file_path"),
-        F.col("_metadata.file_block_start").alias("chunk"),
-        F.monotonically_increasing_id().alias("_id"),
-        "value")
+    return order_lines(with_split(reader.text(paths)))
+
+
+def with_split(text: DataFrame) -> DataFrame:
+    """``(file_path, chunk, value)`` from a text scan (batch or streaming)."""
+    return text.select(F.col("_metadata.file_path").alias("file_path"),
+                       F.col("_metadata.file_block_start").alias("chunk"), "value")
+
+
+def order_lines(split_lines: DataFrame) -> DataFrame:
+    """Add ``line_no`` to :func:`with_split` rows; must sit directly on the scan.
+
+    See :func:`read_backup_log`. For a stream, call it inside ``foreachBatch``
+    on the micro-batch, which is a plain scan of that batch's files.
+    """
     split = Window.partitionBy("file_path", "chunk")
+    raw = split_lines.select("*", F.monotonically_increasing_id().alias("_id"))
     return raw.select(
         "file_path", "chunk",
         (F.col("chunk") * 2 + (F.col("_id") - F.min("_id").over(split))).alias("line_no"),

@@ -110,3 +110,19 @@ def test_refresh_sees_files_written_by_another_job(spark, tmp_dir):
     spark.createDataFrame([(2,)], "a int").write.mode("append").parquet(f"{tmp_dir}/r")
     tables.refresh(spark, name)
     assert spark.table(name).count() == 2
+
+
+def test_available_now_log_load_reads_each_file_once(spark, tmp_dir):
+    d = "2024-05-01T00:00:00+00:00 "
+    def log(path, host):
+        os.makedirs(os.path.dirname(path), exist_ok=True)
+        with open(path, "w") as f:
+            f.write(d + f"state of service: n, {host}:1, v\n SAVE DATA finished successfully\n")
+    log(f"{tmp_dir}/logs/a/1.log", "h1")
+    out, ckpt = f"{tmp_dir}/fact", f"{tmp_dir}/ckpt"
+    got = incremental.load_log_fact_incremental(spark, f"{tmp_dir}/logs", out, ckpt, as_of="2024-05-02")
+    assert [r.hostname for r in got.collect()] == ["h1"]
+    log(f"{tmp_dir}/logs/b/2.log", "h2")
+    got = incremental.load_log_fact_incremental(spark, f"{tmp_dir}/logs", out, ckpt, as_of="2024-05-02")
+    assert sorted(r.hostname for r in got.collect()) == ["h1", "h2"]
+    assert got.columns == S.BACKUP_FACT_COLUMNS
