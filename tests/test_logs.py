@@ -142,3 +142,22 @@ def test_unicode_word_characters_as_in_python(spark):
     got = _spark_sessions(spark, rows, 1 << 20)
     assert got == _model(rows)
     assert got[0][4] == "hôst-é" and got[0][6] is None
+
+
+from hypothesis import given, settings, strategies as st  # noqa: E402
+
+_line = st.tuples(st.integers(0, len(SHAPES) - 1), st.booleans(), st.integers(1, 3))
+
+
+@settings(max_examples=15, deadline=None)
+@given(files=st.lists(st.lists(_line, max_size=14), min_size=1, max_size=3),
+       chunk=st.sampled_from([1, 2, 3, 7]))
+def test_sessions_match_model_hypothesis(spark, files, chunk):
+    rows = []
+    for f, lines in enumerate(files):
+        for i, (shape, dated, day) in enumerate(lines):
+            rows.append((f"f{f}.log", i, (f"2024-02-0{day}T10:00:00+00:00 " if dated else " ")
+                         + SHAPES[shape]))
+    if not rows:
+        return
+    assert _spark_sessions(spark, rows, chunk) == _model(rows)
