@@ -1,7 +1,7 @@
 """Backup sessions from multi-session backup log lines, as one distributed job.
 
 Input: one row per log line, ``(file_path, chunk, line_no, value)``. ``line_no``
-orders the lines of a file; ``chunk`` labels runs of consecutive lines (a split
+(non-negative) orders the lines of a file; ``chunk`` labels runs of consecutive lines (a split
 of the file, or a fixed range of line numbers) so that no window ever has to hold
 a whole file: one very long file is spread over as many tasks as it has chunks.
 
