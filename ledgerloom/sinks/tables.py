@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .. import schemas as S
+from ..operators import views
 
 
 def table_exists(spark: SparkSession, name: str) -> bool:
@@ -130,7 +131,6 @@ def refresh(spark: SparkSession, name: str) -> None:
 def register_views(spark: SparkSession, consent: DataFrame, pageview: DataFrame,
                    prefix: str = "") -> list[str]:
     """Register the four reporting views as temporary views; returns their names."""
-    from ..operators import views
     made = {
         "consent_device_stats": views.consent_device_stats(consent),
         "consent_hourly_stats": views.consent_hourly_stats(consent),
@@ -140,3 +140,49 @@ def register_views(spark: SparkSession, consent: DataFrame, pageview: DataFrame,
     for name, df in made.items():
         df.createOrReplaceTempView(prefix + name)
     return [prefix + n for n in made]
+
+
+# Spark SQL text of the four views over catalog tables, for persistent views.
+# Same rules as ``operators.views``; page visits in the pre-aggregated form.
+_KNOWN_DEVICES = ", ".join(f"'{d}'" for d in views.KNOWN_DEVICES)
+VIEW_SQL = {
+    "consent_device_stats": f"""
+SELECT organization_id, website_id, count(consent_hashid) AS unique_consents,
+  CASE WHEN device_name IN ({_KNOWN_DEVICES}) THEN device_name ELSE 'Unknown' END AS device_name,
+  year, month, day, CAST(hour(created_at) AS INT) AS hour,
+  CAST(date_trunc('HOUR', created_at) AS TIMESTAMP_NTZ) AS timestamp_hour
+FROM {{consent}} GROUP BY ALL""",
+    "consent_hourly_stats": """
+SELECT organization_id, website_id, count(consent_hashid) AS unique_consents, ip_country,
+  year, month, day, CAST(hour(created_at) AS INT) AS hour,
+  date_format(created_at, 'yyyy-MM-dd HH:00:00') AS timestamp_hour
+FROM {consent} GROUP BY ALL""",
+    "dashboard_summary_stats": """
+SELECT account_hashid, date_format(CAST(created_at AS TIMESTAMP), 'yyyy-MM-dd') AS date_day,
+  count(page_url) AS pageviews, count(DISTINCT session_hashid) AS unique_visitors,
+  count(DISTINCT consent_hashid) AS consent_count, year, month, day
+FROM {pageview} GROUP BY ALL""",
+    "page_visit_stats": """
+WITH pv AS (
+  SELECT account_hashid, year, month, day, CAST(hour(`timestamp`) AS INT) AS hour,
+    to_date(`timestamp`) AS date_day, date_format(`timestamp`, 'yyyy-MM-dd HH:00:00') AS timestamp_hour,
+    count(page_url) AS pv_rows, count(DISTINCT session_hashid) AS unique_visitors
+  FROM {pageview} WHERE account_hashid IS NOT NULL GROUP BY ALL),
+c AS (
+  SELECT account_hashid, organization_id, website_id, count(*) AS consent_rows
+  FROM {consent} WHERE account_hashid IS NOT NULL GROUP BY ALL)
+SELECT c.organization_id, c.website_id, pv.account_hashid, pv.pv_rows * c.consent_rows AS pageviews,
+  pv.unique_visitors, pv.year, pv.month, pv.day, pv.hour, pv.date_day, pv.timestamp_hour
+FROM pv JOIN c ON pv.account_hashid = c.account_hashid""",
+}
+
+
+def create_persistent_views(spark: SparkSession, consent_table: str, pageview_table: str,
+                            prefix: str = "v_") -> list[str]:
+    """``CREATE OR REPLACE VIEW`` for the four views over two catalog tables."""
+    names = []
+    for name, sql in VIEW_SQL.items():
+        body = sql.format(consent=consent_table, pageview=pageview_table)
+        spark.sql(f"CREATE OR REPLACE VIEW {prefix}{name} AS {body}")
+        names.append(prefix + name)
+    return names

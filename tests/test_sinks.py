@@ -126,3 +126,23 @@ def test_available_now_log_load_reads_each_file_once(spark, tmp_dir):
     got = incremental.load_log_fact_incremental(spark, f"{tmp_dir}/logs", out, ckpt, as_of="2024-05-02")
     assert sorted(r.hostname for r in got.collect()) == ["h1", "h2"]
     assert got.columns == S.BACKUP_FACT_COLUMNS
+
+
+def test_persistent_views_equal_dataframe_views(spark, tmp_dir):
+    from ledgerloom.operators import views
+    ev = fx.read_table(spark, SF, "events")
+    consent, pageview = fx.consent(ev, orgs_per_account=True), fx.pageview(ev)
+    ct, pt = _name("consent"), _name("pageview")
+    consent.write.option("path", f"{tmp_dir}/c").saveAsTable(ct)
+    pageview.write.option("path", f"{tmp_dir}/p").saveAsTable(pt)
+    names = tables.create_persistent_views(spark, ct, pt, prefix=f"{ct}_")
+    expected = {
+        "consent_device_stats": views.consent_device_stats(consent),
+        "consent_hourly_stats": views.consent_hourly_stats(consent),
+        "dashboard_summary_stats": views.dashboard_summary_stats(pageview),
+        "page_visit_stats": views.page_visit_stats(pageview, consent),
+    }
+    for name in names:
+        got, want = spark.table(name), expected[name[len(ct) + 1:]]
+        assert got.columns == want.columns and got.dtypes == want.dtypes, name
+        assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0, name
