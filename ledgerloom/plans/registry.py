@@ -191,28 +191,42 @@ def q_backup_fact_union(spark, sf_dir):
 
 # ---------------------------------------------------------- files, loads, sinks
 
+_WRITTEN: dict[tuple[str, str, str], str] = {}
+
+
+def _written(spark, sf_dir, writer):
+    """Input files made by ``writer``, written once per session and input folder.
+
+    Queries only read them, so the keys that share an input share one copy.
+    """
+    key = (spark.sparkContext.applicationId, sf_dir, writer.__name__)
+    if key not in _WRITTEN:
+        _WRITTEN[key] = writer(spark, sf_dir)
+    return _WRITTEN[key]
+
+
 def _table_name(kind: str) -> str:
     return f"ledgerloom_{kind}_{uuid.uuid4().hex[:10]}"
 
 
 def q_scan_report_csv(spark, sf_dir):
-    root = ff.write_report_days(spark, sf_dir)
+    root = _written(spark, sf_dir, ff.write_report_days)
     return readers.read_report_csv(spark, files.day_folder(root, ff.FILE_DAY))
 
 
 def q_select_day_folder(spark, sf_dir):
-    root = ff.write_report_days(spark, sf_dir)
+    root = _written(spark, sf_dir, ff.write_report_days)
     return jobs.report_fact_frame(spark, root, as_of=ff.FILE_DAY)
 
 
 def q_select_report_files(spark, sf_dir):
-    root = ff.write_report_folders(spark, sf_dir)
+    root = _written(spark, sf_dir, ff.write_report_folders)
     return jobs.report_detail_frame(spark, root, as_of=ff.FILE_DAY, as_of_ts=ff.file_day_ts())
 
 
 def q_file_metadata(spark, sf_dir):
     """Rows per delivery day, taken from each row's source file path."""
-    root = ff.write_report_days(spark, sf_dir)
+    root = _written(spark, sf_dir, ff.write_report_days)
     rows = readers.with_source_file(readers.read_report_csv(spark, f"{root}/*/*/*/"))
     day = F.regexp_extract("source_file", r"/(\d{4}/\d{2}/\d{2})/[^/]+$", 1)
     return rows.groupBy(day.alias("day_folder")).agg(
@@ -221,12 +235,13 @@ def q_file_metadata(spark, sf_dir):
 
 
 def q_files_newest_first(spark, sf_dir):
-    root = ff.write_report_days(spark, sf_dir)
+    root = _written(spark, sf_dir, ff.write_report_days)
     return files.files_newest_first(files.list_files(spark, root, glob=files.CSV_FILE_GLOB))
 
 
 def _pageview_json(spark, sf_dir):
-    ok, _ = readers.split_corrupt(readers.read_pageview_json(spark, ff.write_pageview_json(spark, sf_dir)))
+    path = _written(spark, sf_dir, ff.write_pageview_json)
+    ok, _ = readers.split_corrupt(readers.read_pageview_json(spark, path))
     return ok
 
 
@@ -241,7 +256,7 @@ def q_flatten_pageview(spark, sf_dir):
 
 
 def q_write_flat_parquet(spark, sf_dir):
-    src = ff.write_pageview_json(spark, sf_dir)
+    src = _written(spark, sf_dir, ff.write_pageview_json)
     out = scratch_path(spark, "pageview-flat")
     jobs.flatten_pageviews(spark, src, out)
     return spark.read.parquet(out)
@@ -252,28 +267,26 @@ def q_pageview_typed(spark, sf_dir):
 
 
 def q_scan_backup_log(spark, sf_dir):
-    lines = readers.read_backup_log(spark, ff.write_log_files(spark, sf_dir), glob=None)
+    lines = readers.read_backup_log(spark, _written(spark, sf_dir, ff.write_log_files), glob=None)
     return readers.number_lines(lines).select(
         ff.log_name().alias("log_name"), "line_number", "value")
 
 
 def q_backup_fact_from_files(spark, sf_dir):
-    root = ff.write_log_files(spark, sf_dir)
+    root = _written(spark, sf_dir, ff.write_log_files)
     lines = readers.read_backup_log(spark, root, glob=None)
     return logs.backup_fact_log(logs.sessions(lines), as_of=ff.FILE_DAY)
 
 
-_CONSENT_ROOTS: dict[tuple[str, str], str] = {}
+def _write_consent_table(spark, sf_dir):
+    root = scratch_path(spark, "consent-table")
+    tables.write_consent(fx.consent(_events(spark, sf_dir)), root)
+    return root
 
 
 def _consent_root(spark, sf_dir):
-    """The consent table in its partitioned layout, written once per session and input."""
-    key = (spark.sparkContext.applicationId, sf_dir)
-    if key not in _CONSENT_ROOTS:
-        root = scratch_path(spark, "consent-table")
-        tables.write_consent(fx.consent(_events(spark, sf_dir)), root)
-        _CONSENT_ROOTS[key] = root
-    return _CONSENT_ROOTS[key]
+    """The consent table in its partitioned layout."""
+    return _written(spark, sf_dir, _write_consent_table)
 
 
 def q_write_consent_partitioned(spark, sf_dir):
@@ -313,7 +326,7 @@ def q_overwrite_table(spark, sf_dir):
 
 
 def q_stream_report_fact(spark, sf_dir):
-    root = ff.write_report_days(spark, sf_dir)
+    root = _written(spark, sf_dir, ff.write_report_days)
     out = scratch_path(spark, "stream-fact")
     return incremental.load_report_fact_incremental(
         spark, files.day_folder(root, ff.FILE_DAY), out, scratch_path(spark, "stream-ckpt"),
@@ -321,7 +334,7 @@ def q_stream_report_fact(spark, sf_dir):
 
 
 def q_stream_log_fact(spark, sf_dir):
-    root = ff.write_log_files(spark, sf_dir)
+    root = _written(spark, sf_dir, ff.write_log_files)
     return incremental.load_log_fact_incremental(
         spark, root, scratch_path(spark, "stream-log-fact"), scratch_path(spark, "stream-log-ckpt"),
         as_of=ff.FILE_DAY, glob=None)
