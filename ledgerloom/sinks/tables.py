@@ -32,8 +32,9 @@ def create_table_if_absent(spark: SparkSession, name: str, schema: T.StructType,
         return False
     cols = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
     parts = f" PARTITIONED BY ({', '.join(f'`{c}`' for c in partition_by)})" if partition_by else ""
+    where = location.replace("\\", "\\\\").replace("'", "\\'")
     spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({cols}) USING parquet{parts} "
-              f"LOCATION '{location}'")
+              f"LOCATION '{where}'")
     return True
 
 
@@ -99,15 +100,46 @@ def write_parquet(df: DataFrame, path: str, mode: str = "append") -> int:
     return _rows(obs)
 
 
+def _estimated_bytes(df: DataFrame) -> int | None:
+    try:
+        return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    except Exception:  # no estimate available
+        return None
+
+
+def _spread_for_write(df: DataFrame, partition_by: list[str]) -> DataFrame:
+    """Distribute rows on the partition columns before a partitioned write.
+
+    Large input: ``REBALANCE`` — each task writes few folders and AQE splits a
+    hot folder (one account with a third of the rows) over several tasks. Input
+    that Catalyst estimates below one advisory partition per core: a plain hash
+    repartition over the cores, because AQE would pack all folders into one
+    writer task and a hot folder cannot be large.
+    """
+    spark = df.sparkSession
+    cores = spark.sparkContext.defaultParallelism
+    advisory = spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes", "64m")
+    limit = _to_bytes(advisory) * cores
+    size = _estimated_bytes(df)
+    if size is not None and size < limit:
+        return df.repartition(cores, *partition_by)
+    return df.hint("rebalance", *partition_by)
+
+
+def _to_bytes(text: str) -> int:
+    units = {"b": 1, "k": 1 << 10, "m": 1 << 20, "g": 1 << 30, "t": 1 << 40}
+    t = text.strip().lower().rstrip("b") or "0"
+    return int(float(t[:-1]) * units[t[-1]]) if t[-1] in units else int(t)
+
+
 def write_partitioned(df: DataFrame, path: str, partition_by: list[str],
                       mode: str = "append", max_records_per_file: int | None = None) -> int:
     """Parquet files in ``k=v`` folders (Snappy), e.g. the consent layout.
 
-    Rows are first rebalanced on the partition columns: each task then writes
-    few folders (few open files) and AQE splits a hot folder — one account with a
-    third of the rows — over several tasks instead of one.
+    Rows are spread on the partition columns first (:func:`_spread_for_write`):
+    few open files per task, and a hot folder is split over several tasks.
     """
-    counted, obs = _counted(df.hint("rebalance", *partition_by), f"partitioned:{path}")
+    counted, obs = _counted(_spread_for_write(df, partition_by), f"partitioned:{path}")
     writer = counted.write.mode(mode).partitionBy(*partition_by).option("compression", "snappy")
     if max_records_per_file:
         writer = writer.option("maxRecordsPerFile", max_records_per_file)

@@ -146,3 +146,16 @@ def test_persistent_views_equal_dataframe_views(spark, tmp_dir):
         got, want = spark.table(name), expected[name[len(ct) + 1:]]
         assert got.columns == want.columns and got.dtypes == want.dtypes, name
         assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0, name
+
+
+def test_partitioned_write_spread_is_size_checked(spark):
+    consent = fx.consent(fx.read_table(spark, SF, "events"))
+    small = tables._spread_for_write(consent, S.CONSENT_PARTITION_COLUMNS)
+    assert "RepartitionByExpression" in small._jdf.queryExecution().optimizedPlan().toString()
+    old = spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "1k")
+    try:
+        big = tables._spread_for_write(consent, S.CONSENT_PARTITION_COLUMNS)
+        assert "RebalancePartitions" in big._jdf.queryExecution().optimizedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", old)
