@@ -172,3 +172,9 @@ def test_log_line_order_with_small_files_packed_together(spark, tmp_dir):
         rows.sort(key=lambda r: r.line_no)
         assert [int(r.value.split()[1]) for r in rows] == list(range(len(rows)))
         assert [r.line_number for r in rows] == list(range(1, len(rows) + 1))
+
+
+def test_flatten_refuses_output_inside_recursive_input(spark, tmp_dir):
+    _write(f"{tmp_dir}/in/p.json", JSON_OK + "\n")
+    with pytest.raises(ValueError):
+        jobs.flatten_pageviews(spark, f"{tmp_dir}/in", f"{tmp_dir}/in/processed", recursive=True)
