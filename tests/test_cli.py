@@ -53,3 +53,19 @@ def test_log_load_without_sessions_is_an_error(spark, tmp_dir):
     with pytest.raises(jobs.NoInputError):
         cli.main(["load-logs", "--logs", f"{tmp_dir}/missing", "--table", "cli_empty",
                   "--location", f"{tmp_dir}/t"])
+
+
+def test_detail_load_append_then_overwrite(spark, tmp_dir):
+    header = ",".join(S.DETAIL_REPORT_COLUMNS)
+    row = "2025-05-13T00:00:00Z,2025-05-13T23:59:59Z,COMPLETED,RDS,arn:aws:rds:r:1:db:main,2147483648"
+    _write(f"{tmp_dir}/r/2025/05/13/backup_jobs_report_x/backup_job_report_1.csv",
+           header + "\n" + row + "\n")
+    args = ["load-detail", "--base", f"{tmp_dir}/r", "--table", "cli_detail",
+            "--location", f"{tmp_dir}/detail", "--date", "2025-05-13"]
+    assert cli.main(args)["rows_written"] == 1
+    assert cli.main(args)["rows_written"] == 1
+    assert spark.table("cli_detail").count() == 2                 # appends keep duplicates
+    assert cli.main(args + ["--overwrite"])["rows_written"] == 1
+    rows = spark.table("cli_detail").collect()
+    assert len(rows) == 1 and rows[0].resource_id == "main" and rows[0].size_gb == 2.0
+    assert rows[0].job_status == "SUCCESSFUL" and str(rows[0].load_date) == "2025-05-13"
