@@ -10,6 +10,7 @@ from __future__ import annotations
 import logging
 from dataclasses import dataclass
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
@@ -37,10 +38,20 @@ def report_fact_frame(spark: SparkSession, base: str, as_of=None) -> DataFrame:
     folder = files.day_folder(base, as_of)
     if not files.path_exists(spark, folder):
         raise NoInputError(f"no report folder {folder}")
-    raw = readers.read_report_csv(spark, folder)
+    raw = _read_reports(spark, folder)
     return report.backup_fact_report(raw, as_of=str(files.processing_date(as_of)))
 
 
+def _read_reports(spark: SparkSession, path: str) -> DataFrame:
+    """Report CSVs below ``path``; a folder with no CSV at all is "no input"."""
+    try:
+        return readers.read_report_csv(spark, path)
+    except AnalysisException as e:
+        if "UNABLE_TO_INFER_SCHEMA" in str(e):
+            raise NoInputError(f"no report CSV under {path}") from e
+        raise
+
+
 def load_report_fact(spark: SparkSession, base: str, table: str, location: str,
                      as_of=None) -> LoadResult:
     """Report CSVs of one day appended to the backup fact table (created if absent)."""
@@ -60,7 +71,7 @@ def report_detail_frame(spark: SparkSession, base: str, as_of=None, as_of_ts=Non
     folders = files.report_folders(base, as_of)
     if not files.path_exists(spark, folders):
         raise NoInputError(f"no report folders {folders}")
-    raw = readers.read_report_csv(spark, folders)
+    raw = _read_reports(spark, folders)
     raw = raw.where(F.lower(F.col("_metadata.file_path")).contains(files.REPORT_FILE_MARKER))
     return report.report_detail(raw, as_of=str(files.processing_date(as_of)), as_of_ts=as_of_ts)
 

@@ -52,6 +52,9 @@ def test_day_folder_and_file_selection(spark, tmp_dir):
     assert sizes == [1.0, 2.0]
     with pytest.raises(jobs.NoInputError):
         jobs.report_fact_frame(spark, tmp_dir, as_of="2025-06-01")
+    _write(f"{files.day_folder(tmp_dir, '2025-06-02')}notes.txt", "no csv here\n")
+    with pytest.raises(jobs.NoInputError):
+        jobs.report_fact_frame(spark, tmp_dir, as_of="2025-06-02")
 
 
 def test_report_folders_layout(spark, tmp_dir):
