@@ -75,9 +75,12 @@ def line_events(lines: DataFrame) -> DataFrame:
 
     Columns beyond the input: ``line_date`` (string), ``backup_file``,
     ``ignored`` (``_0_1`` file line), ``differential`` (NULL on non-file lines),
-    ``hostname``, ``status``, ``end_date``, ``size_bytes``, ``finished``.
+    ``hostname``, ``status``, ``end_date``, ``size_bytes``, ``finished``, and
+    ``undecodable`` (the line is not UTF-8; kept from the reader when given).
     """
     v = F.col("value")
+    if "undecodable" not in lines.columns:
+        lines = lines.withColumn("undecodable", ~F.is_valid_utf8(v))
     fname = _nullif_empty(F.regexp_extract(v, FILE_PATTERN, 1))
     ignored = F.coalesce(fname.endswith(IGNORED_FILE_SUFFIX), F.lit(False))
     acts = ~F.col("ignored")
@@ -85,7 +88,7 @@ def line_events(lines: DataFrame) -> DataFrame:
     status = (F.when(acts & v.contains(SUCCESS_TEXT), F.lit(STATUS_SUCCESSFUL))
               .when(acts & v.contains(ERROR_TEXT), F.lit(STATUS_FAILED)))
     # A line that is not UTF-8 stays even with the marker: it drops its whole file later.
-    return (lines.where(~v.contains(DROP_MARKER) | ~F.is_valid_utf8(v))
+    return (lines.where(~v.contains(DROP_MARKER) | F.col("undecodable"))
             .withColumn("line_date", _nullif_empty(F.regexp_extract(v, DATE_PATTERN, 1)))
             .withColumn("backup_file", fname)
             .withColumn("ignored", ignored)
@@ -137,7 +140,7 @@ def session_pieces(lines: DataFrame) -> DataFrame:
     dated = F.col("line_date").isNotNull()
     w1 = ev.select(
         *KEY, "line_no", "line_date", "end_date", "hostname", "status", "size_bytes",
-        "finished", "differential", (~F.is_valid_utf8("value")).alias("undecodable"),
+        "finished", "differential", "undecodable",
         F.max(F.when(dated, F.struct(F.col("line_no").alias("at"), F.col("line_date").alias("d"))))
          .over(incl).alias("ld"),
         F.max(F.when(F.col("finished"), F.col("line_no"))).over(excl).alias("pf"))

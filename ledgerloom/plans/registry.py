@@ -136,7 +136,7 @@ def _log_lines(spark, sf_dir):
 
 
 def q_backup_log_events(spark, sf_dir):
-    return logs.line_events(_log_lines(spark, sf_dir)).drop("chunk")
+    return logs.line_events(_log_lines(spark, sf_dir)).drop("chunk", "undecodable")
 
 
 def _sessions(spark, sf_dir):

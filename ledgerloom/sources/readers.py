@@ -125,7 +125,48 @@ def read_backup_log(spark: SparkSession, paths: str | list[str], glob: str | Non
     reader = spark.read.option("recursiveFileLookup", recursive)
     if glob:
         reader = reader.option("pathGlobFilter", glob)
-    return order_lines(with_split(reader.text(paths)))
+    return log_lines(with_split(reader.text(paths)))
+
+
+def log_lines(split_rows: DataFrame) -> DataFrame:
+    """Ordered log lines from :func:`with_split` rows (batch, or one stream batch)."""
+    return split_python_lines(order_lines(split_rows))
+
+
+# The line breaks Python's str.splitlines() knows beyond \n, \r and
+# \r\n (which the text source already splits on): \v, \f, \x1c, \x1d, \x1e,
+# \x85, U+2028, U+2029.
+EXTRA_LINE_BREAKS = "[\u000b\u000c\u001c\u001d\u001e\u0085\u2028\u2029]"
+SUB_LINE_BITS = 16          # up to 65,536 parts per physical line
+MAX_ORDER_BITS = 62         # line_no << SUB_LINE_BITS must stay below 2**62
+
+
+def split_python_lines(lines: DataFrame) -> DataFrame:
+    """Split physical lines further where Python's ``splitlines`` would.
+
+    Part ``s`` of physical line ``n`` gets ``line_no = n * 2**16 + s``, so
+    ``line_no`` stays one order key and everything downstream is unchanged.
+    ``undecodable`` flags parts of a physical line that is not valid UTF-8.
+    A line with more parts than that, or a file so large that the key would
+    overflow, fails the job instead of being ordered wrongly. A separator at
+    the end of a line leaves an empty last part, which matches no rule.
+    """
+    # Byte-level tests first: only lines that hold a break pay for the split.
+    has_break = F.lit(False)
+    for ch in EXTRA_LINE_BREAKS[1:-1]:
+        has_break = has_break | F.col("value").contains(ch)
+    parts = F.when(has_break, F.split("value", EXTRA_LINE_BREAKS)).otherwise(F.array("value"))
+    limit = F.lit(1 << (MAX_ORDER_BITS - SUB_LINE_BITS))
+    # Splitting decodes the line, so byte validity is judged on the physical line.
+    exploded = lines.select("file_path", "chunk", "line_no",
+                            (~F.is_valid_utf8("value")).alias("undecodable"),
+                            F.posexplode(parts).alias("_sub", "_part"))
+    guard = F.assert_true((F.col("_sub") < F.lit(1 << SUB_LINE_BITS)) & (F.col("line_no") < limit),
+                          F.lit("log line too long or log file too large for the line order key"))
+    return exploded.select(
+        "file_path", "chunk",
+        F.when(guard.isNull(), F.shiftleft("line_no", SUB_LINE_BITS) + F.col("_sub")).alias("line_no"),
+        F.col("_part").alias("value"), "undecodable")
 
 
 def with_split(text: DataFrame) -> DataFrame:

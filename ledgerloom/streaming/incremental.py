@@ -104,7 +104,7 @@ def load_log_fact_incremental(spark: SparkSession, log_dir: str, output_path: st
     stream = readers.with_split(reader.text(log_dir))
 
     def load(batch: DataFrame, batch_id: int) -> None:
-        fact = logs.backup_fact_log(logs.sessions(readers.order_lines(batch)), as_of=load_date)
+        fact = logs.backup_fact_log(logs.sessions(readers.log_lines(batch)), as_of=load_date)
         fact.write.mode("overwrite").parquet(f"{output_path}/batch_id={batch_id}")
 
     (stream.writeStream.foreachBatch(load).option("checkpointLocation", checkpoint)

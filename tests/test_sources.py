@@ -181,3 +181,20 @@ def test_flatten_refuses_output_inside_recursive_input(spark, tmp_dir):
     _write(f"{tmp_dir}/in/p.json", JSON_OK + "\n")
     with pytest.raises(ValueError):
         jobs.flatten_pageviews(spark, f"{tmp_dir}/in", f"{tmp_dir}/in/processed", recursive=True)
+
+
+def test_log_lines_split_like_python_splitlines(spark, tmp_dir):
+    from log_model import sessions_of_file
+    from ledgerloom.operators import logs
+    d = "2024-05-01T00:00:00+00:00 "
+    text = (d + "state of service: n, hostA:1, v\x0c SAVE DATA finished successfully\n"
+            + d + "x  LOGBCKUP\x0b state of service: n, hostB:1, v\x85"
+            + d + "SAVE DATA finished with error: [447] backup could not be completed\n")
+    _write(f"{tmp_dir}/logs/u.log", text)
+    lines = readers.read_backup_log(spark, f"{tmp_dir}/logs")
+    assert lines.count() == len(text.splitlines())
+    got = sorted((r.hostname, r.status, r.report_period_end and str(r.report_period_end))
+                 for r in logs.sessions(lines).collect())
+    want = sorted((s[4], s[7], s[3]) for s in
+                  sessions_of_file("u.log", list(enumerate(text.splitlines()))))
+    assert got == want == [("hostA", "successful", None), ("hostB", "failed", "2024-05-01")]
