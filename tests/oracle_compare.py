@@ -98,4 +98,8 @@ if __name__ == "__main__":
     spark.sparkContext.setLogLevel("ERROR")
     res = compare(spark, sf, keys)
     bad = [k for k, r in res.items() if r.get("values_match") is False or "error" in r]
+    checked = sum(1 for r in res.values() if r.get("values_match") is not None)
     print("MISMATCH/ERROR:", bad)
+    print(f"{len(res)} keys run, {checked} checked against SQL, {len(bad)} bad", flush=True)
+    spark.stop()
+    sys.exit(1 if bad else 0)
