@@ -7,6 +7,7 @@ Jobs:
 * ``load-logs``     backup ``.log`` files -> backup fact table (append)
 * ``flatten-json``  page-view JSON -> flat Parquet (append), corrupt lines counted
 * ``checks``        total, rows by component and a sample of a loaded table
+* ``views``         create or replace the four reporting views over catalog tables
 
 Run under ``spark-submit``; the session comes from the submit configuration
 (``spark.checkpoint.dir`` must name shared storage on a cluster). A failure
@@ -47,6 +48,10 @@ def _parser() -> argparse.ArgumentParser:
     s.add_argument("--recursive", action="store_true")
     s = sub.add_parser("checks")
     s.add_argument("--table", required=True)
+    s = sub.add_parser("views")
+    s.add_argument("--consent-table", required=True)
+    s.add_argument("--pageview-table", required=True)
+    s.add_argument("--prefix", default="v_")
     return p
 
 
@@ -63,6 +68,12 @@ def main(argv: list[str] | None = None) -> dict:
     elif args.job == "flatten-json":
         res = jobs.flatten_pageviews(spark, args.input, args.output, args.recursive,
                                      args.corrupt_output)
+    elif args.job == "views":
+        from ..sinks import tables
+        out = {"views": tables.create_persistent_views(spark, args.consent_table,
+                                                        args.pageview_table, args.prefix)}
+        print(json.dumps(out))
+        return out
     else:
         checks = jobs.load_checks(spark, args.table)
         out = {name: [r.asDict() for r in df.collect()] for name, df in checks.items()}

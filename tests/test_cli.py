@@ -69,3 +69,14 @@ def test_detail_load_append_then_overwrite(spark, tmp_dir):
     rows = spark.table("cli_detail").collect()
     assert len(rows) == 1 and rows[0].resource_id == "main" and rows[0].size_gb == 2.0
     assert rows[0].job_status == "SUCCESSFUL" and str(rows[0].load_date) == "2025-05-13"
+
+
+def test_views_command(spark, tmp_dir):
+    from ledgerloom import fixtures as fx
+    ev = fx.read_table(spark, "/root/testdata/sf0.001", "events")
+    fx.consent(ev).write.option("path", f"{tmp_dir}/c").saveAsTable("cli_consent")
+    fx.pageview(ev).write.option("path", f"{tmp_dir}/p").saveAsTable("cli_pageview")
+    out = cli.main(["views", "--consent-table", "cli_consent", "--pageview-table", "cli_pageview",
+                    "--prefix", "cli_v_"])
+    assert len(out["views"]) == 4
+    assert spark.table("cli_v_page_visit_stats").count() > 0
