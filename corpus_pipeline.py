@@ -6,25 +6,37 @@ pieces) and works on all that its predecessor kept.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession
 
-from ledgerloom.llm import grouping_packer, quality_rules
+from ledgerloom.llm import grouping_packer, prob_minhash, quality_rules, subword_langid
 from ledgerloom.llm.common import prepare, read, table
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drop what the quality rules reject."""
     prepare(spark)
-    bad = quality_rules.judge(docs).where(~F.col("kept")).select("doc_id").distinct()
-    return docs.join(bad, "doc_id", "left_anti").select(docs.columns)
+    return quality_rules.accepted(docs)
+
+
+def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Drop documents without a language, or whose language is not told with enough certainty."""
+    prepare(spark)
+    return subword_langid.accepted(docs)
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Keep one document of each class of near-duplicates."""
+    prepare(spark)
+    return prob_minhash.deduplicated(docs)
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pack what is left into sequences."""
     prepare(spark)
     return grouping_packer.pack(docs)
 
 
-STAGES = [("quality rules", quality), ("packing", packing)]
+STAGES = [("quality rules", quality), ("language ID", language), ("near-duplicates", near_duplicates), ("packing", packing)]
 ORACLE_SQL = None       # trained and randomised stages: tested against brute force in tests/llm
 
 

@@ -9,7 +9,7 @@ from collections.abc import Iterator
 from pathlib import Path
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 import ledgerloom
 from ledgerloom.session import scratch_path
@@ -64,3 +64,18 @@ def slices(batches: Iterator[pa.RecordBatch], column: str, limit: int = 4 << 20)
             end = max(start + 1, int(np.searchsorted(at, at[start] + limit, side="right")) - 1)
             yield batch.slice(start, end - start)
             start = end
+
+
+def with_rows(docs: DataFrame) -> DataFrame:
+    """One struct column ``_row`` of all columns: rows pass through Python whole, whatever their columns are called."""
+    return docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"))
+
+
+def row_batches(batches: Iterator[pa.RecordBatch], limit: int = 4 << 20) -> Iterator[tuple[pa.Array, dict[str, pa.Array]]]:
+    """Slices of ``with_rows`` batches by the size of the texts: the structs, and their fields by name."""
+    for batch in batches:
+        rows = batch.column("_row")
+        names = [f.name for f in rows.type]
+        fields = dict(zip(names, rows.flatten()))
+        for part in slices([pa.RecordBatch.from_arrays([rows, *fields.values()], ["_row", *names])], "text", limit):
+            yield part.column(0), dict(zip(names, part.columns[1:]))

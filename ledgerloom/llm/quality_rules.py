@@ -20,9 +20,9 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
-from ledgerloom.llm.common import prepare, slices, table
+from ledgerloom.llm.common import prepare, row_batches, table, with_rows
 from ledgerloom.llm.vocab import piece_vocab
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -117,34 +117,39 @@ def fertility(ids: np.ndarray, n_chars: int, byte_ids: np.ndarray) -> tuple[int,
     return n, n_chars / n, float(byte_ids[ids].mean()), entropy
 
 
-def measure(docs: DataFrame, vocab_path: str | None = None) -> DataFrame:
-    """Base counts and fertility measures of every document; one narrow pass over whole texts."""
+def measure(docs: DataFrame, vocab_path: str | None = None, keep_rows: bool = False) -> DataFrame:
+    """Base counts and fertility measures of every document; one narrow pass over whole texts.
+
+    ``keep_rows`` adds the document's columns as the struct ``_row``."""
     prepare(docs.sparkSession)
+    given = docs if keep_rows else docs.select("doc_id", "lang", "text")
+    given = with_rows(given.withColumns({"doc_id": F.col("doc_id").cast("long"), "lang": F.col("lang").cast("string"),
+                                         "text": F.col("text").cast("string")}))
+    schema = SCHEMA + (f", _row {given.schema[0].dataType.simpleString()}" if keep_rows else "")
+    names = [c.split()[0] for c in SCHEMA.split(", ")] + ["_row"] * keep_rows
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vocab = piece_vocab(vocab_path)
-        for batch in slices(batches, "text"):
-            texts = [t or "" for t in batch.column("text").to_pylist()]
+        for held, fields in row_batches(batches):
+            texts = [t or "" for t in fields["text"].to_pylist()]
             rows = []
             for text, ids in zip(texts, vocab.encode(texts)):
-                # the newline has no piece of its own: it is no sign of a foreign script
                 ids = np.frombuffer(ids, "<u4")
                 n, cpt, share, entropy = fertility(ids, len(text), vocab.byte_ids)
+                # the newline has no piece of its own: it is no sign of a foreign script
                 share -= text.count("\n") / n if n else 0.0
                 rows.append((script_of(text), *base_counts(text), n, cpt, max(share, 0.0), entropy))
             columns = [pa.array(x) for x in zip(*rows)]
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("lang"), *columns],
-                                             [c.split()[0] for c in SCHEMA.split(", ")])
+            yield pa.RecordBatch.from_arrays([fields["doc_id"], fields["lang"], *columns, *[held] * keep_rows], names)
 
-    return docs.select(F.col("doc_id").cast("long"), F.col("lang").cast("string"), F.col("text").cast("string")) \
-        .mapInArrow(run, SCHEMA)
+    return given.mapInArrow(run, schema)
 
 
-def base_failed() -> F.Column:
+def base_failed() -> Column:
     return (F.col("n_words") < 20) | (100 * F.col("n_repeat_words") > 30 * F.col("n_words"))
 
 
-def length_class() -> F.Column:
+def length_class() -> Column:
     """Floor of log2 of the tokens, 5 to 11: short texts scatter more and repeat fewer tokens."""
     return F.least(F.greatest(F.floor(F.log2(F.greatest("n_tokens", F.lit(1)))), F.lit(5)), F.lit(11)).cast("string")
 
@@ -171,10 +176,10 @@ def bands(measured: DataFrame, min_docs: int = MIN_DOCS) -> DataFrame:
     return found.where(F.col("n") >= min_docs).select("key", F.struct(*sides).alias("band"))
 
 
-def judge(docs: DataFrame, vocab_path: str | None = None, min_docs: int = MIN_DOCS) -> DataFrame:
+def judge(docs: DataFrame, vocab_path: str | None = None, min_docs: int = MIN_DOCS, keep_rows: bool = False) -> DataFrame:
     """Measures, ``base_failed``, ``kept`` and ``reason`` (``base``, or the first measure out of its band)
     of every document. Length classes too rare for a band of any kind reject nothing but by the base rules."""
-    measured = table(measure(docs, vocab_path), "fertility")
+    measured = table(measure(docs, vocab_path, keep_rows), "fertility")
     limits = table(bands(measured, min_docs), "fertility-bands")
     out = _keys(measured)
     for kind in ("lang", "script", "all"):
@@ -188,3 +193,8 @@ def judge(docs: DataFrame, vocab_path: str | None = None, min_docs: int = MIN_DO
         .withColumn("reason", F.when(failed, F.lit("base")).otherwise(reason)) \
         .withColumn("kept", F.col("reason").isNull()) \
         .drop("band", *[f"{k}_{x}" for k in ("lang", "script", "all") for x in ("key", "band")])
+
+
+def accepted(docs: DataFrame, vocab_path: str | None = None, min_docs: int = MIN_DOCS) -> DataFrame:
+    """The documents that the rules keep, with their columns. Texts are written once and never shuffled."""
+    return judge(docs, vocab_path, min_docs, keep_rows=True).where("kept").select("_row.*")

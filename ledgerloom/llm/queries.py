@@ -2,27 +2,61 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ledgerloom.llm import grouping_packer, piece_codec, quality_rules
+from ledgerloom.llm import (dom_gbt, feistel_shards, grouping_packer, hilbert_shards, impact_topk, piece_codec, prob_minhash,
+                            quality_rules, subword_langid, url_gbt)
 from ledgerloom.llm.common import prepare, read
 
 
+def op1_url_gbt(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_gbt.judge(read(spark, sf_dir, "pages"))
+
+
 def op2_token_fertility(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.judge(read(spark, sf_dir, "documents")).select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept",
         "script", "n_tokens", "chars_per_token", "byte_share", "entropy_share", "reason")
 
 
+def op3_probminhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prob_minhash.classes(read(spark, sf_dir, "documents"))
+
+
+def op4_dom_gbt(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return dom_gbt.extract(read(spark, sf_dir, "pages"))
+
+
+def op5_impact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = read(spark, sf_dir, "embeddings")
+    return impact_topk.top_k(rows, rows.where("vec_id % 20 = 0"), k=20)
+
+
+def op6_feistel_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return feistel_shards.materialise(read(spark, sf_dir, "documents"))
+
+
 def op7_piece_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return piece_codec.digests(read(spark, sf_dir, "documents"))
 
 
+def op8_subword_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents")
+    return subword_langid.predict(docs, subword_langid.fit(docs))
+
+
+def op9_hilbert_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hilbert_shards.assign(read(spark, sf_dir, "documents")).select(
+        "doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot",
+        F.lit(None).cast("int").alias("grown_shard"), "cell")
+
+
 def op10_grouping_packer(spark: SparkSession, sf_dir: str) -> DataFrame:
     return grouping_packer.pack(read(spark, sf_dir, "documents"))
 
 
-_ALL = (op2_token_fertility, op7_piece_chunks, op10_grouping_packer)
+_ALL = (op1_url_gbt, op2_token_fertility, op3_probminhash, op4_dom_gbt, op5_impact_topk, op6_feistel_shards,
+        op7_piece_chunks, op8_subword_langid, op9_hilbert_shards, op10_grouping_packer)
 
 
 def _prepared(fn):
