@@ -20,8 +20,13 @@ def hour_of(ts: Column | str) -> Column:
 
 
 def hour_start(ts: Column | str) -> Column:
-    """The timestamp floored to the hour, as ``TIMESTAMP_NTZ``."""
-    return F.date_trunc("hour", _c(ts)).cast("timestamp_ntz")
+    """The timestamp floored to the hour, as ``TIMESTAMP_NTZ``.
+
+    Minutes and seconds are subtracted from the wall-clock reading: ``date_trunc`` would
+    go through the session zone and move hours that a clock change skips.
+    """
+    t = _c(ts).cast("timestamp_ntz")
+    return t - F.make_dt_interval(F.lit(0), F.lit(0), F.minute(t), F.extract(F.lit("SECOND"), t))
 
 
 def hour_string(ts: Column | str) -> Column:

@@ -17,19 +17,6 @@ BACKUP_FACT = T.StructType([
 ])
 BACKUP_FACT_COLUMNS = [f.name for f in BACKUP_FACT.fields]
 
-# Older report job: detail rows with sizes in GiB and a load timestamp.
-REPORT_DETAIL = T.StructType([
-    T.StructField("job_status", T.StringType()),
-    T.StructField("resource_type", T.StringType()),
-    T.StructField("report_period_start", T.DateType()),
-    T.StructField("report_period_end", T.DateType()),
-    T.StructField("resource_id", T.StringType()),
-    T.StructField("size_gb", T.DoubleType()),
-    T.StructField("backup_type", T.StringType()),
-    T.StructField("file_last_modified", T.TimestampNTZType()),
-    T.StructField("load_date", T.DateType()),
-])
-
 # Header names of the daily backup-report CSV (fixed values).
 COL_JOB_STATUS = "Job Status"
 COL_RESOURCE_TYPE = "Resource Type"
@@ -84,21 +71,12 @@ CONSENT = T.StructType([
     T.StructField("device_name", T.StringType()),
     T.StructField("storage_item", T.StringType()),
     T.StructField("user_preferences", T.StringType()),
-    T.StructField("accepted_at", T.TimestampNTZType()),
+    T.StructField("accepted_at", T.TimestampType()),
     T.StructField("session_hashid", T.StringType()),
-    T.StructField("created_at", T.TimestampNTZType()),
+    T.StructField("created_at", T.TimestampType()),
     T.StructField("account_hashid", T.StringType()),
     T.StructField("year", T.StringType()),
     T.StructField("month", T.StringType()),
     T.StructField("day", T.StringType()),
 ])
 CONSENT_PARTITION_COLUMNS = ["account_hashid", "year", "month", "day"]
-
-# Backup log lines after the text scan: one row per line, ordered by line_no
-# within file_path; chunk groups contiguous lines of one file.
-LOG_LINES = T.StructType([
-    T.StructField("file_path", T.StringType()),
-    T.StructField("chunk", T.LongType()),
-    T.StructField("line_no", T.LongType()),
-    T.StructField("value", T.StringType()),
-])

@@ -16,6 +16,10 @@ from .. import schemas as S
 from ..operators import views
 
 
+class ColumnMismatchError(ValueError):
+    """The batch's columns are not those of the table; nothing is written."""
+
+
 def table_exists(spark: SparkSession, name: str) -> bool:
     return spark.catalog.tableExists(name)
 
@@ -52,11 +56,16 @@ def append_by_name(df: DataFrame, name: str, location: str | None = None) -> int
 
     The table is created from ``df`` (at ``location`` when given) if it does not
     exist. Columns of ``df`` are put in the table's order first, so a batch with
-    its columns in another order lands in the right columns.
+    its columns in another order lands in the right columns. A batch whose columns
+    are not the table's is refused.
     """
     spark = df.sparkSession
     if table_exists(spark, name):
-        df = df.select(*[F.col(f"`{c}`") for c in spark.table(name).columns])
+        known = spark.table(name).columns
+        unknown, missing = [c for c in df.columns if c not in known], [c for c in known if c not in df.columns]
+        if unknown or missing:
+            raise ColumnMismatchError(f"{name}: unknown columns {unknown}, missing columns {missing}")
+        df = df.select(*[F.col(f"`{c}`") for c in known])
     counted, obs = _counted(df, f"append:{name}")
     writer = counted.write.mode("append").format("parquet")
     if location and not table_exists(spark, name):
@@ -100,46 +109,23 @@ def write_parquet(df: DataFrame, path: str, mode: str = "append") -> int:
     return _rows(obs)
 
 
-def _estimated_bytes(df: DataFrame) -> int | None:
-    try:
-        return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    except Exception:  # no estimate available
-        return None
-
-
-def _spread_for_write(df: DataFrame, partition_by: list[str]) -> DataFrame:
+def spread_for_write(df: DataFrame, partition_by: list[str]) -> DataFrame:
     """Distribute rows on the partition columns before a partitioned write.
 
-    Large input: ``REBALANCE`` — each task writes few folders and AQE splits a
-    hot folder (one account with a third of the rows) over several tasks. Input
-    that Catalyst estimates below one advisory partition per core: a plain hash
-    repartition over the cores, because AQE would pack all folders into one
-    writer task and a hot folder cannot be large.
+    ``REBALANCE``: each task writes few folders, small ones are packed together, and AQE
+    splits a hot folder (one account with a third of the rows) over several tasks.
     """
-    spark = df.sparkSession
-    cores = spark.sparkContext.defaultParallelism
-    advisory = spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes", "64m")
-    limit = _to_bytes(advisory) * cores
-    size = _estimated_bytes(df)
-    if size is not None and size < limit:
-        return df.repartition(cores, *partition_by)
     return df.hint("rebalance", *partition_by)
 
 
-def _to_bytes(text: str) -> int:
-    units = {"b": 1, "k": 1 << 10, "m": 1 << 20, "g": 1 << 30, "t": 1 << 40}
-    t = text.strip().lower().rstrip("b") or "0"
-    return int(float(t[:-1]) * units[t[-1]]) if t[-1] in units else int(t)
-
-
 def write_partitioned(df: DataFrame, path: str, partition_by: list[str],
                       mode: str = "append", max_records_per_file: int | None = None) -> int:
     """Parquet files in ``k=v`` folders (Snappy), e.g. the consent layout.
 
-    Rows are spread on the partition columns first (:func:`_spread_for_write`):
+    Rows are spread on the partition columns first (:func:`spread_for_write`):
     few open files per task, and a hot folder is split over several tasks.
     """
-    counted, obs = _counted(_spread_for_write(df, partition_by), f"partitioned:{path}")
+    counted, obs = _counted(spread_for_write(df, partition_by), f"partitioned:{path}")
     writer = counted.write.mode(mode).partitionBy(*partition_by).option("compression", "snappy")
     if max_records_per_file:
         writer = writer.option("maxRecordsPerFile", max_records_per_file)
@@ -147,12 +133,25 @@ def write_partitioned(df: DataFrame, path: str, partition_by: list[str],
     return _rows(obs)
 
 
+def consent_rows(df: DataFrame) -> DataFrame:
+    """``df`` in the consent table's columns and types; absent ones NULL."""
+    return df.select(*[(F.col(f.name) if f.name in df.columns else F.lit(None)).cast(f.dataType).alias(f.name)
+                       for f in S.CONSENT.fields])
+
+
 def write_consent(df: DataFrame, path: str, mode: str = "append") -> int:
-    """Consent rows in the table layout ``account_hashid/year/month/day``."""
-    cols = [f.name for f in S.CONSENT.fields]
-    full = df.select(*[F.col(c) if c in df.columns else F.lit(None).cast(t).alias(c)
-                       for c, t in ((f.name, f.dataType) for f in S.CONSENT.fields)])
-    return write_partitioned(full.select(*cols), path, S.CONSENT_PARTITION_COLUMNS, mode)
+    """Consent rows as files in the table layout ``account_hashid/year/month/day``, without a table."""
+    return write_partitioned(consent_rows(df), path, S.CONSENT_PARTITION_COLUMNS, mode)
+
+
+def load_consent(df: DataFrame, name: str, location: str) -> int:
+    """Consent rows appended to the partitioned table ``name`` (created at ``location`` if absent).
+
+    Written through the table, so every new partition is registered and readers by name see it.
+    """
+    spark = df.sparkSession
+    create_table_if_absent(spark, name, S.CONSENT, location, S.CONSENT_PARTITION_COLUMNS)
+    return insert_by_position(spread_for_write(consent_rows(df), S.CONSENT_PARTITION_COLUMNS), name)
 
 
 def refresh(spark: SparkSession, name: str) -> None:
@@ -174,46 +173,11 @@ def register_views(spark: SparkSession, consent: DataFrame, pageview: DataFrame,
     return [prefix + n for n in made]
 
 
-# Spark SQL text of the four views over catalog tables, for persistent views.
-# Same rules as ``operators.views``; page visits in the pre-aggregated form.
-_KNOWN_DEVICES = ", ".join(f"'{d}'" for d in views.KNOWN_DEVICES)
-VIEW_SQL = {
-    "consent_device_stats": f"""
-SELECT organization_id, website_id, count(consent_hashid) AS unique_consents,
-  CASE WHEN device_name IN ({_KNOWN_DEVICES}) THEN device_name ELSE 'Unknown' END AS device_name,
-  year, month, day, CAST(hour(created_at) AS INT) AS hour,
-  CAST(date_trunc('HOUR', created_at) AS TIMESTAMP_NTZ) AS timestamp_hour
-FROM {{consent}} GROUP BY ALL""",
-    "consent_hourly_stats": """
-SELECT organization_id, website_id, count(consent_hashid) AS unique_consents, ip_country,
-  year, month, day, CAST(hour(created_at) AS INT) AS hour,
-  date_format(created_at, 'yyyy-MM-dd HH:00:00') AS timestamp_hour
-FROM {consent} GROUP BY ALL""",
-    "dashboard_summary_stats": """
-SELECT account_hashid, date_format(CAST(created_at AS TIMESTAMP), 'yyyy-MM-dd') AS date_day,
-  count(page_url) AS pageviews, count(DISTINCT session_hashid) AS unique_visitors,
-  count(DISTINCT consent_hashid) AS consent_count, year, month, day
-FROM {pageview} GROUP BY ALL""",
-    "page_visit_stats": """
-WITH pv AS (
-  SELECT account_hashid, year, month, day, CAST(hour(`timestamp`) AS INT) AS hour,
-    to_date(`timestamp`) AS date_day, date_format(`timestamp`, 'yyyy-MM-dd HH:00:00') AS timestamp_hour,
-    count(page_url) AS pv_rows, count(DISTINCT session_hashid) AS unique_visitors
-  FROM {pageview} WHERE account_hashid IS NOT NULL GROUP BY ALL),
-c AS (
-  SELECT account_hashid, organization_id, website_id, count(*) AS consent_rows
-  FROM {consent} WHERE account_hashid IS NOT NULL GROUP BY ALL)
-SELECT c.organization_id, c.website_id, pv.account_hashid, pv.pv_rows * c.consent_rows AS pageviews,
-  pv.unique_visitors, pv.year, pv.month, pv.day, pv.hour, pv.date_day, pv.timestamp_hour
-FROM pv JOIN c ON pv.account_hashid = c.account_hashid""",
-}
-
-
 def create_persistent_views(spark: SparkSession, consent_table: str, pageview_table: str,
                             prefix: str = "v_") -> list[str]:
     """``CREATE OR REPLACE VIEW`` for the four views over two catalog tables."""
     names = []
-    for name, sql in VIEW_SQL.items():
+    for name, sql in views.VIEW_SQL.items():
         body = sql.format(consent=consent_table, pageview=pageview_table)
         spark.sql(f"CREATE OR REPLACE VIEW {prefix}{name} AS {body}")
         names.append(prefix + name)

@@ -3,6 +3,7 @@
 import os
 import uuid
 
+import pytest
 from pyspark.sql import functions as F
 
 from ledgerloom import fixtures as fx
@@ -62,7 +63,7 @@ def test_partitioned_consent_layout_and_pruning(spark, tmp_dir):
     assert folders and all(d.startswith("account_hashid=") for d in folders)
     inner = os.listdir(f"{tmp_dir}/consent/{folders[0]}")
     assert all(d.startswith("year=") for d in inner)
-    back = readers.read_consent(spark, f"{tmp_dir}/consent")
+    back = readers.read_consent_path(spark, f"{tmp_dir}/consent")
     assert dict(back.dtypes)["year"] == "string" and back.count() == n
     q = back.where("day = '15'")
     plan = q._jdf.queryExecution().executedPlan().toString()
@@ -92,15 +93,28 @@ def test_available_now_stream_loads_each_file_once(spark, tmp_dir):
     assert got.exceptAll(expected).count() == 0
 
 
-def test_pageview_hourly_stream(spark, tmp_dir):
-    ev = fx.read_table(spark, SF, "events")
-    fx.pageview_nested(ev).write.json(f"{tmp_dir}/json")
-    agg = incremental.pageview_hourly_stream(spark, f"{tmp_dir}/json", lateness="0 seconds")
-    incremental.run_available_now(agg, f"{tmp_dir}/hourly", f"{tmp_dir}/hckpt")
-    out = spark.read.parquet(f"{tmp_dir}/hourly")
-    # windows still open at the end of the input are not emitted in append mode
-    total = out.agg(F.sum("pageviews")).collect()[0][0]
-    assert 0 < total <= fx.pageview(ev).where("page_url IS NOT NULL").count()
+def test_consent_table_by_name_registers_and_prunes_partitions(spark, tmp_dir):
+    consent = fx.consent(fx.read_table(spark, SF, "events"))
+    name = _name("consent")
+    assert tables.load_consent(consent, name, f"{tmp_dir}/consent") == consent.count()
+    back = readers.read_consent(spark, name)
+    assert back.count() == consent.count() and dict(back.dtypes)["created_at"] == "timestamp"
+    assert spark.sql(f"SHOW PARTITIONS {name}").count() == \
+        consent.select("account_hashid", "year", "month", "day").distinct().count()
+    q = back.where("day = '15'")
+    plan = q._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(day" in plan and "CatalogFileIndex" in plan or "InMemoryFileIndex" in plan
+    assert q.count() == consent.where("day = '15'").count()
+    assert tables.load_consent(consent, name, f"{tmp_dir}/consent") and back.count() >= consent.count()
+
+
+def test_append_refuses_other_columns(spark, tmp_dir):
+    name = _name("cols")
+    spark.createDataFrame([(1, 2)], "a int, b int").write.option("path", f"{tmp_dir}/c").saveAsTable(name)
+    for batch in (spark.createDataFrame([(1, 2, 3)], "a int, b int, extra int"), spark.createDataFrame([(1,)], "a int")):
+        with pytest.raises(tables.ColumnMismatchError):
+            tables.append_by_name(batch, name)
+    assert spark.table(name).count() == 1
 
 
 def test_refresh_sees_files_written_by_another_job(spark, tmp_dir):
@@ -148,14 +162,7 @@ def test_persistent_views_equal_dataframe_views(spark, tmp_dir):
         assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0, name
 
 
-def test_partitioned_write_spread_is_size_checked(spark):
+def test_partitioned_write_is_rebalanced(spark):
     consent = fx.consent(fx.read_table(spark, SF, "events"))
-    small = tables._spread_for_write(consent, S.CONSENT_PARTITION_COLUMNS)
-    assert "RepartitionByExpression" in small._jdf.queryExecution().optimizedPlan().toString()
-    old = spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes")
-    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "1k")
-    try:
-        big = tables._spread_for_write(consent, S.CONSENT_PARTITION_COLUMNS)
-        assert "RebalancePartitions" in big._jdf.queryExecution().optimizedPlan().toString()
-    finally:
-        spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", old)
+    plan = tables.spread_for_write(consent, S.CONSENT_PARTITION_COLUMNS)._jdf.queryExecution().optimizedPlan()
+    assert "RebalancePartitions" in plan.toString()

@@ -64,3 +64,25 @@ def test_page_visits_exact_with_one_hot_account(spark):
     pv, consent = fx.pageview(skewed), fx.consent(skewed, orgs_per_account=True)
     assert _rows(views.page_visit_stats(pv, consent)) == \
         _rows(views.page_visit_stats_from_join(pv, consent))
+
+
+def test_hour_start_keeps_the_wall_clock_in_any_zone(spark):
+    from ledgerloom.functions import hour_start
+    row = spark.range(1).select(F.lit("2024-03-10 02:30:15.25").cast("timestamp_ntz").alias("created_at"),
+                                *[F.lit(None).cast("string").alias(c) for c in
+                                  ("consent_hashid", "device_name", "year", "month", "day")],
+                                F.lit(1).alias("organization_id"), F.lit(1).alias("website_id"))
+    old = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        assert str(row.select(hour_start("created_at")).first()[0]) == "2024-03-10 02:00:00"
+        assert str(views.consent_device_stats(row).first().timestamp_hour) == "2024-03-10 02:00:00"
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
+
+
+def test_ordered_views(spark):
+    ev = fx.read_table(spark, SF, "events")
+    rows = views.consent_hourly_stats(fx.consent(ev), ordered=True).collect()
+    keys = [(r.organization_id, r.website_id, r.timestamp_hour) for r in rows]
+    assert keys == sorted(keys)
