@@ -4,6 +4,8 @@ Input: one row per log line, ``(file_path, chunk, line_no, value)``. ``line_no``
 (non-negative) orders the lines of a file; ``chunk`` labels runs of consecutive lines (a split
 of the file, or a fixed range of line numbers) so that no window ever has to hold
 a whole file: one very long file is spread over as many tasks as it has chunks.
+Lines read from files come with ``split_line`` instead, which orders the lines of one split;
+``chunk`` is then the split's byte offset, and ``line_no`` follows from both.
 
 Session rules (the parser's carried state, restated over sets):
 
@@ -23,10 +25,11 @@ A finish line closes iff some dated line lies between the previous finish line
 Inside one chunk this decides every finish but the chunk's first, which may
 also close on a date handed over from earlier chunks. So the plan is:
 
-1. one exchange of the lines on ``(file, chunk)``; running windows and an
-   aggregate in the same tasks fold the lines into *pieces* — one row per
+1. the facts of each line are extracted where the line is read, lines without one are
+   dropped, and one exchange on ``(file, chunk)`` carries the facts, not the text; running
+   windows and an aggregate in the same tasks fold them into *pieces* — one row per
    session run inside a chunk (a whole session, or a chunk's head or tail);
-2. the pieces (about one row per session) are checkpointed to the shared
+2. the pieces (about one row per session) are written to the shared
    checkpoint folder, so nothing below reads the logs again;
 3. one summary row per chunk, a window over a file's chunk summaries, and the
    boundary pieces (at most three per chunk) assemble the sessions that cross
@@ -39,6 +42,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.report import parse_period_date
+from ..session import scratch_path
 
 # Line shapes and defaults of the backup log. Patterns carry
 # (?U) so that \w, \d and \S are Unicode-aware, as in Python's re.
@@ -115,6 +119,27 @@ def _diff_name(in_force: Column) -> Column:
     return F.concat(F.translate(in_force, "-", "_"), F.lit(DIFFERENTIAL_NAME_SUFFIX))
 
 
+def line_facts(lines: DataFrame) -> DataFrame:
+    """The lines that carry a fact, without their text, ordered by ``line_no`` in their file.
+
+    Of lines read from files (``split_line``), ``line_no = 2 * chunk + rank in the split``: a
+    split of the bytes B to E holds at most ``E - B + 1`` lines, so its last number is
+    below ``2 * E``, the first of the next split.
+    """
+    facts = ["line_date", "differential", "hostname", "status", "size_bytes"]
+    ev = line_events(lines)
+    some = F.col("finished") | F.col("undecodable")
+    for c in facts:
+        some = some | F.col(c).isNotNull()
+    order = "line_no" if "line_no" in lines.columns else "split_line"
+    ev = ev.where(some).select(
+        *KEY, order, *facts, "end_date", "finished", "undecodable")
+    if order == "line_no":
+        return ev
+    rank = F.row_number().over(Window.partitionBy(*KEY).orderBy(order)) - 1
+    return ev.withColumn("line_no", F.col("chunk") * 2 + rank).drop(order)
+
+
 def session_pieces(lines: DataFrame) -> DataFrame:
     """Lines folded into pieces: one row per session run inside one chunk.
 
@@ -133,7 +158,7 @@ def session_pieces(lines: DataFrame) -> DataFrame:
     most three per chunk) continue or are continued by other chunks. A line
     that is not valid UTF-8 marks its piece, and with it the whole file, bad.
     """
-    ev = line_events(lines)
+    ev = line_facts(lines)
     run = Window.partitionBy(*KEY).orderBy("line_no")
     incl = run.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     excl = run.rowsBetween(Window.unboundedPreceding, -1)
@@ -154,7 +179,7 @@ def session_pieces(lines: DataFrame) -> DataFrame:
     diff = F.coalesce(F.col("differential"), F.lit(False))
     per_line = w2.select(
         *KEY, "line_no", "line_date", "end_date", "hostname", "status", "size_bytes",
-        "finished", "ca", "ld", "undecodable",
+        "finished", "ca", "ld",
         F.coalesce(F.col("pc"), F.when(F.col("pf").isNull(), F.lit(-1)).otherwise(F.lit(-2)))
          .alias("piece"),
         is_file.alias("is_file"),
@@ -200,6 +225,7 @@ def _chunk_carries(pieces: DataFrame) -> DataFrame:
         F.max("close_at").alias("last_local_close"),
         F.bool_or(((F.col("piece") >= 0) & F.col("undated_diff")) | F.col("undecodable"))
          .alias("local_bad"),
+        F.bool_or("undecodable").alias("undecodable"),
         F.bool_or((F.col("piece") == -1) & F.col("undated_diff")).alias("head_a_undated"),
         F.bool_or((F.col("piece") == -2) & F.col("undated_diff")).alias("head_b_undated"),
     )
@@ -217,7 +243,7 @@ def _chunk_carries(pieces: DataFrame) -> DataFrame:
     bad = (F.col("local_bad")
            | (F.col("head_a_undated") & F.col("cif").isNull())
            | (F.col("head_b_undated") & (F.col("f1_closes") | F.col("cif").isNull())))
-    return c.select(*KEY, "cif", "f1", "f1_closes", F.coalesce(bad, F.lit(False)).alias("chunk_bad"),
+    return c.select(*KEY, "cif", "f1", "f1_closes", F.coalesce(bad, F.lit(False)).alias("chunk_bad"), "undecodable",
                     F.max(last_close).over(earlier).alias("c_pc"))
 
 
@@ -228,7 +254,8 @@ def _spanning_sessions(pieces: DataFrame, carries: DataFrame) -> DataFrame:
     Each is keyed by the close that precedes its session; the session's close is
     the one piece that ends it.
     """
-    b = pieces.where((F.col("piece") < 0) | F.col("close_at").isNull()).join(carries, KEY, "inner")
+    b = pieces.where((F.col("piece") < 0) | F.col("close_at").isNull()) \
+        .join(carries.drop("undecodable"), KEY, "inner")
     head_a, head_b = F.col("piece") == -1, F.col("piece") == -2
     # Date in force for lines that saw no date of their own chunk.
     carried = (F.when(head_a, F.col("cif"))
@@ -253,22 +280,33 @@ def _spanning_sessions(pieces: DataFrame, carries: DataFrame) -> DataFrame:
     )
 
 
-def sessions(lines: DataFrame, checkpoint: bool = True) -> DataFrame:
-    """One row per closed backup session.
+def stored_pieces(lines: DataFrame) -> DataFrame:
+    """:func:`session_pieces` written to the shared folder (about one row per session): the several
+    small steps that read them do not read the logs again."""
+    pieces = session_pieces(lines)
+    path = scratch_path(pieces.sparkSession, "session-pieces")
+    pieces.write.parquet(path)
+    return pieces.sparkSession.read.schema(pieces.schema).parquet(path)
+
+
+def sessions(lines: DataFrame) -> DataFrame:
+    """One row per closed backup session; the lines are read and their facts shuffled once.
 
     Columns: ``file_path, close_line, report_period_start, report_period_end,
     hostname, backup_type, backup_name, status, backup_size_bytes``.
-
-    The lines are read and shuffled once, into :func:`session_pieces`. With
-    ``checkpoint`` (default) the pieces — about one row per session — are
-    written to the session's checkpoint folder, so the several small steps that
-    read them do not re-read the logs; without it, Spark may recompute them.
     """
-    pieces = session_pieces(lines)
-    if checkpoint:
-        from ..session import checkpoint_root
-        checkpoint_root(pieces.sparkSession)
-        pieces = pieces.checkpoint(eager=True)
+    return sessions_of(stored_pieces(lines))
+
+
+def skipped_files(pieces: DataFrame) -> DataFrame:
+    """``file_path, reason`` of the files that yield nothing because of one of their lines."""
+    bad = _chunk_carries(pieces).where("chunk_bad")
+    return bad.groupBy("file_path").agg(F.when(F.bool_or("undecodable"), "not UTF-8")
+                                        .otherwise("differential backup without a date").alias("reason"))
+
+
+def sessions_of(pieces: DataFrame) -> DataFrame:
+    """:func:`sessions` from pieces."""
     carries = _chunk_carries(pieces)
     local = (pieces.where((F.col("piece") >= 0) & F.col("close_at").isNotNull())
              .select("file_path", F.col("close_at").alias("close_line"), "start_s", "end_s",

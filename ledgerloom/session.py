@@ -22,8 +22,6 @@ DEFAULT_CONF = {
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
     "spark.sql.parquet.compression.codec": "snappy",
-    # Session-piece checkpoints are deleted once nothing refers to them.
-    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 
@@ -77,5 +75,17 @@ def checkpoint_root(spark: SparkSession) -> str:
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh, never reused folder below the shared checkpoint root."""
-    return f"{checkpoint_root(spark)}/ledgerloom/{name}-{uuid.uuid4().hex[:12]}"
+    """A fresh, never reused folder below the shared checkpoint root.
+
+    All of one application's folders lie under one, which the file system deletes
+    when the driver ends, whoever made the session.
+    """
+    sc = spark.sparkContext
+    home = f"{checkpoint_root(spark)}/ledgerloom/{sc.applicationId}"
+    if not getattr(sc, "_ledgerloom_home", None):
+        path = sc._jvm.org.apache.hadoop.fs.Path(home)
+        fs = path.getFileSystem(sc._jsc.hadoopConfiguration())
+        fs.mkdirs(path)
+        fs.deleteOnExit(path)
+        sc._ledgerloom_home = home
+    return f"{home}/{name}-{uuid.uuid4().hex[:12]}"

@@ -12,6 +12,7 @@ from __future__ import annotations
 
 import datetime as dt
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -62,8 +63,8 @@ def list_files(spark: SparkSession, path: str | list[str], glob: str | None = No
         reader = reader.option("pathGlobFilter", glob)
     try:
         df = reader.load(path)
-    except Exception as e:  # a missing folder means "no input" for a daily load
-        if "PATH_NOT_FOUND" not in str(e) and "does not exist" not in str(e):
+    except AnalysisException as e:  # a missing folder means "no input" for a daily load
+        if e.getCondition() != "PATH_NOT_FOUND":
             raise
         return spark.createDataFrame(
             [], "file_path string, file_name string, file_size bigint, "
@@ -76,6 +77,12 @@ def list_files(spark: SparkSession, path: str | list[str], glob: str | None = No
     )
 
 
+def report_files(listing: DataFrame) -> DataFrame:
+    """Non-empty listed files whose path holds the report file marker and ends in ``.csv`` (any case)."""
+    path = F.lower("file_path")
+    return listing.where(path.contains(REPORT_FILE_MARKER) & path.endswith(CSV_SUFFIX) & (F.col("file_size") > 0))
+
+
 def files_newest_first(listing: DataFrame) -> DataFrame:
     """The listing ordered by modification time, newest first (ties by path).
 

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .. import schemas as S
+from ..session import scratch_path
 from .files import CSV_FILE_GLOB, LOG_FILE_GLOB
 
 CORRUPT_COLUMN = "_corrupt_record"
@@ -19,7 +20,8 @@ CORRUPT_COLUMN = "_corrupt_record"
 # ------------------------------------------------------------------ report CSV
 
 def read_report_csv(spark: SparkSession, paths: str | list[str], glob: str | None = CSV_FILE_GLOB,
-                    recursive: bool = True, multi_line: bool = True) -> DataFrame:
+                    recursive: bool = True, multi_line: bool = True,
+                    schema: T.StructType | None = None) -> DataFrame:
     """Backup-report CSVs: header row, every column a string, quoted multi-line fields.
 
     ``"`` inside a quoted field is escaped by doubling it. ``enforceSchema`` is off
@@ -33,6 +35,8 @@ def read_report_csv(spark: SparkSession, paths: str | list[str], glob: str | Non
               .option("multiLine", multi_line).option("escape", '"').option("quote", '"')
               .option("enforceSchema", False).option("mode", "PERMISSIVE")
               .option("recursiveFileLookup", recursive))
+    if schema is not None:
+        reader = reader.schema(schema)
     if glob:
         reader = reader.option("pathGlobFilter", glob)
     return reader.csv(paths)
@@ -53,32 +57,47 @@ def read_pageview_json(spark: SparkSession, paths: str | list[str], recursive: b
     """Page-view JSON lines under the declared nested schema.
 
     Missing fields are NULL; of several objects on one line only the first is
-    kept; blank lines are skipped. A malformed line keeps its text in
-    ``_corrupt_record`` (all other fields NULL); split it off with
-    :func:`split_corrupt`. ``recursive`` must be asked for explicitly: without it
-    only the folder itself and ``key=value`` subfolders are read.
-
-    Lines are parsed with ``from_json`` over a text scan — the same parser and
-    results as the JSON source, but any query may then use the corrupt-record
-    column, including a plain ``count()`` of the valid rows.
+    kept; blank lines are skipped. A line that is an array gives a row per element.
+    A record that does not parse keeps its text in ``_corrupt_record``; its fields that did
+    parse keep their values. :func:`split_corrupt` sorts them out. ``recursive`` must be
+    asked for explicitly: without it only the folder itself and ``key=value`` subfolders are read.
+
+    Lines are parsed with ``from_json`` over a text scan, so any query may use the
+    corrupt-record column, including a plain ``count()`` of the valid rows.
     """
     schema = T.StructType(S.PAGEVIEW_JSON.fields + [T.StructField(CORRUPT_COLUMN, T.StringType())])
     reader = spark.read.option("recursiveFileLookup", recursive)
     if glob:
         reader = reader.option("pathGlobFilter", glob)
     text = reader.text(paths)
-    parsed = F.from_json("value", schema, {"mode": "PERMISSIVE",
-                                           "columnNameOfCorruptRecord": CORRUPT_COLUMN})
+    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT_COLUMN}
+    one = F.from_json("value", schema, options)
+    # An array is cut into its elements' texts, and each is parsed like a line of its own.
+    elements = F.from_json("value", T.ArrayType(T.StringType()))
+    broken = F.struct(*[F.lit(None).cast(f.dataType).alias(f.name) for f in S.PAGEVIEW_JSON.fields],
+                      F.col("value").alias(CORRUPT_COLUMN))
+    many = F.when(elements.isNull(), F.array(broken)).otherwise(
+        F.transform(elements, lambda e: F.from_json(e, schema, options)))
+    is_array = F.ltrim("value").startswith("[")
     return (text.where(F.trim("value") != "")
-            .select(parsed.alias("_j"), F.col("_metadata.file_path").alias("_source_file"))
+            .select(F.explode(F.when(is_array, many).otherwise(F.array(one))).alias("_j"),
+                    F.col("_metadata.file_path").alias("_source_file"))
             .select("_j.*", "_source_file"))
 
 
 def split_corrupt(raw: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(valid rows, corrupt rows as ``record, source_file``)."""
-    ok = raw.where(F.col(CORRUPT_COLUMN).isNull()).drop(CORRUPT_COLUMN, "_source_file")
-    bad = raw.where(F.col(CORRUPT_COLUMN).isNotNull()).select(
-        F.col(CORRUPT_COLUMN).alias("record"), F.col("_source_file").alias("source_file"))
+    """(rows to load, corrupt records as ``record, source_file, loaded``).
+
+    A corrupt record with any usable field is loaded with what it has (``loaded``) and listed
+    as corrupt as well; one without is only listed.
+    """
+    fields = [f.name for f in S.PAGEVIEW_JSON.fields if not isinstance(f.dataType, T.StructType)]
+    fields += [f"visitor_details.{f.name}" for f in S.VISITOR_DETAILS.fields]
+    usable = F.coalesce(*[F.col(name) for name in fields]).isNotNull()
+    corrupt = F.col(CORRUPT_COLUMN).isNotNull()
+    ok = raw.where(~corrupt | usable).drop(CORRUPT_COLUMN, "_source_file")
+    bad = raw.where(corrupt).select(F.col(CORRUPT_COLUMN).alias("record"),
+                                    F.col("_source_file").alias("source_file"), usable.alias("loaded"))
     return ok, bad
 
 
@@ -90,7 +109,7 @@ def flatten_pageview(nested: DataFrame) -> DataFrame:
 
 
 def typed_pageview(flat: DataFrame, timestamp_format: str | None = None) -> DataFrame:
-    """Flat page views typed for the reporting views (extension, not in the reference).
+    """Flat page views typed for the reporting views (extension).
 
     ``timestamp`` text becomes a ``TIMESTAMP_NTZ`` (NULL when unparsable), which
     also fills ``created_at``; ``year/month/day`` are its date parts as strings.
@@ -111,16 +130,12 @@ def typed_pageview(flat: DataFrame, timestamp_format: str | None = None) -> Data
 
 def read_backup_log(spark: SparkSession, paths: str | list[str], glob: str | None = LOG_FILE_GLOB,
                     recursive: bool = True) -> DataFrame:
-    """Backup log files as ``(file_path, chunk, line_no, value)``, one row per line.
-
-    ``chunk`` is the byte offset of the file split that holds the line; splits of
-    one file never overlap and each is read by one task in line order. Within a
-    split, ``monotonically_increasing_id`` counts lines consecutively, so
-    ``k = id - min(id)`` is the line's index in its split and
-    ``line_no = 2 * chunk + k`` orders every line of the file: a split starting
-    at byte ``B`` holds at most ``E - B + 1`` lines, hence its last ``line_no`` is
-    below ``2 * E``, the first of the next split. The ``min`` is a window on
-    ``(file_path, chunk)``: the same exchange the session windows use.
+    """Backup log files as ``(file_path, chunk, split_line, value, undecodable)``, one row per line.
+
+    ``chunk`` is the byte offset of the file split that holds the line; splits of one file
+    never overlap, and each is read by one task in line order. ``split_line`` orders the lines of
+    one split (and nothing else): ``monotonically_increasing_id`` over the rows the
+    split's task makes. No shuffle is needed to read or order the lines.
     """
     reader = spark.read.option("recursiveFileLookup", recursive)
     if glob:
@@ -129,26 +144,24 @@ def read_backup_log(spark: SparkSession, paths: str | list[str], glob: str | Non
 
 
 def log_lines(split_rows: DataFrame) -> DataFrame:
-    """Ordered log lines from :func:`with_split` rows (batch, or one stream batch)."""
-    return split_python_lines(order_lines(split_rows))
+    """Ordered log lines from :func:`with_split` rows (batch, or one stream batch); must sit on the scan.
+
+    For a stream, call it inside ``foreachBatch``: the micro-batch is a plain scan of its files.
+    """
+    return split_python_lines(split_rows).select(
+        "file_path", "chunk", F.monotonically_increasing_id().alias("split_line"), "value", "undecodable")
 
 
 # The line breaks Python's str.splitlines() knows beyond \n, \r and
 # \r\n (which the text source already splits on): \v, \f, \x1c, \x1d, \x1e,
 # \x85, U+2028, U+2029.
 EXTRA_LINE_BREAKS = "[\u000b\u000c\u001c\u001d\u001e\u0085\u2028\u2029]"
-SUB_LINE_BITS = 16          # up to 65,536 parts per physical line
-MAX_ORDER_BITS = 62         # line_no << SUB_LINE_BITS must stay below 2**62
 
 
 def split_python_lines(lines: DataFrame) -> DataFrame:
-    """Split physical lines further where Python's ``splitlines`` would.
+    """Split physical lines further where Python's ``splitlines`` would, in order, in place.
 
-    Part ``s`` of physical line ``n`` gets ``line_no = n * 2**16 + s``, so
-    ``line_no`` stays one order key and everything downstream is unchanged.
-    ``undecodable`` flags parts of a physical line that is not valid UTF-8.
-    A line with more parts than that, or a file so large that the key would
-    overflow, fails the job instead of being ordered wrongly. A separator at
+    ``undecodable`` flags parts of a physical line that is not valid UTF-8. A separator at
     the end of a line leaves an empty last part, which matches no rule.
     """
     # Byte-level tests first: only lines that hold a break pay for the split.
@@ -156,17 +169,9 @@ def split_python_lines(lines: DataFrame) -> DataFrame:
     for ch in EXTRA_LINE_BREAKS[1:-1]:
         has_break = has_break | F.col("value").contains(ch)
     parts = F.when(has_break, F.split("value", EXTRA_LINE_BREAKS)).otherwise(F.array("value"))
-    limit = F.lit(1 << (MAX_ORDER_BITS - SUB_LINE_BITS))
     # Splitting decodes the line, so byte validity is judged on the physical line.
-    exploded = lines.select("file_path", "chunk", "line_no",
-                            (~F.is_valid_utf8("value")).alias("undecodable"),
-                            F.posexplode(parts).alias("_sub", "_part"))
-    guard = F.assert_true((F.col("_sub") < F.lit(1 << SUB_LINE_BITS)) & (F.col("line_no") < limit),
-                          F.lit("log line too long or log file too large for the line order key"))
-    return exploded.select(
-        "file_path", "chunk",
-        F.when(guard.isNull(), F.shiftleft("line_no", SUB_LINE_BITS) + F.col("_sub")).alias("line_no"),
-        F.col("_part").alias("value"), "undecodable")
+    return lines.select("file_path", "chunk", (~F.is_valid_utf8("value")).alias("undecodable"),
+                        F.explode(parts).alias("value"))
 
 
 def with_split(text: DataFrame) -> DataFrame:
@@ -175,51 +180,42 @@ def with_split(text: DataFrame) -> DataFrame:
                        F.col("_metadata.file_block_start").alias("chunk"), "value")
 
 
-def order_lines(split_lines: DataFrame) -> DataFrame:
-    """Add ``line_no`` to :func:`with_split` rows; must sit directly on the scan.
-
-    See :func:`read_backup_log`. For a stream, call it inside ``foreachBatch``
-    on the micro-batch, which is a plain scan of that batch's files.
-    """
-    split = Window.partitionBy("file_path", "chunk")
-    raw = split_lines.select("*", F.monotonically_increasing_id().alias("_id"))
-    return raw.select(
-        "file_path", "chunk",
-        (F.col("chunk") * 2 + (F.col("_id") - F.min("_id").over(split))).alias("line_no"),
-        "value")
-
-
 def number_lines(lines: DataFrame) -> DataFrame:
     """Add ``line_number``: the 1-based position of each line in its file.
 
-    The position is the line's index in its split plus the line count of the
-    file's earlier splits. Counts are one row per split, so the carry is a
-    small window over split summaries; no window ever spans a whole file.
+    The logs are scanned once, into a table in the shared folder. The position is the line's
+    index in its split plus the line count of the file's earlier splits; only one
+    summary row per split is shuffled, never the text.
     """
-    in_split = Window.partitionBy("file_path", "chunk").orderBy("line_no")
-    local = lines.withColumn("_k", F.row_number().over(in_split))
-    sizes = local.groupBy("file_path", "chunk").agg(F.count(F.lit(1)).alias("_n"))
+    path = scratch_path(lines.sparkSession, "log-lines")
+    lines.write.parquet(path)
+    stored = lines.sparkSession.read.schema(lines.schema).parquet(path)
+    sizes = stored.groupBy("file_path", "chunk").agg(F.count(F.lit(1)).alias("_n"),
+                                                     F.min("split_line").alias("_first"))
     earlier = Window.partitionBy("file_path").orderBy("chunk").rowsBetween(
         Window.unboundedPreceding, -1)
     carry = sizes.select("file_path", "chunk",
-                         F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_carry"))
-    return (local.join(carry, ["file_path", "chunk"], "inner")
-            .withColumn("line_number", F.col("_carry") + F.col("_k"))
-            .drop("_k", "_carry"))
+                         (F.coalesce(F.sum("_n").over(earlier), F.lit(0)) - F.col("_first")).alias("_carry"))
+    return (stored.join(carry, ["file_path", "chunk"], "inner")
+            .withColumn("line_number", F.col("_carry") + F.col("split_line") + 1)
+            .drop("_carry"))
 
 
 # ------------------------------------------------------------- consent table
 
-def read_consent(spark: SparkSession, root: str) -> DataFrame:
-    """The partitioned consent table by path, partition columns typed as strings.
+def read_consent(spark: SparkSession, name: str) -> DataFrame:
+    """The partitioned consent table by catalog name.
 
-    Filters on ``account_hashid/year/month/day`` prune folders; the declared
-    schema keeps ``year='05'`` a string instead of the inferred int ``5``.
+    Its partitions are registered, so a filter on ``account_hashid/year/month/day`` is
+    answered by the catalog and only the folders that match are listed.
     """
-    return spark.read.schema(S.CONSENT).parquet(root)
+    return spark.table(name)
 
 
-def read_table_or_path(spark: SparkSession, name_or_path: str) -> DataFrame:
-    """A catalog table by name, or Parquet by path when the name has a slash."""
-    return spark.read.parquet(name_or_path) if "/" in name_or_path else spark.table(name_or_path)
+def read_consent_path(spark: SparkSession, root: str) -> DataFrame:
+    """The partitioned consent files by path, for a folder without a table.
 
+    The declared schema keeps ``year='05'`` a string instead of the inferred int ``5``.
+    The driver lists every folder first; prefer the table.
+    """
+    return spark.read.schema(S.CONSENT).parquet(root)

@@ -1,59 +1,13 @@
-"""Log sessions: chunked Spark formulation vs an independent sequential model."""
+"""Log sessions: the chunked formulation against logs composed from known sessions."""
 
-import random
+import re
 
 import pytest
 from pyspark.sql import functions as F
 
 from ledgerloom import fixtures as fx
 from ledgerloom.operators import logs
-from log_model import sessions_of_file
-
-P = "/usr/sap/HDB/SYS/global/hdb/backint/DB_HDB/"
-SHAPES = [
-    P + "COMPLETE_DATA_BACKUP_0_0",
-    P + "COMPLETE_DATA_BACKUP_0_1",
-    P + "log_databackup_differential_0_2",
-    P + "x_0_1 SAVE DATA finished successfully",
-    P + "full_0_3 command: BACKUP DATA FOR HDB USING DIFFERENTIAL",
-    "command: BACKUP DATA FOR HDB USING DIFFERENTIAL",
-    "state of service: nameserver, hostA:30001, volume: 1",
-    "state of service: indexserver, db-host-2:30003, volume: 2",
-    "progress of service: indexserver, volume: 3, 100% 4096/4096",
-    "progress of service: nameserver, volume: 1, 100% 77/80",
-    "progress of service: nameserver, volume: 1, 50% 40/80",
-    "SAVE DATA finished successfully",
-    "SAVE DATA finished with error: [447] backup could not be completed",
-    "SAVE DATA finished with error: [999] other",
-    "LOGBCKUP SAVE DATA finished successfully",
-    "some other text",
-    "",
-]
-
-
-def _random_logs(seed: int, n_files: int = 40):
-    rng = random.Random(seed)
-    rows = []
-    for f in range(n_files):
-        line_no = rng.randrange(0, 1000)
-        for _ in range(rng.randrange(0, 30)):
-            shape = rng.choice(SHAPES)
-            dated = rng.random() < 0.45
-            day = f"2024-0{rng.randrange(1, 10)}-{rng.randrange(10, 29)}"
-            text = (f"{day}T10:00:00+00:00 " if dated else " ") + shape
-            rows.append((f"f{f}.log", line_no, text))
-            line_no += rng.randrange(1, 4)
-    return rows
-
-
-def _model(rows):
-    by_file = {}
-    for fp, ln, text in rows:
-        by_file.setdefault(fp, []).append((ln, text))
-    out = []
-    for fp, lines in by_file.items():
-        out.extend(sessions_of_file(fp, sorted(lines)))
-    return sorted(out, key=repr)
+from log_scripts import FILES as P, scripts
 
 
 def _spark_sessions(spark, rows, chunk_lines):
@@ -68,10 +22,9 @@ def _spark_sessions(spark, rows, chunk_lines):
 
 
 @pytest.mark.parametrize("seed", [1, 2, 3])
-def test_sessions_match_sequential_model(spark, seed):
-    rows = _random_logs(seed)
-    expected = _model(rows)
-    assert expected, "generator should produce sessions"
+def test_sessions_of_composed_logs(spark, seed):
+    rows, expected = scripts(seed, 40)
+    assert len(expected) > 40
     for chunk_lines in (1, 2, 5, 1 << 20):
         assert _spark_sessions(spark, rows, chunk_lines) == expected, chunk_lines
 
@@ -90,14 +43,9 @@ def test_rules_on_hand_written_file(spark):
         d + "SAVE DATA finished with error: [447] backup could not be completed",
         d + "state of service: n, tail:1, v",          # unfinished tail: dropped
     ])]
-    got = _spark_sessions(spark, rows, 3)
-    assert got == _model(rows)
-    assert len(got) == 2
-    first, second = sorted(got, key=lambda r: r[1])
-    assert first[4] == "hostX" and first[8] == 20.0 and first[3] is None
-    assert first[7] == "successful"
-    assert second[5] == "differential" and second[6] == "2024_05_01_07-30"
-    assert second[7] == "failed" and second[3] == "2024-05-01"
+    assert _spark_sessions(spark, rows, 3) == [
+        ("h.log", 5, "2024-05-01", None, "hostX", "full", "COMPLETE_DATA_BACKUP", "successful", 20.0),
+        ("h.log", 8, "2024-05-01", "2024-05-01", None, "differential", "2024_05_01_07-30", "failed", 0.0)]
 
 
 def test_undated_differential_drops_whole_file(spark):
@@ -105,9 +53,11 @@ def test_undated_differential_drops_whole_file(spark):
     rows = [("bad.log", 0, d + "SAVE DATA finished successfully"),
             ("bad.log", 1, " " + P + "a_databackup_differential_0_0"),
             ("good.log", 0, d + "SAVE DATA finished successfully")]
-    got = _spark_sessions(spark, rows, 1)
-    assert [r[0] for r in got] == ["good.log"]
-    assert got == _model(rows)
+    assert _spark_sessions(spark, rows, 1) == [
+        ("good.log", 0, "2024-05-01", "2024-05-01", None, "full", None, "successful", 0.0)]
+    lines = spark.createDataFrame(rows, "file_path string, line_no long, value string").withColumn("chunk", F.lit(0))
+    skipped = logs.skipped_files(logs.stored_pieces(lines)).collect()
+    assert [tuple(r) for r in skipped] == [("bad.log", "differential backup without a date")]
 
 
 def test_fixture_session_mix(spark):
@@ -122,15 +72,19 @@ def test_fixture_session_mix(spark):
     assert s.where("report_period_end IS NULL").count() == 285
 
 
-def test_pieces_read_and_shuffle_lines_once(spark, tmp_dir):
+def test_pieces_read_lines_once_and_shuffle_no_text(spark, tmp_dir):
     from ledgerloom.sources import readers
     for f in range(3):
         with open(f"{tmp_dir}/h{f}.log", "w") as out:
-            out.write("2024-05-01T00:00:00+00:00 SAVE DATA finished successfully\n" * 5)
+            out.write(("2024-05-01T00:00:00+00:00 SAVE DATA finished successfully\n" + "nothing\n" * 9) * 5)
     pieces = logs.session_pieces(readers.read_backup_log(spark, tmp_dir))
     plan = pieces._jdf.queryExecution().executedPlan().toString()
     assert plan.count("FileScan text") == 1
     assert plan.count("Exchange hashpartitioning") == 1
+    mode = spark.sparkContext._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted")
+    shuffled = re.search(r"Exchange\s*\nInput \[\d+\]: (.*)", pieces._jdf.queryExecution().explainString(mode)).group(1)
+    assert "line_date#" in shuffled and "value#" not in shuffled
+    assert logs.line_facts(readers.read_backup_log(spark, tmp_dir)).count() == 15
     assert len(logs.sessions(readers.read_backup_log(spark, tmp_dir)).collect()) == 15
 
 
@@ -140,24 +94,14 @@ def test_unicode_word_characters_as_in_python(spark):
             ("u.log", 1, " state of service: n, hôst-é:1, v"),
             ("u.log", 2, " SAVE DATA finished successfully")]
     got = _spark_sessions(spark, rows, 1 << 20)
-    assert got == _model(rows)
-    assert got[0][4] == "hôst-é" and got[0][6] is None
+    assert len(got) == 1 and got[0][4] == "hôst-é" and got[0][6] is None
 
 
 from hypothesis import given, settings, strategies as st  # noqa: E402
 
-_line = st.tuples(st.integers(0, len(SHAPES) - 1), st.booleans(), st.integers(1, 3))
-
-
 @settings(max_examples=15, deadline=None)
-@given(files=st.lists(st.lists(_line, max_size=14), min_size=1, max_size=3),
-       chunk=st.sampled_from([1, 2, 3, 7]))
-def test_sessions_match_model_hypothesis(spark, files, chunk):
-    rows = []
-    for f, lines in enumerate(files):
-        for i, (shape, dated, day) in enumerate(lines):
-            rows.append((f"f{f}.log", i, (f"2024-02-0{day}T10:00:00+00:00 " if dated else " ")
-                         + SHAPES[shape]))
-    if not rows:
-        return
-    assert _spark_sessions(spark, rows, chunk) == _model(rows)
+@given(seed=st.integers(0, 1 << 30), chunk=st.sampled_from([1, 2, 3, 7]))
+def test_sessions_of_composed_logs_hypothesis(spark, seed, chunk):
+    rows, expected = scripts(seed, 3)
+    if rows:
+        assert _spark_sessions(spark, rows, chunk) == expected

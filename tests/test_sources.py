@@ -66,6 +66,26 @@ def test_report_folders_layout(spark, tmp_dir):
     assert [r.size_gb for r in rows] == [0.0]
 
 
+def test_unselected_files_are_never_opened(spark, tmp_dir):
+    folder = f"{files.day_folder(tmp_dir, '2025-05-13')}backup_jobs_report_1"
+    _write(f"{folder}/aaa_summary.csv", "x,y\n1,2\n")
+    _write(f"{folder}/backup_job_report_0.csv", "")
+    _write(f"{folder}/backup_job_report_1.csv", HEADER + "\n" + _row(size=str(2 << 30)) + "\n")
+    rows = jobs.report_detail_frame(spark, tmp_dir, as_of="2025-05-13").collect()
+    assert [r.size_gb for r in rows] == [2.0]
+
+
+def test_overwrite_with_nothing_selected_keeps_the_table(spark, tmp_dir):
+    folder = f"{files.day_folder(tmp_dir, '2025-05-13')}backup_jobs_report_1"
+    _write(f"{folder}/backup_job_report_1.csv", HEADER + "\n" + _row() + "\n")
+    args = (spark, tmp_dir, "kept_detail", f"{tmp_dir}/detail")
+    assert jobs.load_report_detail(*args, as_of="2025-05-13", overwrite=True).rows_written == 1
+    _write(f"{files.day_folder(tmp_dir, '2025-05-14')}backup_jobs_report_1/aaa_summary.csv", "x,y\n1,2\n")
+    with pytest.raises(jobs.NoInputError):
+        jobs.load_report_detail(*args, as_of="2025-05-14", overwrite=True)
+    assert spark.table("kept_detail").count() == 1
+
+
 def test_listing_is_metadata_only(spark, tmp_dir):
     _write(f"{tmp_dir}/a/1.csv", "x\n1\n")
     _write(f"{tmp_dir}/b/2.CSV", "x\n1\n2\n")
@@ -95,6 +115,7 @@ def test_json_schema_missing_struct_and_corrupt_lines(spark, tmp_dir):
     assert rows[2].city is None and rows[2].ip_country is None
     assert rows[0].ip_country == "IN" and rows[0].device_type is None
     assert bad.count() == 1
+    assert bad.collect()[0].loaded is False
     ok_rec, _ = readers.split_corrupt(readers.read_pageview_json(spark, f"{tmp_dir}/in", recursive=True))
     assert ok_rec.count() == 4
     typed = readers.typed_pageview(flat).orderBy("account_hashid").collect()
@@ -102,6 +123,15 @@ def test_json_schema_missing_struct_and_corrupt_lines(spark, tmp_dir):
     assert typed[-1].timestamp is None and (typed[0].year, typed[0].month, typed[0].day) == ("2024", "01", "02")
 
 
+def test_json_arrays_and_half_good_records(spark, tmp_dir):
+    half = '{"account_hashid":"half","page_url":"/p","visitor_details":"oops"}'
+    _write(f"{tmp_dir}/in/p.json", "\n".join([f"[{JSON_OK},{JSON_NO_STRUCT}]", " [ ]", half, "[1, 2", JSON_OK]) + "\n")
+    ok, bad = readers.split_corrupt(readers.read_pageview_json(spark, f"{tmp_dir}/in"))
+    rows = sorted((r.account_hashid, r.page_url, r.city) for r in readers.flatten_pageview(ok).collect())
+    assert rows == [("a1", "/p", "X"), ("a1", "/p", "X"), ("a2", "/q", None), ("half", "/p", None)]
+    assert sorted((r.record, r.loaded) for r in bad.collect()) == [("[1, 2", False), (half, True)]
+
+
 def test_flatten_job_counts_corrupt_lines(spark, tmp_dir):
     _write(f"{tmp_dir}/in/p.json", "\n".join([JSON_OK, "{oops", JSON_NO_STRUCT]) + "\n")
     res = jobs.flatten_pageviews(spark, f"{tmp_dir}/in", f"{tmp_dir}/out",
@@ -109,6 +139,8 @@ def test_flatten_job_counts_corrupt_lines(spark, tmp_dir):
     assert (res.rows_written, res.corrupt_rows) == (2, 1)
     assert spark.read.parquet(f"{tmp_dir}/out").columns == S.PAGEVIEW_FLAT_COLUMNS
     assert spark.read.parquet(f"{tmp_dir}/bad").count() == 1
+    jobs.flatten_pageviews(spark, f"{tmp_dir}/in", f"{tmp_dir}/out2")
+    assert spark.read.parquet(f"{tmp_dir}/out2_corrupt").collect()[0].record == "{oops"
 
 
 def test_log_line_order_across_many_splits(spark, tmp_dir):
@@ -122,8 +154,7 @@ def test_log_line_order_across_many_splits(spark, tmp_dir):
         lines = readers.read_backup_log(spark, f"{tmp_dir}/logs")
         assert lines.select("chunk").distinct().count() > 10
         got = readers.number_lines(lines).select(
-            F.element_at(F.split("file_path", "/"), -1).alias("f"), "line_number", "line_no",
-            "value").collect()
+            F.element_at(F.split("file_path", "/"), -1).alias("f"), "line_number", "value").collect()
     finally:
         spark.conf.set("spark.sql.files.maxPartitionBytes", old)
     by_file = {}
@@ -131,11 +162,19 @@ def test_log_line_order_across_many_splits(spark, tmp_dir):
         by_file.setdefault(r.f, []).append(r)
     assert sorted(by_file) == ["a.log", "b.log"]
     for f, rows in by_file.items():
-        rows.sort(key=lambda r: r.line_no)
+        rows.sort(key=lambda r: r.line_number)
         assert [r.line_number for r in rows] == list(range(1, len(rows) + 1))
         assert [int(r.value.split()[1]) for r in rows] == list(range(len(rows)))
 
 
+def test_line_with_very_many_parts(spark, tmp_dir):
+    d = "2024-05-01T00:00:00+00:00 "
+    _write(f"{tmp_dir}/logs/a.log", "\x0c".join(["x"] * 70_000) + "\n" + d + "SAVE DATA finished successfully\n")
+    lines = readers.read_backup_log(spark, f"{tmp_dir}/logs")
+    assert readers.number_lines(lines).agg(F.max("line_number")).first()[0] == 70_001
+    assert jobs.log_fact_frame(spark, f"{tmp_dir}/logs").count() == 1
+
+
 def test_log_job_from_files_with_small_splits(spark, tmp_dir):
     d = "2024-05-01T00:00:00+00:00 "
     text = "".join([
@@ -152,7 +191,9 @@ def test_log_job_from_files_with_small_splits(spark, tmp_dir):
     old = spark.conf.get("spark.sql.files.maxPartitionBytes")
     spark.conf.set("spark.sql.files.maxPartitionBytes", "2048")
     try:
-        rows = jobs.log_fact_frame(spark, f"{tmp_dir}/logs", as_of="2024-05-02").collect()
+        fact, skipped = jobs.log_frames(spark, f"{tmp_dir}/logs", as_of="2024-05-02")
+        rows = fact.collect()
+        assert [(r.file_path.split("/")[-1], r.reason) for r in skipped.collect()] == [("bad.log", "not UTF-8")]
     finally:
         spark.conf.set("spark.sql.files.maxPartitionBytes", old)
     rows = sorted(rows, key=lambda r: r.hostname)
@@ -172,7 +213,7 @@ def test_log_line_order_with_small_files_packed_together(spark, tmp_dir):
         by_file.setdefault(r.file_path, []).append(r)
     assert len(by_file) == 40
     for rows in by_file.values():
-        rows.sort(key=lambda r: r.line_no)
+        rows.sort(key=lambda r: r.line_number)
         assert [int(r.value.split()[1]) for r in rows] == list(range(len(rows)))
         assert [r.line_number for r in rows] == list(range(1, len(rows) + 1))
 
@@ -184,7 +225,6 @@ def test_flatten_refuses_output_inside_recursive_input(spark, tmp_dir):
 
 
 def test_log_lines_split_like_python_splitlines(spark, tmp_dir):
-    from log_model import sessions_of_file
     from ledgerloom.operators import logs
     d = "2024-05-01T00:00:00+00:00 "
     text = (d + "state of service: n, hostA:1, v\x0c SAVE DATA finished successfully\n"
@@ -195,6 +235,4 @@ def test_log_lines_split_like_python_splitlines(spark, tmp_dir):
     assert lines.count() == len(text.splitlines())
     got = sorted((r.hostname, r.status, r.report_period_end and str(r.report_period_end))
                  for r in logs.sessions(lines).collect())
-    want = sorted((s[4], s[7], s[3]) for s in
-                  sessions_of_file("u.log", list(enumerate(text.splitlines()))))
-    assert got == want == [("hostA", "successful", None), ("hostB", "failed", "2024-05-01")]
+    assert got == [("hostA", "successful", None), ("hostB", "failed", "2024-05-01")]
