@@ -14,6 +14,8 @@ from pyspark.sql import functions as F
 
 from . import schemas as S
 
+#: Events after which new log files begin (fixed value; the oracle SQL uses the same).
+LOG_EVENTS = 1_000_000
 LOG_PATH_PREFIX = "/usr/sap/HDB/SYS/global/hdb/backint/DB_HDB/"
 
 
@@ -79,7 +81,7 @@ def pageview(events: DataFrame) -> DataFrame:
     )
 
 
-def pageview_nested(events: DataFrame) -> DataFrame:
+def pageview_nested(events: DataFrame, keep: list[str] | None = None) -> DataFrame:
     """Raw page-view records as the JSON producer emits them.
 
     ``timestamp`` is an ISO-8601 string; ``visitor_details`` is a struct that is
@@ -108,6 +110,7 @@ def pageview_nested(events: DataFrame) -> DataFrame:
         F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'").alias("timestamp"),
         F.when(eid % 10 == 0, F.lit(None).cast(S.VISITOR_DETAILS))
          .otherwise(details).alias("visitor_details"),
+        *[F.col(c) for c in (keep or [])],
     )
 
 
@@ -144,14 +147,9 @@ def report(orders: DataFrame, keep: list[str] | None = None) -> DataFrame:
     )
 
 
-def report_with_day(orders: DataFrame) -> DataFrame:
-    """The report rows plus ``delivery_day`` (the order date), for day folders."""
-    return report(orders.withColumn("_day", F.to_date("o_orderdate"))
-                  .withColumnRenamed("_day", "delivery_day"), keep=["delivery_day"])
-
-
 def log_lines(events: DataFrame, chunk_lines: int = 1 << 16) -> DataFrame:
-    """Backup-log lines, one per event, in 20 x 30 virtual files.
+    """Backup-log lines, one per event, in virtual files of bounded size (20 hosts x 30 days
+    per million events, about 1,700 lines each).
 
     ``line_no`` (the event id) orders lines within a file; ``chunk`` groups
     ``chunk_lines`` consecutive line numbers so that one very long file is
@@ -179,7 +177,8 @@ def log_lines(events: DataFrame, chunk_lines: int = 1 << 16) -> DataFrame:
     )
     return events.select(
         F.concat(F.lit("hana-"), (F.col("user_id") % 20).cast("string"), F.lit("-"),
-                 F.date_format("ts", "dd"), F.lit(".log")).alias("file_path"),
+                 F.date_format("ts", "dd"), F.lit("-"),
+                 F.floor(eid / F.lit(LOG_EVENTS)).cast("string"), F.lit(".log")).alias("file_path"),
         F.floor(eid / F.lit(chunk_lines)).cast("bigint").alias("chunk"),
         eid.cast("bigint").alias("line_no"),
         F.concat(stamp, message).alias("value"),

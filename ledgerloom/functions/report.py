@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Fixed values that must equal the reference's for equal results.
+# Fixed values that are fixed by the data.
 STATUS_COMPLETED = "COMPLETED"
 STATUS_SUCCESSFUL = "SUCCESSFUL"
 AMI_MARKER = "image/ami-"

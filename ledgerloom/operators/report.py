@@ -82,7 +82,7 @@ def report_detail(raw: DataFrame, as_of: Column | str | None = None,
     """Report rows as detail records (older job): sizes in GiB, a load timestamp.
 
     ``file_last_modified`` holds the load time ``as_of_ts`` (default: now), as in
-    the reference; a file's true modification time is available from
+    the original job; a file's true modification time is available from
     :func:`ledgerloom.sources.files.list_files`.
     """
     validate_required(raw, S.DETAIL_REPORT_COLUMNS)

@@ -24,8 +24,8 @@ def rows_by_load_day(detail: DataFrame) -> DataFrame:
 def sample_hosts(fact: DataFrame, n: int = 10) -> DataFrame:
     """A ``n``-row look at host, name and component.
 
-    The reference takes any ``n`` rows; a total order on the three output
-    columns makes the answer reproducible. This is a top-k, not a full sort:
+    Any ``n`` rows would do; a total order on the three output columns makes the
+    answer reproducible. This is a top-k, not a full sort:
     each task keeps its best ``n`` and only those reach the final merge.
     """
     return (fact.select("hostname", "backup_name", "component_type")

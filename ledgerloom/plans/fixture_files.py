@@ -9,6 +9,8 @@ derived tables also describes what is read back.
 
 from __future__ import annotations
 
+import time
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -43,6 +45,7 @@ def write_report_days(spark: SparkSession, sf_dir: str) -> str:
     rows = _report_rows(spark, sf_dir).select(
         *[F.col(f"`{c}`") for c in S.REQUIRED_REPORT_COLUMNS])
     _csv(rows, files.day_folder(root, FILE_DAY))
+    time.sleep(1.1)     # file times of some stores are whole seconds
     _csv(rows, files.day_folder(root, NEXT_DAY))
     return root
 
@@ -52,7 +55,8 @@ def write_report_folders(spark: SparkSession, sf_dir: str) -> str:
 
     ``backup_jobs_report_a/batch=backup_job_report_<n>/`` holds every row once;
     ``backup_jobs_report_a/extra/`` (no file marker in the path) and
-    ``misc_reports/`` (no folder marker) each hold a full copy that must be skipped.
+    ``misc_reports/`` (no folder marker) each hold a full copy that must be skipped. So must
+    ``backup_jobs_report_a/aaa_summary/``, whose files have another header.
     """
     root = scratch_path(spark, "report-folders")
     day = files.day_folder(root, FILE_DAY)
@@ -62,13 +66,27 @@ def write_report_folders(spark: SparkSession, sf_dir: str) -> str:
     _csv(rows.select(*cols, batch.alias("batch")), f"{day}backup_jobs_report_a", "batch")
     _csv(rows.select(*cols), f"{day}backup_jobs_report_a/extra")
     _csv(rows.select(*cols), f"{day}misc_reports")
+    _csv(rows.select(F.lit("1").alias("x"), F.lit("2").alias("y")), f"{day}backup_jobs_report_a/aaa_summary")
     return root
 
 
 def write_pageview_json(spark: SparkSession, sf_dir: str) -> str:
-    """Nested page-view JSON lines (one object per line)."""
+    """Nested page-view JSON, the lines of four kinds.
+
+    Plain objects, one-element arrays (event id divisible by 5), objects whose
+    ``visitor_details`` is no object (by 9, not by 5: those events load without details) and
+    further lines that are no JSON at all (one per event divisible by 100).
+    """
     path = scratch_path(spark, "pageview-json")
-    fx.pageview_nested(fx.read_table(spark, sf_dir, "events")).write.mode("overwrite").json(path)
+    events = fx.read_table(spark, sf_dir, "events").where(F.col("event_type") == "view")
+    nested = fx.pageview_nested(events, keep=["event_id"])
+    eid, plain = F.col("event_id"), F.struct(*S.PAGEVIEW_JSON.fieldNames())
+    half = F.struct(*S.PAGEVIEW_JSON.fieldNames()[:-1], F.lit("no details").alias("visitor_details"))
+    line = (F.when(eid % 5 == 0, F.concat(F.lit("["), F.to_json(plain), F.lit("]")))
+            .when(eid % 9 == 0, F.to_json(half)).otherwise(F.to_json(plain)))
+    lines = nested.select(F.explode(F.when(eid % 100 == 0, F.array(line, F.concat(F.lit("{broken "), eid.cast("string"))))
+                                    .otherwise(F.array(line))).alias("value"))
+    lines.write.mode("overwrite").text(path)
     return path
 
 

@@ -31,6 +31,7 @@ class LoadResult:
     table: str
     rows_written: int
     corrupt_rows: int = 0
+    skipped_files: int = 0
 
 
 def report_fact_frame(spark: SparkSession, base: str, as_of=None) -> DataFrame:
@@ -47,7 +48,7 @@ def _read_reports(spark: SparkSession, path: str) -> DataFrame:
     try:
         return readers.read_report_csv(spark, path)
     except AnalysisException as e:
-        if "UNABLE_TO_INFER_SCHEMA" in str(e):
+        if e.getCondition() == "UNABLE_TO_INFER_SCHEMA":
             raise NoInputError(f"no report CSV under {path}") from e
         raise
 
@@ -64,15 +65,21 @@ def load_report_fact(spark: SparkSession, base: str, table: str, location: str,
 def report_detail_frame(spark: SparkSession, base: str, as_of=None, as_of_ts=None) -> DataFrame:
     """Detail rows from the day's ``backup_jobs_report_*`` folders (older layout).
 
-    The folder and suffix tests run at listing time; the file-name marker is
-    tested on the full path (case-insensitive) per row, as the key test of the
-    listing it replaces.
+    Files are selected from the listing, before any is read: marker in the path, ``.csv``,
+    not empty. One selected file gives the header; the read declares it, and the same
+    selection as a filter on the file's metadata keeps the others closed.
     """
     folders = files.report_folders(base, as_of)
     if not files.path_exists(spark, folders):
         raise NoInputError(f"no report folders {folders}")
-    raw = _read_reports(spark, folders)
-    raw = raw.where(F.lower(F.col("_metadata.file_path")).contains(files.REPORT_FILE_MARKER))
+    one = files.report_files(files.list_files(spark, folders)).orderBy("file_path").first()
+    if one is None:
+        raise NoInputError(f"no report file selected under {folders}")
+    schema = readers.read_report_csv(spark, one["file_path"], recursive=False).schema
+    path = F.lower(F.col("_metadata.file_path"))
+    raw = readers.read_report_csv(spark, folders, schema=schema).where(
+        path.contains(files.REPORT_FILE_MARKER) & path.endswith(files.CSV_SUFFIX)
+        & (F.col("_metadata.file_size") > 0))
     return report.report_detail(raw, as_of=str(files.processing_date(as_of)), as_of_ts=as_of_ts)
 
 
@@ -82,30 +89,44 @@ def load_report_detail(spark: SparkSession, base: str, table: str, location: str
     return LoadResult(table, rows)
 
 
-def log_fact_frame(spark: SparkSession, log_root: str, as_of=None) -> DataFrame:
-    """Every ``.log`` file below ``log_root`` as backup-session fact rows."""
+def log_frames(spark: SparkSession, log_root: str, as_of=None) -> tuple[DataFrame, DataFrame]:
+    """Every ``.log`` file below ``log_root`` as backup-session fact rows, and the files that yield nothing."""
     if not files.path_exists(spark, log_root):
         raise NoInputError(f"no log folder {log_root}")
-    lines = readers.read_backup_log(spark, log_root)
-    return logs.backup_fact_log(logs.sessions(lines), as_of=str(files.processing_date(as_of)))
+    pieces = logs.stored_pieces(readers.read_backup_log(spark, log_root))
+    fact = logs.backup_fact_log(logs.sessions_of(pieces), as_of=str(files.processing_date(as_of)))
+    return fact, logs.skipped_files(pieces)
+
+
+def log_fact_frame(spark: SparkSession, log_root: str, as_of=None) -> DataFrame:
+    return log_frames(spark, log_root, as_of)[0]
 
 
 def load_log_fact(spark: SparkSession, log_root: str, table: str, location: str,
                   as_of=None) -> LoadResult:
-    """Log sessions appended to the backup fact table; no session at all is an error."""
+    """Log sessions appended to the backup fact table; no session at all is an error.
+
+    Skipped files (undated differential backup, or not UTF-8) are counted, and the first
+    few are named in the log."""
     tables.create_table_if_absent(spark, table, S.BACKUP_FACT, location)
-    rows = tables.append_by_name(log_fact_frame(spark, log_root, as_of), table)
+    fact, skipped = log_frames(spark, log_root, as_of)
+    n = skipped.count()
+    if n:
+        named = [f"{r.file_path} ({r.reason})" for r in skipped.orderBy("file_path").limit(20).collect()]
+        log.warning("%d log files skipped under %s: %s", n, log_root, ", ".join(named))
+    rows = tables.append_by_name(fact, table)
     if rows == 0:
         raise NoInputError(f"no backup session found under {log_root}")
-    return LoadResult(table, rows)
+    return LoadResult(table, rows, skipped_files=n)
 
 
 def flatten_pageviews(spark: SparkSession, input_path: str, output_path: str,
                       recursive: bool = False, corrupt_path: str | None = None) -> LoadResult:
     """Page-view JSON flattened to Parquet at ``output_path`` (append).
 
-    Input and output roots must differ. Malformed lines are written to
-    ``corrupt_path`` when given and counted either way.
+    Input and output roots must differ. Records that do not parse, wholly or in part, are
+    counted while the output is written and always kept as text at ``corrupt_path``
+    (default: ``<output_path>_corrupt``).
     """
     if output_path.rstrip("/").startswith(input_path.rstrip("/") + "/") and recursive:
         raise ValueError("output folder lies inside the recursively read input folder")
@@ -115,10 +136,10 @@ def flatten_pageviews(spark: SparkSession, input_path: str, output_path: str,
     ok, bad = readers.split_corrupt(raw)
     rows = tables.write_parquet(readers.flatten_pageview(ok), output_path)
     corrupt = int(seen.get.get("corrupt", 0))
-    if corrupt_path and corrupt:
-        tables.write_parquet(bad, corrupt_path)
     if corrupt:
-        log.warning("%d malformed page-view lines under %s", corrupt, input_path)
+        kept = corrupt_path or f"{output_path.rstrip('/')}_corrupt"
+        tables.write_parquet(bad, kept)
+        log.warning("%d page-view records under %s do not parse; kept at %s", corrupt, input_path, kept)
     return LoadResult(output_path, rows, corrupt)
 
 

@@ -1,8 +1,8 @@
 """DuckDB SQL equivalents of the registered queries (the correctness oracle).
 
-Written independently of the Spark code: views are the reference's SQL in
-DuckDB dialect, the fixtures are the derivations of ``FIXTURES.md`` and the log
-sessions use a plain per-file window formulation rather than the chunked scan.
+The views are stated as plain SQL (the page visits as the plain join), the fixtures are the
+derivations of ``FIXTURES.md``, and the log sessions use a plain per-file window formulation
+rather than the chunked scan.
 """
 
 from __future__ import annotations
@@ -38,15 +38,15 @@ SELECT 'a' || cast(user_id AS VARCHAR) AS account_hashid,
   CASE WHEN event_id % 3 = 0 THEN NULL ELSE 'c' || cast(event_id % 997 AS VARCHAR) END AS consent_hashid,
   CASE WHEN event_id % 13 = 0 THEN NULL ELSE '/p/' || cast(event_id % 50 AS VARCHAR) END AS page_url,
   strftime(ts, '%Y-%m-%dT%H:%M:%S.%fZ') AS "timestamp",
-  CASE WHEN event_id % 10 = 0 THEN NULL ELSE
+  CASE WHEN event_id % 10 = 0 OR (event_id % 9 = 0 AND event_id % 5 <> 0) THEN NULL ELSE
     '10.' || cast(user_id % 256 AS VARCHAR) || '.' || cast(event_id % 256 AS VARCHAR) || '.1' END AS ip_address,
-  CASE WHEN event_id % 10 = 0 THEN NULL ELSE
+  CASE WHEN event_id % 10 = 0 OR (event_id % 9 = 0 AND event_id % 5 <> 0) THEN NULL ELSE
     CASE event_id % 4 WHEN 0 THEN 'IN' WHEN 1 THEN 'US' WHEN 2 THEN 'DE' ELSE NULL END END AS ip_country,
-  CASE WHEN event_id % 10 = 0 THEN NULL ELSE 'r' || cast(user_id % 7 AS VARCHAR) END AS ip_region,
-  CASE WHEN event_id % 10 = 0 OR event_id % 5 = 0 THEN NULL ELSE 'city' || cast(user_id % 11 AS VARCHAR) END AS city,
-  CASE WHEN event_id % 10 = 0 THEN NULL ELSE
+  CASE WHEN event_id % 10 = 0 OR (event_id % 9 = 0 AND event_id % 5 <> 0) THEN NULL ELSE 'r' || cast(user_id % 7 AS VARCHAR) END AS ip_region,
+  CASE WHEN event_id % 10 = 0 OR (event_id % 9 = 0 AND event_id % 5 <> 0) OR event_id % 5 = 0 THEN NULL ELSE 'city' || cast(user_id % 11 AS VARCHAR) END AS city,
+  CASE WHEN event_id % 10 = 0 OR (event_id % 9 = 0 AND event_id % 5 <> 0) THEN NULL ELSE
     CASE event_id % 3 WHEN 0 THEN 'mobile' WHEN 1 THEN 'desktop' ELSE 'tablet' END END AS device_type,
-  CASE WHEN event_id % 10 = 0 THEN NULL ELSE 'UTC' END AS timezone
+  CASE WHEN event_id % 10 = 0 OR (event_id % 9 = 0 AND event_id % 5 <> 0) THEN NULL ELSE 'UTC' END AS timezone
 FROM events WHERE event_type = 'view'"""
 
 REPORT = """
@@ -68,7 +68,7 @@ SELECT CASE o_orderstatus WHEN 'F' THEN 'COMPLETED' WHEN 'O' THEN 'RUNNING' ELSE
 FROM orders"""
 
 LOG = """
-SELECT 'hana-' || cast(user_id % 20 AS VARCHAR) || '-' || strftime(ts, '%d') || '.log' AS file_path,
+SELECT 'hana-' || cast(user_id % 20 AS VARCHAR) || '-' || strftime(ts, '%d') || '-' || cast(event_id // 1000000 AS VARCHAR) || '.log' AS file_path,
   event_id AS line_no,
   CASE WHEN event_id % 4 = 3 THEN ' ' ELSE strftime(ts, '%Y-%m-%dT%H:%M:%S') || '+00:00 ' END ||
   CASE WHEN event_id % 41 = 0 THEN 'LOGBCKUP SAVE DATA finished successfully'
@@ -315,7 +315,7 @@ SELECT 'a' || cast(user_id AS VARCHAR) AS account_hashid,
   's' || cast(user_id AS VARCHAR) || '-' || strftime(ts, '%d') AS session_hashid,
   CASE WHEN event_id % 3 = 0 THEN NULL ELSE 'c' || cast(event_id % 997 AS VARCHAR) END AS consent_hashid,
   CASE WHEN event_id % 13 = 0 THEN NULL ELSE '/p/' || cast(event_id % 50 AS VARCHAR) END AS page_url,
-  strftime(ts, '%Y-%m-%dT%H:%M:%S.%fZ') AS "timestamp", event_id % 10 = 0 AS visitor_details_missing
+  strftime(ts, '%Y-%m-%dT%H:%M:%S.%fZ') AS "timestamp", event_id % 10 = 0 OR (event_id % 9 = 0 AND event_id % 5 <> 0) AS visitor_details_missing
 FROM events WHERE event_type = 'view'"""
 
 SQL.update({
@@ -329,7 +329,24 @@ SQL.update({
 SELECT '2025/05/13' AS day_folder, count(*) AS records, true AS files_non_empty FROM orders
 UNION ALL
 SELECT '2025/05/14' AS day_folder, count(*) AS records, true AS files_non_empty FROM orders""",
+    "files_newest_first": """
+SELECT '2025/05/14' AS day_folder, 1 AS newest_rank UNION ALL SELECT '2025/05/13' AS day_folder, 2 AS newest_rank""",
     "scan_pageview_json": _PAGEVIEW_JSON_TOP,
+    "corrupt_pageview_json": """
+SELECT * FROM (
+  SELECT true AS loaded, count(*) AS records FROM events
+  WHERE event_type = 'view' AND event_id % 9 = 0 AND event_id % 5 <> 0
+  UNION ALL
+  SELECT false AS loaded, count(*) AS records FROM events WHERE event_type = 'view' AND event_id % 100 = 0)
+WHERE records > 0""",
+    "consent_partition_days": _with(
+        all_consent=CONSENT, consent="SELECT * FROM all_consent WHERE year = '2024' AND day IN ('05', '15', '25')") + _Q2,
+    "persistent_device_view": _with(consent=CONSENT) + _Q1.format(src="consent"),
+    "persistent_page_visit_view": _with(pageview=PAGEVIEW, consent=CONSENT) + _Q4,
+    "consent_hourly_stats_ordered": _with(consent=CONSENT) + _Q2,
+    "page_visit_stats_ordered": _with(pageview=PAGEVIEW, consent=CONSENT) + _Q4,
+    "skipped_log_files": _SESSIONS_WITH + """
+SELECT DISTINCT file_path AS log_name, 'differential backup without a date' AS reason FROM g WHERE bad""",
     "flatten_pageview": PAGEVIEW_FLAT,
     "write_flat_parquet": PAGEVIEW_FLAT,
     "pageview_typed": _with(pageview=PAGEVIEW) + "SELECT * FROM pageview",

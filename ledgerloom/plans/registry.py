@@ -9,7 +9,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .. import fixtures as fx
@@ -27,6 +27,23 @@ from . import jobs
 
 Query = Callable[[SparkSession, str], DataFrame]
 
+_WRITTEN: dict[tuple[str, str, str], str] = {}
+
+
+def _written(spark, sf_dir, writer):
+    """What ``writer`` made of an input folder, made once per session.
+
+    Queries only read it, so the keys that share an input share one copy.
+    """
+    key = (spark.sparkContext.applicationId, sf_dir, writer.__name__)
+    if key not in _WRITTEN:
+        _WRITTEN[key] = writer(spark, sf_dir)
+    return _WRITTEN[key]
+
+
+def _table_name(kind: str) -> str:
+    return f"ledgerloom_{kind}_{uuid.uuid4().hex[:10]}"
+
 
 def _events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fx.read_table(spark, sf_dir, "events")
@@ -155,59 +172,54 @@ def q_backup_sessions_by_status(spark, sf_dir):
     return logs.sessions_by_status(_sessions(spark, sf_dir))
 
 
-def _fact_union(spark, sf_dir):
-    return (report.backup_fact_report(_report(spark, sf_dir))
-            .unionByName(logs.backup_fact_log(_sessions(spark, sf_dir))))
-
-
-def q_verify_total(spark, sf_dir):
-    return verify.total_rows(_fact_union(spark, sf_dir))
-
+def _loaded(spark, name: str) -> DataFrame:
+    """The rows of a table that a query made; the table goes, its files stay for the reader."""
+    location = [r["data_type"] for r in spark.sql(f"DESCRIBE EXTENDED {name}").collect() if r["col_name"] == "Location"][0]
+    schema = spark.table(name).schema
+    spark.sql(f"DROP TABLE {name}")
+    return spark.read.schema(schema).parquet(location)
 
-def q_verify_by_component(spark, sf_dir):
-    return verify.rows_by_component(_fact_union(spark, sf_dir))
 
+def _write_fact_table(spark, sf_dir) -> str:
+    """Both pipelines appended by name into one table created empty first."""
+    name = _table_name("fact")
+    tables.create_table_if_absent(spark, name, S.BACKUP_FACT, scratch_path(spark, "fact-table"))
+    tables.append_by_name(report.backup_fact_report(_report(spark, sf_dir)), name)
+    tables.append_by_name(logs.backup_fact_log(_sessions(spark, sf_dir)), name)
+    return name
 
-def q_verify_sample(spark, sf_dir):
-    return verify.sample_hosts(_fact_union(spark, sf_dir))
 
+def q_backup_fact_union(spark, sf_dir):
+    return _loaded(spark, _write_fact_table(spark, sf_dir))
 
-def q_distinct_component(spark, sf_dir):
-    return verify.distinct_components(_fact_union(spark, sf_dir))
 
+def _check(spark, sf_dir, which: str) -> DataFrame:
+    """One of the load checks over the loaded table."""
+    name = _written(spark, sf_dir, _write_fact_table)
+    return jobs.load_checks(spark, name)[which]
 
-def q_distinct_host_pair(spark, sf_dir):
-    return verify.distinct_host_pairs(_fact_union(spark, sf_dir))
 
+def q_verify_total(spark, sf_dir):
+    return _check(spark, sf_dir, "total")
 
-def q_backup_fact_union(spark, sf_dir):
-    """Both pipelines appended by name into one table created empty first; read back."""
-    name = _table_name("fact")
-    tables.create_table_if_absent(spark, name, S.BACKUP_FACT, scratch_path(spark, "fact-table"))
-    tables.append_by_name(report.backup_fact_report(_report(spark, sf_dir)), name)
-    tables.append_by_name(logs.backup_fact_log(_sessions(spark, sf_dir)), name)
-    return spark.table(name)
 
+def q_verify_by_component(spark, sf_dir):
+    return _check(spark, sf_dir, "by_component")
 
-# ---------------------------------------------------------- files, loads, sinks
 
-_WRITTEN: dict[tuple[str, str, str], str] = {}
+def q_verify_sample(spark, sf_dir):
+    return _check(spark, sf_dir, "sample")
 
 
-def _written(spark, sf_dir, writer):
-    """Input files made by ``writer``, written once per session and input folder.
+def q_distinct_component(spark, sf_dir):
+    return verify.distinct_components(spark.table(_written(spark, sf_dir, _write_fact_table)))
 
-    Queries only read them, so the keys that share an input share one copy.
-    """
-    key = (spark.sparkContext.applicationId, sf_dir, writer.__name__)
-    if key not in _WRITTEN:
-        _WRITTEN[key] = writer(spark, sf_dir)
-    return _WRITTEN[key]
 
+def q_distinct_host_pair(spark, sf_dir):
+    return verify.distinct_host_pairs(spark.table(_written(spark, sf_dir, _write_fact_table)))
 
-def _table_name(kind: str) -> str:
-    return f"ledgerloom_{kind}_{uuid.uuid4().hex[:10]}"
 
+# ---------------------------------------------------------- files, loads, sinks
 
 def q_scan_report_csv(spark, sf_dir):
     root = _written(spark, sf_dir, ff.write_report_days)
@@ -235,8 +247,12 @@ def q_file_metadata(spark, sf_dir):
 
 
 def q_files_newest_first(spark, sf_dir):
+    """Delivery days by their newest file; the days were written one after the other."""
     root = _written(spark, sf_dir, ff.write_report_days)
-    return files.files_newest_first(files.list_files(spark, root, glob=files.CSV_FILE_GLOB))
+    listing = files.files_newest_first(files.list_files(spark, root, glob=files.CSV_FILE_GLOB))
+    day = F.regexp_extract("file_path", r"/(\d{4}/\d{2}/\d{2})/[^/]+$", 1)
+    newest = listing.groupBy(day.alias("day_folder")).agg(F.max("file_modification_time").alias("at"))
+    return newest.select("day_folder", F.row_number().over(Window.orderBy(F.desc("at"))).alias("newest_rank"))
 
 
 def _pageview_json(spark, sf_dir):
@@ -248,7 +264,15 @@ def _pageview_json(spark, sf_dir):
 def q_scan_pageview_json(spark, sf_dir):
     return _pageview_json(spark, sf_dir).select(
         "account_hashid", "session_hashid", "consent_hashid", "page_url", "timestamp",
-        F.col("visitor_details").isNull().alias("visitor_details_missing"))
+        F.coalesce(*[F.col(f"visitor_details.{f.name}") for f in S.VISITOR_DETAILS.fields]).isNull()
+        .alias("visitor_details_missing"))
+
+
+def q_corrupt_pageview_json(spark, sf_dir):
+    """Records that do not parse, wholly or in part, as kept aside."""
+    path = _written(spark, sf_dir, ff.write_pageview_json)
+    _, bad = readers.split_corrupt(readers.read_pageview_json(spark, path))
+    return bad.groupBy("loaded").agg(F.count(F.lit(1)).alias("records"))
 
 
 def q_flatten_pageview(spark, sf_dir):
@@ -279,27 +303,69 @@ def q_backup_fact_from_files(spark, sf_dir):
 
 
 def _write_consent_table(spark, sf_dir):
-    root = scratch_path(spark, "consent-table")
-    tables.write_consent(fx.consent(_events(spark, sf_dir)), root)
-    return root
+    """The partitioned consent table, loaded through the catalog."""
+    name = _table_name("consent")
+    tables.load_consent(fx.consent(_events(spark, sf_dir)), name, scratch_path(spark, "consent-table"))
+    return name
+
+
+def _consent(spark, sf_dir):
+    return readers.read_consent(spark, _written(spark, sf_dir, _write_consent_table))
 
 
-def _consent_root(spark, sf_dir):
-    """The consent table in its partitioned layout."""
-    return _written(spark, sf_dir, _write_consent_table)
+def _wall_clock(df: DataFrame) -> DataFrame:
+    return df.withColumns({c: F.col(c).cast("timestamp_ntz") for c in ("accepted_at", "created_at")})
 
 
 def q_write_consent_partitioned(spark, sf_dir):
-    return readers.read_consent(spark, _consent_root(spark, sf_dir))
+    return _wall_clock(_consent(spark, sf_dir))
 
 
 def q_scan_consent_partition(spark, sf_dir):
-    """The device view over the whole partitioned table, read back by path.
+    """The device view over the whole partitioned table, read by name."""
+    return views.consent_device_stats(_consent(spark, sf_dir))
 
-    Partition columns come back as declared strings; a caller's filter on them
-    prunes folders (see the plan test in ``tests/test_sinks.py``).
-    """
-    return views.consent_device_stats(readers.read_consent(spark, _consent_root(spark, sf_dir)))
+
+def q_consent_partition_days(spark, sf_dir):
+    """The hourly view over some days: the partition predicate is answered by the catalog."""
+    rows = _consent(spark, sf_dir).where("year = '2024' AND day IN ('05', '15', '25')")
+    return views.consent_hourly_stats(rows)
+
+
+def _write_pageview_table(spark, sf_dir):
+    name = _table_name("pageview")
+    fx.pageview(_events(spark, sf_dir)).write.option("path", scratch_path(spark, "pageview-table")).saveAsTable(name)
+    return name
+
+
+def _persistent_view(spark, sf_dir, view: str) -> DataFrame:
+    """A persistent view over the two catalog tables."""
+    consent, pageview = (_written(spark, sf_dir, w) for w in (_write_consent_table, _write_pageview_table))
+    tables.create_persistent_views(spark, consent, pageview, prefix=f"{consent}_")
+    return spark.table(f"{consent}_{view}")
+
+
+def q_persistent_device_view(spark, sf_dir):
+    return _persistent_view(spark, sf_dir, "consent_device_stats")
+
+
+def q_persistent_page_visit_view(spark, sf_dir):
+    return _persistent_view(spark, sf_dir, "page_visit_stats")
+
+
+def q_consent_hourly_stats_ordered(spark, sf_dir):
+    return views.consent_hourly_stats(fx.consent(_events(spark, sf_dir)), ordered=True)
+
+
+def q_page_visit_stats_ordered(spark, sf_dir):
+    ev = _events(spark, sf_dir)
+    return views.page_visit_stats(fx.pageview(ev), fx.consent(ev), ordered=True)
+
+
+def q_skipped_log_files(spark, sf_dir):
+    """Log files that yield nothing, and why."""
+    pieces = logs.stored_pieces(readers.read_backup_log(spark, _written(spark, sf_dir, ff.write_log_files), glob=None))
+    return logs.skipped_files(pieces).select(ff.log_name().alias("log_name"), "reason")
 
 
 def q_append_by_name(spark, sf_dir):
@@ -307,14 +373,14 @@ def q_append_by_name(spark, sf_dir):
     tables.create_table_if_absent(spark, name, S.BACKUP_FACT, scratch_path(spark, "append-table"))
     fact = report.backup_fact_report(_report(spark, sf_dir))
     tables.append_by_name(fact.select(*reversed(fact.columns)), name)
-    return spark.table(name)
+    return _loaded(spark, name)
 
 
 def q_insert_by_position(spark, sf_dir):
     name = _table_name("insert")
     tables.create_table_if_absent(spark, name, S.BACKUP_FACT, scratch_path(spark, "insert-table"))
     tables.insert_by_position(logs.backup_fact_log(_sessions(spark, sf_dir)), name)
-    return spark.table(name)
+    return _loaded(spark, name)
 
 
 def q_overwrite_table(spark, sf_dir):
@@ -322,7 +388,7 @@ def q_overwrite_table(spark, sf_dir):
     location = scratch_path(spark, "overwrite-table")
     tables.append_by_name(report.backup_fact_report(_report(spark, sf_dir)), name, location)
     tables.overwrite_table(_detail(spark, sf_dir), name, location)
-    return spark.table(name)
+    return _loaded(spark, name)
 
 
 def q_stream_report_fact(spark, sf_dir):
@@ -373,6 +439,7 @@ QUERIES: dict[str, Query] = {
     "file_metadata": q_file_metadata,
     "files_newest_first": q_files_newest_first,
     "scan_pageview_json": q_scan_pageview_json,
+    "corrupt_pageview_json": q_corrupt_pageview_json,
     "flatten_pageview": q_flatten_pageview,
     "write_flat_parquet": q_write_flat_parquet,
     "pageview_typed": q_pageview_typed,
@@ -380,6 +447,12 @@ QUERIES: dict[str, Query] = {
     "backup_fact_from_files": q_backup_fact_from_files,
     "write_consent_partitioned": q_write_consent_partitioned,
     "scan_consent_partition": q_scan_consent_partition,
+    "consent_partition_days": q_consent_partition_days,
+    "persistent_device_view": q_persistent_device_view,
+    "persistent_page_visit_view": q_persistent_page_visit_view,
+    "consent_hourly_stats_ordered": q_consent_hourly_stats_ordered,
+    "page_visit_stats_ordered": q_page_visit_stats_ordered,
+    "skipped_log_files": q_skipped_log_files,
     "append_by_name": q_append_by_name,
     "insert_by_position": q_insert_by_position,
     "overwrite_table": q_overwrite_table,

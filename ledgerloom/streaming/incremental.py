@@ -1,4 +1,4 @@
-"""Incremental loads with Structured Streaming (extension, not in the reference).
+"""Incremental loads with Structured Streaming (extension).
 
 The daily jobs list "today's folder" (or every log file) and append whatever is
 there, so a rerun loads the same files twice. A file-source stream run with the
@@ -11,7 +11,6 @@ shared ``spark.checkpoint.dir``.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .. import schemas as S
@@ -65,27 +64,6 @@ def load_report_fact_incremental(spark: SparkSession, input_dir: str, output_pat
     return spark.read.schema(S.BACKUP_FACT).parquet(output_path)
 
 
-def pageview_hourly_stream(spark: SparkSession, json_dir: str, lateness: str = "1 hour",
-                           recursive: bool = False) -> DataFrame:
-    """Page views per account and event-time hour, emitted once the watermark passes.
-
-    Exact distinct counts are not allowed on streams; sessions are counted with
-    ``approx_count_distinct``. Late rows beyond ``lateness`` are dropped.
-    """
-    raw = (spark.readStream.schema(S.PAGEVIEW_JSON).option("recursiveFileLookup", recursive)
-           .json(json_dir))
-    flat = readers.flatten_pageview(raw)
-    event_time = F.try_to_timestamp(F.col("timestamp"))
-    return (flat.withColumn("event_time", event_time)
-            .where(F.col("event_time").isNotNull())
-            .withWatermark("event_time", lateness)
-            .groupBy(F.window("event_time", "1 hour").alias("hour"), "account_hashid")
-            .agg(F.count("page_url").alias("pageviews"),
-                 F.approx_count_distinct("session_hashid").alias("approx_visitors"))
-            .select(F.col("hour.start").alias("hour_start"), "account_hashid", "pageviews",
-                    "approx_visitors"))
-
-
 def load_log_fact_incremental(spark: SparkSession, log_dir: str, output_path: str,
                               checkpoint: str, as_of=None,
                               glob: str | None = files.LOG_FILE_GLOB) -> DataFrame:
