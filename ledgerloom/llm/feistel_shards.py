@@ -133,8 +133,8 @@ def manifest(spark: SparkSession, path: str, sequence: int = SEQUENCE) -> DataFr
     ``n_tokens`` and the CRC of the ids (as little-endian uint32)."""
     prepare(spark)
     step = stride(sequence)
-    files = spark.read.format("binaryFile").schema(
-        "path string, modificationTime timestamp, length long, content binary, shard int").load(path)
+    shard = F.regexp_extract("path", r"/shard=(\d+)/[^/]*$", 1).cast("int")     # also without any file
+    files = spark.read.format("binaryFile").load(path).select("length", "content", shard.alias("shard"))
     in_order = Window.orderBy("shard")              # a row per shard
     starts = files.select("shard", F.expr(f"length DIV {step}").alias("n")) \
         .select("shard", (F.sum("n").over(in_order) - F.col("n")).alias("start"))

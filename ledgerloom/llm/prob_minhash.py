@@ -16,13 +16,18 @@ is 0.8 or more. With weights of one this is the plain Jaccard similarity.
    of its earliest arrival, and a shingle stops as soon as its next arrival is later than
    every register of its text. P(two registers agree) = J_P.
 3. Banding: ``BANDS`` x ``ROWS`` registers. In each bucket every text is paired with the
-   smallest and the largest id of the bucket only, never with all others.
-4. Verification: J_P of each pair is computed exactly from the whole texts.
+   smallest and the largest id of the bucket, which connects most families at once.
+4. Verification: pairs whose registers agree too seldom are dropped (``FLOOR``, more than four
+   standard deviations below the threshold); J_P of the others is computed exactly from the
+   whole texts.
 5. Classes are the connected components of the verified links; the smallest ``doc_id``
-   names the class.
+   names the class. Where texts of different classes still share a bucket, they are paired
+   across the classes, and 4 and 5 are repeated: in buckets of up to ``SMALL`` texts all of
+   them, in larger ones each text with about ``LEADERS`` texts drawn anew in every round, until
+   a round finds no link. Texts of one class are never paired again, so the pairs stay
+   linear in the bucket.
 
-At J_P = 0.8 a pair shares no bucket with probability (1 - 0.8^4)^24 < 4e-6. In a bucket
-that mixes several families, members are linked through their own family's other buckets.
+At J_P = 0.8 a pair shares no bucket with probability (1 - 0.8^4)^24 < 4e-6.
 
 Defined results: rows that share a ``doc_id`` are one document with several texts and share
 a class; a null text, or a null ``doc_id``, joins no class (class null for a null id); empty
@@ -44,6 +49,8 @@ SHINGLE = 5
 THRESHOLD = 0.8
 BANDS, ROWS = 24, 4
 REGISTERS = BANDS * ROWS
+FLOOR = 0.62
+SMALL, LEADERS = 64, 8
 
 _WORD = bytes((b | 0x20 if 0x41 <= b <= 0x5A else b) if b >= 0x80 or chr(b).isalnum() else 0x20 for b in range(256))
 _P = 0x9E3779B97F4A7C15
@@ -152,53 +159,88 @@ def similarity(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray
 
 
 def sketches(docs: DataFrame, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
-    """``doc_id``, ``content`` (128-bit hash of the word sequence) and the keys of the bands (null without words)."""
+    """``doc_id``, ``content`` (128-bit hash of the word sequence), the keys of the bands and a byte of each register
+    (both null without words)."""
     prepare(docs.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seed = _mix(np.arange(1, bands + 1, dtype=np.uint64))
         for batch in slices(batches, "text"):
-            contents, keys = [], []
+            contents, keys, bytes_ = [], [], []
             for text in batch.column("text").to_pylist():
                 words = word_hashes(text)
                 contents.append(hashlib.blake2b(words.tobytes() if len(words) else b"\0" + text.encode(),
                                                 digest_size=16).hexdigest())
                 if not len(words):
                     keys.append(None)
+                    bytes_.append(None)
                     continue
-                held = signature(*shingles(words), bands * rows).reshape(bands, rows)
+                held = signature(*shingles(words), bands * rows)
+                bytes_.append(_mix(held).astype(np.uint8).tobytes())
+                held = held.reshape(bands, rows)
                 key = seed.copy()
                 for k in range(rows):
                     key = _mix(key ^ held[:, k]) * _U(_P)
                 keys.append(key.view(np.int64))
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array(contents), pa.array(keys, pa.list_(pa.int64()))],
-                ["doc_id", "content", "bands"])
+                [batch.column("doc_id"), pa.array(contents), pa.array(keys, pa.list_(pa.int64())), pa.array(bytes_, pa.binary())],
+                ["doc_id", "content", "bands", "registers"])
 
     return docs.where("doc_id IS NOT NULL AND text IS NOT NULL") \
         .select(F.col("doc_id").cast("long"), F.col("text").cast("string")) \
-        .mapInArrow(run, "doc_id long, content string, bands array<long>")
+        .mapInArrow(run, "doc_id long, content string, bands array<long>, registers binary")
 
 
-def candidates(members: DataFrame) -> DataFrame:
-    """Distinct pairs (a, b), a < b: every text with the smallest and the largest id of each of its buckets.
+def shared_buckets(members: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Buckets of two texts and more (``bucket``, ``low``, ``high``, ``n``), and their rows (``bucket``, ``id``).
 
     ``members``: one row per distinct text (``doc_id``, ``bands``)."""
     keyed = members.select(F.col("doc_id").alias("id"), F.explode("bands").alias("bucket"))
-    # written, so that the join below can split a bucket that many texts share
-    ends = table(keyed.groupBy("bucket").agg(F.min("id").alias("low"), F.max("id").alias("high")).where("low < high"),
-                 "buckets")
-    met = keyed.join(ends, "bucket")
-    pairs = met.select(F.explode(F.array(F.struct(F.col("low").alias("a"), F.col("id").alias("b")),
-                                         F.struct(F.col("id").alias("a"), F.col("high").alias("b")))).alias("p"))
+    # written, so that the join can split a bucket that many texts share
+    ends = table(keyed.groupBy("bucket").agg(F.min("id").alias("low"), F.max("id").alias("high"), F.count("*").alias("n"))
+                 .where("low < high"), "buckets")
+    return ends, table(keyed.join(ends, "bucket").select("bucket", "id", "low", "high", "n"), "bucket-rows")
+
+
+def star_pairs(rows: DataFrame) -> DataFrame:
+    """Distinct pairs (a, b), a < b: every text with the smallest and the largest id of each of its buckets."""
+    pairs = rows.select(F.explode(F.array(F.struct(F.col("low").alias("a"), F.col("id").alias("b")),
+                                          F.struct(F.col("id").alias("a"), F.col("high").alias("b")))).alias("p"))
     return pairs.select("p.a", "p.b").where("a < b").distinct()
 
 
-def verified(pairs: DataFrame, docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """Pairs whose texts reach ``threshold``; both texts are read whole. A document with several texts
-    links when any of them does."""
-    texts = docs.where("doc_id IS NOT NULL AND text IS NOT NULL").select(F.col("doc_id").cast("long"),
-                                                                         F.col("text").cast("string"))
+def crossing_pairs(rows: DataFrame, names: DataFrame, tested: DataFrame, turn: int) -> DataFrame:
+    """Untested pairs of texts that share a bucket and not yet a class (``names``: ``id``, ``class_id`` of linked ids)."""
+    named = table(rows.join(names, "id", "left").select("bucket", "id", "n", F.coalesce("class_id", "id").alias("c")), "named")
+    mixed = table(named.groupBy("bucket").agg(F.min("c").alias("c0"), F.max("c").alias("c1")).where("c0 < c1").select("bucket"),
+                  "mixed")
+    left = table(named.join(mixed, "bucket"), "mixed-rows")
+    # a whole small bucket, or some texts of a large one, drawn by a hash without gathering the bucket
+    drawn = F.pmod(F.xxhash64("id", "bucket", F.lit(turn)), F.col("n")) < F.when(F.col("n") <= SMALL, F.col("n")).otherwise(LEADERS)
+    leaders = table(left.where(drawn).select("bucket", F.col("id").alias("other"), F.col("c").alias("oc")), "leaders")
+    met = left.join(leaders, "bucket").where("c <> oc AND (n > {0} OR id < other)".format(SMALL))
+    return met.select(F.least("id", "other").alias("a"), F.greatest("id", "other").alias("b")).distinct() \
+        .join(tested, ["a", "b"], "left_anti")
+
+
+def promising(pairs: DataFrame, members: DataFrame, floor: float = FLOOR) -> DataFrame:
+    """Pairs whose registers agree in a share of ``floor`` or more."""
+    held = members.select(F.col("doc_id"), F.col("registers"))
+    both = pairs.join(held.toDF("a", "ra"), "a").join(held.toDF("b", "rb"), "b").select("a", "b", "ra", "rb")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if batch.num_rows:
+                x, y = (np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint8).reshape(batch.num_rows, -1) for c in ("ra", "rb"))
+                yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b")], ["a", "b"]) \
+                    .filter(pa.array((x == y).mean(axis=1) >= floor))
+
+    return both.mapInArrow(run, "a long, b long").distinct()
+
+
+def verified(pairs: DataFrame, texts: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
+    """Pairs whose texts (``doc_id``, ``text``) reach ``threshold``; both are read whole. A document with
+    several texts links when any of them does."""
     both = pairs.join(texts.toDF("a", "text_a"), "a").join(texts.toDF("b", "text_b"), "b") \
         .select("a", "b", "text_a", "text_b")
 
@@ -251,16 +293,27 @@ def classes(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """``doc_id``, ``class_id`` and ``exact_id`` (smallest id with the same word sequence) of every row of ``docs``."""
     found = table(sketches(docs), "sketches")
     exact = table(found.groupBy("content").agg(F.min("doc_id").alias("exact_id")), "contents")
-    members = table(found.join(exact, "content").select("doc_id", "exact_id", F.when(F.col("doc_id") == F.col("exact_id"),
-                                                                                    F.col("bands")).alias("bands")), "members")
-    pairs = table(candidates(members.where("bands IS NOT NULL").groupBy("doc_id", "bands").agg(F.count("*"))
-                             .select("doc_id", "bands")), "pairs")
-    near = verified(pairs, docs, threshold)
+    members = table(found.join(exact, "content").select("doc_id", "exact_id", *[F.when(F.col("doc_id") == F.col("exact_id"), F.col(c)).alias(c)
+                                                                 for c in ("bands", "registers")]), "members")
+    distinct = table(members.where("bands IS NOT NULL"), "distinct")
+    _, rows = shared_buckets(distinct)
     # copies: each row is linked to the first document with its words (a document may have several texts)
     shared = members.where("doc_id <> exact_id").groupBy("doc_id").agg(F.min("exact_id").alias("low"),
                                                                       F.max("exact_id").alias("high"))
-    copies = shared.selectExpr("doc_id AS a", "low AS b").unionByName(shared.selectExpr("doc_id AS a", "high AS b"))
-    linked = components(near.unionByName(copies))
+    links = table(shared.selectExpr("doc_id AS a", "low AS b").unionByName(shared.selectExpr("doc_id AS a", "high AS b")), "copies")
+    ids = table(rows.select(F.col("id").alias("doc_id")).distinct(), "bucket-ids")
+    texts = table(docs.where("text IS NOT NULL").select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
+                  .join(ids, "doc_id", "left_semi"), "bucket-texts")
+    pairs = tested = table(star_pairs(rows), "pairs")
+    linked, turn = components(links), 0
+    while not pairs.isEmpty():
+        found = table(verified(promising(pairs, distinct), texts, threshold), "links")
+        if found.isEmpty() and turn:
+            break
+        links = table(links.unionByName(found), "links")
+        linked, turn = components(links), turn + 1
+        pairs = table(crossing_pairs(rows, linked, tested, turn), "pairs")
+        tested = tested.unionByName(pairs)
     exact_of = members.groupBy("doc_id").agg(F.min("exact_id").alias("exact_id"))
     rows = docs.select(F.col("doc_id").cast("long"))
     return rows.join(exact_of, "doc_id", "left").join(linked.withColumnRenamed("id", "doc_id"), "doc_id", "left") \

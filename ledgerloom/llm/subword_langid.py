@@ -36,8 +36,7 @@ REJECT_SHARE = 0.002
 UND = "und"
 _LETTER = re.compile(r"[^\W\d_]")
 _KEEP = bytes(b if b >= 0x80 or chr(b).isalpha() else 0x20 for b in range(256))
-_BLOCK = 1 << 19
-_PAD = b" " * max(GRAMS)
+_BLOCK = 1 << 15
 
 
 @dataclass(frozen=True)
@@ -83,7 +82,7 @@ def grams(text: str) -> np.ndarray:
 
 def means(texts: list[str], table: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Mean embedding and number of n-grams of each text, in blocks of bounded size over whole texts."""
-    parts = [b" " + normal(t) + _PAD for t in texts]
+    parts = [b" " + normal(t) + b" " for t in texts]
     sizes = np.array([len(p) for p in parts])
     ends = np.cumsum(sizes)
     starts = ends - sizes
@@ -96,11 +95,13 @@ def means(texts: list[str], table: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         cuts = np.maximum(starts[first:last], at) - at
         for n in GRAMS:
             rows = table[hashes(raw[at:to + n - 1], n)]
+            over = np.maximum(ends[first:last, None] - np.arange(1, n), starts[first:last, None]).ravel() - at
+            rows[over[(over >= 0) & (over < len(rows))]] = 0        # would reach into the next text
             keep = cuts[cuts < len(rows)]
             if len(keep):
                 total[first:first + len(keep)] += np.add.reduceat(rows, keep, axis=0)
-    count = sizes * len(GRAMS)
-    return (total / count[:, None]).astype(np.float32), count
+    count = sum(np.maximum(sizes - n + 1, 0) for n in GRAMS)
+    return (total / np.maximum(count, 1)[:, None]).astype(np.float32), count
 
 
 def held_out(doc_id: str = "doc_id") -> Column:

@@ -6,7 +6,8 @@ given by the caller, or else by ``weak_labels``: the verdict of a rule that fits
 ``block`` when the host holds a term of a fixed list, else ``allow``. Features see no
 terms, only shape: lengths, depth, digit and hyphen shares, character entropy,
 parameter counts, and the smoothed share of blocked URLs per host suffix and per
-suffix with first path segment (statistics of the fitting sample).
+suffix with first path segment (statistics of the sample; a row
+of the sample gets those of the half that it is not in).
 
 Defined results: a null URL, or one without ``://``, has an empty host and path, fits no
 rule and is allowed; an empty table gives an empty result; if the sample holds one label
@@ -93,17 +94,20 @@ def weak_labels(parts: DataFrame, terms=TERMS) -> Column:
     return F.coalesce((F.col("rule_verdict") == "block").cast("double"), bad.cast("double"))
 
 
-def suffix_statistics(labelled: DataFrame, key: str) -> DataFrame:
+def suffix_statistics(labelled: DataFrame, key: str, *more: str) -> DataFrame:
     """Smoothed share of blocked URLs and their number per value of ``key``; at most a row per sampled URL."""
-    return labelled.groupBy(F.col(key).alias(f"{key}_key")).agg(
+    return labelled.groupBy(F.col(key).alias(f"{key}_key"), *more).agg(
         ((F.sum("label") + 1) / (F.count("*") + 2)).alias(f"{key}_block"), F.log1p(F.count("*").cast("double")).alias(f"{key}_seen"))
 
 
-def with_statistics(rows: DataFrame, statistics: dict[str, DataFrame]) -> DataFrame:
+def with_statistics(rows: DataFrame, statistics: dict[str, DataFrame], *more: str) -> DataFrame:
     for key, frame in statistics.items():
-        rows = rows.join(F.broadcast(frame), rows[key] == frame[f"{key}_key"], "left") \
+        met = rows[key] == frame[f"{key}_key"]
+        for c in more:
+            met = met & (rows[c] == frame[f"_{c}"])
+        rows = rows.join(F.broadcast(frame), met, "left") \
             .withColumns({f"{key}_block": F.coalesce(f"{key}_block", F.lit(0.5)),
-                          f"{key}_seen": F.coalesce(f"{key}_seen", F.lit(0.0))}).drop(f"{key}_key")
+                          f"{key}_seen": F.coalesce(f"{key}_seen", F.lit(0.0))}).drop(f"{key}_key", *[f"_{c}" for c in more])
     return rows
 
 
@@ -122,8 +126,11 @@ def judge(pages: DataFrame, rules=RULES, labelled: DataFrame | None = None, samp
     share = min(1.0, sample_rows / max(total, 1))
     order = F.xxhash64("url", F.lit(3))
     chosen = table(known.where(F.pmod(order, F.lit(1 << 30)) < int(share * (1 << 30))).orderBy(order, "url")
-                   .limit(2 * sample_rows).drop("page_id"), "url-sample")
+                   .limit(2 * sample_rows).drop("page_id").withColumn("half", F.pmod(F.xxhash64("url", F.lit(4)), F.lit(2))), "url-sample")
     statistics = {key: table(suffix_statistics(chosen, key), f"url-{key}") for key in ("suffix", "segment")}
+    # a fitted row gets the statistics of the other half of the sample, never of its own label
+    halves = {key: table(suffix_statistics(chosen, key, "half").withColumn("_half", 1 - F.col("half")).drop("half"),
+                         f"url-{key}-halves") for key in ("suffix", "segment")}
     assembler = VectorAssembler(inputCols=list(FEATURES), outputCol="features")
     labels = [r["label"] for r in chosen.select("label").distinct().collect()]
     told = with_statistics(rows, statistics)
@@ -131,9 +138,9 @@ def judge(pages: DataFrame, rules=RULES, labelled: DataFrame | None = None, samp
         only = "block" if labels == [1.0] else "allow"
         told = told.withColumn("model_verdict", F.lit(only))
     else:
-        fitted = assembler.transform(with_statistics(chosen, statistics)).select("features", "label")
-        model = GBTClassifier(maxIter=trees, maxDepth=depth, maxBins=32, stepSize=0.3, seed=5, cacheNodeIds=False) \
-            .fit(fitted.repartition(4).cache())
+        fitted = table(assembler.transform(with_statistics(chosen, halves, "half")).select("features", "label")
+                       .repartition(4), "url-features")
+        model = GBTClassifier(maxIter=trees, maxDepth=depth, maxBins=32, stepSize=0.3, seed=5).fit(fitted)
         told = model.transform(assembler.transform(told)) \
             .withColumn("model_verdict", F.when(F.col("prediction") == 1, "block").otherwise("allow"))
     verdict = F.coalesce("rule_verdict", F.when(F.col("host") == "", "allow"), F.col("model_verdict"))
