@@ -1,0 +1,89 @@
+"""Distinct-chunk tables against the libraries, and the codec's table cases."""
+
+import hashlib
+
+import numpy as np
+import pytest
+from hypothesis import given, settings, strategies as st
+
+from ledgerloom.llm import piece_codec
+from ledgerloom.llm.vocab import ByteVocab, ChunkTable, PieceVocab, byte_vocab, default_path, piece_vocab
+
+ODD = ["", " ", "  ", "a ", " a", "a  b", "a \n b", "x\t y\n\n z  \n", "▁a▁ ▁", "日本 語 \x00 é\x1c! b", "<s> </s> <|endoftext|>",
+       "a\xa0 b \x85 c", " " * 100 + "b" + " " * 70, "x" * 3000 + " y", "naïve café.\nNew line  two", "don't we'll I'm 12 345"]
+
+
+@pytest.fixture(scope="module")
+def pieces():
+    import sentencepiece
+    return sentencepiece.SentencePieceProcessor(model_file=default_path("piece_bpe_32k.model"))
+
+
+@pytest.fixture(scope="module")
+def bytes_json():
+    from tokenizers import Tokenizer
+    t = Tokenizer.from_file(default_path("byte_bpe_50k.json"))
+    t.encode_special_tokens = True
+    return t
+
+
+def same_pieces(pieces, texts):
+    for text, (ids, decoded) in zip(texts, piece_vocab().encode_decode(texts)):
+        want = pieces.encode(text, add_bos=True, add_eos=True)
+        assert np.frombuffer(ids, "<u4").tolist() == want and decoded == pieces.decode(want), repr(text)
+
+
+def same_bytes(bytes_json, texts):
+    for text, ids in zip(texts, byte_vocab().encode(texts)):
+        assert np.frombuffer(ids, "<u4").tolist() == bytes_json.encode(text, add_special_tokens=False).ids, repr(text)
+
+
+def test_odd_texts(pieces, bytes_json):
+    same_pieces(pieces, ODD)
+    same_bytes(bytes_json, ODD)
+
+
+_text = st.text(st.sampled_from(list("ab é.▁ \n\t\x1c\x85日'1!")), max_size=40) | st.text(max_size=30)
+
+
+@settings(max_examples=150, deadline=None)
+@given(texts=st.lists(_text, max_size=4))
+def test_any_texts(pieces, bytes_json, texts):
+    same_pieces(pieces, texts)
+    same_bytes(bytes_json, texts)
+
+
+def test_table_stays_bounded_and_right(pieces):
+    vocab = PieceVocab(limit=50)
+    texts = [" ".join(f"w{i}x{j}" for j in range(20)) for i in range(30)] + ["y" * 500 + " z"]
+    for _ in range(2):
+        for text in texts:
+            assert np.frombuffer(vocab.encode([text])[0], "<u4").tolist() == pieces.encode(text)
+            assert len(vocab._ids.known) <= 50
+    assert [np.frombuffer(x, "<u4").tolist() for x in vocab.encode(texts)] == pieces.encode(texts)
+    small = ByteVocab(limit=8)
+    assert small.encode(texts) == byte_vocab().encode(texts)
+
+
+def test_each_chunk_is_segmented_once():
+    seen = []
+    table = ChunkTable(lambda x: seen.extend(x) or [c.upper() for c in x])
+    assert table.values([["a", "b", "a"], ["b"]]) == [["A", "B", "A"], ["B"]]
+    assert table.values([["a", "c"]]) == [["A", "C"]]
+    assert sorted(seen) == ["a", "b", "c"]
+
+
+def test_codec_query_cases(spark, pieces):
+    long = "Wort und  Wort. " * 20_000
+    rows = [(1, "a b", "x"), (1, "a b", "x"), (2, None, "x"), (3, "", "x"), (None, "é\n", "x"), (4, long, "x")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, n_tokens string")
+    got = sorted(piece_codec.digests(docs).collect(), key=lambda r: (r.doc_id or 0, r.n_tokens))
+    want = []
+    for doc_id, text, _ in rows:
+        ids = pieces.encode(text or "", add_bos=True, add_eos=True)
+        want.append((doc_id, len(ids), hashlib.sha256(np.array(ids, "<u4").tobytes()).hexdigest(),
+                     hashlib.sha256(pieces.decode(ids).encode()).hexdigest()))
+    assert [tuple(r) for r in got] == sorted(want, key=lambda r: (r[0] or 0, r[1]))
+    row = piece_codec.encode(docs.where("doc_id = 4")).first()
+    assert row.decoded == long and len(row.ids) == 4 * len(pieces.encode(long, add_bos=True, add_eos=True))
+    assert piece_codec.digests(docs.limit(0)).count() == 0
