@@ -22,12 +22,14 @@ is 0.8 or more. With weights of one this is the plain Jaccard similarity.
    whole texts.
 5. Classes are the connected components of the verified links; the smallest ``doc_id``
    names the class. Where texts of different classes still share a bucket, they are paired
-   across the classes, and 4 and 5 are repeated: in buckets of up to ``SMALL`` texts all of
-   them, in larger ones each text with about ``LEADERS`` texts drawn anew in every round, until
-   a round finds no link. Texts of one class are never paired again, so the pairs stay
-   linear in the bucket.
+   across the classes, and 4 and 5 are done once more. Buckets of more than ``SMALL`` texts
+   (families, or texts that share a passage) are first parted by ``PARTS`` further bands
+   each; in groups of up to ``SMALL`` texts all are paired across classes, in larger ones each
+   with about ``LEADERS`` drawn by a hash. Texts of one class are never paired again, so
+   the pairs stay linear in the bucket.
 
-At J_P = 0.8 a pair shares no bucket with probability (1 - 0.8^4)^24 < 4e-6.
+At J_P = 0.8 a pair shares no bucket with probability (1 - 0.8^4)^24 < 4e-6, and is expected to
+share ten of them.
 
 Defined results: rows that share a ``doc_id`` are one document with several texts and share
 a class; a null text, or a null ``doc_id``, joins no class (class null for a null id); empty
@@ -50,7 +52,7 @@ THRESHOLD = 0.8
 BANDS, ROWS = 24, 4
 REGISTERS = BANDS * ROWS
 FLOOR = 0.62
-SMALL, LEADERS = 64, 8
+SMALL, LEADERS, PARTS = 12, 8, 3
 
 _WORD = bytes((b | 0x20 if 0x41 <= b <= 0x5A else b) if b >= 0x80 or chr(b).isalnum() else 0x20 for b in range(256))
 _P = 0x9E3779B97F4A7C15
@@ -209,22 +211,30 @@ def star_pairs(rows: DataFrame) -> DataFrame:
     return pairs.select("p.a", "p.b").where("a < b").distinct()
 
 
-def crossing_pairs(rows: DataFrame, names: DataFrame, tested: DataFrame, turn: int) -> DataFrame:
+def crossing_pairs(rows: DataFrame, members: DataFrame, names: DataFrame, tested: DataFrame) -> DataFrame:
     """Untested pairs of texts that share a bucket and not yet a class (``names``: ``id``, ``class_id`` of linked ids)."""
-    named = table(rows.join(names, "id", "left").select("bucket", "id", "n", F.coalesce("class_id", "id").alias("c")), "named")
-    mixed = table(named.groupBy("bucket").agg(F.min("c").alias("c0"), F.max("c").alias("c1")).where("c0 < c1").select("bucket"),
-                  "mixed")
-    left = table(named.join(mixed, "bucket"), "mixed-rows")
-    # a whole small bucket, or some texts of a large one, drawn by a hash without gathering the bucket
-    drawn = F.pmod(F.xxhash64("id", "bucket", F.lit(turn)), F.col("n")) < F.when(F.col("n") <= SMALL, F.col("n")).otherwise(LEADERS)
-    leaders = table(left.where(drawn).select("bucket", F.col("id").alias("other"), F.col("c").alias("oc")), "leaders")
-    met = left.join(leaders, "bucket").where("c <> oc AND (n > {0} OR id < other)".format(SMALL))
+    def mixed(frame: DataFrame, name: str) -> DataFrame:
+        found = table(frame.groupBy("bucket").agg(F.min("c").alias("c0"), F.max("c").alias("c1"), F.count("*").alias("n"))
+                      .where("c0 < c1").select("bucket", "n"), f"{name}-mixed")
+        return table(frame.join(found, "bucket"), f"{name}-rows")
+
+    named = table(rows.join(names, "id", "left").select("bucket", "id", F.coalesce("class_id", "id").alias("c")), "named")
+    whole = mixed(named, "bucket")
+    bands = members.select(F.col("doc_id").alias("id"), "bands")
+    at, many = F.array_position("bands", F.col("bucket")).cast("int"), F.size("bands")
+    parts = F.array(*[F.xxhash64("bucket", F.element_at("bands", (at - 1 + k) % many + 1)) for k in range(1, PARTS + 1)])
+    parted = whole.where(F.col("n") > SMALL).join(bands, "id").select(F.explode(parts).alias("bucket"), "id", "c")
+    groups = table(whole.where(F.col("n") <= SMALL).unionByName(mixed(parted, "part")), "groups")
+    # a whole small group, or some texts of a large one, drawn by a hash without gathering the group
+    drawn = F.pmod(F.xxhash64("id", "bucket"), F.col("n")) < F.when(F.col("n") <= SMALL, F.col("n")).otherwise(LEADERS)
+    leaders = table(groups.where(drawn).select("bucket", F.col("id").alias("other"), F.col("c").alias("oc")), "leaders")
+    met = groups.join(leaders, "bucket").where(f"c <> oc AND (n > {SMALL} OR id < other)")
     return met.select(F.least("id", "other").alias("a"), F.greatest("id", "other").alias("b")).distinct() \
         .join(tested, ["a", "b"], "left_anti")
 
 
 def promising(pairs: DataFrame, members: DataFrame, floor: float = FLOOR) -> DataFrame:
-    """Pairs whose registers agree in a share of ``floor`` or more."""
+    """Pairs whose registers agree in a share of ``floor`` or more (again for each of a document's texts)."""
     held = members.select(F.col("doc_id"), F.col("registers"))
     both = pairs.join(held.toDF("a", "ra"), "a").join(held.toDF("b", "rb"), "b").select("a", "b", "ra", "rb")
 
@@ -235,7 +245,7 @@ def promising(pairs: DataFrame, members: DataFrame, floor: float = FLOOR) -> Dat
                 yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b")], ["a", "b"]) \
                     .filter(pa.array((x == y).mean(axis=1) >= floor))
 
-    return both.mapInArrow(run, "a long, b long").distinct()
+    return both.mapInArrow(run, "a long, b long")
 
 
 def verified(pairs: DataFrame, texts: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
@@ -261,19 +271,16 @@ def verified(pairs: DataFrame, texts: DataFrame, threshold: float = THRESHOLD) -
             yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b")], ["a", "b"]) \
                 .filter(pa.array(good, pa.bool_()))
 
-    return both.mapInArrow(run, "a long, b long").distinct()
+    return both.mapInArrow(run, "a long, b long")
 
 
 def components(links: DataFrame) -> DataFrame:
     """``id`` and ``class_id`` (the smallest id of its connected component) of every linked id.
 
-    Rounds of large-star and small-star; each round's links are written to the shared folder,
-    and the rounds end when the links no longer change."""
+    Rounds of large-star and small-star; each round's links are written to the shared folder, and
+    the rounds end when every component is a star around its smallest id."""
     edges = table(links.selectExpr("greatest(a, b) AS u", "least(a, b) AS v").where("u <> v").distinct(), "links")
-    if edges.isEmpty():
-        return edges.selectExpr("u AS id", "v AS class_id")
-    seen = None
-    while True:
+    while not _all_stars(edges):
         both = edges.unionByName(edges.selectExpr("v AS u", "u AS v"))
         least = table(both.groupBy("u").agg(F.min("v").alias("m")).selectExpr("u", "least(u, m) AS m"), "least")
         large = both.join(least, "u").where("v > u AND v <> m").selectExpr("v AS u", "m AS v") \
@@ -283,10 +290,14 @@ def components(links: DataFrame) -> DataFrame:
         small = down.join(low, "u").where("v <> m").selectExpr("v AS u", "m AS v") \
             .unionByName(low.selectExpr("u", "m AS v")).where("u <> v").distinct()
         edges = table(small, "links")
-        now = tuple(edges.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first())
-        if now == seen:
-            return edges.selectExpr("u AS id", "v AS class_id")
-        seen = now
+    return edges.selectExpr("u AS id", "v AS class_id")
+
+
+def _all_stars(edges: DataFrame) -> bool:
+    """No id is linked down (u > v) twice, or both down and up."""
+    ends = edges.selectExpr("stack(2, u, 1, 0, v, 0, 1) AS (x, down, up)").groupBy("x") \
+        .agg(F.sum("down").alias("down"), F.max("up").alias("up"))
+    return ends.where("down > 1 OR (down = 1 AND up = 1)").isEmpty()
 
 
 def classes(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
@@ -304,16 +315,13 @@ def classes(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     ids = table(rows.select(F.col("id").alias("doc_id")).distinct(), "bucket-ids")
     texts = table(docs.where("text IS NOT NULL").select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
                   .join(ids, "doc_id", "left_semi"), "bucket-texts")
-    pairs = tested = table(star_pairs(rows), "pairs")
-    linked, turn = components(links), 0
-    while not pairs.isEmpty():
-        found = table(verified(promising(pairs, distinct), texts, threshold), "links")
-        if found.isEmpty() and turn:
-            break
-        links = table(links.unionByName(found), "links")
-        linked, turn = components(links), turn + 1
-        pairs = table(crossing_pairs(rows, linked, tested, turn), "pairs")
-        tested = tested.unionByName(pairs)
+    def near(pairs: DataFrame) -> DataFrame:
+        return verified(promising(pairs, distinct), texts, threshold)
+
+    pairs = table(star_pairs(rows), "pairs")
+    links = table(links.unionByName(near(pairs)), "links")
+    more = table(crossing_pairs(rows, distinct, components(links), pairs), "pairs")
+    linked = components(links.unionByName(near(more)))
     exact_of = members.groupBy("doc_id").agg(F.min("exact_id").alias("exact_id"))
     rows = docs.select(F.col("doc_id").cast("long"))
     return rows.join(exact_of, "doc_id", "left").join(linked.withColumnRenamed("id", "doc_id"), "doc_id", "left") \

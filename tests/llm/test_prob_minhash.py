@@ -126,9 +126,9 @@ def test_pairs_per_bucket_are_linear(spark):
     assert ends.count() == 2 and rows.count() == 4000 and m.star_pairs(rows).count() <= 2 * 2000
     none = spark.createDataFrame([], "id long, class_id long")
     tested = m.star_pairs(rows)
-    assert m.crossing_pairs(rows, none, tested, 1).count() <= 2 * 3 * m.LEADERS * 2000
+    assert 0 < m.crossing_pairs(rows, members, none, tested).count() <= 3 * m.LEADERS * m.PARTS * 2 * 2000
     one = spark.range(2000).selectExpr("id", "0L AS class_id")
-    assert m.crossing_pairs(rows, one, tested, 1).count() == 0
+    assert m.crossing_pairs(rows, members, one, tested).count() == 0
 
 
 def test_copies_of_a_base_that_are_no_copies_of_each_other(spark):
