@@ -205,10 +205,10 @@ def top_k(frame: DataFrame, queries: DataFrame, k: int = 20, scale: int = SCALE,
                 wanted = wanted[:, :max(held.values.shape[1], 1)]
                 query, found, score = search(held, ids, wanted, k)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(row["q"] * (1 << 20) + query, pa.int64()), pa.array(ids[query]), pa.array(held.ids[found]),
-                     pa.array(score, pa.int64())], ["q", "query_id", "vec_id", "score"])
+                    [pa.array(np.full(len(query), row["q"])), pa.array(query, pa.int64()), pa.array(ids[query]),
+                     pa.array(held.ids[found]), pa.array(score, pa.int64())], ["q", "nth", "query_id", "vec_id", "score"])
 
-    best = met.mapInArrow(run, "q long, query_id long, vec_id long, score long")
-    order = Window.partitionBy("q").orderBy(F.desc("score"), "vec_id")
+    best = met.mapInArrow(run, "q long, nth long, query_id long, vec_id long, score long")
+    order = Window.partitionBy("q", "nth").orderBy(F.desc("score"), "vec_id")
     return best.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k) \
         .select("query_id", "rank", "vec_id", "score")
