@@ -52,7 +52,7 @@ THRESHOLD = 0.8
 BANDS, ROWS = 24, 4
 REGISTERS = BANDS * ROWS
 FLOOR = 0.62
-SMALL, LEADERS, PARTS = 12, 8, 3
+SMALL, LEADERS, PARTS = 12, 3, 3
 
 _WORD = bytes((b | 0x20 if 0x41 <= b <= 0x5A else b) if b >= 0x80 or chr(b).isalnum() else 0x20 for b in range(256))
 _P = 0x9E3779B97F4A7C15
@@ -306,7 +306,7 @@ def classes(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     exact = table(found.groupBy("content").agg(F.min("doc_id").alias("exact_id")), "contents")
     members = table(found.join(exact, "content").select("doc_id", "exact_id", *[F.when(F.col("doc_id") == F.col("exact_id"), F.col(c)).alias(c)
                                                                  for c in ("bands", "registers")]), "members")
-    distinct = table(members.where("bands IS NOT NULL"), "distinct")
+    distinct = members.where("bands IS NOT NULL")
     _, rows = shared_buckets(distinct)
     # copies: each row is linked to the first document with its words (a document may have several texts)
     shared = members.where("doc_id <> exact_id").groupBy("doc_id").agg(F.min("exact_id").alias("low"),
