@@ -16,6 +16,8 @@ from ledgerloom.session import scratch_path
 
 #: Arrow batches handed to Python stay below this many bytes, whatever the texts' lengths.
 BATCH_BYTES = 16 << 20
+#: Rows a file of narrow rows gets at least, where their number is known beforehand.
+PART_ROWS = 50_000
 
 
 def prepare(spark: SparkSession) -> None:
@@ -33,15 +35,16 @@ def prepare(spark: SparkSession) -> None:
     sc._ledgerloom_sent = True
 
 
-def table(df: DataFrame, name: str) -> DataFrame:
+def table(df: DataFrame, name: str, most_rows: int | None = None) -> DataFrame:
     """Write ``df`` as Parquet below the shared checkpoint folder and read it back.
 
     Cuts the lineage: a lost executor re-reads the files instead of recomputing
-    Python stages, and later jobs see exactly the rows that were written.
+    Python stages, and later jobs see exactly the rows that were written. ``most_rows``, a bound
+    of the number of (narrow) rows, keeps small results from being written as many tiny files.
     """
     spark = df.sparkSession
     path = scratch_path(spark, name)
-    df.write.parquet(path)
+    (df if most_rows is None else df.coalesce(1 + most_rows // PART_ROWS)).write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 

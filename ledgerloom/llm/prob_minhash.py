@@ -213,21 +213,25 @@ def star_pairs(rows: DataFrame) -> DataFrame:
 
 def crossing_pairs(rows: DataFrame, members: DataFrame, names: DataFrame, tested: DataFrame) -> DataFrame:
     """Untested pairs of texts that share a bucket and not yet a class (``names``: ``id``, ``class_id`` of linked ids)."""
-    def mixed(frame: DataFrame, name: str) -> DataFrame:
+    most = rows.count()
+
+    def mixed(frame: DataFrame, name: str, most: int) -> DataFrame:
         found = table(frame.groupBy("bucket").agg(F.min("c").alias("c0"), F.max("c").alias("c1"), F.count("*").alias("n"))
-                      .where("c0 < c1").select("bucket", "n"), f"{name}-mixed")
-        return table(frame.join(found, "bucket"), f"{name}-rows")
+                      .where("c0 < c1").select("bucket", "n"), f"{name}-mixed", most)
+        return table(frame.join(found, "bucket"), f"{name}-rows", most)
 
-    named = table(rows.join(names, "id", "left").select("bucket", "id", F.coalesce("class_id", "id").alias("c")), "named")
-    whole = mixed(named, "bucket")
+    named = table(rows.join(names, "id", "left").select("bucket", "id", F.coalesce("class_id", "id").alias("c")), "named", most)
+    whole = mixed(named, "bucket", most)
     bands = members.select(F.col("doc_id").alias("id"), "bands")
     at, many = F.array_position("bands", F.col("bucket")).cast("int"), F.size("bands")
     parts = F.array(*[F.xxhash64("bucket", F.element_at("bands", (at - 1 + k) % many + 1)) for k in range(1, PARTS + 1)])
     parted = whole.where(F.col("n") > SMALL).join(bands, "id").select(F.explode(parts).alias("bucket"), "id", "c")
-    groups = table(whole.where(F.col("n") <= SMALL).unionByName(mixed(parted, "part")), "groups")
+    groups = table(whole.where(F.col("n") <= SMALL).unionByName(mixed(parted, "part", PARTS * most)), "groups",
+                   (PARTS + 1) * most)
     # a whole small group, or some texts of a large one, drawn by a hash without gathering the group
     drawn = F.pmod(F.xxhash64("id", "bucket"), F.col("n")) < F.when(F.col("n") <= SMALL, F.col("n")).otherwise(LEADERS)
-    leaders = table(groups.where(drawn).select("bucket", F.col("id").alias("other"), F.col("c").alias("oc")), "leaders")
+    leaders = table(groups.where(drawn).select("bucket", F.col("id").alias("other"), F.col("c").alias("oc")), "leaders",
+                    (PARTS + 1) * most)
     met = groups.join(leaders, "bucket").where(f"c <> oc AND (n > {SMALL} OR id < other)")
     return met.select(F.least("id", "other").alias("a"), F.greatest("id", "other").alias("b")).distinct() \
         .join(tested, ["a", "b"], "left_anti")
@@ -281,15 +285,16 @@ def components(links: DataFrame) -> DataFrame:
     the rounds end when every component is a star around its smallest id."""
     edges = table(links.selectExpr("greatest(a, b) AS u", "least(a, b) AS v").where("u <> v").distinct(), "links")
     while not _all_stars(edges):
+        most = 2 * edges.count()                    # of any table of this round
         both = edges.unionByName(edges.selectExpr("v AS u", "u AS v"))
-        least = table(both.groupBy("u").agg(F.min("v").alias("m")).selectExpr("u", "least(u, m) AS m"), "least")
+        least = table(both.groupBy("u").agg(F.min("v").alias("m")).selectExpr("u", "least(u, m) AS m"), "least", most)
         large = both.join(least, "u").where("v > u AND v <> m").selectExpr("v AS u", "m AS v") \
             .unionByName(least.where("u > m").selectExpr("u", "m AS v")).distinct()
-        down = table(large.where("u > v"), "large")
-        low = table(down.groupBy("u").agg(F.min("v").alias("m")), "low")
+        down = table(large.where("u > v"), "large", most)
+        low = table(down.groupBy("u").agg(F.min("v").alias("m")), "low", most)
         small = down.join(low, "u").where("v <> m").selectExpr("v AS u", "m AS v") \
             .unionByName(low.selectExpr("u", "m AS v")).where("u <> v").distinct()
-        edges = table(small, "links")
+        edges = table(small, "links", most)
     return edges.selectExpr("u AS id", "v AS class_id")
 
 
