@@ -118,6 +118,7 @@ def write(docs: DataFrame, path: str, sequence: int = SEQUENCE, end_id: int = EN
             yield pa.RecordBatch.from_arrays(
                 [pa.array(place * shards // total, pa.int32()), pa.array(place), pa.array(records, pa.binary())],
                 ["shard", "place", "record"])
+        vocab.forget()
         if at != last:
             raise RuntimeError("the input's partitions changed between two reads: write it to a table first")
 

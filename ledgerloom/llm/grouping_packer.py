@@ -73,6 +73,7 @@ def pieces(docs: DataFrame, capacity: int = CAPACITY, end_id: int = END_ID, voca
             yield pa.RecordBatch.from_arrays(
                 [pa.array(x, t) for x, t in zip(zip(*rows), [pa.int64(), pa.int32(), *[pa.int64()] * 3, pa.binary()])],
                 names)
+        vocab.forget()
 
     return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(run, schema)
 

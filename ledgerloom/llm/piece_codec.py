@@ -31,6 +31,7 @@ def _encoded(docs: DataFrame, vocab_path: str | None, schema: str, columns) -> D
         for batch in slices(batches, "text", 1 << 20):
             found = vocab.encode_decode([t or "" for t in batch.column("text").to_pylist()])
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), *map(pa.array, zip(*map(columns, found)))], names)
+        vocab.forget()
 
     return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(run, schema)
 

@@ -141,6 +141,7 @@ def measure(docs: DataFrame, vocab_path: str | None = None, keep_rows: bool = Fa
                 rows.append((script_of(text), *base_counts(text), n, cpt, max(share, 0.0), entropy))
             columns = [pa.array(x) for x in zip(*rows)]
             yield pa.RecordBatch.from_arrays([fields["doc_id"], fields["lang"], *columns, *[held] * keep_rows], names)
+        vocab.forget()
 
     return given.mapInArrow(run, schema)
 

@@ -3,7 +3,7 @@
 Both vocabularies used here never let a token span the place before a space that
 follows a non-space character. A text is therefore cut there, every distinct chunk
 is segmented once, and the chunks' ids are joined back by position. The tables live
-in the Python worker, are filled per slice of texts and are bounded: beyond
+in the Python worker for a task, are filled per slice of texts and are bounded: beyond
 ``limit`` entries they start afresh, and chunks longer than ``LONG`` characters are
 segmented without being kept.
 """
@@ -15,7 +15,7 @@ import base64
 import numpy as np
 
 #: Entries of a chunk table (about 250 bytes each).
-LIMIT = 600_000
+LIMIT = 400_000
 LONG = 64
 
 
@@ -85,6 +85,10 @@ class PieceVocab:
         join = b"".join
         return [(join(map(self.bytes_of, i)), t) for i, t in zip(ids, self.sp.decode(ids, num_threads=1))]
 
+    def forget(self) -> None:
+        """Free the tables, at the end of a task: other stages run in the same worker."""
+        self._ids.known, self._both.known = {}, {}
+
     @staticmethod
     def chunks(text: str) -> list[str]:
         """One chunk per marked word. The marker itself is implied; an empty chunk before another
@@ -133,6 +137,10 @@ class ByteVocab:
         self._first = ChunkTable(self._encode_first, limit // 4)
         self._later = ChunkTable(self._encode, limit)
 
+    def forget(self) -> None:
+        """Free the tables, at the end of a task."""
+        self._first.known, self._later.known = {}, {}
+
     def whole(self, text: str) -> bytes:
         return np.array(self.encoding.encode_ordinary(text), "<u4").tobytes()
 
