@@ -25,8 +25,11 @@ is 0.8 or more. With weights of one this is the plain Jaccard similarity.
    across the classes, and 4 and 5 are done once more. Buckets of more than ``SMALL`` texts
    (families, or texts that share a passage) are first parted by ``PARTS`` further bands
    each; in groups of up to ``SMALL`` texts all are paired across classes, in larger ones each
-   with about ``LEADERS`` drawn by a hash. Texts of one class are never paired again, so
-   the pairs stay linear in the bucket.
+   with about ``LEADERS`` drawn by a hash. Texts of one class are never paired again.
+6. All other pairs: in buckets of more than ``SMALL`` texts that still hold several classes, the
+   registers of all texts of different classes are compared, block against block
+   (``BLOCK`` texts or more), and every pair that passes ``FLOOR`` and is untested goes through 4 and 5.
+   After this no pair that shares a bucket and not a class is left untested.
 
 At J_P = 0.8 a pair shares no bucket with probability (1 - 0.8^4)^24 < 4e-6, and is expected to
 share ten of them.
@@ -53,6 +56,8 @@ BANDS, ROWS = 24, 4
 REGISTERS = BANDS * ROWS
 FLOOR = 0.62
 SMALL, LEADERS, PARTS = 12, 3, 3
+#: Texts a block, and blocks a bucket up to which blocks stay as small; larger buckets have blocks of up to LARGEST texts.
+BLOCK, BLOCKS, LARGEST = 128, 16, 4096
 
 _WORD = bytes((b | 0x20 if 0x41 <= b <= 0x5A else b) if b >= 0x80 or chr(b).isalnum() else 0x20 for b in range(256))
 _P = 0x9E3779B97F4A7C15
@@ -237,6 +242,62 @@ def crossing_pairs(rows: DataFrame, members: DataFrame, names: DataFrame, tested
         .join(tested, ["a", "b"], "left_anti")
 
 
+def alike(x: tuple, y: tuple, floor: float = FLOOR) -> tuple[np.ndarray, np.ndarray]:
+    """Places (in x, in y) of texts of different classes whose registers agree in a share of ``floor`` or more.
+
+    ``x``, ``y``: classes (n) and registers (n, m). Texts of the most frequent class are not compared with each other."""
+    names, counts = np.unique(np.concatenate([x[0], y[0]]), return_counts=True)
+    at_x, at_y = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+    main_x, main_y = x[0] == names[counts.argmax()], y[0] == names[counts.argmax()]
+    for i, j in ((np.flatnonzero(~main_x), np.arange(len(main_y))), (np.flatnonzero(main_x), np.flatnonzero(~main_y))):
+        for k in range(0, len(i), 512):             # bounds the table of counts
+            part = i[k:k + 512]
+            agree = np.zeros((len(part), len(j)), np.uint16)
+            for a, b in zip(x[1][part].T, y[1][j].T):
+                agree += a[:, None] == b
+            p, q = np.nonzero((agree >= floor * x[1].shape[1]) & (x[0][part][:, None] != y[0][j]))
+            at_x.append(part[p])
+            at_y.append(j[q])
+    return np.concatenate(at_x), np.concatenate(at_y)
+
+
+def remaining_pairs(rows: DataFrame, members: DataFrame, names: DataFrame, tested: DataFrame,
+                    floor: float = FLOOR) -> DataFrame:
+    """Every untested pair of texts that shares a bucket of more than ``SMALL`` texts and not yet a class, and whose
+    registers agree in a share of ``floor`` or more.
+
+    A bucket's texts are dealt over blocks by a hash; each pair of blocks is one row of a join, and its texts are
+    compared in numpy, so that only pairs that pass become rows."""
+    large = rows.where(F.col("n") > SMALL)
+    named = table(large.join(names, "id", "left").select("bucket", "id", F.coalesce("class_id", "id").alias("c")), "named-rest")
+    mixed = table(named.groupBy("bucket").agg(F.min("c").alias("c0"), F.max("c").alias("c1"), F.count("*").alias("n"))
+                  .where("c0 < c1").select("bucket", F.expr(
+                      f"least(ceil(n / {BLOCK}), greatest({BLOCKS}, ceil(n / {LARGEST})))").cast("int").alias("blocks")), "rest-mixed", 1)
+    held = members.select(F.col("doc_id").alias("id"), "registers")
+    dealt = named.join(mixed, "bucket").join(held, "id") \
+        .withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
+    blocks = table(dealt.groupBy("bucket", "blocks", "block").agg(F.collect_list(F.struct("id", "c", "registers")).alias("t"))
+                   .select("bucket", "blocks", "block", "t.id", "t.c", "t.registers"), "blocks")
+    left = blocks.select("bucket", F.explode(F.sequence("block", F.col("blocks") - 1)).alias("block"),
+                         *[F.col(c).alias(f"{c}_x") for c in ("id", "c", "registers")])
+    right = blocks.select("bucket", "block", *[F.col(c).alias(f"{c}_y") for c in ("id", "c", "registers")])
+    both = left.join(right, ["bucket", "block"]).drop("bucket", "block")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for k in range(batch.num_rows):
+                ids, sides = [], []
+                for side in "xy":
+                    i, c, r = (batch.column(f"{name}_{side}")[k].values for name in ("id", "c", "registers"))
+                    ids.append(i.to_numpy())
+                    sides.append((c.to_numpy(), np.frombuffer(b"".join(r.to_pylist()), np.uint8).reshape(len(r), -1)))
+                x, y = alike(*sides, floor)
+                a, b = ids[0][x], ids[1][y]
+                yield pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], ["a", "b"])
+
+    return both.mapInArrow(run, "a long, b long").distinct().join(tested, ["a", "b"], "left_anti")
+
+
 def promising(pairs: DataFrame, members: DataFrame, floor: float = FLOOR) -> DataFrame:
     """Pairs whose registers agree in a share of ``floor`` or more (again for each of a document's texts)."""
     held = members.select(F.col("doc_id"), F.col("registers"))
@@ -327,6 +388,10 @@ def classes(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     links = table(links.unionByName(near(pairs)), "links")
     more = table(crossing_pairs(rows, distinct, components(links), pairs), "pairs")
     linked = components(links.unionByName(near(more)))
+    rest = table(remaining_pairs(rows, distinct, linked, pairs.unionByName(more)), "pairs")
+    links = table(verified(rest, texts, threshold), "links")
+    if not links.isEmpty():
+        linked = components(linked.selectExpr("id AS a", "class_id AS b").unionByName(links))
     exact_of = members.groupBy("doc_id").agg(F.min("exact_id").alias("exact_id"))
     rows = docs.select(F.col("doc_id").cast("long"))
     return rows.join(exact_of, "doc_id", "left").join(linked.withColumnRenamed("id", "doc_id"), "doc_id", "left") \

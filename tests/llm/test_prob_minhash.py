@@ -144,3 +144,39 @@ def test_copies_of_a_base_that_are_no_copies_of_each_other(spark):
     assert len(set(brute_classes(texts))) == 1 and len(set(brute_classes(texts[:4] + texts[5:]))) > 1
     docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
     assert {r.class_id for r in m.classes(docs).collect()} == {0}
+
+
+def test_a_large_family_around_one_base(spark, monkeypatch):
+    """Sixty copies, each near the base alone, are one class also when no group draws a text."""
+    monkeypatch.setattr(m, "LEADERS", 0)
+    rng = random.Random(11)
+    base = words(rng, 1000)
+    texts = []
+    for i in range(61):
+        copy = list(base)
+        for at in rng.sample(range(1000), 17) if i != 30 else ():
+            copy[at] = words(rng, 1)[0]
+        texts.append(" ".join(copy))
+    sets = [m.shingles(m.word_hashes(t)) for t in texts]
+    assert all(m.similarity(sets[30], s) >= 0.8 for s in sets)
+    assert all(m.similarity(sets[i], sets[j]) < 0.8 for i in range(61) for j in range(i) if 30 not in (i, j))
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    assert {r.class_id for r in m.classes(docs).collect()} == {0}
+
+
+def test_remaining_pairs_are_all_pairs_across_classes(spark, monkeypatch):
+    rng = np.random.default_rng(2)
+    base = rng.integers(0, 256, 96).astype(np.uint8)
+    held = [np.where(rng.random(96) < 0.15, rng.integers(0, 256, 96), base).astype(np.uint8) for _ in range(50)]
+    members = spark.createDataFrame([(i, [-1, -2, i], h.tobytes()) for i, h in enumerate(held)], "doc_id long, bands array<long>, registers binary")
+    _, rows = m.shared_buckets(members)
+    names = spark.createDataFrame([(i, i // 20) for i in range(40)], "id long, class_id long")
+    of = {i: i // 20 for i in range(40)}
+    tested = m.star_pairs(rows)
+    done = {(r.a, r.b) for r in tested.collect()}
+    want = {(i, j) for j in range(50) for i in range(j) if of.get(i, i) != of.get(j, j)
+            and (held[i] == held[j]).mean() >= m.FLOOR} - done
+    for block in (128, 7):
+        monkeypatch.setattr(m, "BLOCK", block)
+        got = [(r.a, r.b) for r in m.remaining_pairs(rows, members, names, tested).collect()]
+        assert len(got) == len(set(got)) and set(got) == want and len(want) > 300
