@@ -1,6 +1,6 @@
 """Best-fit packing by a grouping genetic algorithm on islands.
 
-Documents become token ids plus an end id. A document longer than a sequence is cut
+Documents become token ids (those of the vocabulary's JSON file, its added tokens too) plus an end id. A document longer than a sequence is cut
 into full pieces, of which the first may be shorter; all else stays whole. Pieces are
 dealt at random over shards of about ``shard_items`` pieces, and each shard is packed
 by ``islands`` populations in tasks of their own:
@@ -64,7 +64,7 @@ def pieces(docs: DataFrame, capacity: int = CAPACITY, end_id: int = END_ID, voca
         vocab = byte_vocab(vocab_path)
         for batch in slices(batches, "text", 1 << 20):
             rows = []
-            encoded = vocab.encode([t or "" for t in batch.column("text").to_pylist()])
+            encoded = vocab.encode_added([t or "" for t in batch.column("text").to_pylist()])
             for doc_id, ids in zip(batch.column("doc_id").to_pylist(), encoded):
                 ids += end
                 for k, (start, n) in enumerate(cut(len(ids) // 4, capacity)):

@@ -11,6 +11,9 @@ segmented without being kept.
 from __future__ import annotations
 
 import base64
+import json
+import os
+import re
 
 import numpy as np
 
@@ -120,7 +123,8 @@ class PieceVocab:
 class ByteVocab:
     """A byte-level BPE vocabulary given as ranks; the ids equal those of the same vocabulary's JSON file.
 
-    The strings of special tokens in a text are ordinary text.
+    The strings of added tokens in a text are ordinary text to ``encode``; ``encode_added`` gives them their
+    ids, as the JSON file beside the ranks has them.
     """
 
     def __init__(self, path: str | None = None, pattern: str | None = None, limit: int = LIMIT):
@@ -128,7 +132,11 @@ class ByteVocab:
 
         if pattern is None:
             from public_tokenizers import PATTERN as pattern
-        with open(path or default_path("byte_bpe_50k.tiktoken"), "rb") as f:
+        path = path or default_path("byte_bpe_50k.tiktoken")
+        self.added = added_tokens(os.path.splitext(path)[0] + ".json")
+        # the leftmost and then the longest one counts
+        self._added = re.compile("(" + "|".join(map(re.escape, sorted(self.added, key=len, reverse=True))) + ")") if self.added else None
+        with open(path, "rb") as f:
             ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
         self.encoding = tiktoken.Encoding("byte_bpe", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
         self.lengths = np.zeros(max(ranks.values()) + 1, np.int64)
@@ -182,6 +190,27 @@ class ByteVocab:
         return out
 
 
+    def encode_added(self, texts: list[str]) -> list[bytes]:
+        """As ``encode``, with the ids of added tokens; the stretches between them are encoded each by itself."""
+        if not self._added:
+            return self.encode(texts)
+        parts = [self._added.split(t) for t in texts]           # stretch, token, stretch, ..., stretch
+        ids = iter(self.encode([x for p in parts for x in p[::2]]))
+        return [b"".join([self.added[x] if k % 2 else next(ids) for k, x in enumerate(p)]) for p in parts]
+
+
+def added_tokens(path: str) -> dict[str, bytes]:
+    """Added tokens of a tokenizer's JSON file and their ids as little-endian uint32; none without the file."""
+    if not os.path.exists(path):
+        return {}
+    with open(path, encoding="utf-8") as f:
+        found = json.load(f)["added_tokens"]
+    odd = [t["content"] for t in found if t["single_word"] or t["lstrip"] or t["rstrip"] or t["normalized"]]
+    if odd:
+        raise ValueError(f"added tokens with rules of their own: {odd}")
+    return {t["content"]: t["id"].to_bytes(4, "little") for t in found}
+
+
 _LOADED: dict = {}
 
 

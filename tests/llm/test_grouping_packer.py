@@ -122,3 +122,9 @@ def test_equal_rows_spread_over_shards(spark):
     docs = spark.range(600).select(F.lit(7).cast("long").alias("doc_id"), F.lit("the same row").alias("text"))
     got = g.pack(docs, capacity=64, shard_items=50).collect()
     assert len(got) == 600 and len({r.sequence_id >> 32 for r in got}) > 5
+
+
+def test_added_tokens_of_the_file(spark):
+    rows = [(1, "a <|endoftext|> b"), (2, "<|endoftext|>" * 40 + " many  words"), (3, "<|endoftext"), (4, "x <|endoftext|>")]
+    got = g.pack(spark.createDataFrame(rows, "doc_id long, text string"), capacity=16).collect()
+    check(spark, rows, got, 16)

@@ -87,3 +87,12 @@ def test_codec_query_cases(spark, pieces):
     row = piece_codec.encode(docs.where("doc_id = 4")).first()
     assert row.decoded == long and len(row.ids) == 4 * len(pieces.encode(long, add_bos=True, add_eos=True))
     assert piece_codec.digests(docs.limit(0)).count() == 0
+
+
+def test_added_tokens_get_their_ids():
+    from tokenizers import Tokenizer
+    t = Tokenizer.from_file(default_path("byte_bpe_50k.json"))
+    end = "<|endoftext|>"
+    texts = [*ODD, end, end * 3, f"a {end} b", f"a{end}b  {end}\n", f" {end} ", f"<|endoftext{end}|>", f"x  {end}  y z{end[:-1]}"]
+    for text, ids in zip(texts, byte_vocab().encode_added(texts)):
+        assert np.frombuffer(ids, "<u4").tolist() == t.encode(text, add_special_tokens=False).ids, repr(text)
