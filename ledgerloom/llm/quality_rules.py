@@ -5,8 +5,10 @@ share of byte-fallback tokens and token entropy. Natural prose of one language k
 these in narrow bands; symbol noise, shouting, lists and loops do not. The bands are
 learned per language and length class from all documents that pass the base rules:
 quartiles by ``percentile_approx`` (mergeable, so no group is gathered), widened by a
-stated multiple of the quartile distance. Languages with fewer than ``min_docs`` such
-documents in a length class share the bands of their script, and scripts those of all.
+stated multiple of the quartile distance. A language with fewer than ``min_docs`` such
+documents in a length class is judged by the band of all its length classes; with fewer than that in
+all of them by its script's bands, or those of all, but not for characters per token, which
+differ from language to language.
 
 Defined results: a null or empty text has zero counts and fails the base rules;
 repeated rows are judged one by one, each the same; a null ``doc_id`` or ``lang``
@@ -158,14 +160,16 @@ def length_class() -> Column:
 def _keys(frame: DataFrame) -> DataFrame:
     size = length_class()
     return frame.withColumns({"lang_key": F.concat(F.lit("lang:"), "lang", F.lit(":"), size),
+                              "pooled_key": F.concat(F.lit("pooled:"), "lang"),
                               "script_key": F.concat(F.lit("script:"), "script", F.lit(":"), size),
                               "all_key": F.concat(F.lit("all:"), size)})
 
 
 def bands(measured: DataFrame, min_docs: int = MIN_DOCS) -> DataFrame:
-    """The kept range of each measure: a row per length class and language, script, or all (``all``)."""
+    """The kept range of each measure: a row per length class and language, script, or all (``all``),
+    and one per language over its length classes (``pooled``)."""
     good = _keys(measured.where(~base_failed()))
-    keyed = good.select(F.explode(F.array("lang_key", "script_key", "all_key")).alias("key"), *MEASURES) \
+    keyed = good.select(F.explode(F.array("lang_key", "pooled_key", "script_key", "all_key")).alias("key"), *MEASURES) \
         .where("key IS NOT NULL")
     found = keyed.groupBy("key").agg(F.count("*").alias("n"), *[
         F.percentile_approx(m, [0.25, 0.75], 1000).alias(m) for m in MEASURES])
@@ -179,21 +183,25 @@ def bands(measured: DataFrame, min_docs: int = MIN_DOCS) -> DataFrame:
 
 def judge(docs: DataFrame, vocab_path: str | None = None, min_docs: int = MIN_DOCS, keep_rows: bool = False) -> DataFrame:
     """Measures, ``base_failed``, ``kept`` and ``reason`` (``base``, or the first measure out of its band)
-    of every document. Length classes too rare for a band of any kind reject nothing but by the base rules."""
+    of every document. Documents without a band of any kind are rejected by the base rules alone."""
     measured = table(measure(docs, vocab_path, keep_rows), "fertility")
     limits = table(bands(measured, min_docs), "fertility-bands")
     out = _keys(measured)
-    for kind in ("lang", "script", "all"):
+    kinds = ("lang", "pooled", "script", "all")
+    for kind in kinds:
         side = limits.select(F.col("key").alias(f"{kind}_key"), F.col("band").alias(f"{kind}_band"))
         out = out.join(side, f"{kind}_key", "left")
-    band = F.coalesce("lang_band", "script_band", "all_band")
+    own, others = F.coalesce("lang_band", "pooled_band"), F.coalesce("script_band", "all_band")
+    # characters per token of another language tell nothing about a known one
+    others = F.when(F.col("lang").isNull(), others).otherwise(others.withField("chars_per_token", F.lit(None)))
+    band = F.coalesce(own, others)
     reason = F.coalesce(*[F.when((F.col(m) < F.col("band")[m]["low"]) | (F.col(m) > F.col("band")[m]["high"]),
                                  F.lit(m)) for m in MEASURES])
     failed = base_failed()
     return out.withColumn("band", band).withColumn("base_failed", failed) \
         .withColumn("reason", F.when(failed, F.lit("base")).otherwise(reason)) \
         .withColumn("kept", F.col("reason").isNull()) \
-        .drop("band", *[f"{k}_{x}" for k in ("lang", "script", "all") for x in ("key", "band")])
+        .drop("band", *[f"{k}_{x}" for k in kinds for x in ("key", "band")])
 
 
 def accepted(docs: DataFrame, vocab_path: str | None = None, min_docs: int = MIN_DOCS) -> DataFrame:

@@ -63,3 +63,13 @@ def test_labelled_junk_and_clean_documents(spark):
     rates = {r.quality: r.rate for r in got.where("NOT base_failed").groupBy("quality")
              .agg(F.avg(F.col("kept").cast("int")).alias("rate")).collect()}
     assert rates[1] > 0.995 and rates[0] < 0.75
+
+
+def test_clean_documents_of_rare_languages(spark):
+    """Languages at a twentieth of their rows: they are not judged by the frequent language of their script."""
+    sf = "/root/testdata/sf0.1"
+    rare = F.col("lang").isin("de", "es", "fr")
+    docs = spark.read.parquet(f"{sf}/documents.parquet").where(~rare | (F.pmod(F.xxhash64("doc_id"), F.lit(20)) == 0))
+    got = q.judge(docs).join(spark.read.parquet(f"{sf}/labels.parquet").select("doc_id", "quality"), "doc_id")
+    for r in got.where("NOT base_failed AND quality = 1").groupBy("lang").agg(F.count("*").alias("n"), F.sum(F.col("kept").cast("int")).alias("kept")).collect():
+        assert r.kept >= 0.95 * r.n, r
