@@ -1,0 +1,83 @@
+"""Hard negatives against brute force: windows, ties, bad vectors, large components, pruning."""
+
+import math
+
+import numpy as np
+import pytest
+
+from ledgerloom.llm import bond_negatives as t
+
+ENDS = -2 ** 63, 2 ** 63 - 1
+
+
+def good(r):
+    return r[0] is not None and r[2] is not None and r[1] is not None and all(x is not None and math.isfinite(x) for x in r[1])
+
+
+def whole(x, scale):
+    return math.floor(min(max(scale * x, -1.7976931348623157e308), 1.7976931348623157e308))
+
+
+def brute(rows, anchors, positives=5, negatives=10, low=30, high=90, scale=256):
+    held = [(r[0], [whole(float(x), scale) for x in r[1]], r[2]) for r in rows if good(r)]
+    out = []
+    for a in filter(good, anchors):
+        v = [whole(float(x), scale) for x in a[1]]
+        found = sorted((-min(max(sum(x * y for x, y in zip(v, c)), ENDS[0]), ENDS[1]), i, c_label) for i, c, c_label in held if i != a[0])
+        for p, p_id, _ in [f for f in found if f[2] == a[2]][:positives]:
+            inside = [(s, i) for s, i, label in found if label != a[2] and low * -p <= 100 * -s <= high * -p][:negatives]
+            out += [(a[0], p_id, k + 1, i, -p, -s) for k, (s, i) in enumerate(inside)]
+    return sorted(out)
+
+
+def frame(spark, rows):
+    return spark.createDataFrame([(r[0], None if r[1] is None else [None if x is None else float(x) for x in r[1]], r[2], 1.5) for r in rows], "vec_id long, embedding array<double>, label int, score double")
+
+
+def got(df):
+    return sorted(tuple(r) for r in df.select("anchor_id", "positive_id", "rank", "negative_id", "positive_score", "negative_score").collect())
+
+
+@pytest.mark.parametrize("block,anchor_block", [(7, 3), (64, 16), (1024, 256)])
+def test_against_brute_force(spark, block, anchor_block):
+    rng = np.random.default_rng(block)
+    rows = [(i, [float(x) for x in rng.normal(0, 0.3, 12)], int(i % 3)) for i in range(150)]
+    rows += [(300 + i, rows[9][1], int(i % 2)) for i in range(40)]                # ties beyond every k
+    rows += [(400, None, 1), (401, [1.0, None], 1), (402, [float("nan")], 1), (403, [float("inf")], 1), (404, rows[0][1], None),
+             (None, rows[0][1], 1), (405, [], 1), (406, [0.5, 0.5], 2), (5, rows[5][1], 1), (407, [0.0] * 12, 0)]
+    anchors = [r for r in rows if r[0] is None or r[0] % 10 == 0] + [rows[10]]     # one is given twice
+    assert got(t.mine(frame(spark, rows), frame(spark, anchors), block=block, anchor_block=anchor_block)) == brute(rows, anchors)
+
+
+def test_large_components(spark):
+    rng = np.random.default_rng(4)
+    rows = [(i, [float(x) for x in rng.normal(0, 0.3, 6)], i % 2) for i in range(40)]
+    rows += [(50, [1e300, 1.0, 0, 0, 0, 0], 0), (51, [1e300, 0, 0, 0, 0, 0], 1), (52, [3e8] * 6, 0), (53, [2.9e8] * 6, 0), (54, [2.5e8] * 6, 1),
+             (55, [-1e200] * 6, 1), (56, [1e6] * 6, 0), (57, [9e5] * 6, 0), (58, [5e5] * 6, 1), (59, [1.7e308] * 6, 1)]
+    anchors = [r for r in rows if r[0] % 10 == 0 or r[0] >= 50]
+    assert got(t.mine(frame(spark, rows), frame(spark, anchors), block=16)) == brute(rows, anchors)
+
+
+def test_empty_and_lonely(spark):
+    rows = [(0, [0.5, 0.1], 1), (1, [0.5, 0.2], 2)]
+    assert got(t.mine(frame(spark, rows).limit(0), frame(spark, rows))) == []
+    assert got(t.mine(frame(spark, rows), frame(spark, rows).limit(0))) == []
+    assert got(t.mine(frame(spark, rows), frame(spark, rows))) == []              # no positive, so no window
+
+
+def test_columns_are_left_unread_for_pruned_rows():
+    """Candidates leave the bitmap before the last columns, and who stays has the exact score."""
+    rng = np.random.default_rng(7)
+    values = np.floor(256 * rng.normal(0, 0.2, (2000, 64)))
+    query = np.floor(256 * rng.normal(0, 0.2, 64) * np.linspace(3, 0.1, 64))
+    values[:30] = query + rng.integers(-2, 3, (30, 64))
+    block = t.Block({"ids": np.arange(2000).tobytes(), "labels": np.zeros(2000, np.int64).tobytes(),
+                     "columns": np.ascontiguousarray(values.T).tobytes(), "dims": 64})
+    exact, left = (values @ query).astype(np.int64), []
+
+    def keep(lower, upper):
+        left.append(len(lower))
+        return upper >= t._kth(lower, 5)
+    rows, scores = t.vertical(block, query, np.ones(2000, bool), keep)
+    assert left[-1] < 200 < left[0] and (scores == exact[rows]).all()
+    assert set(np.lexsort((np.arange(2000), -exact))[:5]) <= set(rows)
