@@ -31,9 +31,11 @@ also close on a date handed over from earlier chunks. So the plan is:
    session run inside a chunk (a whole session, or a chunk's head or tail);
 2. the pieces (about one row per session) are written to the shared
    checkpoint folder, so nothing below reads the logs again;
-3. one summary row per chunk, a window over a file's chunk summaries, and the
-   boundary pieces (at most three per chunk) assemble the sessions that cross
-   chunk borders. No window or group ever holds a file's lines.
+3. the boundary pieces (at most three per chunk) carry a summary of their chunk. What a chunk hands
+   on (last date, last finish, last close) combines associatively, so one exchange of the boundary
+   pieces by file and a running maximum over them give every chunk what all earlier ones hand
+   to it; in the same tasks the sessions that cross chunk borders are assembled. Whole
+   sessions stay where they are. No window or group ever holds a file's lines.
 """
 
 from __future__ import annotations
@@ -120,7 +122,7 @@ def _diff_name(in_force: Column) -> Column:
 
 
 def line_facts(lines: DataFrame) -> DataFrame:
-    """The lines that carry a fact, without their text, ordered by ``line_no`` in their file.
+    """The lines that carry a fact, without their text, ordered by ``line_no`` in their file (by ``at`` in their chunk).
 
     Of lines read from files (``split_line``), ``line_no = 2 * chunk + rank in the split``: a
     split of the bytes B to E holds at most ``E - B + 1`` lines, so its last number is
@@ -132,12 +134,13 @@ def line_facts(lines: DataFrame) -> DataFrame:
     for c in facts:
         some = some | F.col(c).isNotNull()
     order = "line_no" if "line_no" in lines.columns else "split_line"
-    ev = ev.where(some).select(
-        *KEY, order, *facts, "end_date", "finished", "undecodable")
+    # A generator keeps the filter above the extraction: pushed below, each of its tests would run the patterns again.
+    one = F.struct(*KEY, F.col(order).alias("at"), *facts, "end_date", "finished", "undecodable")
+    ev = ev.select(F.explode(F.array(one)).alias("e")).select("e.*").where(some)
     if order == "line_no":
-        return ev
-    rank = F.row_number().over(Window.partitionBy(*KEY).orderBy(order)) - 1
-    return ev.withColumn("line_no", F.col("chunk") * 2 + rank).drop(order)
+        return ev.withColumn("line_no", F.col("at"))
+    # the windows of the pieces run in the same order, so lines are sorted once
+    return ev.withColumn("line_no", F.col("chunk") * 2 + F.row_number().over(Window.partitionBy(*KEY).orderBy("at")) - 1)
 
 
 def session_pieces(lines: DataFrame) -> DataFrame:
@@ -159,12 +162,12 @@ def session_pieces(lines: DataFrame) -> DataFrame:
     that is not valid UTF-8 marks its piece, and with it the whole file, bad.
     """
     ev = line_facts(lines)
-    run = Window.partitionBy(*KEY).orderBy("line_no")
+    run = Window.partitionBy(*KEY).orderBy("at")
     incl = run.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     excl = run.rowsBetween(Window.unboundedPreceding, -1)
     dated = F.col("line_date").isNotNull()
     w1 = ev.select(
-        *KEY, "line_no", "line_date", "end_date", "hostname", "status", "size_bytes",
+        *KEY, "at", "line_no", "line_date", "end_date", "hostname", "status", "size_bytes",
         "finished", "differential", "undecodable",
         F.max(F.when(dated, F.struct(F.col("line_no").alias("at"), F.col("line_date").alias("d"))))
          .over(incl).alias("ld"),
@@ -190,7 +193,7 @@ def session_pieces(lines: DataFrame) -> DataFrame:
         (diff & lif.isNull()).alias("undated_diff"),
         "undecodable",
     )
-    return per_line.groupBy(*KEY, "piece").agg(
+    pieces = per_line.groupBy(*KEY, "piece").agg(
         F.min("line_no").alias("first_line"),
         F.max(F.when(F.col("ca"), F.col("line_no"))).alias("close_at"),
         F.max(F.when(F.col("finished"), F.col("line_no"))).alias("fin_at"),
@@ -206,70 +209,68 @@ def session_pieces(lines: DataFrame) -> DataFrame:
         F.bool_or("undated_diff").alias("undated_diff"),
         F.bool_or("undecodable").alias("undecodable"),
     )
+    # What the chunk hands on, on each of its boundary pieces (the first of them is always -1).
+    chunk = Window.partitionBy(*KEY)
+    head = F.col("piece") == -1
+    handed = F.struct(
+        F.max("ld").over(chunk).alias("date"), F.max("fin_at").over(chunk).alias("finish"), F.max("close_at").over(chunk).alias("close"),
+        F.max(F.when(head, F.col("fin_at"))).over(chunk).alias("f1"),
+        F.bool_or(head & F.col("close_at").isNotNull()).over(chunk).alias("f1_local"),
+        F.bool_or(((F.col("piece") >= 0) & F.col("undated_diff")) | F.col("undecodable")).over(chunk).alias("bad"),
+        F.bool_or("undecodable").over(chunk).alias("undecodable"))
+    return pieces.withColumn("handed", F.when((F.col("piece") < 0) | F.col("close_at").isNull(), handed))
 
 
-def _chunk_carries(pieces: DataFrame) -> DataFrame:
-    """One row per chunk with what earlier chunks of the file hand over to it.
+def boundary_pieces(pieces: DataFrame) -> DataFrame:
+    """The boundary pieces with what earlier chunks of their file hand to them; one exchange, by file.
 
     ``cif`` date in force at the chunk's start (a dated line after the last
     finish), ``f1_closes`` whether its first finish closes, ``c_pc`` the last
-    close before it, ``chunk_bad`` whether the chunk drops its file (a line that
-    is not UTF-8, or a differential line with no date in force). Windows run
-    over chunk summaries only, one row per chunk.
+    close before it, ``file_bad`` whether any chunk drops the file (a line that
+    is not UTF-8, or a differential line with no date in force). Each of these is a running
+    maximum over the chunks before (a chunk's own rows are outside the frame).
     """
-    summary = pieces.groupBy(*KEY).agg(
-        F.max("ld").alias("ld_tot"),
-        F.max("fin_at").alias("lf_tot"),
-        F.max(F.when(F.col("piece") == -1, F.col("fin_at"))).alias("f1"),
-        F.bool_or((F.col("piece") == -1) & F.col("close_at").isNotNull()).alias("f1_local"),
-        F.max("close_at").alias("last_local_close"),
-        F.bool_or(((F.col("piece") >= 0) & F.col("undated_diff")) | F.col("undecodable"))
-         .alias("local_bad"),
-        F.bool_or("undecodable").alias("undecodable"),
-        F.bool_or((F.col("piece") == -1) & F.col("undated_diff")).alias("head_a_undated"),
-        F.bool_or((F.col("piece") == -2) & F.col("undated_diff")).alias("head_b_undated"),
-    )
-    earlier = Window.partitionBy("file_path").orderBy("chunk").rowsBetween(
-        Window.unboundedPreceding, -1)
-    c = summary.select("*", F.max("ld_tot").over(earlier).alias("c_ld"),
-                       F.max("lf_tot").over(earlier).alias("c_lf"))
+    b = pieces.where("handed IS NOT NULL")
+    file = Window.partitionBy("file_path")
+    earlier = file.orderBy("chunk").rangeBetween(Window.unboundedPreceding, -1)
+    first = F.col("piece") == -1                    # one row speaks for its chunk
+    b = b.select("*", F.max(F.when(first, F.col("handed.date"))).over(earlier).alias("c_ld"),
+                 F.max(F.when(first, F.col("handed.finish"))).over(earlier).alias("c_lf"))
     carried_date = F.col("c_ld").isNotNull() & (F.col("c_lf").isNull()
                                                 | (F.col("c_ld.at") > F.col("c_lf")))
-    c = c.select("*", F.when(carried_date, F.col("c_ld.d")).alias("cif"))
-    c = c.withColumn("f1_closes", F.col("f1").isNotNull()
-                     & (F.col("f1_local") | F.col("cif").isNotNull()))
-    last_close = F.greatest(F.col("last_local_close"), F.when(F.col("f1_closes"), F.col("f1")))
+    b = b.withColumn("cif", F.when(carried_date, F.col("c_ld.d")))
+    b = b.withColumn("f1_closes", F.col("handed.f1").isNotNull()
+                     & (F.col("handed.f1_local") | F.col("cif").isNotNull()))
+    last_close = F.greatest(F.col("handed.close"), F.when(F.col("f1_closes"), F.col("handed.f1")))
     # A head line with no date of its own chunk is in force only with a carried date.
-    bad = (F.col("local_bad")
-           | (F.col("head_a_undated") & F.col("cif").isNull())
-           | (F.col("head_b_undated") & (F.col("f1_closes") | F.col("cif").isNull())))
-    return c.select(*KEY, "cif", "f1", "f1_closes", F.coalesce(bad, F.lit(False)).alias("chunk_bad"), "undecodable",
-                    F.max(last_close).over(earlier).alias("c_pc"))
+    bad = (F.col("handed.bad")
+           | (first & F.col("undated_diff") & F.col("cif").isNull())
+           | ((F.col("piece") == -2) & F.col("undated_diff") & (F.col("f1_closes") | F.col("cif").isNull())))
+    return b.withColumn("c_pc", F.max(F.when(first, last_close)).over(earlier)) \
+        .withColumn("file_bad", F.bool_or(F.coalesce(bad, F.lit(False))).over(file))
 
 
-def _spanning_sessions(pieces: DataFrame, carries: DataFrame) -> DataFrame:
+def _spanning_sessions(boundary: DataFrame) -> DataFrame:
     """Sessions that cross chunk borders, assembled from the boundary pieces.
 
     A boundary piece is a chunk's head (``-1``, ``-2``) or its unfinished tail.
     Each is keyed by the close that precedes its session; the session's close is
     the one piece that ends it.
     """
-    b = pieces.where((F.col("piece") < 0) | F.col("close_at").isNull()) \
-        .join(carries.drop("undecodable"), KEY, "inner")
     head_a, head_b = F.col("piece") == -1, F.col("piece") == -2
     # Date in force for lines that saw no date of their own chunk.
     carried = (F.when(head_a, F.col("cif"))
                .when(head_b & ~F.col("f1_closes"), F.col("cif")))
     key = (F.when(F.col("piece") >= 0, F.col("piece"))
-           .when(head_b & F.col("f1_closes"), F.col("f1"))
+           .when(head_b & F.col("f1_closes"), F.col("handed.f1"))
            .otherwise(F.coalesce(F.col("c_pc"), F.lit(-1))))
-    ends = (F.when(head_a & F.col("f1_closes"), F.col("f1"))
+    ends = (F.when(head_a & F.col("f1_closes"), F.col("handed.f1"))
             .when(head_b, F.col("close_at")))
     name = F.when(F.col("name_needs_carry") & (F.col("backup_type") == TYPE_DIFFERENTIAL),
                   _diff_name(carried)).otherwise(F.col("name_local"))
-    parts = b.select("file_path", "first_line", "start_s", "end_s", "hostname", "status", "size",
-                     "backup_type", key.alias("skey"), ends.alias("ends"),
-                     name.alias("backup_name"))
+    parts = boundary.where(~F.col("file_bad")).select(
+        "file_path", "first_line", "start_s", "end_s", "hostname", "status", "size",
+        "backup_type", key.alias("skey"), ends.alias("ends"), name.alias("backup_name"))
     return parts.groupBy("file_path", "skey").agg(
         F.max("ends").alias("close_line"),
         *[_last(F.col(c), "first_line").alias(c)
@@ -300,23 +301,22 @@ def sessions(lines: DataFrame) -> DataFrame:
 
 def skipped_files(pieces: DataFrame) -> DataFrame:
     """``file_path, reason`` of the files that yield nothing because of one of their lines."""
-    bad = _chunk_carries(pieces).where("chunk_bad")
-    return bad.groupBy("file_path").agg(F.when(F.bool_or("undecodable"), "not UTF-8")
+    bad = boundary_pieces(pieces).where("file_bad")
+    return bad.groupBy("file_path").agg(F.when(F.bool_or("handed.undecodable"), "not UTF-8")
                                         .otherwise("differential backup without a date").alias("reason"))
 
 
 def sessions_of(pieces: DataFrame) -> DataFrame:
     """:func:`sessions` from pieces."""
-    carries = _chunk_carries(pieces)
+    boundary = boundary_pieces(pieces)
     local = (pieces.where((F.col("piece") >= 0) & F.col("close_at").isNotNull())
              .select("file_path", F.col("close_at").alias("close_line"), "start_s", "end_s",
                      "hostname", "status", "size", "backup_type",
                      F.col("name_local").alias("backup_name")))
-    spanning = _spanning_sessions(pieces, carries)
-    bad_files = carries.where("chunk_bad").select("file_path").distinct()
-    closed = local.unionByName(spanning.where(F.col("close_line").isNotNull()).drop("skey"))
-    return (closed.join(bad_files, "file_path", "left_anti")
-            .select(
+    bad_files = boundary.where("file_bad").select("file_path").distinct()
+    spanning = _spanning_sessions(boundary).where(F.col("close_line").isNotNull()).drop("skey")
+    closed = local.join(bad_files, "file_path", "left_anti").unionByName(spanning)
+    return (closed.select(
                 "file_path", "close_line",
                 parse_period_date("start_s").alias("report_period_start"),
                 parse_period_date("end_s").alias("report_period_end"),
