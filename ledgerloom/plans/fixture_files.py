@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from .. import fixtures as fx
 from .. import schemas as S
 from ..session import scratch_path
-from ..sources import files
+from ..sources import files, readers
 
 # Processing day of the file fixtures (fixed value; the oracle SQL uses the same).
 FILE_DAY = "2025-05-13"
@@ -104,6 +104,35 @@ def write_log_files(spark: SparkSession, sf_dir: str) -> str:
     return root
 
 
+def write_damaged_logs(spark: SparkSession, sf_dir: str) -> str:
+    """The log files, and beside them copies that cannot be read; ``<root>-listing`` lists all of them.
+
+    ``broken-<log>``: compressed and cut off half-way. ``gone-<log>``: deleted after the listing. Both are copies of host 0's logs.
+    """
+    root = scratch_path(spark, "damaged-logs")
+    lines = fx.log_lines(fx.read_table(spark, sf_dir, "events"))
+    hosts = F.col("file_path").startswith("hana-0-")
+    for kind, rows, codec in (("", lines, "none"), ("broken-", lines.where(hosts), "gzip"), ("gone-", lines.where(hosts), "none")):
+        (rows.withColumn("file_path", F.concat(F.lit(kind), "file_path")).repartition("file_path").sortWithinPartitions("file_path", "line_no")
+         .select("file_path", "value")
+         .write.mode("append").option("compression", codec).partitionBy("file_path").text(root))
+    jvm = spark.sparkContext._jvm
+    path_of = jvm.org.apache.hadoop.fs.Path
+    fs = path_of(root).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    for status in fs.globStatus(path_of(f"{root}/file_path=broken-*/part-*")):
+        source = fs.open(status.getPath())
+        half = source.readNBytes(status.getLen() // 2)
+        source.close()
+        target = fs.create(path_of(status.getPath().toString().replace("/part-", "/cut-")))
+        target.write(half)
+        target.close()
+        fs.delete(status.getPath(), False)
+    readers.list_logs(spark, root, glob=None).write.parquet(f"{root}-listing")
+    for status in fs.globStatus(path_of(f"{root}/file_path=gone-*")):
+        fs.delete(status.getPath(), True)
+    return root
+
+
 def log_name(path_col: str = "file_path"):
     """The log's name from a fixture file path (``.../file_path=<name>/part-...``)."""
     return F.regexp_extract(F.col(path_col), r"file_path=([^/]+)/", 1)

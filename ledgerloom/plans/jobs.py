@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from .. import schemas as S
 from ..operators import logs, report, verify
+from ..session import scratch_path
 from ..sinks import tables
 from ..sources import files, readers
 
@@ -89,13 +90,35 @@ def load_report_detail(spark: SparkSession, base: str, table: str, location: str
     return LoadResult(table, rows)
 
 
-def log_frames(spark: SparkSession, log_root: str, as_of=None) -> tuple[DataFrame, DataFrame]:
+def log_pieces(spark: SparkSession, log_root: str, glob: str | None = files.LOG_FILE_GLOB,
+               listing: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
+    """Session pieces of the logs below ``log_root``, and ``file_path, reason`` of the files that yield nothing.
+
+    A file that cannot be read does not fail the load. The logs are read as they are first; only when that
+    fails on a file are they read again with each file held against the ``listing`` (of
+    :func:`readers.list_logs`, taken beforehand; default: now). A file listed but gone is reported too.
+    """
+    known = readers.list_logs(spark, log_root, glob) if listing is None else listing
+    try:
+        there = readers.list_logs(spark, log_root, glob) if listing is not None else known
+        pieces = logs.stored_pieces(readers.read_backup_log(spark, log_root, glob))
+        unread = known.join(there, "file_path", "left_anti").select("file_path", F.lit("vanished").alias("reason"))
+    except Exception as e:  # Spark reports it as its own or as a Java error
+        if not readers.failed_on_a_file(e):
+            raise
+        log.warning("a log file under %s cannot be read; reading again file by file", log_root)
+        lines, unread = readers.read_logs_apart(spark, log_root, known, glob)
+        pieces = logs.stored_pieces(lines)
+    return pieces, logs.skipped_files(pieces).unionByName(unread)
+
+
+def log_frames(spark: SparkSession, log_root: str, as_of=None, glob: str | None = files.LOG_FILE_GLOB,
+               listing: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
     """Every ``.log`` file below ``log_root`` as backup-session fact rows, and the files that yield nothing."""
     if not files.path_exists(spark, log_root):
         raise NoInputError(f"no log folder {log_root}")
-    pieces = logs.stored_pieces(readers.read_backup_log(spark, log_root))
-    fact = logs.backup_fact_log(logs.sessions_of(pieces), as_of=str(files.processing_date(as_of)))
-    return fact, logs.skipped_files(pieces)
+    pieces, skipped = log_pieces(spark, log_root, glob, listing)
+    return logs.backup_fact_log(logs.sessions_of(pieces), as_of=str(files.processing_date(as_of))), skipped
 
 
 def log_fact_frame(spark: SparkSession, log_root: str, as_of=None) -> DataFrame:
@@ -106,7 +129,7 @@ def load_log_fact(spark: SparkSession, log_root: str, table: str, location: str,
                   as_of=None) -> LoadResult:
     """Log sessions appended to the backup fact table; no session at all is an error.
 
-    Skipped files (undated differential backup, or not UTF-8) are counted, and the first
+    Skipped files (undated differential backup, not UTF-8, or unreadable) are counted, and the first
     few are named in the log."""
     tables.create_table_if_absent(spark, table, S.BACKUP_FACT, location)
     fact, skipped = log_frames(spark, log_root, as_of)
@@ -124,16 +147,16 @@ def flatten_pageviews(spark: SparkSession, input_path: str, output_path: str,
                       recursive: bool = False, corrupt_path: str | None = None) -> LoadResult:
     """Page-view JSON flattened to Parquet at ``output_path`` (append).
 
-    Input and output roots must differ. Records that do not parse, wholly or in part, are
-    counted while the output is written and always kept as text at ``corrupt_path``
-    (default: ``<output_path>_corrupt``).
+    Input and output roots must differ. The JSON is read and parsed once, into a table in the shared folder
+    that holds rows and the text of records that do not parse, wholly or in part; both outputs are written from it, so
+    they cannot disagree. Such records are always kept at ``corrupt_path`` (default: ``<output_path>_corrupt``).
     """
     if output_path.rstrip("/").startswith(input_path.rstrip("/") + "/") and recursive:
         raise ValueError("output folder lies inside the recursively read input folder")
-    seen = Observation("pageview-json")
-    raw = readers.read_pageview_json(spark, input_path, recursive).observe(
-        seen, F.count(F.col(readers.CORRUPT_COLUMN)).alias("corrupt"))
-    ok, bad = readers.split_corrupt(raw)
+    raw = readers.read_pageview_json(spark, input_path, recursive)
+    seen, path = Observation("pageview-json"), scratch_path(spark, "pageview-parsed")
+    raw.observe(seen, F.count(F.col(readers.CORRUPT_COLUMN)).alias("corrupt")).write.parquet(path)
+    ok, bad = readers.split_corrupt(spark.read.schema(raw.schema).parquet(path))
     rows = tables.write_parquet(readers.flatten_pageview(ok), output_path)
     corrupt = int(seen.get.get("corrupt", 0))
     if corrupt:

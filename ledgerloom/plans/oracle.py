@@ -362,3 +362,35 @@ SELECT file_path AS log_name, row_number() OVER (PARTITION BY file_path ORDER BY
     "stream_report_fact": _with(report=REPORT) + _FACT_ON_DAY,
     "stream_log_fact": _SESSIONS_WITH + FACT_LOG_SELECT.replace("current_date AS load_date", _ON_DAY),
 })
+
+_FOREIGN = """
+SELECT consent_id, organization_id, website_id, consent_hashid, CAST(NULL AS VARCHAR) AS ip_address,
+  ip_country, CAST(NULL AS VARCHAR) AS ip_region, CAST(NULL AS VARCHAR) AS gcp_preference, device_name,
+  CAST(NULL AS VARCHAR) AS storage_item, CAST(NULL AS VARCHAR) AS user_preferences,
+  CAST(NULL AS TIMESTAMP) AS accepted_at, session_hashid, created_at, account_hashid, year, month, day
+FROM consent WHERE day = '15' OR CAST(substring(account_hashid, 2) AS BIGINT) % 2 = 0"""
+
+_REQUIRED = ["Job Status", "Resource Type", "Report Time Period Start", "Report Time Period End",
+             "Resource ARN", "Backup Size in Bytes", "Recovery Point ARN"]
+
+SQL.update({
+    "unreadable_log_files": _SESSIONS_WITH + """
+SELECT DISTINCT file_path AS log_name, 'differential backup without a date' AS reason FROM g WHERE bad
+UNION ALL
+SELECT DISTINCT 'broken-' || file_path AS log_name, 'cannot be read to its end' AS reason FROM log WHERE starts_with(file_path, 'hana-0-')
+UNION ALL
+SELECT DISTINCT 'gone-' || file_path AS log_name, 'vanished' AS reason FROM log WHERE starts_with(file_path, 'hana-0-')""",
+    "sessions_beside_unreadable_files": _SESSIONS_WITH + FACT_LOG_SELECT.replace("current_date AS load_date", _ON_DAY),
+    "foreign_partitions": _with(consent=CONSENT) + _CONSENT_TABLE,
+    "foreign_partitions_of_a_day": _with(consent=CONSENT) + _FOREIGN,
+    "page_visit_days": _with(all_views=PAGEVIEW, consent=CONSENT,
+                             pageview="SELECT * FROM all_views WHERE year = '2024' AND day IN ('05', '15', '25')") + _Q4,
+    "page_visit_bucketed": _with(pageview=PAGEVIEW, consent=CONSENT) + _Q4,
+    "validated_report": "SELECT '' AS missing, count(*) AS records FROM orders" + "".join(
+        f" UNION ALL SELECT '{c}' AS missing, 0 AS records" for c in _REQUIRED),
+    "project_available_missing": _with(report=REPORT) + """
+SELECT "Report Time Period Start", "Report Time Period End", "Job Status", "Resource Type", "Backup Size in Bytes" FROM report""",
+    "load_counts": _SESSIONS_WITH + """
+SELECT false AS existed, true AS exists_now, (SELECT count(*) FROM orders) AS report_rows, (SELECT count(*) FROM sessions) AS log_rows,
+  2 * (SELECT count(*) FROM orders) + (SELECT count(*) FROM sessions) AS rows_after_refresh""",
+})

@@ -31,11 +31,12 @@ _WRITTEN: dict[tuple[str, str, str], str] = {}
 
 
 def _written(spark, sf_dir, writer):
-    """What ``writer`` made of an input folder, made once per session.
+    """What ``writer`` made of an input folder, made once per session and state of the given tables.
 
     Queries only read it, so the keys that share an input share one copy.
     """
-    key = (spark.sparkContext.applicationId, sf_dir, writer.__name__)
+    state = ",".join(files.path_state(spark, f"{sf_dir.rstrip('/')}/{t}.parquet") for t in ("events", "orders"))
+    key = (spark.sparkContext.applicationId, f"{sf_dir}?{state}", writer.__name__)
     if key not in _WRITTEN:
         _WRITTEN[key] = writer(spark, sf_dir)
     return _WRITTEN[key]
@@ -368,6 +369,110 @@ def q_skipped_log_files(spark, sf_dir):
     return logs.skipped_files(pieces).select(ff.log_name().alias("log_name"), "reason")
 
 
+def _damaged(spark, sf_dir):
+    root = _written(spark, sf_dir, ff.write_damaged_logs)
+    return jobs.log_pieces(spark, root, glob=None, listing=spark.read.parquet(f"{root}-listing"))
+
+
+def q_unreadable_log_files(spark, sf_dir):
+    """Log files that yield nothing among broken and vanished ones, and why."""
+    return _damaged(spark, sf_dir)[1].select(ff.log_name().alias("log_name"), "reason")
+
+
+def q_sessions_beside_unreadable_files(spark, sf_dir):
+    """The sessions of all other log files."""
+    return logs.backup_fact_log(logs.sessions_of(_damaged(spark, sf_dir)[0]), as_of=ff.FILE_DAY)
+
+
+def _write_foreign_consents(spark, sf_dir) -> str:
+    """Accounts of even users loaded through the table; those of odd users landed by another job as plain files."""
+    rows = fx.consent(_events(spark, sf_dir))
+    odd = F.substring("account_hashid", 2, 20).cast("long") % 2 == 1
+    name, location = _table_name("foreign"), scratch_path(spark, "foreign-consents")
+    tables.load_consent(rows.where(~odd), name, location)
+    tables.write_consent(rows.where(odd), location)
+    return name
+
+
+def q_foreign_partitions(spark, sf_dir):
+    """The whole consent table by name, after the folders of another job were discovered."""
+    name = _write_foreign_consents(spark, sf_dir)
+    tables.recover_partitions(spark, name)
+    return _wall_clock(readers.read_consent(spark, name))
+
+
+def q_foreign_partitions_of_a_day(spark, sf_dir):
+    """The same, after one day's folders of another job were added."""
+    name = _write_foreign_consents(spark, sf_dir)
+    tables.add_partitions(spark, name, day="15")
+    return _wall_clock(readers.read_consent(spark, name))
+
+
+def q_page_visit_days(spark, sf_dir):
+    """Page visits of some days over the two catalog tables; the accounts seen prune the consent table."""
+    consent, pageview = (_written(spark, sf_dir, w) for w in (_write_consent_table, _write_pageview_table))
+    return views.page_visits_of_days(spark, consent, pageview, "year = '2024' AND day IN ('05', '15', '25')")
+
+
+#: Buckets of the folded page views and consents (a fixed value for these inputs).
+BUCKETS = 8
+
+
+def _write_page_sessions(spark, sf_dir) -> str:
+    name = _table_name("page_sessions")
+    tables.write_bucketed(views.page_sessions(fx.pageview(_events(spark, sf_dir))), name, scratch_path(spark, "page-sessions"),
+                          ["account_hashid"], BUCKETS)
+    return name
+
+
+def _write_consent_accounts(spark, sf_dir) -> str:
+    name = _table_name("consent_accounts")
+    tables.write_bucketed(views.consent_accounts(fx.consent(_events(spark, sf_dir))), name, scratch_path(spark, "consent-accounts"),
+                          ["account_hashid"], BUCKETS)
+    return name
+
+
+def q_page_visit_bucketed(spark, sf_dir):
+    """Page visits from two tables bucketed by account."""
+    return views.page_visits_of_folded(spark.table(_written(spark, sf_dir, _write_page_sessions)),
+                                       spark.table(_written(spark, sf_dir, _write_consent_accounts)))
+
+
+def q_validated_report(spark, sf_dir):
+    """Report rows that pass the check of the required columns, and what it says with one of them away."""
+    rows = _report(spark, sf_dir)
+    found = [report.validate_required(rows).groupBy().agg(F.lit("").alias("missing"), F.count(F.lit(1)).alias("records"))]
+    for column in S.REQUIRED_REPORT_COLUMNS:
+        less = rows.drop(column)
+        try:
+            report.validate_required(less)
+        except report.MissingColumnsError:
+            found.append(less.groupBy().agg(F.lit(", ".join(report.missing_columns(less))).alias("missing"), F.lit(0).cast("long").alias("records")))
+    out = found[0]
+    for more in found[1:]:
+        out = out.unionByName(more)
+    return out
+
+
+def q_project_available_missing(spark, sf_dir):
+    """The projection of reports that lack a column."""
+    return report.project_available(_report(spark, sf_dir).drop(S.COL_RESOURCE_ARN))
+
+
+def q_load_counts(spark, sf_dir):
+    """Existence and row counts around two loads, and after another job's files became known by a refresh."""
+    name, location = _table_name("counts"), scratch_path(spark, "counts-table")
+    before = tables.table_exists(spark, name)
+    tables.create_table_if_absent(spark, name, S.BACKUP_FACT, location)
+    fact = report.backup_fact_report(_report(spark, sf_dir))
+    first, second = tables.append_by_name(fact, name), tables.append_by_name(logs.backup_fact_log(_sessions(spark, sf_dir)), name)
+    tables.write_parquet(fact, location)        # another job, past the catalog
+    tables.refresh(spark, name)
+    return spark.table(name).groupBy().agg(
+        F.lit(before).alias("existed"), F.lit(tables.table_exists(spark, name)).alias("exists_now"), F.lit(first).cast("long").alias("report_rows"),
+        F.lit(second).cast("long").alias("log_rows"), F.count(F.lit(1)).alias("rows_after_refresh"))
+
+
 def q_append_by_name(spark, sf_dir):
     name = _table_name("append")
     tables.create_table_if_absent(spark, name, S.BACKUP_FACT, scratch_path(spark, "append-table"))
@@ -453,6 +558,15 @@ QUERIES: dict[str, Query] = {
     "consent_hourly_stats_ordered": q_consent_hourly_stats_ordered,
     "page_visit_stats_ordered": q_page_visit_stats_ordered,
     "skipped_log_files": q_skipped_log_files,
+    "unreadable_log_files": q_unreadable_log_files,
+    "sessions_beside_unreadable_files": q_sessions_beside_unreadable_files,
+    "foreign_partitions": q_foreign_partitions,
+    "foreign_partitions_of_a_day": q_foreign_partitions_of_a_day,
+    "page_visit_days": q_page_visit_days,
+    "page_visit_bucketed": q_page_visit_bucketed,
+    "validated_report": q_validated_report,
+    "project_available_missing": q_project_available_missing,
+    "load_counts": q_load_counts,
     "append_by_name": q_append_by_name,
     "insert_by_position": q_insert_by_position,
     "overwrite_table": q_overwrite_table,

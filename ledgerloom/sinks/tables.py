@@ -8,12 +8,16 @@ second time to count it.
 
 from __future__ import annotations
 
+import uuid
+
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .. import schemas as S
 from ..operators import views
+from ..session import scratch_path
 
 
 class ColumnMismatchError(ValueError):
@@ -36,9 +40,8 @@ def create_table_if_absent(spark: SparkSession, name: str, schema: T.StructType,
         return False
     cols = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
     parts = f" PARTITIONED BY ({', '.join(f'`{c}`' for c in partition_by)})" if partition_by else ""
-    where = location.replace("\\", "\\\\").replace("'", "\\'")
     spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({cols}) USING parquet{parts} "
-              f"LOCATION '{where}'")
+              f"LOCATION '{_quoted(location)}'")
     return True
 
 
@@ -86,16 +89,63 @@ def insert_by_position(df: DataFrame, name: str, overwrite: bool = False) -> int
     return _rows(obs)
 
 
-def overwrite_table(df: DataFrame, name: str, location: str | None = None) -> int:
-    """Replace table ``name`` with ``df``: rows **and** schema are replaced."""
+def overwrite_table(df: DataFrame, name: str, location: str | None = None, keep_old: bool = False) -> int:
+    """Replace table ``name`` with ``df``: rows **and** schema are replaced.
+
+    With a ``location`` the new rows are first written to a fresh folder below it (``v-<id>``); a write
+    that fails leaves table and files as they were. Then the table is pointed at the new folder: one catalog
+    change where the columns stay, drop and create (of the catalog's entry only) where they differ. The folders of
+    earlier versions go afterwards, or stay for readers that have begun (``keep_old``; :func:`drop_old_versions`).
+    Rows that a table held directly at ``location`` before its first staged overwrite are such a version too.
+    """
     counted, obs = _counted(df, f"overwrite:{name}")
-    writer = counted.write.mode("overwrite").format("parquet")
-    if location:
-        writer = writer.option("path", location)
-    writer.saveAsTable(name)
+    if location is None:
+        counted.write.mode("overwrite").format("parquet").saveAsTable(name)
+        return _rows(obs)
+    spark = df.sparkSession
+    target = f"{location.rstrip('/')}/v-{uuid.uuid4().hex[:12]}"
+    counted.write.mode("error").parquet(target)
+    if table_exists(spark, name) and not _partitioned(spark, name) \
+            and [(f.name, f.dataType) for f in spark.table(name).schema] == [(f.name, f.dataType) for f in df.schema]:
+        spark.sql(f"ALTER TABLE {name} SET LOCATION '{_quoted(target)}'")
+    else:
+        spark.sql(f"DROP TABLE IF EXISTS {name}")       # the files of a table with a location stay
+        create_table_if_absent(spark, name, df.schema, target)
+    refresh(spark, name)
+    if not keep_old:
+        drop_old_versions(spark, name, location)
     return _rows(obs)
 
 
+def _quoted(path: str) -> str:
+    return path.replace("\\", "\\\\").replace("'", "\\'")
+
+
+def _described(spark: SparkSession, name: str) -> dict[str, str]:
+    return {r["col_name"]: r["data_type"] for r in spark.sql(f"DESCRIBE EXTENDED {name}").collect()}
+
+
+def table_location(spark: SparkSession, name: str) -> str:
+    return _described(spark, name)["Location"]
+
+
+def _partitioned(spark: SparkSession, name: str) -> bool:
+    return any(c.isPartition for c in spark.catalog.listColumns(name))
+
+
+def drop_old_versions(spark: SparkSession, name: str, location: str) -> int:
+    """Delete what lies below ``location`` but the folder the table points at; returns how many entries went."""
+    path_of = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    current, root = path_of(table_location(spark, name)), path_of(location)
+    fs = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if fs.makeQualified(current).getParent().toString() != fs.makeQualified(root).toString():
+        return 0                                # the table points elsewhere: nothing here is known to be old
+    old = [s.getPath() for s in fs.listStatus(root) if s.getPath().getName() != current.getName()]
+    for path in old:
+        fs.delete(path, True)
+    return len(old)
+
+
 def load_table(df: DataFrame, name: str, location: str | None = None,
                overwrite: bool = False) -> int:
     """The daily load: append by name, or replace the table when ``overwrite``."""
@@ -154,6 +204,77 @@ def load_consent(df: DataFrame, name: str, location: str) -> int:
     return insert_by_position(spread_for_write(consent_rows(df), S.CONSENT_PARTITION_COLUMNS), name)
 
 
+def partition_names(spark: SparkSession, name: str) -> DataFrame:
+    """``partition``: the catalog's partitions of a table (``k=v/k=v``)."""
+    return spark.sql(f"SHOW PARTITIONS {name}")
+
+
+def recover_partitions(spark: SparkSession, name: str, drop_missing: bool = False) -> tuple[int, int]:
+    """Add the ``k=v`` folders that other jobs wrote below the table's location to the catalog, all at once.
+
+    Returns (partitions added, partitions dropped); with ``drop_missing`` those whose folder is gone are dropped.
+    The whole location is walked (in parallel); :func:`add_partitions` looks at some folders only.
+    """
+    before = partition_names(spark, name)
+    path = scratch_path(spark, "partitions-before")
+    before.write.parquet(path)
+    before = spark.read.schema("partition string").parquet(path)
+    spark.sql(f"MSCK REPAIR TABLE {name} {'SYNC' if drop_missing else 'ADD'} PARTITIONS")
+    after = partition_names(spark, name)
+    return after.join(before, "partition", "left_anti").count(), before.join(after, "partition", "left_anti").count()
+
+
+def add_partitions(spark: SparkSession, name: str, batch: int = 500, **known: str) -> int:
+    """Add the folders below the table's location that match the ``known`` partition values (say, of one day); returns how many.
+
+    Only folders of these values are listed, and only those the catalog does not know are added, ``batch`` a statement.
+    """
+    keys = [c.name for c in spark.catalog.listColumns(name) if c.isPartition]
+    unknown = sorted(set(known) - set(keys))
+    if unknown:
+        raise ColumnMismatchError(f"{name} is not partitioned by {unknown}")
+    jvm, root = spark.sparkContext._jvm, table_location(spark, name)
+    escape = jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.escapePathName
+    folders = "/".join(f"{k}={escape(known[k]) if k in known else '*'}" for k in keys)
+    try:
+        found = spark.read.format("binaryFile").load(f"{root}/{folders}")
+    except AnalysisException as e:              # no such folder
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return 0
+    pattern = "/(" + "/".join(f"{k}=[^/]*" for k in keys) + ")/[^/]+$"
+    new = found.select(F.regexp_extract("path", pattern, 1).alias("partition")).distinct() \
+        .join(partition_names(spark, name), "partition", "left_anti")
+    unescape = jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.unescapePathName
+    added, held = 0, []
+
+    def add() -> None:
+        if held:
+            spark.sql(f"ALTER TABLE {name} ADD IF NOT EXISTS " + " ".join(held))
+
+    for row in new.toLocalIterator():
+        values = [(k, unescape(part.split("=", 1)[1])) for k, part in zip(keys, row.partition.split("/"))]
+        held.append("PARTITION (" + ", ".join(f"`{k}` = '{_quoted(v)}'" for k, v in values) + ")")
+        added += 1
+        if len(held) == batch:
+            add()
+            held = []
+    add()
+    return added
+
+
+def write_bucketed(df: DataFrame, name: str, location: str, keys: list[str], buckets: int) -> int:
+    """Replace table ``name`` by ``df`` in ``buckets`` buckets by ``keys``, one sorted file a bucket.
+
+    Tables with the same number of buckets by the same keys are joined and grouped by these keys without a shuffle.
+    Rows of one key share a bucket: fold what repeats (:func:`views.page_sessions`, :func:`views.consent_accounts`) first.
+    """
+    counted, obs = _counted(df.repartition(buckets, *keys), f"bucketed:{name}")
+    counted.write.mode("overwrite").format("parquet").option("path", location) \
+        .bucketBy(buckets, *keys).sortBy(*keys).saveAsTable(name)
+    return _rows(obs)
+
+
 def refresh(spark: SparkSession, name: str) -> None:
     """Drop cached file listings of ``name`` (needed only after writes by other jobs)."""
     spark.catalog.refreshTable(name)

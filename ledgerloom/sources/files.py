@@ -99,3 +99,12 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     fs = p.getFileSystem(hconf)
     found = fs.globStatus(p)
     return found is not None and len(found) > 0
+
+
+def path_state(spark: SparkSession, path: str) -> str:
+    """Size and latest modification time of a file, or of the files of a folder; empty if there is none."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not fs.exists(p):
+        return ""
+    return f"{fs.getContentSummary(p).getLength()}@{max(s.getModificationTime() for s in [fs.getFileStatus(p), *fs.listStatus(p)])}"

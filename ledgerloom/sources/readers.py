@@ -6,7 +6,7 @@ job reads the same way.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -180,6 +180,78 @@ def with_split(text: DataFrame) -> DataFrame:
                        F.col("_metadata.file_block_start").alias("chunk"), "value")
 
 
+# File name endings that Hadoop's text reader decompresses.
+COMPRESSED_SUFFIXES = [".gz", ".bz2", ".zst", ".lz4", ".snappy", ".deflate"]
+#: Compressed files above this size are not tried whole (a try holds the decompressed file).
+TRIED_WHOLE = 128 << 20
+
+
+def list_logs(spark: SparkSession, paths: str | list[str], glob: str | None = LOG_FILE_GLOB,
+              recursive: bool = True) -> DataFrame:
+    """``file_path, file_size`` of the log files there are now, written down (later changes of the folder do not show)."""
+    reader = spark.read.format("binaryFile").option("recursiveFileLookup", recursive).option("ignoreMissingFiles", True)
+    if glob:
+        reader = reader.option("pathGlobFilter", glob)
+    files = reader.load(paths).select("_metadata.file_path", "_metadata.file_size")
+    path = scratch_path(spark, "log-listing")
+    files.write.parquet(path)
+    return spark.read.schema(files.schema).parquet(path)
+
+
+def failed_on_a_file(error: BaseException) -> bool:
+    """Whether a job failed because one of its input files could not be read."""
+    return "FAILED_READ_FILE" in str(error)
+
+
+def read_logs_apart(spark: SparkSession, paths: str | list[str], listing: DataFrame, glob: str | None = LOG_FILE_GLOB,
+                    recursive: bool = True) -> tuple[DataFrame, DataFrame]:
+    """Lines of the listed logs that can be read whole, and ``file_path, reason`` of the others.
+
+    Spark's tolerant reader stops a broken file where it breaks and says nothing, so what was read is
+    held against the listing. The lines are read once and written to the shared folder with
+    their bytes. Only ``\\n`` ends a physical line here (``\\r`` is split off like the other breaks), so that an
+    uncompressed file was read whole iff its bytes add up to its size (less a byte order mark).
+    A compressed file is tried whole, without its text: a file that breaks then gives no row.
+    One of more than ``TRIED_WHOLE`` compressed bytes is not tried and listed. A broken file gives no line at all.
+    """
+    def tolerant(**how) -> DataFrame:
+        reader = spark.read.option("recursiveFileLookup", recursive).option("ignoreCorruptFiles", True).option("ignoreMissingFiles", True)
+        return (reader.option("pathGlobFilter", glob) if glob else reader).text(paths, **how)
+
+    physical = with_split(tolerant(lineSep="\n"))
+    parts = F.split("value", "\r\n?|" + EXTRA_LINE_BREAKS)
+    lines = physical.select("file_path", "chunk", F.col("value").alias("line"), F.posexplode(parts).alias("nth", "value")).select(
+        "file_path", "chunk", F.monotonically_increasing_id().alias("split_line"), "value",
+        (~F.is_valid_utf8("line")).alias("undecodable"), F.when(F.col("nth") == 0, F.octet_length("line") + 1).otherwise(0).alias("bytes"))
+    path = scratch_path(spark, "log-lines-apart")
+    lines.write.parquet(path)
+    stored = spark.read.schema(lines.schema).parquet(path)
+
+    def ends(column: str) -> Column:
+        found = F.lit(False)
+        for suffix in COMPRESSED_SUFFIXES:
+            found = found | F.col(column).endswith(suffix)
+        return found
+
+    tried = tolerant(wholetext=True) \
+        .where(ends("_metadata.file_path") & (F.col("_metadata.file_size") <= TRIED_WHOLE)) \
+        .select(F.col("_metadata.file_path").alias("file_path"), F.lit(True).alias("tried"))
+    there = list_logs(spark, paths, glob, recursive).select("file_path", F.lit(True).alias("there"))
+    read = stored.groupBy("file_path").agg(F.sum("bytes").alias("bytes"))
+    whole = F.when(ends("file_path"), F.col("tried")).otherwise(F.col("bytes") >= F.col("file_size") - 3)
+    reason = (F.when(F.coalesce(whole, F.col("file_size") == 0, F.lit(False)), F.lit(None))
+              .when(F.col("there").isNull(), "vanished")
+              .when(ends("file_path") & (F.col("file_size") > TRIED_WHOLE), "compressed and too large to be tried whole")
+              .otherwise("cannot be read to its end"))
+    checked = listing.join(read, "file_path", "left").join(tried, "file_path", "left").join(there, "file_path", "left") \
+        .select("file_path", reason.alias("reason"))
+    path = scratch_path(spark, "logs-checked")
+    checked.write.parquet(path)
+    checked = spark.read.schema(checked.schema).parquet(path)
+    good = checked.where("reason IS NULL").select("file_path")
+    return stored.drop("bytes").join(good, "file_path", "left_semi"), checked.where("reason IS NOT NULL")
+
+
 def number_lines(lines: DataFrame) -> DataFrame:
     """Add ``line_number``: the 1-based position of each line in its file.
 
