@@ -18,22 +18,23 @@ is 0.8 or more. With weights of one this is the plain Jaccard similarity.
 3. Banding: ``BANDS`` x ``ROWS`` registers. In each bucket every text is paired with the
    smallest and the largest id of the bucket, which connects most families at once.
 4. Verification: pairs whose registers agree too seldom are dropped (``FLOOR``, more than four
-   standard deviations below the threshold); J_P of the others is computed exactly from the
-   whole texts.
-5. Classes are the connected components of the verified links; the smallest ``doc_id``
-   names the class. Where texts of different classes still share a bucket, they are paired
-   across the classes, and 4 and 5 are done once more. Buckets of more than ``SMALL`` texts
-   (families, or texts that share a passage) are first parted by ``PARTS`` further bands
-   each; in groups of up to ``SMALL`` texts all are paired across classes, in larger ones each
-   with about ``LEADERS`` drawn by a hash. Texts of one class are never paired again.
-6. All other pairs: in buckets of more than ``SMALL`` texts that still hold several classes, the
-   registers of all texts of different classes are compared, block against block
-   (``BLOCK`` texts or more), and every pair that passes ``FLOOR`` and is untested goes through 4 and 5.
-   After this no pair that shares a bucket and not a class is left untested.
+   standard deviations below the threshold); J_P of the others is computed exactly from all their
+   shingles. Each text's shingles are made once.
+5. Classes are the connected components of the verified links.
+6. All other pairs: buckets that still hold several classes are dealt over blocks of texts with their classes,
+   registers and shingles, and each two blocks of a bucket meet in one task. There the registers
+   of all texts of different classes are compared; a pair that passes ``FLOOR`` is verified at once, exactly, in the first
+   bucket that it shares. A link joins two classes in that task, so that pairs within the joined class are no longer tested, and only
+   links that join classes leave the task: fewer than there are texts in the two blocks. Pairs never become rows.
+   After this no pair that shares a bucket and not a class is left untested, and the components are taken again. The comparisons
+   of a bucket grow with the square of its texts that are in no common class; rows do not.
 
 At J_P = 0.8 a pair shares no bucket with probability (1 - 0.8^4)^24 < 4e-6, and is expected to
 share ten of them.
 
+Equal texts are one node of all this, named by a number; a document with several texts links its nodes.
+The smallest ``doc_id`` of a class names it.
+
 Defined results: rows that share a ``doc_id`` are one document with several texts and share
 a class; a null text, or a null ``doc_id``, joins no class (class null for a null id); empty
 texts are copies of each other; repeated rows give repeated rows; extra columns are ignored.
@@ -55,9 +56,10 @@ THRESHOLD = 0.8
 BANDS, ROWS = 24, 4
 REGISTERS = BANDS * ROWS
 FLOOR = 0.62
-SMALL, LEADERS, PARTS = 12, 3, 3
 #: Texts a block, and blocks a bucket up to which blocks stay as small; larger buckets have blocks of up to LARGEST texts.
-BLOCK, BLOCKS, LARGEST = 128, 16, 4096
+BLOCK, BLOCKS, LARGEST = 128, 16, 2048
+#: Shingles a block holds about at most (one text at least).
+BLOCK_SHINGLES = 1 << 20
 
 _WORD = bytes((b | 0x20 if 0x41 <= b <= 0x5A else b) if b >= 0x80 or chr(b).isalnum() else 0x20 for b in range(256))
 _P = 0x9E3779B97F4A7C15
@@ -166,18 +168,18 @@ def similarity(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray
 
 
 def sketches(docs: DataFrame, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
-    """``doc_id``, ``content`` (128-bit hash of the word sequence), the keys of the bands and a byte of each register
-    (both null without words)."""
+    """``doc_id``, ``content`` (128-bit hash of the word sequence), the keys of the bands, a byte of each register
+    (both null without words) and the number of words."""
     prepare(docs.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seed = _mix(np.arange(1, bands + 1, dtype=np.uint64))
         for batch in slices(batches, "text"):
-            contents, keys, bytes_ = [], [], []
+            contents, keys, bytes_, sizes = [], [], [], []
             for text in batch.column("text").to_pylist():
                 words = word_hashes(text)
-                contents.append(hashlib.blake2b(words.tobytes() if len(words) else b"\0" + text.encode(),
-                                                digest_size=16).hexdigest())
+                contents.append(_content(text, words))
+                sizes.append(len(words))
                 if not len(words):
                     keys.append(None)
                     bytes_.append(None)
@@ -190,19 +192,53 @@ def sketches(docs: DataFrame, bands: int = BANDS, rows: int = ROWS) -> DataFrame
                     key = _mix(key ^ held[:, k]) * _U(_P)
                 keys.append(key.view(np.int64))
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array(contents), pa.array(keys, pa.list_(pa.int64())), pa.array(bytes_, pa.binary())],
-                ["doc_id", "content", "bands", "registers"])
+                [batch.column("doc_id"), pa.array(contents), pa.array(keys, pa.list_(pa.int64())), pa.array(bytes_, pa.binary()),
+                 pa.array(sizes, pa.int64())], ["doc_id", "content", "bands", "registers", "words"])
 
     return docs.where("doc_id IS NOT NULL AND text IS NOT NULL") \
         .select(F.col("doc_id").cast("long"), F.col("text").cast("string")) \
-        .mapInArrow(run, "doc_id long, content string, bands array<long>, registers binary")
+        .mapInArrow(run, "doc_id long, content string, bands array<long>, registers binary, words long")
+
+
+def _content(text: str, words: np.ndarray) -> str:
+    return hashlib.blake2b(words.tobytes() if len(words) else b"\0" + text.encode(), digest_size=16).hexdigest()
+
+
+def shingled(docs: DataFrame, wanted: DataFrame) -> DataFrame:
+    """``id``, ``items`` and ``weights`` (shingle hashes and counts as binary; weights null where all are one) of the texts
+    ``wanted`` (``id``, ``content``, ``exact_id``), one row each."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches, "text"):
+            contents, items, weights = [], [], []
+            for text in batch.column("text").to_pylist():
+                words = word_hashes(text)
+                found, counts = shingles(words)
+                contents.append(_content(text, words))
+                items.append(found.tobytes())
+                weights.append(None if (counts == 1).all() else counts.tobytes())
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(contents), pa.array(items, pa.binary()), pa.array(weights, pa.binary())],
+                                             ["exact_id", "content", "items", "weights"])
+
+    made = docs.where("text IS NOT NULL").select(F.col("doc_id").cast("long"), F.col("text").cast("string")) \
+        .join(wanted.select(F.col("exact_id").alias("doc_id")).distinct(), "doc_id", "left_semi") \
+        .mapInArrow(run, "exact_id long, content string, items binary, weights binary")
+    # repeated rows give the same shingles again
+    return made.join(wanted, ["exact_id", "content"]).groupBy("id").agg(F.first("items").alias("items"), F.first("weights").alias("weights"))
+
+
+def _sets(items, weights) -> list[tuple[np.ndarray, np.ndarray]]:
+    made = []
+    for i, w in zip(items, weights):
+        held = np.frombuffer(i, np.uint64)
+        made.append((held, np.ones(len(held)) if w is None else np.frombuffer(w, float)))
+    return made
 
 
 def shared_buckets(members: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Buckets of two texts and more (``bucket``, ``low``, ``high``, ``n``), and their rows (``bucket``, ``id``).
 
-    ``members``: one row per distinct text (``doc_id``, ``bands``)."""
-    keyed = members.select(F.col("doc_id").alias("id"), F.explode("bands").alias("bucket"))
+    ``members``: one row per distinct text (``id``, ``bands``)."""
+    keyed = members.select("id", F.explode("bands").alias("bucket"))
     # written, so that the join can split a bucket that many texts share
     ends = table(keyed.groupBy("bucket").agg(F.min("id").alias("low"), F.max("id").alias("high"), F.count("*").alias("n"))
                  .where("low < high"), "buckets")
@@ -216,32 +252,6 @@ def star_pairs(rows: DataFrame) -> DataFrame:
     return pairs.select("p.a", "p.b").where("a < b").distinct()
 
 
-def crossing_pairs(rows: DataFrame, members: DataFrame, names: DataFrame, tested: DataFrame) -> DataFrame:
-    """Untested pairs of texts that share a bucket and not yet a class (``names``: ``id``, ``class_id`` of linked ids)."""
-    most = rows.count()
-
-    def mixed(frame: DataFrame, name: str, most: int) -> DataFrame:
-        found = table(frame.groupBy("bucket").agg(F.min("c").alias("c0"), F.max("c").alias("c1"), F.count("*").alias("n"))
-                      .where("c0 < c1").select("bucket", "n"), f"{name}-mixed", most)
-        return table(frame.join(found, "bucket"), f"{name}-rows", most)
-
-    named = table(rows.join(names, "id", "left").select("bucket", "id", F.coalesce("class_id", "id").alias("c")), "named", most)
-    whole = mixed(named, "bucket", most)
-    bands = members.select(F.col("doc_id").alias("id"), "bands")
-    at, many = F.array_position("bands", F.col("bucket")).cast("int"), F.size("bands")
-    parts = F.array(*[F.xxhash64("bucket", F.element_at("bands", (at - 1 + k) % many + 1)) for k in range(1, PARTS + 1)])
-    parted = whole.where(F.col("n") > SMALL).join(bands, "id").select(F.explode(parts).alias("bucket"), "id", "c")
-    groups = table(whole.where(F.col("n") <= SMALL).unionByName(mixed(parted, "part", PARTS * most)), "groups",
-                   (PARTS + 1) * most)
-    # a whole small group, or some texts of a large one, drawn by a hash without gathering the group
-    drawn = F.pmod(F.xxhash64("id", "bucket"), F.col("n")) < F.when(F.col("n") <= SMALL, F.col("n")).otherwise(LEADERS)
-    leaders = table(groups.where(drawn).select("bucket", F.col("id").alias("other"), F.col("c").alias("oc")), "leaders",
-                    (PARTS + 1) * most)
-    met = groups.join(leaders, "bucket").where(f"c <> oc AND (n > {SMALL} OR id < other)")
-    return met.select(F.least("id", "other").alias("a"), F.greatest("id", "other").alias("b")).distinct() \
-        .join(tested, ["a", "b"], "left_anti")
-
-
 def alike(x: tuple, y: tuple, floor: float = FLOOR) -> tuple[np.ndarray, np.ndarray]:
     """Places (in x, in y) of texts of different classes whose registers agree in a share of ``floor`` or more.
 
@@ -261,46 +271,86 @@ def alike(x: tuple, y: tuple, floor: float = FLOOR) -> tuple[np.ndarray, np.ndar
     return np.concatenate(at_x), np.concatenate(at_y)
 
 
-def remaining_pairs(rows: DataFrame, members: DataFrame, names: DataFrame, tested: DataFrame,
-                    floor: float = FLOOR) -> DataFrame:
-    """Every untested pair of texts that shares a bucket of more than ``SMALL`` texts and not yet a class, and whose
-    registers agree in a share of ``floor`` or more.
-
-    A bucket's texts are dealt over blocks by a hash; each pair of blocks is one row of a join, and its texts are
-    compared in numpy, so that only pairs that pass become rows."""
-    large = rows.where(F.col("n") > SMALL)
-    named = table(large.join(names, "id", "left").select("bucket", "id", F.coalesce("class_id", "id").alias("c")), "named-rest")
-    mixed = table(named.groupBy("bucket").agg(F.min("c").alias("c0"), F.max("c").alias("c1"), F.count("*").alias("n"))
-                  .where("c0 < c1").select("bucket", F.expr(
-                      f"least(ceil(n / {BLOCK}), greatest({BLOCKS}, ceil(n / {LARGEST})))").cast("int").alias("blocks")), "rest-mixed", 1)
-    held = members.select(F.col("doc_id").alias("id"), "registers")
-    dealt = named.join(mixed, "bucket").join(held, "id") \
-        .withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
-    blocks = table(dealt.groupBy("bucket", "blocks", "block").agg(F.collect_list(F.struct("id", "c", "registers")).alias("t"))
-                   .select("bucket", "blocks", "block", "t.id", "t.c", "t.registers"), "blocks")
-    left = blocks.select("bucket", F.explode(F.sequence("block", F.col("blocks") - 1)).alias("block"),
-                         *[F.col(c).alias(f"{c}_x") for c in ("id", "c", "registers")])
-    right = blocks.select("bucket", "block", *[F.col(c).alias(f"{c}_y") for c in ("id", "c", "registers")])
-    both = left.join(right, ["bucket", "block"]).drop("bucket", "block")
+def joining(x: dict, y: dict, bucket: int, floor: float = FLOOR, threshold: float = THRESHOLD) -> list[tuple[int, int]]:
+    """Links between two blocks of a bucket that join their texts' classes.
+
+    ``x``, ``y``: ``id``, ``c`` (classes), ``registers`` (n, m), ``bands`` (n, b) and ``sets`` of a block's texts."""
+    at_x, at_y = alike((x["c"], x["registers"]), (y["c"], y["registers"]), floor)
+    # a pair is tested in the first bucket that it shares
+    here = np.zeros(len(at_x), bool)
+    for k in range(0, len(at_x), 65536):
+        part = slice(k, k + 65536)
+        a, b = x["bands"][at_x[part]], y["bands"][at_y[part]]
+        here[part] = a[np.arange(len(a)), (a == b).argmax(axis=1)] == bucket
+    at_x, at_y = at_x[here], at_y[here]
+    order = np.lexsort((at_y, at_x))
+    at_x, at_y = at_x[order], at_y[order]
+    class_x, class_y, links = x["c"].copy(), y["c"].copy(), []
+    plain = np.array([(w == 1).all() for _, w in y["sets"]], bool)
+    starts = np.flatnonzero(np.append(True, at_x[1:] != at_x[:-1])) if len(at_x) else []
+    for start, end in zip(starts, [*starts[1:], len(at_x)]):
+        i, others = at_x[start], at_y[start:end]
+        mine = x["sets"][i]
+        easy = others[plain[others]] if (mine[1] == 1).all() else others[:0]
+        linked = set()
+        if len(easy):
+            easy = easy[class_y[easy] != class_x[i]]
+            sizes = np.array([len(y["sets"][j][0]) for j in easy])
+            fits = np.minimum(sizes, len(mine[0])) >= threshold * np.maximum(sizes, len(mine[0]))
+            easy, sizes = easy[fits], sizes[fits]
+        if len(easy):
+            held = np.concatenate([y["sets"][j][0] for j in easy])
+            place = np.minimum(np.searchsorted(mine[0], held), len(mine[0]) - 1)
+            common = np.add.reduceat((mine[0][place] == held).astype(np.int64), np.concatenate([[0], np.cumsum(sizes)[:-1]]))
+            linked = set(easy[common >= threshold * (len(mine[0]) + sizes - common)].tolist())
+        for j in others.tolist():
+            if class_y[j] != class_x[i] and (j in linked or (not (plain[j] and (mine[1] == 1).all())
+                                                            and similarity(mine, y["sets"][j]) >= threshold)):
+                links.append((int(x["id"][i]), int(y["id"][j])))
+                old, new = class_y[j], class_x[i]
+                class_x[class_x == old], class_y[class_y == old] = new, new
+    return links
+
+
+def remaining_links(rows: DataFrame, members: DataFrame, names: DataFrame, items: DataFrame, floor: float = FLOOR,
+                    threshold: float = THRESHOLD) -> DataFrame:
+    """Links (a, b) that join all classes (``names``: ``id``, ``class_id`` of linked ids) whose texts share a bucket and are near-duplicates.
+
+    ``members``: ``id``, ``bands``, ``registers``, ``words``; ``items``: of :func:`shingled`."""
+    many = rows.where("n > 2")                  # the pair of a bucket of two is its smallest and largest id
+    named = table(many.join(names, "id", "left").select("bucket", "id", F.coalesce("class_id", "id").alias("c")), "named-rest")
+    mixed = named.groupBy("bucket").agg(F.min("c").alias("c0"), F.max("c").alias("c1")).where("c0 < c1").select("bucket")
+    left = table(named.join(mixed, "bucket"), "mixed-rows")
+    sizes = left.join(members.select("id", "words"), "id").groupBy("bucket").agg(F.count("*").alias("n"), F.sum("words").alias("words")) \
+        .select("bucket", F.expr(f"greatest(least(ceil(n / {BLOCK}), greatest({BLOCKS}, ceil(n / {LARGEST}))), "
+                                 f"least(n, ceil(words / {BLOCK_SHINGLES})))").cast("int").alias("blocks"))
+    dealt = left.join(sizes, "bucket").withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
+    fields = ("id", "c", "bands", "registers", "items", "weights")
+    held = table(left.select("id").distinct().join(members.select("id", "bands", "registers"), "id").join(items, "id"), "mixed-texts")
+    blocks = table(dealt.join(held, "id").groupBy("bucket", "blocks", "block").agg(F.collect_list(F.struct(*fields)).alias("t")), "blocks")
+    both = blocks.select("bucket", F.explode(F.sequence("block", F.col("blocks") - 1)).alias("block"), F.col("t").alias("x")) \
+        .join(blocks.select("bucket", "block", F.col("t").alias("y")), ["bucket", "block"])
+
+    def side(texts: pa.Array) -> dict:
+        f = dict(zip([c.name for c in texts.type], texts.flatten()))
+        n = len(texts)
+        return {"id": f["id"].to_numpy(), "c": f["c"].to_numpy(), "bands": f["bands"].flatten().to_numpy().reshape(n, -1),
+                "registers": np.frombuffer(b"".join(f["registers"].to_pylist()), np.uint8).reshape(n, -1),
+                "sets": _sets(f["items"].to_pylist(), f["weights"].to_pylist())}
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for k in range(batch.num_rows):
-                ids, sides = [], []
-                for side in "xy":
-                    i, c, r = (batch.column(f"{name}_{side}")[k].values for name in ("id", "c", "registers"))
-                    ids.append(i.to_numpy())
-                    sides.append((c.to_numpy(), np.frombuffer(b"".join(r.to_pylist()), np.uint8).reshape(len(r), -1)))
-                x, y = alike(*sides, floor)
-                a, b = ids[0][x], ids[1][y]
-                yield pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], ["a", "b"])
+                links = joining(*(side(batch.column(c)[k].values) for c in "xy"), batch.column("bucket")[k].as_py(), floor, threshold)
+                if links:
+                    yield pa.RecordBatch.from_arrays([pa.array([f(p) for p in links], pa.int64()) for f in (min, max)], ["a", "b"])
 
-    return both.mapInArrow(run, "a long, b long").distinct().join(tested, ["a", "b"], "left_anti")
+    return both.mapInArrow(run, "a long, b long").distinct()
 
 
 def promising(pairs: DataFrame, members: DataFrame, floor: float = FLOOR) -> DataFrame:
-    """Pairs whose registers agree in a share of ``floor`` or more (again for each of a document's texts)."""
-    held = members.select(F.col("doc_id"), F.col("registers"))
+    """Pairs whose registers agree in a share of ``floor`` or more."""
+    held = members.select("id", "registers")
     both = pairs.join(held.toDF("a", "ra"), "a").join(held.toDF("b", "rb"), "b").select("a", "b", "ra", "rb")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -313,28 +363,15 @@ def promising(pairs: DataFrame, members: DataFrame, floor: float = FLOOR) -> Dat
     return both.mapInArrow(run, "a long, b long")
 
 
-def verified(pairs: DataFrame, texts: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """Pairs whose texts (``doc_id``, ``text``) reach ``threshold``; both are read whole. A document with
-    several texts links when any of them does."""
-    both = pairs.join(texts.toDF("a", "text_a"), "a").join(texts.toDF("b", "text_b"), "b") \
-        .select("a", "b", "text_a", "text_b")
+def verified(pairs: DataFrame, items: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
+    """Pairs of texts that reach ``threshold``, by all their shingles."""
+    both = pairs.join(items.toDF("a", "xi", "xw"), "a").join(items.toDF("b", "yi", "yw"), "b").select("a", "b", "xi", "xw", "yi", "yw")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known: dict[int, tuple] = {}                # the side that comes again and again
-
-        def weighted(text: str) -> tuple:
-            key = hash(text)
-            if key not in known:
-                if len(known) >= 64:
-                    known.clear()
-                known[key] = shingles(word_hashes(text))
-            return known[key]
-
-        for batch in slices(batches, "text_a"):
-            good = [similarity(weighted(x), weighted(y)) >= threshold
-                    for x, y in zip(batch.column("text_a").to_pylist(), batch.column("text_b").to_pylist())]
+        for batch in batches:
+            x, y = (_sets(batch.column(f"{c}i").to_pylist(), batch.column(f"{c}w").to_pylist()) for c in "xy")
             yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b")], ["a", "b"]) \
-                .filter(pa.array(good, pa.bool_()))
+                .filter(pa.array([similarity(p, q) >= threshold for p, q in zip(x, y)], pa.bool_()))
 
     return both.mapInArrow(run, "a long, b long")
 
@@ -369,34 +406,30 @@ def _all_stars(edges: DataFrame) -> bool:
 def classes(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """``doc_id``, ``class_id`` and ``exact_id`` (smallest id with the same word sequence) of every row of ``docs``."""
     found = table(sketches(docs), "sketches")
-    exact = table(found.groupBy("content").agg(F.min("doc_id").alias("exact_id")), "contents")
-    members = table(found.join(exact, "content").select("doc_id", "exact_id", *[F.when(F.col("doc_id") == F.col("exact_id"), F.col(c)).alias(c)
-                                                                 for c in ("bands", "registers")]), "members")
-    distinct = members.where("bands IS NOT NULL")
-    _, rows = shared_buckets(distinct)
-    # copies: each row is linked to the first document with its words (a document may have several texts)
-    shared = members.where("doc_id <> exact_id").groupBy("doc_id").agg(F.min("exact_id").alias("low"),
-                                                                      F.max("exact_id").alias("high"))
-    links = table(shared.selectExpr("doc_id AS a", "low AS b").unionByName(shared.selectExpr("doc_id AS a", "high AS b")), "copies")
-    ids = table(rows.select(F.col("id").alias("doc_id")).distinct(), "bucket-ids")
-    texts = table(docs.where("text IS NOT NULL").select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
-                  .join(ids, "doc_id", "left_semi"), "bucket-texts")
-    def near(pairs: DataFrame) -> DataFrame:
-        return verified(promising(pairs, distinct), texts, threshold)
-
+    # one node per distinct text: equal word sequences have equal sketches
+    texts = table(found.groupBy("content").agg(F.min("doc_id").alias("exact_id"), *[F.first(c).alias(c) for c in ("bands", "registers", "words")])
+                  .withColumn("id", F.monotonically_increasing_id()), "texts")
+    held = table(found.select("doc_id", "content").join(texts.select("content", "id", "exact_id"), "content").select("doc_id", "id", "exact_id"), "text-ids")
+    members = texts.where("bands IS NOT NULL")
+    _, rows = shared_buckets(members)
+    shared = table(rows.select("id").distinct(), "bucket-ids")
+    items = table(shingled(docs, texts.join(shared, "id", "left_semi").select("id", "content", "exact_id")), "shingles")
     pairs = table(star_pairs(rows), "pairs")
-    links = table(links.unionByName(near(pairs)), "links")
-    more = table(crossing_pairs(rows, distinct, components(links), pairs), "pairs")
-    linked = components(links.unionByName(near(more)))
-    rest = table(remaining_pairs(rows, distinct, linked, pairs.unionByName(more)), "pairs")
-    links = table(verified(rest, texts, threshold), "links")
-    if not links.isEmpty():
-        linked = components(linked.selectExpr("id AS a", "class_id AS b").unionByName(links))
-    exact_of = members.groupBy("doc_id").agg(F.min("exact_id").alias("exact_id"))
-    rows = docs.select(F.col("doc_id").cast("long"))
-    return rows.join(exact_of, "doc_id", "left").join(linked.withColumnRenamed("id", "doc_id"), "doc_id", "left") \
-        .select("doc_id", F.coalesce("class_id", "doc_id").alias("class_id"),
-                F.coalesce("exact_id", "doc_id").alias("exact_id"))
+    links = verified(promising(pairs, members), items, threshold)
+    # a document with several texts links them
+    several = held.groupBy("doc_id").agg(F.min("id").alias("a"), F.max("id").alias("z")).where("a < z").select("doc_id", "a")
+    own = held.join(several, "doc_id").select("a", F.col("id").alias("b")).where("a < b").distinct()
+    links = table(links.unionByName(own), "links")
+    linked = components(links)
+    rest = table(remaining_links(rows, members, linked, items, threshold=threshold), "links")
+    if not rest.isEmpty():
+        linked = components(linked.selectExpr("id AS a", "class_id AS b").unionByName(rest))
+    # classes of texts by number, then by the smallest document
+    node = held.join(linked, "id", "left").select("doc_id", "exact_id", F.coalesce("class_id", "id").alias("node"))
+    node = table(node.groupBy("doc_id").agg(F.min("exact_id").alias("exact_id"), F.min("node").alias("node")), "document-classes")
+    named = node.join(node.groupBy("node").agg(F.min("doc_id").alias("class_id")), "node").drop("node")
+    return docs.select(F.col("doc_id").cast("long")).join(named, "doc_id", "left") \
+        .select("doc_id", F.coalesce("class_id", "doc_id").alias("class_id"), F.coalesce("exact_id", "doc_id").alias("exact_id"))
 
 
 def deduplicated(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:

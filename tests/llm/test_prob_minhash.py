@@ -121,14 +121,9 @@ def test_components(spark):
 
 
 def test_pairs_per_bucket_are_linear(spark):
-    members = spark.range(2000).selectExpr("id AS doc_id", "array(-7L, -8L, id) AS bands")
+    members = spark.range(2000).selectExpr("id", "array(-7L, -8L, id) AS bands")
     ends, rows = m.shared_buckets(members)
     assert ends.count() == 2 and rows.count() == 4000 and m.star_pairs(rows).count() <= 2 * 2000
-    none = spark.createDataFrame([], "id long, class_id long")
-    tested = m.star_pairs(rows)
-    assert 0 < m.crossing_pairs(rows, members, none, tested).count() <= 3 * m.LEADERS * m.PARTS * 2 * 2000
-    one = spark.range(2000).selectExpr("id", "0L AS class_id")
-    assert m.crossing_pairs(rows, members, one, tested).count() == 0
 
 
 def test_copies_of_a_base_that_are_no_copies_of_each_other(spark):
@@ -146,9 +141,10 @@ def test_copies_of_a_base_that_are_no_copies_of_each_other(spark):
     assert {r.class_id for r in m.classes(docs).collect()} == {0}
 
 
-def test_a_large_family_around_one_base(spark, monkeypatch):
-    """Sixty copies, each near the base alone, are one class also when no group draws a text."""
-    monkeypatch.setattr(m, "LEADERS", 0)
+@pytest.mark.parametrize("block", [128, 8])
+def test_a_large_family_around_one_base(spark, monkeypatch, block):
+    """Sixty copies, each near the base alone, are one class, in one block or in several."""
+    monkeypatch.setattr(m, "BLOCK", block)
     rng = random.Random(11)
     base = words(rng, 1000)
     texts = []
@@ -164,19 +160,78 @@ def test_a_large_family_around_one_base(spark, monkeypatch):
     assert {r.class_id for r in m.classes(docs).collect()} == {0}
 
 
-def test_remaining_pairs_are_all_pairs_across_classes(spark, monkeypatch):
-    rng = np.random.default_rng(2)
-    base = rng.integers(0, 256, 96).astype(np.uint8)
-    held = [np.where(rng.random(96) < 0.15, rng.integers(0, 256, 96), base).astype(np.uint8) for _ in range(50)]
-    members = spark.createDataFrame([(i, [-1, -2, i], h.tobytes()) for i, h in enumerate(held)], "doc_id long, bands array<long>, registers binary")
+def sets_around(rng, n, base, swaps, repeat=False):
+    """Sets of shingle hashes with ``swaps`` of a base's replaced; some with weights."""
+    made = []
+    for i in range(n):
+        items = base.copy()
+        items[rng.choice(len(base), swaps, replace=False)] = rng.integers(0, 1 << 63, swaps).astype(np.uint64)
+        items = np.unique(items)
+        made.append((items, np.where(np.arange(len(items)) % 7 == i % 7, 2.0, 1.0) if repeat and i % 3 == 0 else np.ones(len(items))))
+    return made
+
+
+def texts_of(sets, classes, bands):
+    registers = np.stack([m._mix(m.signature(*s)).astype(np.uint8) for s in sets])
+    return {"id": np.arange(len(sets)), "c": np.array(classes), "registers": registers, "bands": bands, "sets": sets}
+
+
+@pytest.mark.parametrize("swaps, repeat", [(4, False), (6, True), (9, False)])
+def test_joining_links_join_what_all_pairs_would(swaps, repeat):
+    rng = np.random.default_rng(swaps)
+    sets = sets_around(rng, 60, rng.integers(0, 1 << 63, 90).astype(np.uint64), swaps, repeat)
+    classes = [i // 2 if i < 20 else i for i in range(60)]
+    bands = np.column_stack([np.full(60, 5), np.where(np.arange(60) < 10, 3, np.arange(60) + 100), np.full(60, 9)])
+    whole = texts_of(sets, classes, bands)
+    found = m.joining(whole, whole, 5)
+
+    def joined(links):
+        name = {i: c for i, c in enumerate(classes)}
+        for a, b in links:
+            old, new = name[a], name[b]
+            name = {i: new if c == old else c for i, c in name.items()}
+        return sorted(sorted(i for i in name if name[i] == c) for c in set(name.values()))
+
+    near = [(i, j) for i in range(60) for j in range(i) if (whole["registers"][i] == whole["registers"][j]).mean() >= m.FLOOR
+            and m.similarity(sets[i], sets[j]) >= m.THRESHOLD]
+    assert joined(found) == joined(near) and len(found) < 60                   # a spanning forest, not the pairs
+    assert all(m.similarity(sets[a], sets[b]) >= m.THRESHOLD for a, b in found)
+    assert m.joining(whole, whole, 9) == [] and m.joining(whole, whole, 3) == []    # 5 is the first bucket they share
+
+
+def test_texts_of_one_base_become_no_pair_rows(spark):
+    """Hundreds of texts that share buckets and are no copies give no row but their few links."""
+    rng = random.Random(17)
+    base = words(rng, 120)
+    texts = []
+    for _ in range(400):
+        copy = list(base)
+        for at in rng.sample(range(120), 3):
+            copy[at] = words(rng, 1)[0]
+        texts.append(" ".join(copy))
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    members = m.sketches(docs).withColumnRenamed("doc_id", "id")
     _, rows = m.shared_buckets(members)
-    names = spark.createDataFrame([(i, i // 20) for i in range(40)], "id long, class_id long")
-    of = {i: i // 20 for i in range(40)}
-    tested = m.star_pairs(rows)
-    done = {(r.a, r.b) for r in tested.collect()}
-    want = {(i, j) for j in range(50) for i in range(j) if of.get(i, i) != of.get(j, j)
-            and (held[i] == held[j]).mean() >= m.FLOOR} - done
-    for block in (128, 7):
-        monkeypatch.setattr(m, "BLOCK", block)
-        got = [(r.a, r.b) for r in m.remaining_pairs(rows, members, names, tested).collect()]
-        assert len(got) == len(set(got)) and set(got) == want and len(want) > 300
+    items = m.shingled(docs, members.selectExpr("id", "content", "id AS exact_id"))
+    none = spark.createDataFrame([], "id long, class_id long")
+    sets = [m.shingles(m.word_hashes(t)) for t in texts]
+    links = m.remaining_links(rows, members, none, items).collect()
+    assert len(links) < 400 and all(m.similarity(sets[r.a], sets[r.b]) >= m.THRESHOLD for r in links)
+    got = {r.doc_id: r.class_id for r in m.classes(docs).collect()}
+    plain = [dict(zip(*[x.tolist() for x in s])) for s in sets]
+    name = list(range(400))
+    for i in range(400):
+        for j in range(i):
+            common = len(plain[i].keys() & plain[j].keys())
+            if common >= 0.7 * len(plain[i]) and name[i] != name[j] and m.similarity(sets[i], sets[j]) >= 0.8:
+                name = [min(name[i], name[j]) if x in (name[i], name[j]) else x for x in name]
+    assert got == dict(enumerate(name))
+
+
+def test_one_document_with_many_texts(spark):
+    """Rows that share a doc_id are one class, without pairing them with each other."""
+    rng = random.Random(3)
+    texts = [" ".join(words(rng, 30)) for _ in range(300)]
+    rows = [(1, t) for t in texts] + [(2, texts[17]), (3, texts[250] + " end"), (4, " ".join(words(rng, 30)))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert sorted((r.doc_id, r.class_id) for r in m.classes(docs).collect()) == [(1, 1)] * 300 + [(2, 1), (3, 1), (4, 4)]
