@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .. import schemas as S
+from ..schemas import MissingColumnsError
 from ..functions import (extract_host, map_component, map_status, parse_period_date,
                          size_bytes, size_gib)
 
@@ -18,10 +19,6 @@ FACT_BACKUP_TYPE = "COMPLETE"
 DETAIL_BACKUP_TYPE = "full"
 
 
-class MissingColumnsError(ValueError):
-    """The report batch lacks required columns; nothing is loaded."""
-
-
 def missing_columns(df: DataFrame, required: list[str] | None = None) -> list[str]:
     required = S.REQUIRED_REPORT_COLUMNS if required is None else required
     present = set(df.columns)

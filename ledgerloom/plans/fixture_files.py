@@ -50,6 +50,16 @@ def write_report_days(spark: SparkSession, sf_dir: str) -> str:
     return root
 
 
+def write_report_headers(spark: SparkSession, sf_dir: str) -> str:
+    """All report rows in FILE_DAY's folder, in files with three headers: in order, reversed, and with further columns."""
+    root = scratch_path(spark, "report-headers")
+    rows = _report_rows(spark, sf_dir)
+    names = S.REQUIRED_REPORT_COLUMNS
+    for k, columns in enumerate((names, names[::-1], ["o_orderkey", *names[3:], *names[:3]])):
+        _csv(rows.where(f"o_orderkey % 3 = {k}").select(*[F.col(f"`{c}`") for c in columns]), f"{files.day_folder(root, FILE_DAY)}part{k}")
+    return root
+
+
 def write_report_folders(spark: SparkSession, sf_dir: str) -> str:
     """The older delivery layout for FILE_DAY, with full copies where none may be read.
 

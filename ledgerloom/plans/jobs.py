@@ -44,6 +44,15 @@ def report_fact_frame(spark: SparkSession, base: str, as_of=None) -> DataFrame:
     return report.backup_fact_report(raw, as_of=str(files.processing_date(as_of)))
 
 
+def report_fact_by_header(spark: SparkSession, base: str, as_of=None) -> DataFrame:
+    """:func:`report_fact_frame` for a day whose files have different headers (one more look at each file's first line)."""
+    folder = files.day_folder(base, as_of)
+    if not files.path_exists(spark, folder):
+        raise NoInputError(f"no report folder {folder}")
+    raw = readers.read_report_csv_by_header(spark, folder, S.REQUIRED_REPORT_COLUMNS)
+    return report.backup_fact_report(raw, as_of=str(files.processing_date(as_of)))
+
+
 def _read_reports(spark: SparkSession, path: str) -> DataFrame:
     """Report CSVs below ``path``; a folder with no CSV at all is "no input"."""
     try:

@@ -386,6 +386,8 @@ SELECT DISTINCT 'gone-' || file_path AS log_name, 'vanished' AS reason FROM log
     "page_visit_days": _with(all_views=PAGEVIEW, consent=CONSENT,
                              pageview="SELECT * FROM all_views WHERE year = '2024' AND day IN ('05', '15', '25')") + _Q4,
     "page_visit_bucketed": _with(pageview=PAGEVIEW, consent=CONSENT) + _Q4,
+    "reports_with_mixed_headers": _with(report=REPORT) + _FACT_ON_DAY,
+    "dashboard_from_daily_state": _with(pageview=PAGEVIEW) + _Q3,
     "validated_report": "SELECT '' AS missing, count(*) AS records FROM orders" + "".join(
         f" UNION ALL SELECT '{c}' AS missing, 0 AS records" for c in _REQUIRED),
     "project_available_missing": _with(report=REPORT) + """

@@ -17,7 +17,7 @@ from .. import schemas as S
 from ..functions import (extract_host, hour_of, hour_start, hour_string, day_string,
                          map_component, map_status, parse_period_date, size_bytes, size_gib,
                          to_day)
-from ..operators import logs, report, verify, views
+from ..operators import daily_state, logs, report, verify, views
 from ..session import scratch_path
 from ..sinks import tables
 from ..sources import files, readers
@@ -438,6 +438,25 @@ def q_page_visit_bucketed(spark, sf_dir):
                                        spark.table(_written(spark, sf_dir, _write_consent_accounts)))
 
 
+def q_reports_with_mixed_headers(spark, sf_dir):
+    """The day's facts from files with different headers."""
+    return jobs.report_fact_by_header(spark, _written(spark, sf_dir, ff.write_report_headers), as_of=ff.FILE_DAY)
+
+
+def _write_daily_state(spark, sf_dir) -> str:
+    """Page views in three loads that touch the same days, the second one run twice."""
+    path = scratch_path(spark, "daily-state")
+    rows = fx.pageview(_events(spark, sf_dir)).withColumn("third", F.pmod(F.xxhash64("account_hashid", "created_at"), F.lit(3)))
+    for k in (0, 1, 1, 2):
+        daily_state.write_load(rows.where(F.col("third") == k), path, f"load-{k}")
+    return path
+
+
+def q_dashboard_from_daily_state(spark, sf_dir):
+    """The dashboard folded from the states of the loads."""
+    return daily_state.dashboard_of_state(daily_state.read_state(spark, _written(spark, sf_dir, _write_daily_state)))
+
+
 def q_validated_report(spark, sf_dir):
     """Report rows that pass the check of the required columns, and what it says with one of them away."""
     rows = _report(spark, sf_dir)
@@ -564,6 +583,8 @@ QUERIES: dict[str, Query] = {
     "foreign_partitions_of_a_day": q_foreign_partitions_of_a_day,
     "page_visit_days": q_page_visit_days,
     "page_visit_bucketed": q_page_visit_bucketed,
+    "reports_with_mixed_headers": q_reports_with_mixed_headers,
+    "dashboard_from_daily_state": q_dashboard_from_daily_state,
     "validated_report": q_validated_report,
     "project_available_missing": q_project_available_missing,
     "load_counts": q_load_counts,

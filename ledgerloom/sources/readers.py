@@ -6,11 +6,15 @@ job reads the same way.
 
 from __future__ import annotations
 
+import csv
+from urllib.parse import unquote
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .. import schemas as S
+from ..schemas import MissingColumnsError
 from ..session import scratch_path
 from .files import CSV_FILE_GLOB, LOG_FILE_GLOB
 
@@ -42,6 +46,57 @@ def read_report_csv(spark: SparkSession, paths: str | list[str], glob: str | Non
     return reader.csv(paths)
 
 
+#: Different headers a folder may have; each is one read.
+MOST_HEADERS = 100
+
+
+def report_headers(spark: SparkSession, paths: str | list[str], glob: str | None = CSV_FILE_GLOB,
+                   recursive: bool = True) -> DataFrame:
+    """``header`` (its line as text) and ``source_file`` of every CSV; a header is one line.
+
+    Only the first split of each file is looked at, and one row a file leaves a task."""
+    reader = spark.read.option("recursiveFileLookup", recursive)
+    if glob:
+        reader = reader.option("pathGlobFilter", glob)
+    lines = reader.text(paths).where("_metadata.file_block_start = 0").select(
+        F.col("_metadata.file_path").alias("source_file"), "value", F.monotonically_increasing_id().alias("at"))
+    return lines.groupBy("source_file").agg(F.min_by("value", "at").alias("header"))
+
+
+def read_report_csv_by_header(spark: SparkSession, paths: str | list[str], required: list[str], glob: str | None = CSV_FILE_GLOB,
+                              recursive: bool = True, multi_line: bool = True) -> DataFrame:
+    """The ``required`` columns of report CSVs whose headers differ: other orders, further columns.
+
+    Each group of files with one header is read by name, with the options of :func:`read_report_csv`. A group that
+    lacks a required column refuses the batch before anything is read.
+    """
+    groups = report_headers(spark, paths, glob, recursive).groupBy("header").agg(F.collect_list("source_file").alias("files"), F.count("*").alias("n"))
+    known = [r.header for r in groups.select("header").limit(MOST_HEADERS + 1).collect()]
+    if len(known) > MOST_HEADERS:
+        raise ValueError(f"more than {MOST_HEADERS} different headers below {paths}")
+    columns = {h: next(csv.reader([h.removeprefix("\ufeff")]), []) for h in known}
+    for header, names in columns.items():
+        missing = [c for c in required if c not in names]
+        if missing:
+            raise MissingColumnsError(f"missing required columns: {missing} in header {header!r}")
+        if len(set(names)) < len(names):
+            raise MissingColumnsError(f"columns named twice in header {header!r}")
+    out = None
+    for header, names in columns.items():
+        files = [f for r in groups.where(F.col("header") == header).select("files").collect() for f in r.files]
+        schema = T.StructType([T.StructField(c, T.StringType()) for c in names])
+        part = read_report_csv(spark, [url_path(f) for f in files], None, False, multi_line, schema).select(*[F.col(f"`{c}`") for c in required])
+        out = part if out is None else out.unionByName(part)
+    if out is None:
+        return spark.createDataFrame([], T.StructType([T.StructField(c, T.StringType()) for c in required]))
+    return out
+
+
+def url_path(encoded: str) -> str:
+    """The path that ``_metadata.file_path`` holds URL-encoded."""
+    return unquote(encoded)
+
+
 def with_source_file(df: DataFrame) -> DataFrame:
     """Add the source file's path, size and modification time to every row."""
     return df.select("*",

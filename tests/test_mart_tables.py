@@ -193,3 +193,32 @@ def test_json_is_read_once_for_both_outputs(spark, tmp_dir, monkeypatch):
     assert (res.rows_written, res.corrupt_rows) == (2, 2) and len(calls) == 2
     bad = spark.read.parquet(f"{tmp_dir}/out_corrupt").collect()
     assert sorted((r.record[:8], r.loaded) for r in bad) == [('{"accoun', True), ("{broken", False)]
+
+
+def test_daily_state_of_late_and_repeated_loads(spark, tmp_dir):
+    from ledgerloom.operators import daily_state as d
+    pv = fx.pageview(fx.read_table(spark, SF, "events"))
+    pv = pv.unionByName(pv.limit(5).withColumn("account_hashid", F.lit(None).cast("string")))
+    first, late = pv.where("day <= '20'"), pv.where("day > '20' OR day = '05'")
+    for rows, load in ((first, "a"), (late, "b"), (late, "b")):
+        d.write_load(rows, f"{tmp_dir}/s", load)
+    got = d.dashboard_of_state(d.read_state(spark, f"{tmp_dir}/s"))
+    want = views.dashboard_summary_stats(first.unionByName(late))
+    assert got.columns == want.columns and got.exceptAll(want).count() == want.exceptAll(got).count() == 0
+    day = want.where("day = '05'").first().date_day
+    one = d.dashboard_of_state(d.read_state(spark, f"{tmp_dir}/s")).where(F.col("date_day") == day)
+    assert one.exceptAll(want.where(F.col("date_day") == day)).count() == 0
+    assert f"(date_day" in _plan(one).split("PartitionFilters: [")[1].split("]")[0]
+
+
+def test_files_with_different_headers(spark, tmp_dir):
+    _log(f"{tmp_dir}/a b.csv", 'x,y\n1,"two\nlines"\n')
+    _log(f"{tmp_dir}/b.csv", "y,x,z\n4,3,5\n")
+    _log(f"{tmp_dir}/c.CSV", '﻿"y","x"\n6,"7 ""q"""\n')
+    got = readers.read_report_csv_by_header(spark, tmp_dir, ["x", "y"]).collect()
+    assert sorted(map(tuple, got)) == [("1", "two\nlines"), ("3", "4"), ('7 "q"', "6")]
+    assert readers.report_headers(spark, tmp_dir).select("header").distinct().count() == 3
+    with pytest.raises(S.MissingColumnsError, match="'z'"):
+        readers.read_report_csv_by_header(spark, tmp_dir, ["x", "z"])
+    _log(f"{tmp_dir}/none/x.txt", "")
+    assert readers.read_report_csv_by_header(spark, f"{tmp_dir}/none", ["x"]).count() == 0
