@@ -10,25 +10,27 @@ whose upper bound is below the k-th best lower bound is proven out. The walk sto
 so few vectors remain that their exact scores are cheaper, or when no segment is left;
 every possible member is then scored exactly in integers. Impacts of zero have no segment.
 
-Each query block meets each index block through an equi-join on the block's number; the best
-``k`` per query and block are merged by a window over (queries x blocks x k) rows.
+Each query block meets each index block (see ``vector_blocks``); the best ``k`` per query are kept over all blocks
+that a task sees, and those of the groups of blocks are merged by a window.
 
 Defined results: vectors that are null, or hold null or non-finite components, or whose id is
 null, take no part; vectors of other lengths count as padded with zeros; a query never meets
 rows with its own id; rows that repeat an id each count; a repeated query row is answered
 each time; an empty table gives an empty result; extra columns are ignored. Ties go to
-the smaller id. Scores must stay below 2^53.
+the smaller id. Vectors with components beyond ``vector_blocks.safe`` are in no segment: they are scored with every
+query in Python's whole numbers, as such queries are with every vector. Scores no long can hold are held at the ends
+of its range (and are then ties).
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from functools import partial
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
-from ledgerloom.llm.common import prepare, table
+from ledgerloom.llm.vector_blocks import blocks, exact_scores, first, matrix, meet, padded, safe, vectors, whole_numbers
 
 SCALE = 64
 BLOCK = 2048
@@ -36,26 +38,8 @@ QUERIES = 1024
 #: Stop the walk when at most this share of a block can still be members.
 FEW = 0.05
 
-_BLOCKS = "part long, ids binary, dims int, values binary, seg_dim binary, seg_impact binary, seg_start binary, postings binary"
-
-
-def valid() -> Column:
-    return F.col("vec_id").isNotNull() & F.col("embedding").isNotNull() & F.forall(
-        "embedding", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < F.lit(float("inf"))))
-
-
-def vectors(frame: DataFrame) -> DataFrame:
-    return frame.select(F.col("vec_id").cast("long"), F.col("embedding").cast("array<double>")).where(valid())
-
-
-def quantised(lists: pa.Array, scale: int) -> np.ndarray:
-    offsets = lists.offsets.to_numpy()
-    flat = np.floor(scale * lists.values.to_numpy()[offsets[0]:offsets[-1]]).astype(np.int64)
-    sizes = np.diff(offsets)
-    dims = int(sizes.max(initial=0))
-    out = np.zeros((len(sizes), dims), np.int64)
-    out[np.repeat(np.arange(len(sizes)), sizes), np.concatenate([np.arange(n) for n in sizes]) if len(sizes) else []] = flat
-    return out
+_BLOCKS = "ids binary, dims int, values binary, seg_dim binary, seg_impact binary, seg_start binary, postings binary, " \
+    "large_rows binary, large_values binary"
 
 
 def segments(values: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -70,49 +54,32 @@ def segments(values: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np
     return dims[start], impact[start], np.append(start, len(rows)), rows
 
 
+def _block(batch: pa.RecordBatch, scale: int) -> list:
+    whole = whole_numbers(matrix(batch.column("embedding")), scale)
+    large = np.flatnonzero(np.abs(whole).max(axis=1, initial=0) > safe(whole.shape[1]))
+    values = whole.copy()
+    values[large] = 0
+    values = values.astype("<i8")
+    dim, impact, start, rows = segments(values)
+    return [batch.column("vec_id").to_numpy().astype("<i8").tobytes(), values.shape[1], values.tobytes(), dim.astype("<i4").tobytes(),
+            impact.astype("<i8").tobytes(), start.astype("<i4").tobytes(), rows.astype("<i4").tobytes(), large.astype("<i8").tobytes(),
+            whole[large].tobytes()]
+
+
 def index(frame: DataFrame, scale: int = SCALE, block: int = BLOCK) -> DataFrame:
     """One row per block: ids, quantised vectors and posting segments. Vectors are dealt evenly, whatever their ids or values."""
-    prepare(frame.sparkSession)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, n = [], 0
-
-        def made():
-            batch = pa.Table.from_batches(held).combine_chunks().to_batches()[0]
-            values = quantised(batch.column("embedding"), scale)
-            dim, impact, start, rows = segments(values)
-            data = [batch.column("vec_id").to_numpy().astype("<i8"), values.astype("<i8"), dim.astype("<i4"),
-                    impact.astype("<i8"), start.astype("<i4"), rows.astype("<i4")]
-            a, *rest = [x.tobytes() for x in data]
-            arrays = [[0], [a], [values.shape[1]], *[[x] for x in rest]]
-            types = [pa.int64(), pa.binary(), pa.int32(), *[pa.binary()] * 5]
-            return pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(arrays, types)],
-                                              [c.split()[0] for c in _BLOCKS.split(", ")])
-
-        for batch in batches:
-            while batch.num_rows:
-                take = batch.slice(0, block - n)
-                held.append(take)
-                n += take.num_rows
-                batch = batch.slice(take.num_rows)
-                if n == block:
-                    yield made()
-                    held, n = [], 0
-        if n:
-            yield made()
-
-    good = vectors(frame)
-    # dealt round robin, so that blocks are full whatever the files' layout
-    return good.repartition(max(1, -(-good.count() // block))).mapInArrow(run, _BLOCKS)
+    return blocks(vectors(frame), block, partial(_block, scale=scale), _BLOCKS)
 
 
 class Block:
     """A block of the index, read from its row."""
 
     def __init__(self, ids: bytes, dims: int, values: bytes, seg_dim: bytes, seg_impact: bytes, seg_start: bytes,
-                 postings: bytes):
+                 postings: bytes, large_rows: bytes = b"", large_values: bytes = b""):
         self.ids = np.frombuffer(ids, "<i8")
         self.values = np.frombuffer(values, "<i8").reshape(len(self.ids), dims)
+        self.large = np.frombuffer(large_rows, "<i8")
+        self.large_values = np.frombuffer(large_values, "<f8").reshape(len(self.large), dims)
         self.dim, self.impact = np.frombuffer(seg_dim, "<i4").tolist(), np.frombuffer(seg_impact, "<i8")
         self.start = np.frombuffer(seg_start, "<i4").tolist()
         self.postings = np.frombuffer(postings, "<i4")
@@ -133,15 +100,17 @@ class Block:
 def search(block: Block, query_ids: np.ndarray, queries: np.ndarray, k: int, few: float = FEW):
     """(query row, vector row, score) of the best ``k`` of the block for each query; ties to the smaller id."""
     n, dims = block.values.shape
-    if queries.shape[1] < dims:
-        queries = np.pad(queries, ((0, 0), (0, dims - queries.shape[1])))
+    whole = padded(queries, dims)[:, :dims]
+    beyond = np.abs(whole).max(axis=1, initial=0) > safe(dims)
+    queries = np.where(beyond[:, None], 0, whole).astype(np.int64)
     norms = np.sqrt((queries.astype(float) ** 2).sum(axis=1))
     largest = float(np.abs(queries).max(initial=0)) * float(np.abs(block.values).max(initial=0)) * max(dims, 1)
     kind = np.float32 if largest < 2 ** 24 else np.float64       # whole numbers below are exact
     columns = np.ascontiguousarray(queries.T.astype(kind))
     score = np.zeros((n, len(queries)), kind)
-    own = np.nonzero(block.ids[:, None] == query_ids[None, :])
-    score[own] = -np.inf
+    others = block.ids[:, None] != query_ids[None, :]
+    score[~others] = -np.inf
+    score[block.large] = -np.inf                # they raise no bar
     possible = None
     levels = block.levels()
     at = block.postings
@@ -158,9 +127,18 @@ def search(block: Block, query_ids: np.ndarray, queries: np.ndarray, k: int, few
                 break
     if possible is None:
         possible = _members(score, 0.0, k)
+    possible[block.large] = others[block.large]
+    possible[:, beyond] = others[:, beyond]
     row, query = np.nonzero(possible)
-    exact = np.einsum("ij,ij->i", block.values[row], queries[query][:, :dims])
-    order = np.lexsort((block.ids[row], -exact, query))
+    exact = np.einsum("ij,ij->i", block.values[row], queries[query])
+    apart = np.isin(row, block.large) | beyond[query]
+    for q in np.unique(query[apart]):
+        at = np.flatnonzero(apart & (query == q))
+        held = block.values[row[at]].astype(float)
+        for r, values in zip(block.large, block.large_values):
+            held[row[at] == r] = values
+        exact[at] = exact_scores(whole[q].astype(float), held)
+    order = np.lexsort((block.ids[row], ~exact, query))
     row, query, exact = row[order], query[order], exact[order]
     begin = np.searchsorted(query, query, side="left")
     best = np.arange(len(query)) - begin < k
@@ -176,39 +154,32 @@ def _members(score: np.ndarray, slack, k: int) -> np.ndarray:
     return (score + slack >= bar) & (score > -np.inf)
 
 
+class Search:
+    """A block of queries, which index blocks are added to."""
+
+    def __init__(self, row: dict, k: int):
+        self.k, self.n, held = k, row["n"], Block(**{c: x for c, x in row.items() if c != "n"})
+        self.ids, self.values = held.ids, held.values.astype(float)
+        self.values[held.large] = held.large_values
+        self.query, self.found, self.score = (np.zeros(0, np.int64) for _ in range(3))
+
+    def add(self, row: dict) -> None:
+        block = Block(**{c: x for c, x in row.items() if c != "n"})
+        query, found, score = search(block, self.ids, self.values, self.k)
+        query, found, score = (np.concatenate(x) for x in ((self.query, query), (self.found, block.ids[found]), (self.score, score)))
+        best = first((~score, found), query, self.k)        # ~ falls as scores rise
+        self.query, self.found, self.score = query[best], found[best], score[best]
+
+    def result(self) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(np.full(len(self.query), self.n)), pa.array(self.query), pa.array(self.ids[self.query]),
+                                           pa.array(self.found), pa.array(self.score)], ["n", "nth", "query_id", "vec_id", "score"])
+
+
 def top_k(frame: DataFrame, queries: DataFrame, k: int = 20, scale: int = SCALE, block: int = BLOCK,
           query_block: int = QUERIES) -> DataFrame:
     """``query_id``, ``rank``, ``vec_id``, ``score``: for each row of ``queries`` its ``k`` best rows of ``frame``."""
-    blocks = table(index(frame, scale, block).withColumn("part", F.monotonically_increasing_id()), "impact-index")
-    asked = table(index(queries, scale, query_block).select(F.monotonically_increasing_id().alias("q"), "ids", "dims", "values"),
-                  "impact-queries")
-    # a row per block, numbered from 0
-    numbered = blocks.select("part").withColumn("number", F.row_number().over(Window.orderBy("part")) - 1)
-    many = blocks.count()
-    if not many:
-        return asked.selectExpr("q AS query_id", "0 AS rank", "q AS vec_id", "q AS score").where("false")
-    left = blocks.join(numbered, "part")
-    right = asked.select(F.explode(F.sequence(F.lit(0), F.lit(many - 1))).alias("number"), "q",
-                         F.col("ids").alias("q_ids"), F.col("dims").alias("q_dims"), F.col("values").alias("q_values"))
-    met = left.join(right, "number").drop("number", "part")
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        last, held = None, None
-        for batch in batches:
-            for r in range(batch.num_rows):
-                row = {c: batch.column(c)[r].as_py() for c in batch.schema.names}
-                if last != row["ids"]:
-                    last = row["ids"]
-                    held = Block(*[row[c] for c in ("ids", "dims", "values", "seg_dim", "seg_impact", "seg_start", "postings")])
-                ids = np.frombuffer(row["q_ids"], "<i8")
-                wanted = np.frombuffer(row["q_values"], "<i8").reshape(len(ids), row["q_dims"])
-                wanted = wanted[:, :max(held.values.shape[1], 1)]
-                query, found, score = search(held, ids, wanted, k)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.full(len(query), row["q"])), pa.array(query, pa.int64()), pa.array(ids[query]),
-                     pa.array(held.ids[found]), pa.array(score, pa.int64())], ["q", "nth", "query_id", "vec_id", "score"])
-
-    best = met.mapInArrow(run, "q long, nth long, query_id long, vec_id long, score long")
-    order = Window.partitionBy("q", "nth").orderBy(F.desc("score"), "vec_id")
+    best = meet(index(frame, scale, block), index(queries, scale, query_block), partial(Search, k=k),
+                "n long, nth long, query_id long, vec_id long, score long")
+    order = Window.partitionBy("n", "nth").orderBy(F.desc("score"), "vec_id")
     return best.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k) \
         .select("query_id", "rank", "vec_id", "score")

@@ -19,6 +19,8 @@ import numpy as np
 
 #: Entries of a chunk table (about 250 bytes each).
 LIMIT = 400_000
+#: Runs of white space of this length and more are not left to the library's pattern matching, which overflows its stack on a million characters.
+LONG_SPACE = 50_000
 LONG = 64
 
 
@@ -120,6 +122,14 @@ class PieceVocab:
         return out
 
 
+# The characters of Unicode's White_Space, as the pattern's \\s means them.
+_LONG_SPACE = re.compile("[\t\n\x0b\x0c\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]{%d,}" % LONG_SPACE)
+
+
+def _unsafe(chunk: str) -> bool:
+    return not chunk or chunk[-1].isspace() or (len(chunk) >= LONG_SPACE and _LONG_SPACE.search(chunk) is not None)
+
+
 class ByteVocab:
     """A byte-level BPE vocabulary given as ranks; the ids equal those of the same vocabulary's JSON file.
 
@@ -150,12 +160,21 @@ class ByteVocab:
         self._first.known, self._later.known = {}, {}
 
     def whole(self, text: str) -> bytes:
-        return np.array(self.encoding.encode_ordinary(text), "<u4").tobytes()
+        """Ids of a text. The pattern takes a run of white space up to its last character as one word (or all of it at the
+        end of the text); runs too long for the library's pattern matching are cut out and encoded as such words."""
+        ids, at = [], 0
+        for run in _LONG_SPACE.finditer(text):
+            end = run.end() - (run.end() < len(text))
+            ids += self.encoding.encode_ordinary(text[at:run.start()])
+            ids += self.encoding._encode_single_piece(text[run.start():end])
+            at = end
+        return np.array(ids + self.encoding.encode_ordinary(text[at:]), "<u4").tobytes()
 
     def _encode(self, chunks: list[str]) -> list[bytes | None]:
         """All chunks, each after its space, in one call, cut apart again where the spaces are. None: the
-        chunk has no safe end (it is empty or ends in white space), so its text is encoded whole."""
-        unsafe = [i for i, c in enumerate(chunks) if not c or c[-1].isspace()]
+        chunk has no safe end (it is empty or ends in white space) or holds a long run of white space, so its text is
+        encoded whole."""
+        unsafe = [i for i, c in enumerate(chunks) if _unsafe(c)]
         if unsafe:
             bad = set(unsafe)
             good = iter(self._encode([c for i, c in enumerate(chunks) if i not in bad]))
@@ -174,7 +193,7 @@ class ByteVocab:
         return [data[a:b] for a, b in zip([0, *to[:-1]], to)]
 
     def _encode_first(self, chunks: list[str]) -> list[bytes | None]:
-        return [None if not c or c[-1].isspace() else self.whole(c) for c in chunks]
+        return [None if _unsafe(c) else self.whole(c) for c in chunks]
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids of each text as little-endian uint32."""

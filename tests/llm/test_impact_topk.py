@@ -48,6 +48,24 @@ def test_empty_and_small_tables(spark):
     assert [tuple(r) for r in t.top_k(two, one).collect()] == [(20, 1, 3, 32 * 16)]
 
 
+def test_large_components(spark):
+    """Any finite component takes part; scores beyond a long are held at its ends."""
+    rng = np.random.default_rng(8)
+    rows = [(i, [float(x) for x in rng.normal(0, 0.3, 6)]) for i in range(40)]
+    rows += [(50, [1e300, 1.0, 0.0, 0.0, 0.0, 0.0]), (51, [1e300, 0.0, 0.0, 0.0, 0.0, 0.0]), (52, [3e8] * 6), (53, [-3e8] * 6), (54, [1.7e308] * 6),
+             (55, [1.0] * 6), (56, [1e6, -1e6, 0.0, 0.0, 0.0, 0.0]), (57, [5e5] * 6), (60, [1e5, 1e-1, 0.0, 0.0, 0.0, 0.0])]
+    wide = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    ends = np.iinfo(np.int64)
+    whole = {i: [math.floor(min(max(64 * x, -1.7976931348623157e308), 1.7976931348623157e308)) for x in v] for i, v in rows}
+    want = []
+    for q in (i for i, _ in rows if i % 10 == 0 or i > 49):
+        found = sorted((-min(max(sum(a * b for a, b in zip(whole[q], whole[c])), ends.min), ends.max), c) for c in whole if c != q)[:20]
+        want += [(q, n + 1, c, -x) for n, (x, c) in enumerate(found)]
+    for block in (8, 2048):
+        got = t.top_k(wide, wide.where("vec_id % 10 = 0 OR vec_id > 49"), block=block, query_block=16).collect()
+        assert sorted((r.query_id, r["rank"], r.vec_id, r.score) for r in got) == sorted(want)
+
+
 def test_walk_stops_on_proof_only():
     """With a few strong matches the walk ends early, and the result is still exact."""
     rng = np.random.default_rng(2)

@@ -96,3 +96,13 @@ def test_added_tokens_get_their_ids():
     texts = [*ODD, end, end * 3, f"a {end} b", f"a{end}b  {end}\n", f" {end} ", f"<|endoftext{end}|>", f"x  {end}  y z{end[:-1]}"]
     for text, ids in zip(texts, byte_vocab().encode_added(texts)):
         assert np.frombuffer(ids, "<u4").tolist() == t.encode(text, add_special_tokens=False).ids, repr(text)
+
+
+@pytest.mark.parametrize("space", ["\n", " ", "\t", "\r\n", "　"])
+def test_a_million_white_space_characters(space):
+    """The ids of the library, in each place of a text."""
+    from tokenizers import Tokenizer
+    library = Tokenizer.from_file(default_path("byte_bpe_50k.json"))
+    run = (space * 1_000_000)[:1_000_000]
+    texts = [run, run + "x", "x" + run, f"one {run}two  <|endoftext|>{run}", f"a{run} b", f"a {run}é", "z" * 60_000 + run[:49_999] + "y"]
+    assert byte_vocab().encode_added(texts) == [np.array(library.encode(t, add_special_tokens=False).ids, "<u4").tobytes() for t in texts]
