@@ -74,6 +74,20 @@ def parse(source: str) -> Page:
     page = Page()
     tags, parents, runs = page.tags, page.parents, page.runs
     stack, hidden, at, n = [0], 0, 0, len(source)
+    open_at: dict[str, list[int]] = {}      # the places in the stack at which a tag is open, so that no search walks the stack
+
+    def nearest(names) -> int:
+        return max((open_at[t][-1] for t in names if open_at.get(t)), default=0)
+
+    def close_from(depth: int) -> int:
+        """Close the elements from ``depth`` up; how many of them hid their text."""
+        hid = 0
+        while len(stack) > depth:
+            tag = tags[stack.pop()]
+            open_at[tag].pop()
+            hid += tag in HIDDEN
+        return hid
+
     search = _TAG.search
     while at < n:
         found = search(source, at)
@@ -88,28 +102,16 @@ def parse(source: str) -> Page:
             continue
         name = _NAME.match(text).group(1).lower()
         if text[1] == "/":
-            for depth in range(len(stack) - 1, 0, -1):
-                if tags[stack[depth]] == name:
-                    hidden -= sum(tags[i] in HIDDEN for i in stack[depth:])
-                    del stack[depth:]
-                    break
+            if open_at.get(name):
+                hidden -= close_from(open_at[name][-1])
             continue
         closing, scope = (SAME.get(name) or ({"p"} if name in CLOSES_P else ())), SCOPE.get(name, SCOPE["p"])
-        if closing:
-            for depth in range(len(stack) - 1, 0, -1):
-                tag = tags[stack[depth]]
-                if tag in closing:
-                    hidden -= sum(tags[i] in HIDDEN for i in stack[depth:])
-                    del stack[depth:]
-                    if name not in ("tr", "tbody", "thead"):
-                        break
-                elif tag in scope:
-                    break
-        if name == "body" and "head" in (tags[i] for i in stack):       # a head that was never closed
-            while tags[stack[-1]] != "head":
-                hidden -= tags[stack.pop()] in HIDDEN
-            stack.pop()
-            hidden -= 1
+        while closing and (depth := nearest(closing)) > nearest(scope):
+            hidden -= close_from(depth)
+            if name not in ("tr", "tbody", "thead"):
+                break
+        if name == "body" and open_at.get("head"):      # a head that was never closed
+            hidden -= close_from(open_at["head"][-1])
         k = len(tags)
         tags.append(name)
         parents.append(stack[-1])
@@ -136,6 +138,7 @@ def parse(source: str) -> Page:
             close = source.find(">", end.end())
             at = n if close < 0 else close + 1
             continue
+        open_at.setdefault(name, []).append(len(stack))
         stack.append(k)
         hidden += name in HIDDEN
     return page

@@ -3,6 +3,7 @@
 import html as html_lib
 import random
 import re
+import time
 
 import numpy as np
 import pytest
@@ -80,6 +81,16 @@ def test_markup_cases(model):
     assert model.extract([deep, "<" * 500 + "p", '<a href="unclosed <p>' + body])
 
 
+def test_hostile_nesting_is_read_in_linear_time(model):
+    n = 100_000
+    for source in ("<div>" * n + "</x>" * n, "<p><button>" + "<div>" * n, "<body>" * n, "<p><table>" + "<span>" * n + "<div>" * n):
+        before = time.process_time()
+        page = d.parse(source)
+        assert len(page.tags) > n and time.process_time() - before < 5
+    text = model.extract(["<div>" * 3000 + "</x>" * 3000 + "tail"])[0]
+    assert isinstance(text, str)
+
+
 def test_table_cases(spark, model):
     page = f"<article><p>{SENTENCES[0]}</p><p>{SENTENCES[1]}</p></article>"
     big = "<article>" + f"<p>{SENTENCES[2]}</p>" * 20_000 + "</article>"
