@@ -1,8 +1,9 @@
 """Sharding along a Hilbert curve over several metadata dimensions.
 
 Source, language and size are quantised to ``BITS`` bits each: a string by its rank
-among 2^BITS cut points of the order-preserving code of its first bytes, a size by its
-rank among cut points of the sizes (``approx_percentile`` over all rows). The cell's
+among cut points, whole strings at equal distances in the sorted distinct values, so up to
+2^BITS values all differ; a size by its rank among cut points of the sizes
+(``approx_percentile`` over all rows). The cell's
 index on the 3-dimensional Hilbert curve orders the rows, and the order is cut into
 ``shards`` runs whose counts differ by one at most (law ``rows``). Neighbours on the
 curve are near in every dimension, so each run covers a small box of the metadata and
@@ -87,56 +88,64 @@ def hilbert_index(dimensions: list[Column], bits: int = BITS) -> Column:
     return F.aggregate(corners, start, step)["index"]
 
 
-def string_code(c: Column, length: int = 7) -> Column:
-    """An order-preserving number for the first bytes of a string; -1 for null."""
-    prefix = F.rpad(F.hex(F.substring(F.encode(c, "UTF-8"), 1, length)), 2 * length, "0")
-    return F.coalesce(F.conv(prefix, 16, 10).cast("long"), F.lit(-1).cast("long"))
+def measured(docs: DataFrame) -> DataFrame:
+    data = F.encode(F.coalesce(F.col("text").cast("string"), F.lit("")), "UTF-8")
+    return docs.select(F.col("doc_id").cast("long"), (F.octet_length(data) + 1).cast("long").alias("size"),
+                       F.crc32(data).alias("text_crc32"), F.col("source").cast("string"), F.col("lang").cast("string"))
 
 
-def _rank(value: Column, cuts: Column) -> Column:
-    """How many cut points lie below the value."""
-    return F.size(F.filter(cuts, lambda x: x < value))
+def ranked(rows: DataFrame, key: list[str], name: str) -> DataFrame:
+    """The rows, written as table ``name``, with their ``rank`` (from 0) in the order of ``key`` and their number ``total``."""
+    ordered = rows.repartitionByRange(*key).sortWithinPartitions(*key)
+    # the id holds the partition in its upper bits and the place in the partition in its lower 33
+    placed = table(ordered.withColumn("at", F.monotonically_increasing_id()), name)
+    part = F.shiftright("at", 33)
+    counts = placed.groupBy(part.alias("part")).agg(F.count("*").alias("n"))
+    # a row per partition of the sort, so one task can add them up and every task can hold the sums
+    in_order = Window.orderBy("part")
+    starts = counts.select("part", (F.sum("n").over(in_order) - F.col("n")).alias("start"),
+                           F.sum("n").over(in_order.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
+                           .alias("total"))
+    return placed.withColumn("part", part).join(F.broadcast(starts), "part") \
+        .withColumn("rank", F.col("start") + F.col("at").bitwiseAND((1 << 33) - 1)).drop("at", "part", "start")
 
 
-def measured(docs: DataFrame) -> DataFrame:
-    data = F.encode(F.coalesce(F.col("text").cast("string"), F.lit("")), "UTF-8")
-    return docs.select(F.col("doc_id").cast("long"), (F.octet_length(data) + 1).cast("long").alias("size"),
-                       F.crc32(data).alias("text_crc32"), string_code(F.col("source").cast("string")).alias("d0"),
-                       string_code(F.col("lang").cast("string")).alias("d1"))
+def string_cuts(rows: DataFrame, names: list[str], levels: int) -> dict[str, list[str]]:
+    """For each string column, the values that begin a new level: at most ``levels`` - 1, in order.
+
+    The distinct values (null is one) are sorted over the cluster and divided evenly: distinct ones, else
+    one frequent value takes all cut points."""
+    pairs = F.explode(F.array(*[F.struct(F.lit(c).alias("d"), F.col(c).alias("v")) for c in names])).alias("p")
+    values = ranked(rows.select(pairs).select("p.*").distinct(), ["d", "v"], "cut-values")
+    spans = values.groupBy("d").agg(F.min("rank").alias("first"), F.count("*").alias("n"))      # a row per column
+    place = F.col("rank") - F.col("first")
+    level = lambda r: F.floor(r * levels / F.col("n"))
+    cuts = values.join(F.broadcast(spans), "d").where((place > 0) & (level(place) > level(place - 1))).select("d", "v")
+    return {c: sorted((r["v"] for r in cuts.where(F.col("d") == c).collect()), key=str.encode) for c in names}
 
 
 def with_cells(rows: DataFrame, bits: int = BITS) -> DataFrame:
-    """Adds ``cell``, the Hilbert index. The cut points are one row of three arrays of 2^bits - 1 numbers."""
+    """Adds ``cell``, the Hilbert index. The cut points are 2^bits - 1 values at most in each dimension."""
     levels = 1 << bits
+    cuts = string_cuts(rows, ["source", "lang"], levels)
     share = [k / levels for k in range(1, levels)]
-    # of strings the distinct values count, else one frequent value takes all cut points
-    text = [rows.select(F.lit(d).alias("d"), F.col(d).alias("v")).distinct() for d in ("d0", "d1")]
-    values = text[0].unionByName(text[1]).unionByName(rows.select(F.lit("d2").alias("d"), F.col("size").alias("v")))
-    cuts = values.groupBy("d").agg(F.array_distinct(F.percentile_approx("v", share, 1000)).alias("cuts"))
-    found = {r["d"]: r["cuts"] for r in cuts.collect()}      # three rows of 2^bits - 1 numbers at most
-    axes = [_rank(F.col(v), F.array(*[F.lit(x).cast("long") for x in found.get(d) or []]).cast("array<bigint>"))
-            for d, v in (("d0", "d0"), ("d1", "d1"), ("d2", "size"))]
+    sizes = rows.agg(F.array_distinct(F.percentile_approx("size", share, 1000)).alias("cuts")).first()["cuts"] or []
+
+    def literal(values, kind):
+        return F.array(*map(F.lit, values)).cast(f"array<{kind}>")
+
+    axes = [F.size(F.filter(literal(cuts["source"], "string"), lambda x: x <= F.col("source"))),
+            F.size(F.filter(literal(cuts["lang"], "string"), lambda x: x <= F.col("lang"))),
+            F.size(F.filter(literal(sizes, "bigint"), lambda x: x < F.col("size")))]
     return rows.withColumn("cell", hilbert_index(axes, bits))
 
 
 def assign(docs: DataFrame, shards: int = SHARDS, bits: int = BITS) -> DataFrame:
     """``doc_id``, ``size``, ``text_crc32``, ``cell``, ``shard`` (a run of the curve) and ``slot`` (place in the run)."""
     rows = with_cells(table(measured(docs), "shard-sizes"), bits)
-    key = ["cell", "doc_id", "text_crc32", "size"]
-    ordered = rows.repartitionByRange(*key).sortWithinPartitions(*key)
-    # the id holds the partition in its upper bits and the place in the partition in its lower 33
-    placed = table(ordered.select("doc_id", "size", "text_crc32", "cell", F.monotonically_increasing_id().alias("at")), "curve")
-    part = F.shiftright("at", 33)
-    counts = placed.groupBy(part.alias("part")).agg(F.count("*").alias("n"))
-    # a row per partition of the sort, so one task can add them up and every task can hold the sums
-    in_order = Window.orderBy("part")
-    starts = counts.select("part", (F.sum("n").over(in_order) - F.col("n")).alias("start"),
-                           F.sum("n").over(in_order.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
-                           .alias("total"))
-    ranked = placed.withColumn("part", part).join(F.broadcast(starts), "part") \
-        .withColumn("rank", F.col("start") + F.col("at").bitwiseAND((1 << 33) - 1))
+    order = ranked(rows.select("doc_id", "size", "text_crc32", "cell"), ["cell", "doc_id", "text_crc32", "size"], "curve")
     # run k starts at the smallest rank r with r * shards DIV total = k
-    return ranked.withColumn("shard", F.expr(f"CAST((rank * {shards}) DIV total AS INT)")) \
+    return order.withColumn("shard", F.expr(f"CAST((rank * {shards}) DIV total AS INT)")) \
         .withColumn("slot", F.expr(f"rank - (shard * total + {shards - 1}) DIV {shards}")) \
         .select("doc_id", "size", "text_crc32", "cell", "shard", "slot")
 

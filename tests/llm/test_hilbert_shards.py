@@ -18,11 +18,17 @@ def test_curve_visits_every_cell_in_unit_steps(spark, n, bits):
         assert sum(abs(a[f"x{k}"] - b[f"x{k}"]) for k in range(n)) == 1
 
 
-def test_string_code_keeps_order(spark):
-    values = [None, "", "a", "aa", "ab", "b", "é", "src1", "src10", "src2"]
-    rows = spark.createDataFrame([(v,) for v in values], "v string").select("v", h.string_code(F.col("v")).alias("c")).collect()
-    codes = {r.v: r.c for r in rows}
-    assert sorted(values[1:], key=lambda v: v.encode()) == sorted(values[1:], key=codes.get) and codes[None] < codes[""]
+def test_cut_points_are_whole_strings(spark):
+    values = [None, ""] + [f"common_crawl_{k}" for k in range(16)] + ["é", "src1", "z" * 5000]
+    rows = spark.createDataFrame([(v, f"l{i % 100:03}") for i, v in enumerate(values * 40)], "source string, lang string")
+    cuts = h.string_cuts(rows, ["source", "lang"], 32)
+    assert cuts["source"] == sorted((v for v in values if v is not None), key=str.encode)      # every value a level of its own
+    # 100 values over 32 levels, against the same division by hand
+    assert cuts["lang"] == [f"l{i:03}" for i in range(1, 100) if i * 32 // 100 > (i - 1) * 32 // 100]
+    docs = rows.select(F.monotonically_increasing_id().alias("doc_id"), F.lit("t").alias("text"), "source", F.lit("en").alias("lang"))
+    placed = h.with_cells(h.measured(docs))
+    assert placed.select("cell").distinct().count() == len(values)
+    assert h.string_cuts(rows.limit(0), ["source", "lang"], 32) == {"source": [], "lang": []}
 
 
 def check(rows, got, shards=8):
