@@ -4,7 +4,9 @@ A text is lower-cased, all but letters become spaces, and its byte 3- and 4-gram
 hashed into ``BUCKETS`` rows of an embedding table. The mean row goes through a linear
 softmax. Table and softmax are trained by stochastic gradient descent in numpy on a
 bounded sample of labelled rows (``sample_rows`` rows, at most ``sample_grams`` n-grams
-of each, evenly spread over the whole text). A part of the sample sets a temperature,
+of each, evenly spread over the whole text). Every language gets the same number of sampled rows,
+or all it has, so a rare one is learned too; one that still has few is shown more often
+(with ``sample_rows`` languages or more, that many of the most frequent are learned). A part of the sample sets a temperature,
 which falls with the number of n-grams, and the rejection threshold: the score below
 which at most ``reject_share`` of its rightly predicted rows lie. Predictions read whole texts.
 
@@ -32,6 +34,7 @@ DIM = 8
 GRAMS = (3, 4)
 SAMPLE_ROWS = 4000
 SAMPLE_GRAMS = 2000
+LEAST_STEPS = 700
 REJECT_SHARE = 0.002
 UND = "und"
 _LETTER = re.compile(r"[^\W\d_]")
@@ -108,15 +111,31 @@ def held_out(doc_id: str = "doc_id") -> Column:
     return F.crc32(F.coalesce(F.col(doc_id).cast("string"), F.lit("")).cast("binary")) % 4 == 2
 
 
+def quota(counts: list[int], rows: int) -> float:
+    """The number of rows per language with which all together give ``rows``, when smaller ones give all they have."""
+    left = rows
+    for k, n in enumerate(sorted(counts)):
+        if n * (len(counts) - k) >= left:
+            return left / (len(counts) - k)
+        left -= n
+    return max(counts)
+
+
 def sample(docs: DataFrame, rows: int = SAMPLE_ROWS, per_row: int = SAMPLE_GRAMS) -> tuple[list[str], list[np.ndarray]]:
-    """Languages and n-grams of about ``rows`` labelled rows, chosen by a hash of ``doc_id`` from all of them."""
-    prepare(docs.sparkSession)
-    labelled = docs.where(~held_out() & F.col("lang").isNotNull() & F.col("text").isNotNull())
-    n = labelled.count()
-    if not n:
+    """Languages and n-grams of about ``rows`` labelled rows, chosen by a hash of id and text, an equal number per language."""
+    spark = docs.sparkSession
+    prepare(spark)
+    labelled = docs.select("doc_id", F.col("lang").cast("string"), F.col("text").cast("string")) \
+        .where(~held_out() & F.col("lang").isNotNull() & F.col("text").isNotNull())
+    # at most ``rows`` rows reach the driver
+    counts = {r["lang"]: r["n"] for r in labelled.groupBy("lang").agg(F.count("*").alias("n"))
+              .orderBy(F.desc("n"), "lang").limit(rows).collect()}
+    if not counts:
         return [], []
-    share = min(1.0, rows / n)
-    chosen = labelled.where(F.pmod(F.xxhash64("doc_id", F.lit(5)), F.lit(1 << 30)) < int(share * (1 << 30)))
+    most = quota(list(counts.values()), rows)
+    shares = spark.createDataFrame([(k, min(1.0, most / n)) for k, n in counts.items()], "lang string, share double")
+    place = F.pmod(F.xxhash64("doc_id", "text", F.lit(5)), F.lit(1 << 30)) / F.lit(1 << 30)
+    chosen = labelled.join(F.broadcast(shares), "lang").withColumn("place", place / F.col("share")).where("place < 1")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text"):
@@ -129,9 +148,7 @@ def sample(docs: DataFrame, rows: int = SAMPLE_ROWS, per_row: int = SAMPLE_GRAMS
                 found.append(g.astype("<u4").tobytes())
             yield pa.RecordBatch.from_arrays([batch.column("lang"), pa.array(found, pa.binary())], ["lang", "grams"])
 
-    got = chosen.select(F.col("lang").cast("string"), F.col("text").cast("string"), "doc_id") \
-        .orderBy(F.xxhash64("doc_id", F.lit(5)), "doc_id").limit(2 * rows) \
-        .select("lang", "text").mapInArrow(run, "lang string, grams binary").collect()
+    got = chosen.orderBy("place", "doc_id", "lang").limit(2 * rows).select("lang", "text").mapInArrow(run, "lang string, grams binary").collect()
     got = [(r["lang"], np.frombuffer(r["grams"], "<u4")) for r in got if r["grams"]]
     return [x[0] for x in got], [x[1] for x in got]
 
@@ -145,8 +162,17 @@ def train(languages: list[str], gram_lists: list[np.ndarray], epochs: int = 6, r
     y = np.array([names.index(x) for x in languages])
     rng = np.random.default_rng(seed)
     order = rng.permutation(len(y))
-    held = order[: len(y) // 5] if len(y) >= 50 else order
-    fit = order[len(y) // 5:] if len(y) >= 50 else order
+    held = fit = order
+    if len(y) >= 50:            # one row of each language is always fitted
+        first = np.unique(y[order], return_index=True)[1]
+        rest = np.delete(order, first)
+        held = rest[:len(y) // 5] if len(rest) else order
+        fit = np.concatenate([order[first], rest[len(y) // 5:]])
+    # a language with less than a quarter of an even share of the rows is shown so often that it has that
+    shown = np.bincount(y[fit], minlength=len(names))
+    times = np.ceil(len(fit) / (4 * len(names)) / np.maximum(shown, 1)).astype(int)
+    fit = np.repeat(fit, times[y[fit]])
+    epochs = max(epochs, -(-LEAST_STEPS * batch // len(fit)))       # a small sample is gone through more often
     table = rng.normal(0, 0.1, (BUCKETS, DIM)).astype(np.float32)
     weights, bias = rng.normal(0, 0.3, (DIM, len(names))).astype(np.float32), np.zeros(len(names), np.float32)
 

@@ -25,6 +25,23 @@ def test_only_the_named_rows_teach(spark):
     assert s.predict(unlabelled, None).where("lang_pred <> 'und' OR score <> 0 OR accepted").count() == 0
 
 
+def test_a_rare_language_is_learned(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").where("text IS NOT NULL")
+    german = docs.where((F.col("lang") == "de") & ~s.held_out())
+    few = docs.where("lang = 'en'").unionByName(german.orderBy("doc_id").limit(4))
+    model = s.fit(few, rows=120)        # a uniform sample of that size would hold no German row or one
+    assert model.languages == ("de", "en")
+    got = s.predict(docs.where("lang IN ('de', 'en')"), model).join(docs.select("doc_id", "lang"), "doc_id").where("held_out")
+    right = {r.lang: r.right for r in got.groupBy("lang").agg(F.avg((F.col("lang") == F.col("lang_pred")).cast("int")).alias("right")).collect()}
+    assert right["de"] > 0.9 and right["en"] > 0.95, right
+
+
+def test_quota_fills_the_sample():
+    for counts, rows in (([3, 48_000], 4000), ([10, 20], 4000), ([5000] * 7, 4000), ([1, 10, 500, 90_000], 400)):
+        most = s.quota(counts, rows)
+        assert abs(sum(min(n, most) for n in counts) - min(rows, sum(counts))) < 1
+
+
 def test_means_in_blocks_are_exact():
     rng = np.random.default_rng(0)
     table = rng.normal(size=(s.BUCKETS, s.DIM)).astype(np.float32)
