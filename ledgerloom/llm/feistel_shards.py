@@ -125,7 +125,7 @@ def write(docs: DataFrame, path: str, sequence: int = SEQUENCE, end_id: int = EN
     rows = given.mapInArrow(run, "shard int, place long, record binary")
     full = HEADER_BYTES + 2 * sequence
     padded = F.rpad(F.col("record"), full, F.lit(b"\0")).cast("string")     # bytes as they are
-    rows.repartition(shards, "shard").sortWithinPartitions("shard", "place") \
+    rows.repartitionById(shards, F.col("shard")).sortWithinPartitions("place") \
         .select("shard", padded.alias("value")).write.partitionBy("shard").text(path)
 
 
