@@ -3,16 +3,23 @@
 A public vocabulary measures how a text falls into tokens: characters per token,
 share of byte-fallback tokens and token entropy. Natural prose of one language keeps
 these in narrow bands; symbol noise, shouting, lists and loops do not. The bands are
-learned per language and length class from all documents that pass the base rules:
-quartiles by ``percentile_approx`` (mergeable, so no group is gathered), widened by a
-stated multiple of the quartile distance. A language with fewer than ``min_docs`` such
-documents in a length class is judged by the band of all its length classes; with fewer than that in
-all of them by its script's bands, or those of all, but not for characters per token, which
-differ from language to language.
+learned from all documents that pass the base rules, by mergeable aggregates only:
+
+* a trend over the length (log2 of the tokens), fitted over all of them, since long texts repeat tokens;
+* per language (without one: per script) the median of what the trend leaves, shrunk towards
+  the median of all by the number of documents: a language with few documents has a centre of
+  its own that is uncertain, and a band that is wider by that uncertainty;
+* one scatter of each measure, which falls with the root of the length for means over tokens.
+
+A measure's score is its distance from the centre in units of that scatter. A document is rejected where
+one score lies beyond ``ALONE``, or where few characters per token and low entropy come
+together (``TOGETHER``). Nothing switches at a number of documents: with few of them the prior
+slopes and spreads, stated below, carry more of the weight.
 
 Defined results: a null or empty text has zero counts and fails the base rules;
 repeated rows are judged one by one, each the same; a null ``doc_id`` or ``lang``
-is carried through (null language: the script's bands); extra columns are ignored.
+is carried through (null language: the script's bands); extra columns are ignored. A language that is known
+from one document only is judged around that document, so the document passes.
 """
 
 from __future__ import annotations
@@ -32,10 +39,16 @@ SYMBOLS = "#*$%&|<>"
 SPACES = " \t\n\x0b\x0c\r"
 WINDOW = 8
 MEASURES = ("chars_per_token", "byte_share", "entropy_share")
-#: Bands: quartiles widened by this many quartile distances; a distance counts as the floor at least.
-WIDEN = 4.0
-FLOOR = {"chars_per_token": 0.03, "byte_share": 0.01, "entropy_share": 0.02}
-MIN_DOCS = 30
+#: Scores beyond which a document is rejected: any measure alone, or characters per token and entropy share together.
+ALONE = 6.0
+TOGETHER = 4.25
+#: What is held before any document is seen: slope per doubling of the tokens (with the weight of so many documents),
+#: spread between languages, and the least scatter within one.
+SLOPE = {"chars_per_token": 0.0, "byte_share": 0.0, "entropy_share": -0.05}
+SLOPE_WEIGHT = 100
+SPREAD = {"chars_per_token": 0.5, "byte_share": 0.05, "entropy_share": 0.03}
+FLOOR = {"chars_per_token": 0.03, "byte_share": 0.005, "entropy_share": 0.01}
+QUARTILES = 1.349       # distance of the quartiles of a normal distribution, in standard deviations
 
 _SCRIPTS = (("latin", r"[A-Za-zÀ-ɏ]"), ("cyrillic", r"[Ѐ-ӿ]"), ("greek", r"[Ͱ-Ͽ]"), ("arabic", r"[؀-ۿ]"),
             ("hebrew", r"[֐-׿]"), ("devanagari", r"[ऀ-ॿ]"), ("kana", r"[぀-ヿ]"), ("han", r"[一-鿿]"),
@@ -152,58 +165,76 @@ def base_failed() -> Column:
     return (F.col("n_words") < 20) | (100 * F.col("n_repeat_words") > 30 * F.col("n_words"))
 
 
-def length_class() -> Column:
-    """Floor of log2 of the tokens, 5 to 11: short texts scatter more and repeat fewer tokens."""
-    return F.least(F.greatest(F.floor(F.log2(F.greatest("n_tokens", F.lit(1)))), F.lit(5)), F.lit(11)).cast("string")
+def _doublings() -> Column:
+    return F.log2(F.greatest("n_tokens", F.lit(1)))
+
+
+def _noise(measure: str) -> Column:
+    """The scatter of a document against one of 256 tokens."""
+    return F.lit(1.0) if measure == "entropy_share" else 16 / F.sqrt(F.greatest("n_tokens", F.lit(1)))
+
+
+def _key() -> Column:
+    return F.coalesce(F.concat(F.lit("lang:"), "lang"), F.concat(F.lit("script:"), "script"))
+
+
+def _over_trend(measured: DataFrame, slopes: dict[str, float], mean: float) -> DataFrame:
+    """Adds the key and, per measure, ``rest_*``: what the trend over the length leaves."""
+    return measured.withColumns({"key": _key()} | {
+        f"rest_{m}": F.col(m) - F.lit(slopes[m]) * (_doublings() - F.lit(mean)) for m in MEASURES})
 
 
-def _keys(frame: DataFrame) -> DataFrame:
-    size = length_class()
-    return frame.withColumns({"lang_key": F.concat(F.lit("lang:"), "lang", F.lit(":"), size),
-                              "pooled_key": F.concat(F.lit("pooled:"), "lang"),
-                              "script_key": F.concat(F.lit("script:"), "script", F.lit(":"), size),
-                              "all_key": F.concat(F.lit("all:"), size)})
+def centres(measured: DataFrame) -> tuple[DataFrame, dict]:
+    """A row per key with its median of each measure beside the trend and its number of documents, and the
+    numbers that hold for all: ``mean``, ``slopes``, ``middle``, ``scatter``, ``length_noise``."""
+    good = measured.where(~base_failed())
+    x = _doublings()
+    fit = good.agg(F.count("*").alias("n"), F.avg(x).alias("mean"), F.var_pop(x).alias("var"),
+                   *[F.covar_pop(x, F.col(m).cast("double")).alias(m) for m in MEASURES],
+                   *[F.avg(_noise(m)).alias(f"noise_{m}") for m in MEASURES]).first()
+    n, mean = fit["n"], fit["mean"] or 0.0
+    slopes = {m: (n * (fit[m] or 0.0) + SLOPE_WEIGHT * SLOPE[m]) / (n * (fit["var"] or 0.0) + SLOPE_WEIGHT) for m in MEASURES}
+    rest = _over_trend(good, slopes, mean)
+    found = table(rest.groupBy("key").agg(F.count("*").alias("n"), *[
+        F.percentile_approx(f"rest_{m}", 0.5).alias(f"median_{m}") for m in MEASURES]), "fertility-centres")
+    middle = rest.agg(*[F.percentile_approx(f"rest_{m}", 0.5).alias(m) for m in MEASURES]).first()
+    beside = rest.join(found, "key").agg(*[
+        F.percentile_approx((F.col(f"rest_{m}") - F.col(f"median_{m}")) / _noise(m), [0.25, 0.75]).alias(m) for m in MEASURES]).first()
+    return found, {"mean": mean, "slopes": slopes, "middle": {m: middle[m] or 0.0 for m in MEASURES},
+                   "scatter": {m: (beside[m][1] - beside[m][0]) / QUARTILES if beside[m] else 0.0 for m in MEASURES},
+                   "length_noise": {m: fit[f"noise_{m}"] or 1.0 for m in MEASURES}}
 
 
-def bands(measured: DataFrame, min_docs: int = MIN_DOCS) -> DataFrame:
-    """The kept range of each measure: a row per length class and language, script, or all (``all``),
-    and one per language over its length classes (``pooled``)."""
-    good = _keys(measured.where(~base_failed()))
-    keyed = good.select(F.explode(F.array("lang_key", "pooled_key", "script_key", "all_key")).alias("key"), *MEASURES) \
-        .where("key IS NOT NULL")
-    found = keyed.groupBy("key").agg(F.count("*").alias("n"), *[
-        F.percentile_approx(m, [0.25, 0.75], 1000).alias(m) for m in MEASURES])
-    sides = []
+def scored(measured: DataFrame) -> DataFrame:
+    """``measured`` with ``score_*``: each measure's distance from its centre, in units of its scatter."""
+    found, known = centres(measured)
+    rows = _over_trend(measured, known["slopes"], known["mean"]).join(found.withColumnRenamed("n", "n_key"), "key", "left")
+    scores = {}
     for m in MEASURES:
-        spread = F.greatest(F.col(m)[1] - F.col(m)[0], F.lit(FLOOR[m]))
-        sides.append(F.struct((F.col(m)[0] - WIDEN * spread).alias("low"),
-                              (F.col(m)[1] + WIDEN * spread).alias("high")).alias(m))
-    return found.where(F.col("n") >= min_docs).select("key", F.struct(*sides).alias("band"))
-
-
-def judge(docs: DataFrame, vocab_path: str | None = None, min_docs: int = MIN_DOCS, keep_rows: bool = False) -> DataFrame:
-    """Measures, ``base_failed``, ``kept`` and ``reason`` (``base``, or the first measure out of its band)
-    of every document. Documents without a band of any kind are rejected by the base rules alone."""
-    measured = table(measure(docs, vocab_path, keep_rows), "fertility")
-    limits = table(bands(measured, min_docs), "fertility-bands")
-    out = _keys(measured)
-    kinds = ("lang", "pooled", "script", "all")
-    for kind in kinds:
-        side = limits.select(F.col("key").alias(f"{kind}_key"), F.col("band").alias(f"{kind}_band"))
-        out = out.join(side, f"{kind}_key", "left")
-    own, others = F.coalesce("lang_band", "pooled_band"), F.coalesce("script_band", "all_band")
-    # characters per token of another language tell nothing about a known one
-    others = F.when(F.col("lang").isNull(), others).otherwise(others.withField("chars_per_token", F.lit(None)))
-    band = F.coalesce(own, others)
-    reason = F.coalesce(*[F.when((F.col(m) < F.col("band")[m]["low"]) | (F.col(m) > F.col("band")[m]["high"]),
-                                 F.lit(m)) for m in MEASURES])
+        middle, scatter = F.lit(known["middle"][m]), F.lit(known["scatter"][m])
+        between = F.lit(SPREAD[m] ** 2)
+        within = F.greatest(scatter * known["length_noise"][m], F.lit(FLOOR[m])) ** 2
+        # the weight of the key's own median against that of all, and how uncertain the centre remains
+        own = F.when(F.col("n_key").isNull(), 0.0).otherwise(between / (between + within / F.col("n_key")))
+        centre = middle + own * (F.coalesce(f"median_{m}", middle) - middle)
+        scale = F.sqrt((scatter * _noise(m)) ** 2 + FLOOR[m] ** 2 + between * (1 - own))
+        scores[f"score_{m}"] = (F.col(f"rest_{m}") - centre) / scale
+    return rows.withColumns(scores).drop("key", "n_key", *[f"{k}_{m}" for k in ("rest", "median") for m in MEASURES])
+
+
+def judge(docs: DataFrame, vocab_path: str | None = None, keep_rows: bool = False) -> DataFrame:
+    """Measures, scores, ``base_failed``, ``kept`` and ``reason`` (``base``, the first measure out of its band, or
+    ``together``) of every document."""
+    out = scored(table(measure(docs, vocab_path, keep_rows), "fertility"))
     failed = base_failed()
-    return out.withColumn("band", band).withColumn("base_failed", failed) \
-        .withColumn("reason", F.when(failed, F.lit("base")).otherwise(reason)) \
-        .withColumn("kept", F.col("reason").isNull()) \
-        .drop("band", *[f"{k}_{x}" for k in kinds for x in ("key", "band")])
+    alone = [F.when(F.abs(f"score_{m}") > ALONE, F.lit(m)) for m in MEASURES]
+    both = (F.col("score_chars_per_token") + F.col("score_entropy_share")) / 2 ** 0.5
+    return out.withColumn("base_failed", failed) \
+        .withColumn("reason", F.when(failed, F.lit("base")).otherwise(
+            F.coalesce(*alone, F.when(both < -TOGETHER, F.lit("together"))))) \
+        .withColumn("kept", F.col("reason").isNull())
 
 
-def accepted(docs: DataFrame, vocab_path: str | None = None, min_docs: int = MIN_DOCS) -> DataFrame:
+def accepted(docs: DataFrame, vocab_path: str | None = None) -> DataFrame:
     """The documents that the rules keep, with their columns. Texts are written once and never shuffled."""
-    return judge(docs, vocab_path, min_docs, keep_rows=True).where("kept").select("_row.*")
+    return judge(docs, vocab_path, keep_rows=True).where("kept").select("_row.*")
