@@ -250,7 +250,7 @@ def boundary_pieces(pieces: DataFrame) -> DataFrame:
         .withColumn("file_bad", F.bool_or(F.coalesce(bad, F.lit(False))).over(file))
 
 
-def _spanning_sessions(boundary: DataFrame) -> DataFrame:
+def spanning_sessions(boundary: DataFrame) -> DataFrame:
     """Sessions that cross chunk borders, assembled from the boundary pieces.
 
     A boundary piece is a chunk's head (``-1``, ``-2``) or its unfinished tail.
@@ -314,7 +314,7 @@ def sessions_of(pieces: DataFrame) -> DataFrame:
                      "hostname", "status", "size", "backup_type",
                      F.col("name_local").alias("backup_name")))
     bad_files = boundary.where("file_bad").select("file_path").distinct()
-    spanning = _spanning_sessions(boundary).where(F.col("close_line").isNotNull()).drop("skey")
+    spanning = spanning_sessions(boundary).where(F.col("close_line").isNotNull()).drop("skey")
     closed = local.join(bad_files, "file_path", "left_anti").unionByName(spanning)
     return (closed.select(
                 "file_path", "close_line",

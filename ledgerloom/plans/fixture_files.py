@@ -11,7 +11,7 @@ from __future__ import annotations
 
 import time
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .. import fixtures as fx
@@ -114,6 +114,20 @@ def write_log_files(spark: SparkSession, sf_dir: str) -> str:
     return root
 
 
+#: A log's name and a part's number in the paths of ``write_log_part``.
+LOG_PART = r"file_path=([^/]+)/part=(\d+)/"
+
+
+def write_log_part(spark: SparkSession, sf_dir: str, root: str, part: int, parts: int = 3) -> None:
+    """Deliver one of ``parts`` stretches of every log to ``root``: its lines in order, in one file."""
+    lines = fx.log_lines(fx.read_table(spark, sf_dir, "events"))
+    n = F.count(F.lit(1)).over(Window.partitionBy("file_path"))
+    place = F.row_number().over(Window.partitionBy("file_path").orderBy("line_no")) - 1
+    cut = lines.select("file_path", "line_no", "value", F.floor(place * parts / n).alias("part")).where(F.col("part") == part)
+    (cut.repartition("file_path").sortWithinPartitions("file_path", "line_no").select("file_path", "part", "value")
+     .write.mode("append").partitionBy("file_path", "part").text(root))
+
+
 def write_damaged_logs(spark: SparkSession, sf_dir: str) -> str:
     """The log files, and beside them copies that cannot be read; ``<root>-listing`` lists all of them.
 

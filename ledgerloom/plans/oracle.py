@@ -361,6 +361,7 @@ SELECT file_path AS log_name, row_number() OVER (PARTITION BY file_path ORDER BY
     "overwrite_table": _with(report=REPORT) + DETAIL,
     "stream_report_fact": _with(report=REPORT) + _FACT_ON_DAY,
     "stream_log_fact": _SESSIONS_WITH + FACT_LOG_SELECT.replace("current_date AS load_date", _ON_DAY),
+    "growing_log_sessions": _SESSIONS_WITH + FACT_LOG_SELECT.replace("current_date AS load_date", _ON_DAY),
 })
 
 _FOREIGN = """

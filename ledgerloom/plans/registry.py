@@ -21,7 +21,7 @@ from ..operators import daily_state, logs, report, verify, views
 from ..session import scratch_path
 from ..sinks import tables
 from ..sources import files, readers
-from ..streaming import incremental
+from ..streaming import growing, incremental
 from . import fixture_files as ff
 from . import jobs
 
@@ -530,6 +530,15 @@ def q_stream_log_fact(spark, sf_dir):
         as_of=ff.FILE_DAY, glob=None)
 
 
+def q_growing_log_sessions(spark, sf_dir):
+    """Every log delivered in three parts, a run after each: the sessions of the whole logs."""
+    root, out, checkpoint = (scratch_path(spark, f"growing-{x}") for x in ("logs", "out", "ckpt"))
+    for part in range(3):
+        ff.write_log_part(spark, sf_dir, root, part)
+        growing.load_growing_logs(spark, root, out, checkpoint, part_name=ff.LOG_PART)
+    return logs.backup_fact_log(growing.sessions(spark, out), as_of=ff.FILE_DAY)
+
+
 QUERIES: dict[str, Query] = {
     "consent_device_stats": q_consent_device_stats,
     "consent_hourly_stats": q_consent_hourly_stats,
@@ -593,4 +602,5 @@ QUERIES: dict[str, Query] = {
     "overwrite_table": q_overwrite_table,
     "stream_report_fact": q_stream_report_fact,
     "stream_log_fact": q_stream_log_fact,
+    "growing_log_sessions": q_growing_log_sessions,
 }
