@@ -166,3 +166,37 @@ def test_partitioned_write_is_rebalanced(spark):
     consent = fx.consent(fx.read_table(spark, SF, "events"))
     plan = tables.spread_for_write(consent, S.CONSENT_PARTITION_COLUMNS)._jdf.queryExecution().optimizedPlan()
     assert "RebalancePartitions" in plan.toString()
+
+
+def _parts(root):
+    """Files by folder, and the tasks that wrote below each account."""
+    files, tasks = {}, {}
+    for folder, _, names in os.walk(root):
+        for part in (n for n in names if n.startswith("part-")):
+            files.setdefault(folder, []).append(part)
+            tasks.setdefault(os.path.relpath(folder, root).split(os.sep)[0], set()).add(part.split("-")[1])
+    return files, tasks
+
+
+@pytest.mark.parametrize("through_table", [True, False])
+def test_many_small_folders_are_written_by_many_tasks(spark, tmp_dir, through_table):
+    consent = fx.consent(fx.read_table(spark, SF, "events"))
+    key = "spark.sql.adaptive.coalescePartitions.enabled"
+    before, root = spark.conf.get(key), f"{tmp_dir}/consent"
+    n = tables.load_consent(consent, _name("consent"), root) if through_table else tables.write_consent(consent, root)
+    files, tasks = _parts(root)
+    assert n == consent.count() and spark.conf.get(key) == before
+    assert len(files) == consent.select(*S.CONSENT_PARTITION_COLUMNS).distinct().count()
+    assert all(len(f) == 1 for f in files.values())                   # more tasks, not more files
+    assert len(set.union(*tasks.values())) > 2                        # few bytes, but many folders
+    assert all(len(t) == 1 for t in tasks.values())                   # the commit moves whole accounts
+
+
+def test_failed_partitioned_write_restores_the_setting(spark, tmp_dir):
+    consent = fx.consent(fx.read_table(spark, SF, "events"))
+    key = "spark.sql.adaptive.coalescePartitions.enabled"
+    before = spark.conf.get(key)
+    tables.write_consent(consent, f"{tmp_dir}/c")
+    with pytest.raises(Exception, match="PATH_ALREADY_EXISTS"):
+        tables.write_consent(consent, f"{tmp_dir}/c", mode="error")
+    assert spark.conf.get(key) == before
