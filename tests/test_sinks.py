@@ -200,3 +200,31 @@ def test_failed_partitioned_write_restores_the_setting(spark, tmp_dir):
     with pytest.raises(Exception, match="PATH_ALREADY_EXISTS"):
         tables.write_consent(consent, f"{tmp_dir}/c", mode="error")
     assert spark.conf.get(key) == before
+
+
+def test_folders_are_listed_by_few_tasks(spark, tmp_dir):
+    consent = fx.consent(fx.read_table(spark, SF, "events"))
+    name, sc = _name("consent"), spark.sparkContext
+    tables.load_consent(consent, name, f"{tmp_dir}/consent")
+    group = uuid.uuid4().hex
+    sc.setJobGroup(group, "read")
+    try:
+        assert readers.read_consent(spark, name).count() == consent.count()
+    finally:
+        sc.setLocalProperty("spark.jobGroup.id", None)
+    tracker = sc.statusTracker()
+    stages = [tracker.getStageInfo(s) for j in tracker.getJobIdsForGroup(group) for s in tracker.getJobInfo(j).stageIds]
+    assert 0 < max(s.numTasks for s in stages if s) < 32
+
+
+def test_listing_tasks_set_by_the_user_stay(spark):
+    from ledgerloom.session import LISTING_TASKS_A_CORE, pin_session
+    key = "spark.sql.sources.parallelPartitionDiscovery.parallelism"
+    try:
+        spark.conf.set(key, "77")
+        pin_session(spark)
+        assert spark.conf.get(key) == "77"
+    finally:
+        spark.conf.unset(key)
+        pin_session(spark)
+    assert spark.conf.get(key) == str(LISTING_TASKS_A_CORE * spark.sparkContext.defaultParallelism)
