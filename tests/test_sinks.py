@@ -228,3 +228,76 @@ def test_listing_tasks_set_by_the_user_stay(spark):
         spark.conf.unset(key)
         pin_session(spark)
     assert spark.conf.get(key) == str(LISTING_TASKS_A_CORE * spark.sparkContext.defaultParallelism)
+
+
+def _consent_of(spark, accounts):
+    rows = [(i, a, "2024", "05", f"{1 + i % 3:02d}") for i, a in enumerate(accounts)]
+    df = spark.createDataFrame(rows, "consent_id int, account_hashid string, year string, month string, day string")
+    return tables.consent_rows(df.withColumn("created_at", F.expr("timestamp'2024-05-01 23:59:59.123456' + make_interval(0, 0, 0, consent_id)")))
+
+
+@pytest.mark.parametrize("through_table", [True, False])
+def test_consent_folders_on_a_local_disk_start_no_processes(spark, tmp_dir, through_table):
+    # Hadoop's local file system starts a chmod for every folder and file that it makes, and writes a .crc beside each file
+    consent, root = fx.consent(fx.read_table(spark, SF, "events")), f"{tmp_dir}/consent"
+    assert (tables.load_consent(consent, _name("consent"), root) if through_table else tables.write_consent(consent, root)) == consent.count()
+    names = [n for _, _, found in os.walk(root) for n in found]
+    assert not [n for n in names if n.startswith(".part-")] and "_SUCCESS" in names
+    assert not [d for d in os.listdir(root) if d.startswith("_staging")]
+    back, want = spark.read.schema(S.CONSENT).parquet(root), tables.consent_rows(consent)
+    assert back.exceptAll(want).count() == 0 and want.exceptAll(back).count() == 0
+
+
+def test_consent_folders_are_those_of_spark(spark, tmp_dir):
+    odd = [None, "", "a b", "ä/ö", "x=1", "50%", "{b}[c]^", "'q'\"", "c:\\d", "*?#", "\t\x01\x7f", *map(chr, range(1, 256))]
+    consent = _consent_of(spark, odd)
+    tables.write_consent(consent, f"{tmp_dir}/arrow")
+    tables.write_consent(consent, f"{tmp_dir}/spark", mode="error")         # any other mode: Spark's writer
+    folders = [{os.path.relpath(d, root) for d, _, names in os.walk(root) if any(n.startswith("part-") for n in names)}
+               for root in (f"{tmp_dir}/arrow", f"{tmp_dir}/spark")]
+    assert folders[0] == folders[1]
+    name = _name("consent")
+    assert tables.load_consent(consent, name, f"{tmp_dir}/table") == len(odd)
+    back = spark.read.schema(S.CONSENT).parquet(f"{tmp_dir}/spark")
+    for got in (spark.table(name), spark.read.schema(S.CONSENT).parquet(f"{tmp_dir}/arrow")):
+        assert got.exceptAll(back).count() == 0 and back.exceptAll(got).count() == 0
+    assert spark.table(name).where("account_hashid = '50%'").count() == 1
+    one = [os.path.join(d, n) for root in ("arrow", "spark") for d, _, names in os.walk(f"{tmp_dir}/{root}") for n in names if n.startswith("part-")]
+    import pyarrow.parquet as pq
+    assert len({str([(c.name, c.physical_type) for c in pq.ParquetFile(p).schema]) for p in one}) == 1
+
+
+def test_consent_is_appended_to_folders_that_are_there(spark, tmp_dir):
+    name = _name("consent")
+    for accounts, rows in ((["a", "b"] * 3, 6), (["b", "c"] * 3, 12), (["a"], 13)):
+        assert tables.load_consent(_consent_of(spark, accounts), name, f"{tmp_dir}/c") == len(accounts)
+        assert spark.table(name).count() == rows
+    assert spark.sql(f"SHOW PARTITIONS {name}").count() == 9
+    assert tables.recover_partitions(spark, name) == (0, 0)
+
+
+def test_a_folder_larger_than_a_row_group(spark, tmp_dir, monkeypatch):
+    monkeypatch.setattr(tables.folders, "ROW_GROUP_BYTES", 4000)
+    consent = tables.consent_rows(spark.range(50_000).select(
+        F.col("id").cast("int").alias("consent_id"), F.lit("hot").alias("account_hashid"), F.lit("2024").alias("year"),
+        F.lit("05").alias("month"), F.lit("01").alias("day"), F.lit("c").alias("consent_hashid")))
+    assert tables.write_consent(consent, f"{tmp_dir}/c") == 50_000
+    back = spark.read.schema(S.CONSENT).parquet(f"{tmp_dir}/c")
+    assert back.exceptAll(consent).count() == 0 and back.count() == 50_000
+
+
+def test_a_failed_consent_load_leaves_nothing(spark, tmp_dir):
+    name = _name("consent")
+    tables.load_consent(_consent_of(spark, ["a", "b"]), name, f"{tmp_dir}/c")
+    with pytest.raises(Exception, match="too long"):        # one task fails when it has written other folders
+        tables.load_consent(_consent_of(spark, [*(f"n{i}" for i in range(50)), "x" * 300]), name, f"{tmp_dir}/c")
+    assert sorted(os.listdir(f"{tmp_dir}/c")) == ["_SUCCESS", "account_hashid=a", "account_hashid=b"]
+    assert spark.table(name).count() == 2
+
+
+def test_a_consent_table_with_other_columns_keeps_sparks_insert(spark, tmp_dir):
+    name = _name("consent")
+    wide = S.CONSENT.fields[0].__class__("consent_id", S.T.LongType())
+    tables.create_table_if_absent(spark, name, S.T.StructType([wide, *S.CONSENT.fields[1:]]), f"{tmp_dir}/c", S.CONSENT_PARTITION_COLUMNS)
+    assert tables.load_consent(_consent_of(spark, ["a", "b"]), name, f"{tmp_dir}/c") == 2
+    assert spark.table(name).schema["consent_id"].dataType == S.T.LongType() and spark.table(name).count() == 2
