@@ -301,3 +301,26 @@ def test_a_consent_table_with_other_columns_keeps_sparks_insert(spark, tmp_dir):
     tables.create_table_if_absent(spark, name, S.T.StructType([wide, *S.CONSENT.fields[1:]]), f"{tmp_dir}/c", S.CONSENT_PARTITION_COLUMNS)
     assert tables.load_consent(_consent_of(spark, ["a", "b"]), name, f"{tmp_dir}/c") == 2
     assert spark.table(name).schema["consent_id"].dataType == S.T.LongType() and spark.table(name).count() == 2
+
+
+def test_scans_of_many_small_files_take_few_tasks(spark):
+    from ledgerloom.plans import registry
+    from ledgerloom.session import pack_small_files, pin_session
+    cost, size = "spark.sql.files.openCostInBytes", "spark.sql.files.maxPartitionBytes"
+    pin_session(spark)
+    before = spark.conf.get(cost)
+    spark.conf.set(size, "16m")
+    try:
+        df = registry.QUERIES["write_consent_partitioned"](spark, SF)
+        folders = df.select(*S.CONSENT_PARTITION_COLUMNS).distinct().count()
+        assert folders > 200 and df.rdd.getNumPartitions() <= max(4, folders // 50)
+        pin_session(spark)                  # the next query
+        assert spark.conf.get(cost) == before
+        spark.conf.set(cost, "64k")         # a number that the user has set
+        pack_small_files(spark)
+        pin_session(spark)
+        assert spark.conf.get(cost) == "64k"
+    finally:
+        spark.conf.unset(cost)
+        spark.conf.unset(size)
+        pin_session(spark)
